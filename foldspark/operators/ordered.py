@@ -35,12 +35,16 @@ def _add_buckets(df: DataFrame, order: str) -> DataFrame:
     cut points give the same final answer.
     """
     n = _bucket_count(df)
-    grid = [i / n for i in range(1, n)]
-    cuts = df.agg(
-        F.percentile_approx(F.col(order).cast("double"), grid, _BOUNDARY_ACCURACY).alias("q")
-    ).first()["q"]
-    inner = sorted(set(cuts or []))
-    splits = [float("-inf"), *inner, float("inf")]
+    return _with_bucket(df, order, df.agg(_boundaries(F.col(order), n).alias("q")).first()["q"])
+
+
+def _boundaries(value: Column, buckets: int) -> Column:
+    grid = [i / buckets for i in range(1, buckets)]
+    return F.percentile_approx(value.cast("double"), grid, _BOUNDARY_ACCURACY)
+
+
+def _with_bucket(df: DataFrame, order: str, cuts: list[float] | None) -> DataFrame:
+    splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
     stage = Bucketizer(
         splits=splits, inputCol="__order", outputCol=_BUCKET, handleInvalid="keep"
     )
@@ -135,34 +139,72 @@ def exact_quantiles(
         .agg(*[F.sum(c).alias(c) for c in columns])
         .persist()
     )
-    sizes = counts.agg(*[F.sum(c).alias(c) for c in columns]).first()
-    ranked = running_totals(counts, "__value", columns)
-    wanted = []
-    for i, column in enumerate(columns):
-        n = sizes[column] or 0
-        for j, p in enumerate(probabilities):
-            rank = (n - 1) * p
-            for side, at in (("lo", int(rank)), ("hi", min(int(rank) + 1, max(n - 1, 0)))):
-                # the value at 0-based rank r is the first whose running count passes r
-                hit = F.when(F.col(f"cum_{column}") > at, F.col("__value"))
-                wanted.append(F.min(hit).alias(f"q_{i}_{j}_{side}"))
-    found = ranked.agg(*wanted).first()
+    n_buckets = _bucket_count(df)
+    summary = counts.agg(
+        _boundaries(F.col("__value"), n_buckets).alias("q"), *[F.sum(c).alias(c) for c in columns]
+    ).first()
+    sizes = {c: summary[c] or 0 for c in columns}
+    bucketed = _with_bucket(counts, "__value", summary["q"])
+    per_bucket = bucketed.groupBy(_BUCKET).agg(*[F.sum(c).alias(c) for c in columns]).collect()
+    per_bucket.sort(key=lambda row: row[_BUCKET])
+
+    # for every wanted rank, its bucket and the rows before that bucket
+    places: dict[tuple[str, int], tuple[float, int]] = {}
+    for column in columns:
+        targets = sorted({r for p in probabilities for r in _rank_pair(sizes[column], p)})
+        passed, cursor = 0, 0
+        for row in per_bucket:
+            while cursor < len(targets) and targets[cursor] < passed + row[column]:
+                places[column, targets[cursor]] = (row[_BUCKET], passed)
+                cursor += 1
+            passed += row[column]
+    at_rank: dict[tuple[str, int], float] = {}
+    if places:
+        # one row per wanted rank
+        lookup = df.sparkSession.createDataFrame(
+            [(columns.index(c), r, b, r - passed) for (c, r), (b, passed) in places.items()],
+            f"subset int, target long, {_BUCKET} double, inside long",
+        )
+        inside = Window.partitionBy(_BUCKET).orderBy("__value").rowsBetween(
+            Window.unboundedPreceding, 0
+        )
+        needed = sorted({bucket for bucket, _ in places.values()})
+        ranked = bucketed.where(F.col(_BUCKET).isin(needed)).select(
+            _BUCKET,
+            "__value",
+            F.array(*columns).alias("own"),
+            F.array(*[F.sum(c).over(inside) for c in columns]).alias("upto"),
+        )
+        upto = F.get("upto", F.col("subset"))
+        covers = (F.col("inside") < upto) & (F.col("inside") >= upto - F.get("own", F.col("subset")))
+        found = ranked.join(F.broadcast(lookup), _BUCKET).where(covers)
+        for row in found.select("subset", "target", "__value").collect():
+            at_rank[columns[row["subset"]], row["target"]] = row["__value"]
     counts.unpersist()
+
     result = {}
-    for i, (name, column) in enumerate(zip(names, columns)):
-        n = sizes[column] or 0
+    for name, column in zip(names, columns):
+        n = sizes[column]
         values = []
-        for j, p in enumerate(probabilities):
-            low, high = found[f"q_{i}_{j}_lo"], found[f"q_{i}_{j}_hi"]
+        for p in probabilities:
             if n == 0:
                 values.append(None)
                 continue
+            low, high = (at_rank[column, r] for r in _rank_pair(n, p))
             part = (n - 1) * p - int((n - 1) * p)
             values.append(low + (high - low) * part)
         result[name] = values
     return result
 
 
+def _rank_pair(n: int, p: float) -> tuple[int, ...]:
+    """The two 0-based ranks around the quantile at p."""
+    if n == 0:
+        return ()
+    low = int((n - 1) * p)
+    return (low, min(low + 1, n - 1))
+
+
 def hash_cuts(
     df: DataFrame,
     bits: dict[str, Column],
@@ -171,8 +213,8 @@ def hash_cuts(
 ) -> dict[str, dict[str, list[int]]]:
     """Hash values at given ranks: cuts that split rows into exact sizes.
 
-    ``bits`` holds one uniform hash column per replicate; ``ranks(n)`` gives the
-    1-based ranks wanted in a stratum of n rows. Returns, per replicate and
+    ``bits`` holds one uniform hash column per replicate; ``ranks(n)`` lists, as
+    columns of n, the 1-based ranks wanted in a stratum of n rows. Returns, per replicate and
     stratum, the hash value at every rank, so that membership is a comparison of
     the row's own hash with a literal: no join, no sort and no shuffle of rows.
 
@@ -181,43 +223,38 @@ def hash_cuts(
     """
     names = list(bits)
     group = stratum if stratum is not None else F.lit("all")
-    sizes = df.groupBy(group.cast("string").alias("s")).count().collect()
-    targets = {row["s"]: list(ranks(row["count"])) for row in sizes}
-    cuts = {name: {s: [-1] * len(t) for s, t in targets.items()} for name in names}
-    rows = [(s, i, t) for s, ts in targets.items() for i, t in enumerate(ts) if t >= 1]
-    if not rows:
-        return cuts
-    # strata x ranks rows
-    wanted = df.sparkSession.createDataFrame(rows, "stratum string, slot int, target long")
-
     hashed = df.select(
         group.cast("string").alias("stratum"),
         F.posexplode(F.array(*[bits[n] for n in names])).alias("rep", "bits"),
     ).withColumn("bucket", F.shiftright("bits", HASH_BITS - _HASH_BUCKET_BITS))
-    upto = Window.partitionBy("rep", "stratum").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
+    each = Window.partitionBy("rep", "stratum")
+    upto = each.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     counted = (
         hashed.groupBy("rep", "stratum", "bucket")
         .agg(F.count("*").alias("n"))
-        .withColumn("passed", F.sum("n").over(upto) - F.col("n"))
+        .withColumns({"upto": F.sum("n").over(upto), "size": F.sum("n").over(each)})
     )
-    hits = (
-        counted.join(F.broadcast(wanted), "stratum")
-        .where((F.col("target") > F.col("passed")) & (F.col("target") <= F.col("passed") + F.col("n")))
-        .select("rep", "stratum", "bucket", "slot", (F.col("target") - F.col("passed")).alias("rank"))
+    targets = F.array(*[t.cast("long") for t in ranks(F.col("size"))])
+    hits = counted.select(
+        "rep", "stratum", "bucket", "n", "upto", F.posexplode(targets).alias("slot", "target")
+    ).where((F.col("target") > F.col("upto") - F.col("n")) & (F.col("target") <= F.col("upto")))
+    # one row per replicate, stratum and rank
+    hits = hits.select(
+        "rep", "stratum", "bucket", "slot", (F.col("target") - F.col("upto") + F.col("n")).alias("rank")
     )
-    # replicates x strata x ranks rows
-    found = _rows_at(hashed, F.broadcast(hits))
-    for row in found.collect():
-        cuts[names[row["rep"]]][row["stratum"]][row["slot"]] = row["bits"]
-    return cuts
-
-
-def _rows_at(hashed: DataFrame, hits: DataFrame) -> DataFrame:
-    """The hash at each wanted rank inside its bucket."""
     where = ["rep", "stratum", "bucket"]
     inside = Window.partitionBy(*where).orderBy("bits")
-    kept = hashed.join(F.broadcast(hits.select(*where).distinct()), where, "left_semi")
-    ranked = kept.withColumn("rank", F.row_number().over(inside).cast("long"))
-    return ranked.join(hits, [*where, "rank"]).select("rep", "stratum", "slot", "bits")
+    wanted = F.broadcast(hits.groupBy(*where).agg(F.collect_list(F.struct("rank", "slot")).alias("hits")))
+    found = (
+        hashed.join(wanted, where)
+        .withColumn("rank", F.row_number().over(inside))
+        .select("rep", "stratum", "bits", "rank", F.explode("hits").alias("hit"))
+        .where("rank = hit.rank")
+        .select("rep", "stratum", "bits", "hit.slot")
+    )
+    slots = len(ranks(F.lit(1)))
+    cuts: dict[str, dict[str, list[int]]] = {name: {} for name in names}
+    for row in found.collect():
+        own = cuts[names[row["rep"]]].setdefault(row["stratum"], [-1] * slots)
+        own[row["slot"]] = row["bits"]
+    return cuts

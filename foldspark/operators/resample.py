@@ -8,7 +8,6 @@ ranks are found with two small aggregations (:func:`hash_cuts`).
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -109,9 +108,9 @@ def strata_column(df: DataFrame, strata: str | None, bins: int = _STRATA_BINS) -
 def _cut_literal(cuts: dict[str, list[int]], stratum: Column | None, slot: int) -> Column:
     """The literal cut of a row's stratum."""
     if stratum is None:
-        (only,) = cuts.values() if cuts else ([-1],)
+        only = cuts.get("all")
         return F.lit(only[slot] if only else -1)
-    chain = F.lit(None).cast("long")
+    chain = F.lit(-1).cast("long")
     for level, values in cuts.items():
         chain = F.when(stratum == F.lit(level), F.lit(values[slot])).otherwise(chain)
     return chain
@@ -132,6 +131,11 @@ class Split:
         return self.df.withColumn("role", role)
 
 
+def _part(prop: float):
+    """The number of rows in a share of n, rounded down."""
+    return lambda n: [F.floor(n * prop)]
+
+
 def initial_split(
     df: DataFrame,
     key: str,
@@ -142,7 +146,7 @@ def initial_split(
     """floor(n * prop) training rows in every stratum."""
     stratum = strata_column(df, strata)
     bits = hash_bits(seed, key)
-    cuts = hash_cuts(df, {"train": bits}, lambda n: [math.floor(n * prop)], stratum)["train"]
+    cuts = hash_cuts(df, {"train": bits}, _part(prop), stratum)["train"]
     return Split(df, key, bits <= _cut_literal(cuts, stratum, 0))
 
 
@@ -158,12 +162,7 @@ def testing(split: Split) -> DataFrame:
 
 def _fold_ranks(v: int):
     """Last rank of every fold but the final one; the first n mod v folds are longer."""
-
-    def ranks(n: int) -> list[int]:
-        small, large = divmod(n, v)
-        return [i * small + min(i, large) for i in range(1, v)]
-
-    return ranks
+    return lambda n: [F.lit(i) * F.floor(n / v) + F.least(F.lit(i), n % v) for i in range(1, v)]
 
 
 def _numbered(prefix: str, n: int) -> list[str]:
@@ -204,7 +203,7 @@ def mc_cv(
     """Independent random splits."""
     names = _numbered("Resample", times)
     bits = {name: hash_bits(f"{seed}.{i}", key) for i, name in enumerate(names, start=1)}
-    cuts = hash_cuts(df, bits, lambda n: [math.floor(n * prop)])
+    cuts = hash_cuts(df, bits, _part(prop))
     columns = {f"__in_{n}": bits[n] <= _cut_literal(cuts[n], None, 0) for n in names}
     resamples = {
         n: Resample(F.col(f"__in_{n}").cast("int"), ~F.col(f"__in_{n}")) for n in names

@@ -42,3 +42,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` to reliable storage so that executor loss cannot redo it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a table of few files; larger tables are left as they are.
+
+    A single small file is one task, however costly the work on its rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    return df.repartition(cores) if 0 < len(files) < min(cores, 64) else df
