@@ -19,14 +19,17 @@ _TINY = 1e-300
 
 _LARGE = 1e5  # beyond this, differences of log-gamma lose too many digits
 
-_log_gamma = np.frompyfunc(math.lgamma, 1, 1)
-_erfc = np.frompyfunc(math.erfc, 1, 1)
+
+def _each(function, x) -> np.ndarray:
+    """A scalar function of the math module over an array."""
+    x = np.asarray(x, dtype=float)
+    return np.array([function(v) for v in x.ravel()]).reshape(x.shape)
 
 
 def _log_beta(a, b):
-    exact = np.asarray(_log_gamma(a) + _log_gamma(b) - _log_gamma(a + b), dtype=float)
+    exact = _each(math.lgamma, a) + _each(math.lgamma, b) - _each(math.lgamma, a + b)
     big, small = np.maximum(a, b), np.minimum(a, b)
-    limit = np.asarray(_log_gamma(small), dtype=float) - small * np.log(big)
+    limit = _each(math.lgamma, small) - small * np.log(big)
     limit = limit - small * (small - 1.0) / (2.0 * big)
     return np.where((big > _LARGE) & (small < 1e-3 * big), limit, exact)
 
@@ -70,7 +73,7 @@ def t_two_sided(t, df):
     t = np.abs(np.asarray(t, dtype=float))
     df = np.asarray(df, dtype=float)
     z = t * (1.0 - 0.25 / df) / np.sqrt(1.0 + t * t / (2.0 * df))
-    limit = np.asarray(_erfc(z / math.sqrt(2.0)), dtype=float)
+    limit = _each(math.erfc, z / math.sqrt(2.0))
     return np.where(df > _LARGE, limit, incomplete_beta(df / (df + t * t), df / 2.0, 0.5))
 
 

@@ -159,7 +159,7 @@ def solve(gram: Gram, terms: list[str] | tuple[str, ...]) -> LinearFit:
         (INTERCEPT, *terms),
         np.concatenate([[intercept], slopes]),
         unscaled,
-        gram.n,
+        float(gram.n),
         len(kept) + 1,
         float(max(rss, 0.0)),
         float(syy),
@@ -175,13 +175,13 @@ def fit_columns(df: DataFrame, outcome: str, predictors: list[str]) -> LinearFit
 
 def nested_f_test(spark: SparkSession, small: LinearFit, big: LinearFit) -> DataFrame:
     """Compare nested models by the drop in residual sum of squares."""
-    extra = big.rank - small.rank
-    drop = small.rss - big.rss
-    f = (drop / extra) / big.sigma2 if extra > 0 and big.sigma2 > 0 else None
+    extra = int(big.rank - small.rank)
+    drop = float(small.rss - big.rss)
+    f = float(drop / extra / big.sigma2) if extra > 0 and big.sigma2 > 0 else None
     p = float(f_upper(f, extra, big.df_residual)) if f is not None else None
     rows = [
-        ("small", small.df_residual, small.rss, None, None, None, None),
-        ("big", big.df_residual, big.rss, float(extra), float(drop), f, p),
+        ("small", float(small.df_residual), small.rss, None, None, None, None),
+        ("big", float(big.df_residual), big.rss, float(extra), drop, f, p),
     ]
     return spark.createDataFrame(
         rows,

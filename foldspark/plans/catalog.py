@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from foldspark.plans import queries_resample, queries_tables  # noqa: F401
+from foldspark.plans import (  # noqa: F401
+    queries_features,
+    queries_metrics,
+    queries_models,
+    queries_resample,
+    queries_tables,
+)
 from foldspark.plans.registry import ORACLES, QUERIES  # noqa: F401
 
 FLAGSHIP = "m2_regression_per_group"

@@ -73,12 +73,12 @@ def stratified_split(spark, folder):
 @query(
     "r2_stratified_split_students",
     f"WITH {STUDENTS_SQL},\n{strata_split_sql('students', 'row_key', 'gpa')} "
-    "SELECT CASE WHEN in_train THEN 'training' ELSE 'testing' END AS role, CAST(count(*) AS BIGINT) AS n, CAST(sum(row_key) AS BIGINT) AS keys FROM split GROUP BY 1",
+    "SELECT CASE WHEN in_train THEN 'training' ELSE 'testing' END AS role, CAST(count(*) AS BIGINT) AS n, round(avg(row_key), 4) + 0.0 AS mean_key FROM split GROUP BY 1",
 )
 def stratified_split_students(spark, folder):
     rows = students(spark, folder).select("row_key", "gpa")
     split = initial_split(rows, "row_key", PROP, strata="gpa", seed=STRATA_SEED)
-    return split.labelled().groupBy("role").agg(F.count("*").alias("n"), F.sum("row_key").alias("keys"))
+    return split.labelled().groupBy("role").agg(F.count("*").alias("n"), F.round(F.avg("row_key"), 4).alias("mean_key"))
 
 
 @query(
@@ -129,12 +129,12 @@ _MONTE_CARLO = " UNION ALL ".join(
 
 @query(
     "r6_monte_carlo",
-    f"WITH m AS ({_MONTE_CARLO}) SELECT id, CASE WHEN a THEN 'analysis' ELSE 'assessment' END AS role, CAST(count(*) AS BIGINT) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM m GROUP BY 1, 2",
+    f"WITH m AS ({_MONTE_CARLO}) SELECT id, CASE WHEN a THEN 'analysis' ELSE 'assessment' END AS role, CAST(count(*) AS BIGINT) AS n, round(avg(o_orderkey), 4) + 0.0 AS mean_key FROM m GROUP BY 1, 2",
 )
 def monte_carlo(spark, folder):
     resamples = mc_cv(read_table(spark, "orders", folder), "o_orderkey", 0.9, times=20, seed=7)
     return resamples.membership().groupBy("id", "role").agg(
-        F.sum("times").alias("n"), F.sum("o_orderkey").alias("keys")
+        F.sum("times").alias("n"), F.round(F.avg("o_orderkey"), 4).alias("mean_key")
     )
 
 
