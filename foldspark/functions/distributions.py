@@ -7,6 +7,7 @@ table on the driver and a batch of groups inside a pandas UDF alike.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -84,25 +85,31 @@ def f_upper(f, df1, df2):
     return incomplete_beta(df2 / (df2 + df1 * f), df2 / 2.0, df1 / 2.0)
 
 
+def t_quantiles(p: float, df) -> np.ndarray:
+    """Upper quantiles (p > 1/2) for many degrees of freedom, by bisection."""
+    df = np.asarray(df, dtype=float)
+    target = 2.0 * (1.0 - p)
+    low, high = np.zeros_like(df), np.ones_like(df)
+    while True:
+        short = t_two_sided(high, df) > target
+        if not short.any():
+            break
+        low, high = np.where(short, high, low), np.where(short, 2.0 * high, high)
+    for _ in range(60):
+        middle = 0.5 * (low + high)
+        above = t_two_sided(middle, df) > target
+        low, high = np.where(above, middle, low), np.where(above, high, middle)
+    return 0.5 * (low + high)
+
+
+@lru_cache(maxsize=1024)
 def t_quantile(p: float, df: float) -> float:
-    """The value with probability ``p`` below it, by bisection on the tail."""
+    """The value with probability ``p`` below it."""
     if p == 0.5:
         return 0.0
     if p < 0.5:
         return -t_quantile(1.0 - p, df)
-    target = 2.0 * (1.0 - p)
-    low, high = 0.0, 1.0
-    while float(t_two_sided(high, df)) > target:
-        low, high = high, high * 2.0
-    for _ in range(200):
-        middle = 0.5 * (low + high)
-        if float(t_two_sided(middle, df)) > target:
-            low = middle
-        else:
-            high = middle
-        if high - low <= 1e-15 * high:
-            break
-    return 0.5 * (low + high)
+    return float(t_quantiles(p, np.array([df]))[0])
 
 
 def normal_cdf(z: float) -> float:

@@ -9,7 +9,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foldspark.functions.constants import array_constant
-from foldspark.functions.distributions import f_upper, t_quantile, t_two_sided, t_two_sided_udf
+from foldspark.functions.distributions import (
+    f_upper,
+    t_quantile,
+    t_quantiles,
+    t_two_sided,
+    t_two_sided_udf,
+)
 from foldspark.operators.gram import Gram, grams
 
 INTERCEPT = "(Intercept)"
@@ -260,17 +266,30 @@ def regression_by(df: DataFrame, by: list[str], y: str, xs: list[str]) -> DataFr
 
     def kernel(frames):
         for frame in frames:
-            out = []
-            for keys, n, mean, cells in zip(
+            keys, numbers = [], []
+            for group, n, mean, cells in zip(
                 frame[by].itertuples(index=False), frame["__n"], frame["__means"], frame["__cells"]
             ):
                 cross = np.zeros((size, size))
                 for (i, j), v in zip(pairs, cells):
                     cross[i, j] = cross[j, i] = v * n
-                gram = Gram(float(n), np.asarray(mean, dtype=float), cross)
-                for row in solve(gram, names).tidy_rows():
-                    out.append((*keys, *row.values(), int(gram.n)))
-            yield pd.DataFrame(out, columns=[*by, *_TIDY_NAMES, "n"])
+                fit = solve(Gram(float(n), np.asarray(mean, dtype=float), cross), names)
+                for term, b, se in zip(fit.terms, fit.estimate, fit.std_error):
+                    keys.append((*group, term))
+                    numbers.append((b, se, fit.df_residual, n))
+            table = pd.DataFrame(keys, columns=[*by, "term"])
+            b, se, free, n = np.array(numbers, dtype=float).reshape(-1, 4).T
+            with np.errstate(all="ignore"):
+                statistic = b / se
+            known = np.isfinite(statistic) & (free > 0)
+            tail = t_two_sided(np.where(known, statistic, 0.0), np.where(known, free, 1.0))
+            half = t_quantiles(0.975, np.maximum(free, 1.0)) * se
+            columns = (b, se, statistic, np.where(known, tail, np.nan), b - half, b + half)
+            for name, values in zip(_TIDY_NAMES[1:], columns):
+                table[name] = pd.array(values, dtype="Float64")
+                table.loc[~np.isfinite(values), name] = pd.NA
+            table["n"] = n.astype("int64")
+            yield table
 
     keys_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packed.select(*by).schema)
     return packed.mapInPandas(kernel, f"{keys_ddl}, {TIDY_SCHEMA}, n long")

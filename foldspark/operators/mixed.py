@@ -19,7 +19,8 @@ from foldspark.operators.linear import INTERCEPT
 from foldspark.operators.recipe import PreparedRecipe
 from foldspark.session import cut_lineage
 
-_ROUNDS = 40
+_SMALL_TABLE = 2_000_000  # numbers; a larger group table stays distributed
+_ROUNDS = 60
 _FIRST_STEP = 0.5
 _LAST_STEP = 1e-4
 
@@ -107,24 +108,32 @@ def _score_kernel(thetas: np.ndarray, size: int):
     return kernel
 
 
-def _deviances(table: DataFrame, thetas: np.ndarray, size: int, n: float):
-    """Restricted deviance of each candidate, with its fixed-effect solution."""
-    parts = table.mapInPandas(_score_kernel(thetas, size), "k int, parts array<double>")
+def _summed_parts(table: DataFrame | pd.DataFrame, thetas: np.ndarray, size: int) -> dict[int, np.ndarray]:
+    """The likelihood parts of every candidate, summed over the groups."""
+    kernel = _score_kernel(thetas, size)
+    if isinstance(table, pd.DataFrame):
+        (local,) = kernel([table])
+        return dict(zip(local["k"], local["parts"]))
+    parts = table.mapInPandas(kernel, "k int, parts array<double>")
     width = 1 + (size - 1) ** 2
     summed = parts.groupBy("k").agg(
         F.array(*[F.sum(F.get("parts", F.lit(i))) for i in range(width)]).alias("parts")
     )
+    return {row["k"]: np.array(row["parts"]) for row in summed.collect()}
+
+
+def _deviances(table: DataFrame | pd.DataFrame, thetas: np.ndarray, size: int, n: float):
+    """Restricted deviance of each candidate, with its fixed-effect solution."""
     p = size - 2
     result = {}
-    for row in summed.collect():
-        values = np.array(row["parts"])
+    for k, values in _summed_parts(table, thetas, size).items():
         joint = values[1:].reshape(p + 1, p + 1)
         xx, xy, yy = joint[:p, :p], joint[:p, p], joint[p, p]
         beta = np.linalg.solve(xx, xy)
         rss = max(yy - xy @ beta, 1e-300)
         free = n - p
         deviance = values[0] + np.linalg.slogdet(xx)[1] + free * (1.0 + np.log(2 * np.pi * rss / free))
-        result[row["k"]] = (deviance, beta, xx, rss / free)
+        result[k] = (deviance, beta, xx, rss / free)
     return [result[k] for k in range(len(thetas))]
 
 
@@ -139,6 +148,8 @@ def fit_mixed(prepared: PreparedRecipe, df: DataFrame, group: str, slope: str) -
         F.sum(F.get("cells", F.lit(_cell(0, size - 2, size)))).alias("s"),
     ).first()
     n = totals["n"]
+    if totals["groups"] * size * size <= _SMALL_TABLE:
+        table = table.toPandas()  # a checked, small number of cross-products
     # search in units where the slope column has unit spread
     spread = float(np.sqrt(max(totals["ss"] / n - (totals["s"] / n) ** 2, 1e-300)))
     unit = np.array([1.0, 1.0 / spread, 1.0 / spread])

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from foldspark.functions.constants import text_constant
 from foldspark.operators.gram import MAX_WIDTH, grams
 from foldspark.operators.linear import LinearFit, dot, solve
+from foldspark.operators.logistic import fit_logistic
 from foldspark.operators.recipe import PreparedRecipe, _predictors
+from foldspark.session import cached
 
 _MAX_CLASSES = 100
 
@@ -48,8 +50,8 @@ _ENGINES = {
     "linear_reg": ("gram", "penalized"),
     "decision_tree": ("spark_tree",),
     "rand_forest": ("spark_forest",),
-    "logistic_reg": ("spark_logistic",),
-    "multinom_reg": ("spark_logistic",),
+    "logistic_reg": ("newton", "spark_logistic"),
+    "multinom_reg": ("newton", "spark_logistic"),
 }
 
 
@@ -77,11 +79,11 @@ def rand_forest(
 
 
 def logistic_reg() -> ModelSpec:
-    return ModelSpec("logistic_reg", "classification", "spark_logistic")
+    return ModelSpec("logistic_reg", "classification", "newton")
 
 
 def multinom_reg() -> ModelSpec:
-    return ModelSpec("multinom_reg", "classification", "spark_logistic")
+    return ModelSpec("multinom_reg", "classification", "newton")
 
 
 # ---------------------------------------------------------------- fits
@@ -258,11 +260,11 @@ def _complete_rows(prepared: PreparedRecipe, df: DataFrame, outcome: Column) ->
 
 def fit_penalized(spec: ModelSpec, prepared: PreparedRecipe, df: DataFrame) -> LinearModel:
     """Elastic net; coefficients only, so the fit carries no inference."""
-    rows = _complete_rows(prepared, df, F.col(prepared.recipe.outcome).cast("double")).persist()
     learner = LinearRegression(regParam=spec.get("penalty"), elasticNetParam=spec.get("mixture"))
-    model = learner.fit(rows)
-    n = rows.count()
-    rows.unpersist()
+    outcome = F.col(prepared.recipe.outcome).cast("double")
+    with cached(_complete_rows(prepared, df, outcome)) as rows:
+        model = learner.fit(rows)
+        n = float(rows.count())
     terms = prepared.terms
     estimate = np.concatenate([[model.intercept], model.coefficients.toArray()])
     size = len(estimate)
@@ -271,25 +273,33 @@ def fit_penalized(spec: ModelSpec, prepared: PreparedRecipe, df: DataFrame) -> L
     return LinearModel(fit)
 
 
-def fit_classes(prepared: PreparedRecipe, df: DataFrame, binary: bool) -> ClassModel:
+def fit_classes(prepared: PreparedRecipe, df: DataFrame, binary: bool, engine: str) -> ClassModel:
     """Logistic regression, two or more classes, coded against the first level."""
     outcome = F.col(prepared.recipe.outcome).cast("string")
     levels = _levels_of(df, outcome, _MAX_CLASSES)
     if binary and len(levels) != 2:
         raise ValueError(f"a logistic regression needs two levels, found {len(levels)}")
     label = F.array_position(text_constant(levels), outcome).cast("double") - 1.0
-    rows = _complete_rows(prepared, df, label).persist()
+    if engine == "newton":
+        rows = df.select(prepared.design().alias("d"), label.cast("int").alias("label"))
+        with cached(rows.where("label is not null")) as known:
+            table = fit_logistic(known, len(prepared.terms), len(levels))
+    else:
+        table = _spark_logistic(_complete_rows(prepared, df, label), binary)
+    return ClassModel(tuple(levels), ("(Intercept)", *prepared.terms), table)
+
+
+def _spark_logistic(rows: DataFrame, binary: bool) -> np.ndarray:
+    """The built-in quasi-Newton learner: many cheap passes, for very wide designs."""
     learner = LogisticRegression(
         regParam=0.0, maxIter=200, tol=1e-10, family="binomial" if binary else "multinomial"
     )
-    model = learner.fit(rows)
-    rows.unpersist()
+    with cached(rows) as known:
+        model = learner.fit(known)
     if binary:
-        table = np.concatenate([[model.intercept], model.coefficients.toArray()])[None, :]
-    else:
-        whole = np.hstack([model.interceptVector.toArray()[:, None], model.coefficientMatrix.toArray()])
-        table = whole[1:] - whole[0]
-    return ClassModel(tuple(levels), ("(Intercept)", *prepared.terms), table)
+        return np.concatenate([[model.intercept], model.coefficients.toArray()])[None, :]
+    whole = np.hstack([model.interceptVector.toArray()[:, None], model.coefficientMatrix.toArray()])
+    return whole[1:] - whole[0]
 
 
 def fit_model(spec: ModelSpec, prepared: PreparedRecipe, df: DataFrame):
@@ -297,6 +307,6 @@ def fit_model(spec: ModelSpec, prepared: PreparedRecipe, df: DataFrame):
         return LinearModel(fit_linear(prepared, df))
     if spec.engine == "penalized":
         return fit_penalized(spec, prepared, df)
-    if spec.engine == "spark_logistic":
-        return fit_classes(prepared, df, spec.kind == "logistic_reg")
+    if spec.mode == "classification":
+        return fit_classes(prepared, df, spec.kind == "logistic_reg", spec.engine)
     return fit_tree(spec, prepared, df)

@@ -16,7 +16,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldspark.functions.hashing import HASH_BITS
-from foldspark.session import spread
 
 _BUCKET = "__bucket"
 _BOUNDARY_ACCURACY = 20_000
@@ -224,7 +223,7 @@ def hash_cuts(
     """
     names = list(bits)
     group = stratum if stratum is not None else F.lit("all")
-    hashed = spread(df).select(
+    hashed = df.select(
         group.cast("string").alias("stratum"),
         F.posexplode(F.array(*[bits[n] for n in names])).alias("rep", "bits"),
     ).withColumn("bucket", F.shiftright("bits", HASH_BITS - _HASH_BUCKET_BITS))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foldspark.functions.hashing import hash_bits, hash_index
 from foldspark.operators.ordered import exact_quantiles, hash_cuts, positions
+from foldspark.session import cached
 
 _STRATA_BINS = 4
 _SMALL_STRATUM = 0.1
@@ -144,9 +145,10 @@ def initial_split(
     seed: int = 0,
 ) -> Split:
     """floor(n * prop) training rows in every stratum."""
-    stratum = strata_column(df, strata)
     bits = hash_bits(seed, key)
-    cuts = hash_cuts(df, {"train": bits}, _part(prop), stratum)["train"]
+    with cached(df.select(key, *([strata] if strata else []))) as narrow:
+        stratum = strata_column(narrow, strata)
+        cuts = hash_cuts(narrow, {"train": bits}, _part(prop), stratum)["train"]
     return Split(df, key, bits <= _cut_literal(cuts, stratum, 0))
 
 
@@ -183,7 +185,8 @@ def vfold_cv(
     Fold numbers are attached as columns, so a row's hash is computed once.
     """
     runs = {f"Repeat{r}": hash_bits(seed if r == 1 else f"{seed}.{r}", key) for r in range(1, repeats + 1)}
-    cuts = hash_cuts(df, runs, _fold_ranks(v))
+    with cached(df.select(key)) as narrow:
+        cuts = hash_cuts(narrow, runs, _fold_ranks(v))
     resamples: dict[str, Resample] = {}
     columns = {}
     for run, bits in runs.items():
@@ -203,7 +206,8 @@ def mc_cv(
     """Independent random splits."""
     names = _numbered("Resample", times)
     bits = {name: hash_bits(f"{seed}.{i}", key) for i, name in enumerate(names, start=1)}
-    cuts = hash_cuts(df, bits, _part(prop))
+    with cached(df.select(key)) as narrow:
+        cuts = hash_cuts(narrow, bits, _part(prop))
     columns = {f"__in_{n}": bits[n] <= _cut_literal(cuts[n], None, 0) for n in names}
     resamples = {
         n: Resample(F.col(f"__in_{n}").cast("int"), ~F.col(f"__in_{n}")) for n in names

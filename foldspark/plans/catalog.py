@@ -6,6 +6,7 @@ from foldspark.plans import (  # noqa: F401
     queries_models,
     queries_resample,
     queries_tables,
+    queries_workflows,
 )
 from foldspark.plans.registry import ORACLES, QUERIES  # noqa: F401
 

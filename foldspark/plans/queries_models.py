@@ -38,6 +38,7 @@ from foldspark.plans.tables import (
     students,
 )
 from foldspark.plans.workflow import Workflow
+from foldspark.session import hold
 from foldspark.sources.tables import read_table
 
 
@@ -162,7 +163,7 @@ def random_forest(spark, folder):
 
 
 def student_split(spark, folder):
-    rows = students(spark, folder)
+    rows = hold(students(spark, folder))
     return initial_split(rows, "row_key", 0.8, strata="gpa", seed=STRATA_SEED)
 
 

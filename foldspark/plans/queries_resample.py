@@ -18,6 +18,7 @@ from foldspark.operators.resample import (
 from foldspark.plans.queries_tables import hash_sql
 from foldspark.plans.registry import query
 from foldspark.plans.tables import SALES_SQL, STUDENTS_SQL, sales, students
+from foldspark.session import hold
 from foldspark.sources.tables import read_table
 
 SPLIT_SEED, STRATA_SEED, FOLD_SEED, PROP = 501, 502, 1001, 0.8
@@ -47,7 +48,7 @@ def folds_sql(source: str, key: str, v: int = 10, seed=FOLD_SEED, name: str = "f
 
 
 def sales_split(spark, folder):
-    return initial_split(sales(spark, folder), "sale_key", PROP, strata="price", seed=STRATA_SEED)
+    return initial_split(hold(sales(spark, folder)), "sale_key", PROP, strata="price", seed=STRATA_SEED)
 
 
 SALES_SPLIT_SQL = f"{SALES_SQL},\n{strata_split_sql('sales', 'sale_key', 'price')}"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldspark.session import configure
+from foldspark.session import configure, release_held
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +17,7 @@ def query(name: str, sql: str | None = None):
 
     def register(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            release_held()
             return fn(configure(spark), folder)
 
         run.__name__, run.__doc__ = name, fn.__doc__

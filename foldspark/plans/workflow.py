@@ -11,7 +11,6 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from foldspark.operators.gram import Gram, grams
 from foldspark.operators.linear import LinearFit, solve
@@ -23,9 +22,7 @@ from foldspark.operators.metrics import (
 from foldspark.operators.models import LinearModel, ModelSpec, fit_model, outcome_vector
 from foldspark.operators.recipe import PreparedRecipe, Recipe
 from foldspark.operators.resample import ResampleSet, Split, testing, training
-from foldspark.session import spread
-
-DISK = StorageLevel.MEMORY_AND_DISK
+from foldspark.session import DISK, cached, spread
 
 
 @dataclass(frozen=True)
@@ -54,12 +51,9 @@ class Workflow:
 
     def fit(self, df: DataFrame) -> "FittedWorkflow":
         """Estimate the recipe, then the model, over one cached narrow frame."""
-        rows = spread(df.select(*self.columns)).persist(DISK)
-        try:
+        with cached(df.select(*self.columns)) as rows:
             prepared = self.recipe.prep(rows)
             return FittedWorkflow(self, prepared, fit_model(self.model, prepared, rows))
-        finally:
-            rows.unpersist()
 
     @property
     def columns(self) -> list[str]:
@@ -119,8 +113,7 @@ def workflow_set(preproc: dict[str, Recipe], models: dict[str, ModelSpec], cross
 def fit_set(workflows: dict[str, Workflow], df: DataFrame) -> dict[str, FittedWorkflow]:
     """Fit every workflow; all least-squares members share one pass over the rows."""
     wanted = list(dict.fromkeys(c for w in workflows.values() for c in w.columns))
-    rows = spread(df.select(*wanted)).persist(DISK)
-    try:
+    with cached(df.select(*wanted)) as rows:
         prepared = {n: w.recipe.prep(rows) for n, w in workflows.items()}
         linear = [n for n, w in workflows.items() if w.is_linear]
         models = {
@@ -137,8 +130,6 @@ def fit_set(workflows: dict[str, Workflow], df: DataFrame) -> dict[str, FittedWo
             )
             models |= {n: LinearModel(solve(found[n], prepared[n].terms)) for n in linear}
         return {n: FittedWorkflow(workflows[n], prepared[n], models[n]) for n in workflows}
-    finally:
-        rows.unpersist()
 
 
 # ---------------------------------------------------------------- resampled fitting

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.storagelevel import StorageLevel
+
+DISK = StorageLevel.MEMORY_AND_DISK
+_held: list[DataFrame] = []
 
 # Runtime SQL settings for skewed data. They are applied only where the session
 # has not chosen a value itself.
@@ -52,3 +57,26 @@ def spread(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     files = df.inputFiles()
     return df.repartition(cores) if 0 < len(files) < min(cores, 64) else df
+
+
+@contextmanager
+def cached(df: DataFrame):
+    """Keep a frame while several jobs read it. Lost blocks are recomputed."""
+    rows = spread(df).persist(DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """Keep an analysis table for the jobs of the running query."""
+    rows = spread(df).persist(DISK)
+    _held.append(rows)
+    return rows
+
+
+def release_held() -> None:
+    """Let go of the tables earlier queries kept."""
+    while _held:
+        _held.pop().unpersist()
