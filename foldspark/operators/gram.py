@@ -18,10 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foldspark.functions.constants import array_constant
-
 MAX_WIDTH = 2000
 _NARROW = 8
+_NARROW_CELLS = 300
 _SHIFT_ROWS = 64
 
 
@@ -33,6 +32,19 @@ class Gram:
     mean: np.ndarray
     cross: np.ndarray
 
+    def __add__(self, other: "Gram") -> "Gram":
+        """Two disjoint subsets together."""
+        n = self.n + other.n
+        if not n:
+            return self
+        gap = other.mean - self.mean
+        cross = self.cross + other.cross + (self.n * other.n / n) * np.outer(gap, gap)
+        return Gram(n, self.mean + gap * (other.n / n), cross)
+
+    def map(self, table: np.ndarray) -> "Gram":
+        """The same subset seen through a linear map of the columns."""
+        return Gram(self.n, self.mean @ table, table.T @ self.cross @ table)
+
     def __sub__(self, part: "Gram") -> "Gram":
         """The subset left when ``part`` is removed."""
         n = self.n - part.n
@@ -48,150 +60,172 @@ class Gram:
         return Gram(n, mean, cross)
 
 
-def _triangle(p: int) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(p) for j in range(i, p)]
+@dataclass(frozen=True)
+class Member:
+    """One design: its vector, the vector's length, and the subsets it is wanted for."""
+
+    vector: Column
+    width: int
+    subsets: tuple[str, ...]
 
 
 def grams(
-    df: DataFrame,
-    weights: dict[str, Column],
-    vectors: dict[str, Column],
-    width: dict[str, int],
-) -> dict[str, Gram]:
-    """Cross-products of ``vectors[id]`` over the rows with ``weights[id] > 0``.
-
-    Rows with a NULL in the vector are left out of that subset.
+    df: DataFrame, weights: dict[str, Column], members: dict[str, Member]
+) -> dict[tuple[str, str], Gram]:
+    """Cross-products of every member over the rows of each of its subsets.
+
+    ``weights`` gives the multiplicity of a row in every subset. All members and
+    subsets come from one pass over the rows, and a row crosses to Python once
+    however many subsets it is in. Rows with a NULL in a member's vector are left
+    out of that member.
     """
-    names = list(vectors)
-    widest = max(width.values())
+    widest = max(m.width for m in members.values())
     if widest > MAX_WIDTH:
         raise ValueError(f"a design of {widest} columns exceeds {MAX_WIDTH}")
-    entries = [
-        F.struct(
-            F.lit(i).alias("id"),
-            weights[name].cast("double").alias("w"),
-            F.when(weights[name] > 0, vectors[name]).alias("z"),
-        )
-        for i, name in enumerate(names)
-    ]
-    if len(entries) == 1:
-        rows = df.select(entries[0].alias("e")).select("e.id", "e.w", "e.z")
-    else:
-        rows = df.select(F.explode(F.array(*entries)).alias("e")).select("e.id", "e.w", "e.z")
-    rows = rows.where("w > 0")
-    shifts = _shifts(df, names, weights, vectors, width)
-    narrow = widest <= _NARROW
-    cells = _narrow_cells(rows, shifts, width, names) if narrow else _wide_cells(rows, shifts, width, names)
-
+    shifts = _shifts(df, members)
+    cells = sum(len(m.subsets) * (m.width + 1) * (m.width + 2) // 2 for m in members.values())
+    narrow = widest <= _NARROW and cells <= _NARROW_CELLS
+    found = (_narrow_sums if narrow else _wide_sums)(df, weights, members, shifts)
     result = {}
-    for i, name in enumerate(names):
-        p = width[name]
-        # augmented matrix of (1, z - shift)
-        full = np.zeros((p + 1, p + 1))
-        for (a, b), value in cells.get(i, {}).items():
-            full[a, b] = full[b, a] = value
+    for (name, subset), full in found.items():
         n = full[0, 0]
-        offset = full[0, 1:] / n if n else np.zeros(p)
+        offset = full[0, 1:] / n if n else np.zeros(len(full) - 1)
         cross = full[1:, 1:] - n * np.outer(offset, offset)
-        result[name] = Gram(n, shifts[i] + offset, cross)
+        result[name, subset] = Gram(n, shifts[name] + offset, cross)
     return result
 
 
-def _shifts(df, names, weights, vectors, width) -> dict[int, np.ndarray]:
-    """A reference point near the data for every subset.
+def gram(df: DataFrame, vector: Column, width: int) -> Gram:
+    """Cross-products of one vector over all rows."""
+    member = {"all": Member(vector, width, ("all",))}
+    return grams(df, {"all": F.lit(1)}, member)["all", "all"]
+
+
+def _shifts(df: DataFrame, members: dict[str, Member]) -> dict[str, np.ndarray]:
+    """A reference point near the data for every member.
 
     Cross-products about any point give the same centred result; a near one keeps
     its digits. A handful of rows is enough, since it cancels exactly.
     """
-    probe = df.limit(_SHIFT_ROWS).select(*[vectors[n].alias(f"v{i}") for i, n in enumerate(names)])
+    names = list(members)
+    probe = df.limit(_SHIFT_ROWS).select(*[members[n].vector.alias(f"v{i}") for i, n in enumerate(names)])
     seen = probe.collect()
     result = {}
     for i, name in enumerate(names):
         block = np.array(
             [[np.nan if v is None else v for v in row[i]] for row in seen if row[i] is not None],
             dtype=float,
-        ).reshape(-1, width[name])
+        ).reshape(-1, members[name].width)
         usable = np.isfinite(block)
         total = np.where(usable, block, 0.0).sum(axis=0)
-        result[i] = total / np.maximum(usable.sum(axis=0), 1)
+        result[name] = total / np.maximum(usable.sum(axis=0), 1)
     return result
 
 
-def _narrow_cells(rows, shifts, width, names) -> dict[int, dict[tuple[int, int], float]]:
-    p = max(width.values())
-    shift_of = array_constant(
-        [np.pad(shifts[i], (0, p - len(shifts[i]))).tolist() for i in range(len(names))],
-        "array<array<double>>",
-    )
-    shifted = rows.where(F.forall("z", lambda v: v.isNotNull())).select(
-        "id",
-        "w",
-        F.lit(1.0).alias("x0"),
-        *[
-            (F.get("z", F.lit(k)).cast("double") - F.get(F.get(shift_of, F.col("id")), F.lit(k))).alias(f"x{k + 1}")
-            for k in range(p)
-        ],
-    )
-    cells = _triangle(p + 1)
-    sums = [F.sum(F.col("w") * F.col(f"x{a}") * F.col(f"x{b}")).alias(f"c_{a}_{b}") for a, b in cells]
-    found = {}
-    for row in shifted.groupBy("id").agg(*sums).collect():
-        own = width[names[row["id"]]]
-        found[row["id"]] = {
-            (a, b): row[f"c_{a}_{b}"] for a, b in cells if a <= own and b <= own
-        }
-    return found
-
-
-def _wide_cells(rows, shifts, width, names) -> dict[int, dict[tuple[int, int], float]]:
-    widths = [width[n] for n in names]
-    partials = rows.select("id", "w", F.col("z").cast("array<double>").alias("z")).mapInArrow(
-        _partial_kernel(widths, shifts), "id int, cell int, value double"
+def _narrow_sums(df, weights, members, shifts) -> dict[tuple[str, str], np.ndarray]:
+    """Few columns: ordinary sums in generated code."""
+    subsets = list(weights)
+    columns = [weights[s].cast("double").alias(f"w{k}") for k, s in enumerate(subsets)]
+    sums = []
+    for i, (name, member) in enumerate(members.items()):
+        columns.append(F.when(F.forall(member.vector, lambda v: v.isNotNull()), member.vector).alias(f"v{i}"))
+    vectors = df.select(*columns)
+    scalars = [F.col(f"w{k}") for k in range(len(subsets))]
+    for i, (name, member) in enumerate(members.items()):
+        known = F.col(f"v{i}").isNotNull()
+        scalars.append(F.when(known, 1.0).alias(f"x{i}_0"))
+        scalars += [
+            (F.get(f"v{i}", F.lit(a)).cast("double") - float(shifts[name][a])).alias(f"x{i}_{a + 1}")
+            for a in range(member.width)
+        ]
+        for s in member.subsets:
+            k = subsets.index(s)
+            sums += [
+                F.sum(F.col(f"w{k}") * F.col(f"x{i}_{a}") * F.col(f"x{i}_{b}")).alias(f"c_{i}_{k}_{a}_{b}")
+                for a in range(member.width + 1)
+                for b in range(a, member.width + 1)
+            ]
+    row = vectors.select(*scalars).agg(*sums).first()
+    result = {}
+    for i, (name, member) in enumerate(members.items()):
+        for s in member.subsets:
+            k = subsets.index(s)
+            full = np.zeros((member.width + 1, member.width + 1))
+            for a in range(member.width + 1):
+                for b in range(a, member.width + 1):
+                    full[a, b] = full[b, a] = row[f"c_{i}_{k}_{a}_{b}"] or 0.0
+            result[name, s] = full
+    return result
+
+
+def _wide_sums(df, weights, members, shifts) -> dict[tuple[str, str], np.ndarray]:
+    """Wide designs: one partial matrix per task, then a sum per cell."""
+    subsets = list(weights)
+    names = list(members)
+    plan = [
+        (members[n].width, [subsets.index(s) for s in members[n].subsets], shifts[n]) for n in names
+    ]
+    wanted = F.array(*[weights[s].cast("double") for s in subsets])
+    columns = []
+    for i, n in enumerate(names):
+        used = [weights[s] > 0 for s in members[n].subsets]
+        anywhere = used[0]
+        for u in used[1:]:
+            anywhere = anywhere | u
+        # a design is evaluated only on rows that need it
+        columns.append(F.when(anywhere, members[n].vector.cast("array<double>")).alias(f"z{i}"))
+    partials = df.select(wanted.alias("w"), *columns).mapInArrow(
+        _partial_kernel(plan), "pair int, cell int, value double"
     )
-    summed = partials.groupBy("id", "cell").agg(F.sum("value").alias("value"))
-    table = summed.toArrow()
-    ids = table.column("id").to_numpy()
-    positions = table.column("cell").to_numpy()
+    table = partials.groupBy("pair", "cell").agg(F.sum("value").alias("value")).toArrow()
+    pair_of = table.column("pair").to_numpy()
+    cell_of = table.column("cell").to_numpy()
     values = table.column("value").to_numpy()
-    found: dict[int, dict[tuple[int, int], float]] = {}
-    for i, p in enumerate(widths):
+    result = {}
+    for i, n in enumerate(names):
+        p = members[n].width
         a, b = np.triu_indices(p + 1)
-        mine = ids == i
-        at = positions[mine]
-        found[i] = dict(zip(zip(a[at].tolist(), b[at].tolist()), values[mine].tolist()))
-    return found
+        for s in members[n].subsets:
+            mine = pair_of == i * len(subsets) + subsets.index(s)
+            full = np.zeros((p + 1, p + 1))
+            at = cell_of[mine]
+            full[a[at], b[at]] = values[mine]
+            full[b[at], a[at]] = values[mine]
+            result[n, s] = full
+    return result
 
 
-def _partial_kernel(widths: list[int], shifts: dict[int, np.ndarray]):
-    schema = pa.schema([("id", pa.int32()), ("cell", pa.int32()), ("value", pa.float64())])
+def _partial_kernel(plan: list[tuple[int, list[int], np.ndarray]]):
+    schema = pa.schema([("pair", pa.int32()), ("cell", pa.int32()), ("value", pa.float64())])
 
     def kernel(batches):
-        totals: dict[int, np.ndarray] = {}
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        subsets = 0
         for batch in batches:
-            ids = batch.column("id").to_numpy()
-            w = batch.column("w").to_numpy(zero_copy_only=False)
-            z = batch.column("z")
-            flat = z.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(np.array(z.value_lengths(), dtype=np.int64))
-            starts = np.concatenate([[0], ends[:-1]])
-            present = np.unique(ids)
-            for i in present:
-                mine = np.flatnonzero(ids == i)
-                p = widths[i]
-                if len(present) == 1:
-                    block = flat.reshape(-1, p) - shifts[i]
-                else:
-                    block = flat[starts[mine][:, None] + np.arange(p)[None, :]] - shifts[i]
+            rows = batch.num_rows
+            if not rows:
+                continue
+            w = batch.column("w").flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+            subsets = w.shape[1]
+            for i, (p, wanted, shift) in enumerate(plan):
+                column = batch.column(f"z{i}")
+                present = column.is_valid().to_numpy(zero_copy_only=False)
+                block = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, p) - shift
                 known = np.isfinite(block).all(axis=1)
-                block, weight = block[known], w[mine][known]
-                block = np.hstack([np.ones((len(block), 1)), block])
-                product = (block * weight[:, None]).T @ block
-                totals[i] = totals[i] + product if i in totals else product
-        for i, total in totals.items():
-            upper = total[np.triu_indices(widths[i] + 1)]
+                weight = w[present][known]
+                block = np.hstack([np.ones((int(known.sum()), 1)), block[known]])
+                for k in wanted:
+                    at = np.flatnonzero(weight[:, k] > 0)
+                    if not len(at):
+                        continue
+                    own = block if len(at) == len(block) else block[at]
+                    product = (own * weight[at, k][:, None]).T @ own
+                    totals[i, k] = totals[i, k] + product if (i, k) in totals else product
+        for (i, k), total in totals.items():
+            upper = total[np.triu_indices(plan[i][0] + 1)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(upper), i, dtype=np.int32)),
+                    pa.array(np.full(len(upper), i * subsets + k, dtype=np.int32)),
                     pa.array(np.arange(len(upper), dtype=np.int32)),
                     pa.array(upper),
                 ],

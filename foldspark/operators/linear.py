@@ -16,7 +16,7 @@ from foldspark.functions.distributions import (
     t_two_sided,
     t_two_sided_udf,
 )
-from foldspark.operators.gram import Gram, grams
+from foldspark.operators.gram import Gram, gram
 
 INTERCEPT = "(Intercept)"
 # share of a column's variation that must remain after the columns before it
@@ -101,21 +101,15 @@ class LinearFit:
         ]
         return spark.createDataFrame(rows, "term_1 string, term_2 string, covariance double")
 
-    def score(self, vector: Column) -> Column:
-        """Predicted value of a design vector (intercept excluded); NULL stays NULL."""
-        slopes = np.nan_to_num(self.estimate[1:])
-        return dot(vector, slopes) + F.lit(float(self.estimate[0]))
-
-    def interval(self, vector: Column, level: float = 0.95) -> tuple[Column, Column, Column]:
-        """Prediction and its interval for one new observation."""
-        fit = self.score(vector)
+    def interval(self, fit: Column, vector: Column, level: float = 0.95) -> tuple[Column, Column]:
+        """Bounds for one new observation with this prediction and design vector."""
         inverse = np.nan_to_num(self.unscaled)
         full = F.concat(F.array(F.lit(1.0)), vector)
         quadratic = dot_columns(full, F.transform(array_constant(inverse.tolist(), "array<array<double>>"), lambda row: dot_columns(row, full)))
         half = t_quantile(0.5 + level / 2.0, self.df_residual) * F.sqrt(
             F.lit(self.sigma2) * (F.lit(1.0) + quadratic)
         )
-        return fit, fit - half, fit + half
+        return fit - half, fit + half
 
 
 TIDY_SCHEMA = (
@@ -139,15 +133,15 @@ def dot(vector: Column, weights: np.ndarray) -> Column:
     return dot_columns(vector, array_constant([float(v) for v in weights]))
 
 
-def solve(gram: Gram, terms: list[str] | tuple[str, ...]) -> LinearFit:
-    """Least squares of the last column of the gram on the others, with intercept."""
+def solve(sums: Gram, terms: list[str] | tuple[str, ...]) -> LinearFit:
+    """Least squares of the last column on the others, with intercept."""
     p = len(terms)
-    sxx, sxy, syy = gram.cross[:p, :p], gram.cross[:p, p], gram.cross[p, p]
+    sxx, sxy, syy = sums.cross[:p, :p], sums.cross[:p, p], sums.cross[p, p]
     kept = independent_columns(sxx)
     scale = np.sqrt(np.diag(sxx)[kept])
     slopes = np.full(p, np.nan)
     unscaled = np.full((p + 1, p + 1), np.nan)
-    mean = gram.mean[:p]
+    mean = sums.mean[:p]
     rss = syy
     if kept:
         inverse = np.linalg.inv(sxx[np.ix_(kept, kept)] / np.outer(scale, scale))
@@ -157,15 +151,15 @@ def solve(gram: Gram, terms: list[str] | tuple[str, ...]) -> LinearFit:
         at = np.array(kept) + 1
         unscaled[np.ix_(at, at)] = inverse
         unscaled[0, at] = unscaled[at, 0] = -inverse @ mean[kept]
-        unscaled[0, 0] = 1.0 / gram.n + mean[kept] @ inverse @ mean[kept]
+        unscaled[0, 0] = 1.0 / sums.n + mean[kept] @ inverse @ mean[kept]
     else:
-        unscaled[0, 0] = 1.0 / gram.n if gram.n else np.nan
-    intercept = gram.mean[p] - np.nan_to_num(slopes) @ mean
+        unscaled[0, 0] = 1.0 / sums.n if sums.n else np.nan
+    intercept = sums.mean[p] - np.nan_to_num(slopes) @ mean
     return LinearFit(
         (INTERCEPT, *terms),
         np.concatenate([[intercept], slopes]),
         unscaled,
-        float(gram.n),
+        float(sums.n),
         len(kept) + 1,
         float(max(rss, 0.0)),
         float(syy),
@@ -175,8 +169,7 @@ def solve(gram: Gram, terms: list[str] | tuple[str, ...]) -> LinearFit:
 def fit_columns(df: DataFrame, outcome: str, predictors: list[str]) -> LinearFit:
     """The matrix interface: least squares on numeric columns as they are."""
     vector = F.array(*[F.col(c).cast("double") for c in [*predictors, outcome]])
-    gram = grams(df, {"all": F.lit(1)}, {"all": vector}, {"all": len(predictors) + 1})["all"]
-    return solve(gram, predictors)
+    return solve(gram(df, vector, len(predictors) + 1), predictors)
 
 
 def nested_f_test(spark: SparkSession, small: LinearFit, big: LinearFit) -> DataFrame:

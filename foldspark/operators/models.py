@@ -11,8 +11,8 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foldspark.functions.constants import text_constant
-from foldspark.operators.gram import MAX_WIDTH, grams
-from foldspark.operators.linear import LinearFit, dot, solve
+from foldspark.operators.gram import MAX_WIDTH, gram
+from foldspark.operators.linear import LinearFit, solve
 from foldspark.operators.logistic import fit_logistic
 from foldspark.operators.recipe import PreparedRecipe, _predictors
 from foldspark.session import cached
@@ -89,10 +89,8 @@ def multinom_reg() -> ModelSpec:
 # ---------------------------------------------------------------- fits
 
 def fit_linear(prepared: PreparedRecipe, df: DataFrame) -> LinearFit:
-    vector = outcome_vector(prepared)
     terms = prepared.terms
-    gram = grams(df, {"all": F.lit(1)}, {"all": vector}, {"all": len(terms) + 1})["all"]
-    return solve(gram, terms)
+    return solve(gram(df, outcome_vector(prepared), len(terms) + 1), terms)
 
 
 def outcome_vector(prepared: PreparedRecipe) -> Column:
@@ -108,12 +106,12 @@ class LinearModel:
     fit: LinearFit
 
     def predictions(self, prepared: PreparedRecipe, kind: str) -> dict[str, Column]:
-        design = prepared.design()
+        pred = prepared.score(self.fit.estimate)
         if kind == "numeric":
-            return {"pred": self.fit.score(design)}
+            return {"pred": pred}
         if kind == "pred_int":
-            middle, low, high = self.fit.interval(design)
-            return {"pred": middle, "pred_lower": low, "pred_upper": high}
+            low, high = self.fit.interval(pred, prepared.design())
+            return {"pred": pred, "pred_lower": low, "pred_upper": high}
         raise ValueError(f"a linear model has no predictions of type {kind}")
 
     def predict(self, prepared, df, kind):
@@ -132,8 +130,7 @@ class ClassModel:
     coefficients: np.ndarray  # one row per class after the first, intercept first
 
     def predictions(self, prepared: PreparedRecipe, kind: str) -> dict[str, Column]:
-        design = prepared.design()
-        scores = [F.lit(0.0)] + [dot(design, row[1:]) + F.lit(float(row[0])) for row in self.coefficients]
+        scores = [F.lit(0.0)] + [prepared.score(row) for row in self.coefficients]
         known = scores[1]
         top = F.greatest(*scores) if len(scores) > 1 else scores[0]
         shifted = [F.exp(s - top) for s in scores]

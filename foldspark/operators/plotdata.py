@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldspark.functions.distributions import normal_quantile_udf
-from foldspark.operators.gram import grams
+from foldspark.operators.gram import Member, grams
 from foldspark.operators.linear import INTERCEPT, simple_regression_by, solve
 from foldspark.operators.ordered import exact_quantiles, running_totals
 from foldspark.operators.splines import NaturalSpline, knot_probabilities
@@ -77,19 +77,15 @@ def smoother(df: DataFrame, x: str, y: str, deg_free: list[int], points: int = 1
     grid = sorted({p for k in deg_free for p in knot_probabilities(k)})
     found = dict(zip(grid, exact_quantiles(rows, "x", grid)["all"]))
     splines = {k: NaturalSpline([found[p] for p in knot_probabilities(k)]) for k in deg_free}
-    vectors = {
-        str(k): F.concat(s.column(F.col("x")), F.array(F.col("y"))) for k, s in splines.items()
+    members = {
+        str(k): Member(F.concat(s.column(F.col("x")), F.array(F.col("y"))), s.size + 1, ("all",))
+        for k, s in splines.items()
     }
-    fits = grams(
-        rows,
-        {n: F.lit(1) for n in vectors},
-        vectors,
-        {str(k): s.size + 1 for k, s in splines.items()},
-    )
+    sums = grams(rows, {"all": F.lit(1)}, members)
     at = np.linspace(found[0.0], found[1.0], points)
     out = []
     for k, spline in splines.items():
-        fit = solve(fits[str(k)], [f"ns_{i}" for i in range(spline.size)])
+        fit = solve(sums[str(k), "all"], [f"ns_{i}" for i in range(spline.size)])
         curve = spline.values(at) @ np.nan_to_num(fit.estimate[1:]) + fit.estimate[0]
         out += [(int(k), float(a), float(v)) for a, v in zip(at, curve)]
     return df.sparkSession.createDataFrame(out, "deg_free int, x double, y double")

@@ -16,8 +16,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foldspark.functions.constants import array_constant, text_constant
-from foldspark.operators.gram import MAX_WIDTH, grams
-from foldspark.operators.linear import dot_columns
+from foldspark.operators.gram import MAX_WIDTH, Gram, Member, grams
+from foldspark.operators.linear import dot, dot_columns
 from foldspark.operators.ordered import exact_quantiles
 from foldspark.operators.splines import NaturalSpline, knot_probabilities
 
@@ -27,6 +27,28 @@ OTHER = "other"
 Selector = Callable[["State"], list[str]]
 
 
+@dataclass(frozen=True)
+class Codes:
+    """A nominal column as a code all resamples share: 0 for a level outside ``levels``."""
+
+    levels: tuple[str, ...]
+    code: Column
+    names: tuple[str | None, ...]  # what this resample calls codes 0, 1, ...
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A block whose values are rows of a small table, times an optional factor.
+
+    The table belongs to one resample. Code and factor are shared, so every
+    resample's block is a linear map of the same 0/1 columns.
+    """
+
+    code: Column
+    table: np.ndarray  # one row per code; NaN where the level is unknown
+    factor: Column | None = None
+
+
 @dataclass(frozen=True)
 class Feature:
     """A feature: one scalar column, or a block of columns held as one array."""
@@ -35,7 +57,25 @@ class Feature:
     expr: Column
     kind: str  # numeric, nominal or block
     role: str = "predictor"
-    levels: tuple[str, ...] | None = None
+    codes: Codes | None = None
+    lookup: Lookup | None = None
+
+
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also inside array functions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _lookup_feature(columns: tuple[str, ...], lookup: Lookup, role: str) -> Feature:
+    """The block as an expression: one array access per row."""
+    rows = [[None if np.isnan(v) else v for v in row] for row in lookup.table.tolist()]
+    unknown = [None] * len(columns)
+    # an extra last row stands for a missing value
+    at = F.coalesce(lookup.code, F.lit(len(rows))).cast("int")
+    block = F.get(array_constant([*rows, unknown], "array<array<double>>"), at)
+    if lookup.factor is not None:
+        block = _bind(lookup.factor, lambda x: F.transform(block, lambda v: v * x))
+    return Feature(columns, block, "block", role, None, lookup)
 
 
 State = dict[str, Feature]
@@ -174,13 +214,20 @@ class Other(Step):
             for names in _same_expression(states, column):
                 feature = states[names[0]][column]
                 kept = self._kept(df, feature.expr, {n: weights[n] for n in names})
+                union = sorted({level for keep, _ in kept.values() for level in keep})
+                code = F.array_position(text_constant(union), feature.expr).cast("int")
+                made: dict[tuple, Feature] = {}
                 for name in names:
                     keep, pooled = kept[name]
-                    expr = F.when(F.array_contains(text_constant(keep), feature.expr), feature.expr).when(
-                        feature.expr.isNotNull(), F.lit(OTHER)
-                    )
-                    levels = tuple(keep) + ((OTHER,) if pooled and OTHER not in keep else ())
-                    states[name][column] = replace(feature, expr=expr, levels=levels)
+                    key = (tuple(keep), pooled)
+                    if key not in made:
+                        rest = OTHER if pooled else None
+                        called = (rest, *[v if v in keep else rest for v in union])
+                        expr = F.when(F.array_contains(text_constant(keep), feature.expr), feature.expr).when(
+                            feature.expr.isNotNull(), F.lit(OTHER)
+                        )
+                        made[key] = replace(feature, expr=expr, codes=Codes(tuple(union), code, called))
+                    states[name][column] = made[key]
                     learned[name][column] = keep
         return learned
 
@@ -224,31 +271,34 @@ class Dummy(Step):
         for column in _select(next(iter(states.values())), self.choice):
             for names in _same_expression(states, column):
                 first = states[names[0]][column]
-                if first.levels is not None:
-                    levels = {n: states[n][column].levels for n in names}
-                else:
+                if first.codes is None:
                     levels = self._levels(df, first.expr, {n: weights[n] for n in names})
+                    union = sorted({v for own in levels.values() for v in own})
+                    code = F.array_position(text_constant(union), first.expr).cast("int")
+                    coded = {
+                        n: Codes(tuple(union), code, (None, *[v if v in levels[n] else None for v in union]))
+                        for n in names
+                    }
+                else:
+                    coded = {n: states[n][column].codes for n in names}
                 built: dict[tuple, Feature] = {}
                 for name in names:
-                    own = tuple(levels[name])
-                    if own not in built:
-                        built[own] = self._block(column, first, own)
-                    states[name][column] = built[own]
-                    learned[name][column] = list(own)
+                    codes = coded[name]
+                    if codes.names not in built:
+                        built[codes.names] = self._block(column, first, codes)
+                    states[name][column] = built[codes.names]
+                    learned[name][column] = _ordered(codes)
         return learned
 
     @staticmethod
-    def _block(column: str, feature: Feature, levels: tuple[str, ...]) -> Feature:
-        shown = levels[1:]
+    def _block(column: str, feature: Feature, codes: Codes) -> Feature:
+        shown = _ordered(codes)[1:]
         # a level never seen in training has no dummy values
-        known = F.when(F.array_contains(text_constant(levels), feature.expr), feature.expr)
-        marks = F.transform(
-            text_constant(shown),
-            lambda v: (v == known).cast("double"),
-        )
-        return Feature(
-            tuple(f"{column}_{v}" for v in shown), marks, "block", feature.role, levels
-        )
+        table = np.array(
+            [[np.nan if name is None else float(name == v) for v in shown] for name in codes.names]
+        ).reshape(len(codes.names), len(shown))
+        made = tuple(f"{column}_{v}" for v in shown)
+        return _lookup_feature(made, Lookup(codes.code, table), feature.role)
 
     @staticmethod
     def _levels(df, expr, weights) -> dict[str, list[str]]:
@@ -267,6 +317,12 @@ class Dummy(Step):
         }
 
 
+def _ordered(codes: Codes) -> list[str]:
+    """Level names in alphabetical order, the pooled one last."""
+    names = {n for n in codes.names if n is not None}
+    return sorted(names - {OTHER}) + ([OTHER] if OTHER in names else [])
+
+
 @dataclass(frozen=True)
 class Interact(Step):
     """Products of every column of one selection with every column of another."""
@@ -275,15 +331,25 @@ class Interact(Step):
     name = "interact"
 
     def prepare(self, df, states, weights):
+        shared: dict[tuple, Column] = {}
         for state in states.values():
             for a in _select(state, self.choice):
                 others = [b for b in _select(state, self.right) if b != a]
                 if not others:
                     continue
-                left = _scalar(state, a).cast("double")
-                block = _scaled(_vector(state, others), left)
+                source = next(f for f in state.values() if a in f.columns)
+                marker = (id(source.expr), a)
+                factor = shared.setdefault(marker, _scalar(state, a).cast("double"))
                 made = tuple(f"{a}_x_{b}" for b in others)
-                state[f"{a}_x_{'+'.join(others)}"] = Feature(made, block, "block")
+                whole = next(
+                    (f for f in state.values() if list(f.columns) == others and f.lookup is not None), None
+                )
+                if whole is not None and whole.lookup.factor is None:
+                    lookup = replace(whole.lookup, factor=factor)
+                    feature = _lookup_feature(made, lookup, "predictor")
+                else:
+                    feature = Feature(made, _scaled(_vector(state, others), factor), "block")
+                state[f"{a}_x_{'+'.join(others)}"] = feature
         return {name: {} for name in states}
 
 
@@ -386,11 +452,11 @@ class Remove(Step):
 
 
 def _scaled(vector: Column, factor: Column) -> Column:
-    return F.transform(vector, lambda v: v * factor)
+    return _bind(factor, lambda x: F.transform(vector, lambda v: v * x))
 
 
 def _projected(loadings: Column, vector: Column) -> Column:
-    return F.transform(loadings, lambda row: dot_columns(row, vector))
+    return _bind(vector, lambda x: F.transform(loadings, lambda row: dot_columns(row, x)))
 
 
 def _drop(state: State, column: str) -> None:
@@ -398,7 +464,9 @@ def _drop(state: State, column: str) -> None:
         if column in feature.columns:
             if len(feature.columns) > 1:
                 left = [c for c in feature.columns if c != column]
-                state[key] = replace(feature, columns=tuple(left), expr=_vector(state, left))
+                state[key] = replace(
+                    feature, columns=tuple(left), expr=_vector(state, left), lookup=None
+                )
             else:
                 del state[key]
             return
@@ -416,12 +484,19 @@ def _rewrite(states, choice, change):
     return {name: {} for name in states}
 
 
-def _moments(df, states, weights, columns):
-    vectors = {n: _vector(s, columns[n]) for n, s in states.items()}
-    if len({tuple(id(f.expr) for f in s.values()) for s in states.values()}) == 1:
-        shared = next(iter(vectors.values()))
-        vectors = {n: shared for n in vectors}
-    return grams(df, weights, vectors, {n: len(c) for n, c in columns.items()})
+def _moments(df, states, weights, columns) -> dict[str, Gram]:
+    """Means and centred cross-products of some columns, for every resample."""
+    names = list(states)
+    sources = {n: [id(f.expr) for f in s.values() if set(f.columns) & set(columns[n])] for n, s in states.items()}
+    if all(sources[n] == sources[names[0]] for n in names):
+        member = Member(_vector(states[names[0]], columns[names[0]]), len(columns[names[0]]), tuple(names))
+        found = grams(df, weights, {"shared": member})
+        return {n: found["shared", n] for n in names}
+    members = {
+        n: Member(_vector(states[n], columns[n]), len(columns[n]), (n,)) for n in names
+    }
+    found = grams(df, weights, members)
+    return {n: found[n, n] for n in names}
 
 
 # ---------------------------------------------------------------- recipe
@@ -558,6 +633,53 @@ class PreparedRecipe:
             return F.array().cast("array<double>")
         return parts[0] if len(parts) == 1 else F.concat(*parts)
 
+    def score(self, estimate: np.ndarray) -> Column:
+        """Intercept plus the sum of coefficient times column; a missing value stays missing.
+
+        A block of dummies is scored by looking its coefficient up.
+        """
+        coefficients = np.nan_to_num(estimate[1:])
+        total, at = F.lit(float(estimate[0])), 0
+        for feature in _predictors(self.state):
+            own = coefficients[at : at + len(feature.columns)]
+            at += len(feature.columns)
+            if feature.lookup is not None:
+                values = feature.lookup.table @ own
+                if not len(own):  # a single level: only its presence matters
+                    continue
+                rows = [None if np.isnan(v) else float(v) for v in values]
+                part = F.get(array_constant(rows), feature.lookup.code)
+                if feature.lookup.factor is not None:
+                    part = part * feature.lookup.factor
+            elif feature.kind == "block":
+                part = dot(feature.expr, own)
+            else:
+                part = feature.expr.cast("double") * float(own[0])
+            total = total + part
+        return total
+
+    def base(self) -> list[tuple[tuple, Column, int, np.ndarray]]:
+        """Every feature as a linear map of columns that do not depend on the resample.
+
+        Each entry is (identity, base vector, its width, map). A feature bent by
+        numbers of its own resample, as a spline is, has an identity of its own.
+        """
+        entries = []
+        for feature in _predictors(self.state):
+            if feature.lookup is not None:
+                look = feature.lookup
+                codes = len(look.table)
+                full = _lookup_feature(
+                    tuple(str(i) for i in range(codes)), Lookup(look.code, np.eye(codes), look.factor), ""
+                )
+                identity = ("codes", id(look.code), id(look.factor))
+                entries.append((identity, full.expr, codes, np.nan_to_num(look.table)))
+            else:
+                width = len(feature.columns)
+                vector = feature.expr if feature.kind == "block" else F.array(feature.expr.cast("double"))
+                entries.append((("own", id(feature.expr)), vector, width, np.eye(width)))
+        return entries
+
     def bake(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """The table of engineered columns, plus the raw columns in ``keep``."""
         blocks = {k: f for k, f in self.state.items() if f.kind == "block"}

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from foldspark.functions.hashing import hash_bits, hash_index
 from foldspark.operators.ordered import exact_quantiles, hash_cuts, positions
-from foldspark.session import cached
+from foldspark.session import cached, spread
 
 _STRATA_BINS = 4
 _SMALL_STRATUM = 0.1
@@ -37,6 +37,16 @@ class ResampleSet:
     key: str
     resamples: dict[str, Resample]
     fold: Column | None = field(default=None)
+    assessed: Column | None = field(default=None)  # ids as an array, if cheaper than asking each
+
+    def assessed_in(self) -> Column:
+        """The ids of the resamples that assess a row."""
+        if self.assessed is not None:
+            return self.assessed
+        return F.filter(
+            F.array(*[F.when(r.assess, F.lit(n)) for n, r in self.resamples.items()]),
+            lambda v: v.isNotNull(),
+        )
 
     @property
     def ids(self) -> list[str]:
@@ -52,6 +62,12 @@ class ResampleSet:
     def assessment(self, resample_id: str) -> DataFrame:
         return self.df.where(self.resamples[resample_id].assess)
 
+    def assessment_membership(self) -> DataFrame:
+        """The assessment side of the membership table alone."""
+        return self.df.select(self.key, F.explode(self.assessed_in()).alias("id")).select(
+            self.key, "id", F.lit("assessment").alias("role"), F.lit(1).cast("long").alias("times")
+        )
+
     def membership(self) -> DataFrame:
         """Long table (key, id, role, times), from one narrow pass over the rows."""
         entries = []
@@ -197,7 +213,15 @@ def vfold_cv(
             inside = F.col(name) == number
             resamples[label] = Resample(F.when(inside, 0).otherwise(1), inside)
     fold = F.col("__fold_Repeat1") if repeats == 1 else None
-    return ResampleSet(df.withColumns(columns), key, resamples, fold)
+    width = len(_numbered("", v)[0])
+    labels = [
+        F.concat(
+            F.lit("Fold" if repeats == 1 else f"{run}_Fold"),
+            F.lpad(F.col(f"__fold_{run}").cast("string"), width, "0"),
+        )
+        for run in runs
+    ]
+    return ResampleSet(spread(df).withColumns(columns), key, resamples, fold, F.array(*labels))
 
 
 def mc_cv(
@@ -212,7 +236,7 @@ def mc_cv(
     resamples = {
         n: Resample(F.col(f"__in_{n}").cast("int"), ~F.col(f"__in_{n}")) for n in names
     }
-    return ResampleSet(df.withColumns(columns), key, resamples)
+    return ResampleSet(spread(df).withColumns(columns), key, resamples)
 
 
 def validation_split(df: DataFrame, key: str, prop: float = 0.75, seed: int = 0) -> ResampleSet:

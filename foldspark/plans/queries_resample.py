@@ -119,7 +119,7 @@ _REPEATS = " UNION ALL ".join(
 def repeated_vfold(spark, folder):
     """Assessment membership of all 50 resamples; the analysis side is its complement."""
     folds = vfold_cv(read_table(spark, "orders", folder), "o_orderkey", 10, repeats=5, seed=FOLD_SEED)
-    return folds.membership().where("role = 'assessment'")
+    return folds.assessment_membership()
 
 
 _MONTE_CARLO = " UNION ALL ".join(

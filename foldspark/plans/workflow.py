@@ -10,9 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from foldspark.operators.gram import Gram, grams
+from foldspark.operators.gram import Member, grams
 from foldspark.operators.linear import LinearFit, solve
 from foldspark.operators.metrics import (
     REGRESSION,
@@ -122,13 +123,11 @@ def fit_set(workflows: dict[str, Workflow], df: DataFrame) -> dict[str, FittedWo
             if not w.is_linear
         }
         if linear:
-            found = grams(
-                rows,
-                {n: F.lit(1) for n in linear},
-                {n: outcome_vector(prepared[n]) for n in linear},
-                {n: len(prepared[n].terms) + 1 for n in linear},
-            )
-            models |= {n: LinearModel(solve(found[n], prepared[n].terms)) for n in linear}
+            members = {
+                n: Member(outcome_vector(prepared[n]), len(prepared[n].terms) + 1, ("all",)) for n in linear
+            }
+            found = grams(rows, {"all": F.lit(1)}, members)
+            models |= {n: LinearModel(solve(found[n, "all"], prepared[n].terms)) for n in linear}
         return {n: FittedWorkflow(workflows[n], prepared[n], models[n]) for n in workflows}
 
 
@@ -194,83 +193,95 @@ def _narrow_frame(members: dict[str, Workflow], resamples: ResampleSet) -> DataF
 
 
 def _resample_linear(members, resamples: ResampleSet, metrics) -> ResampleResult:
-    rows = spread(_narrow_frame(members, resamples)).persist(DISK)
-    weights = {i: r.weight for i, r in resamples.resamples.items()}
-    assess = {i: r.assess for i, r in resamples.resamples.items()}
     ids = resamples.ids
-    prepared: dict[tuple[str, str], PreparedRecipe] = {}
-    fits: dict[tuple[str, str], LinearFit] = {}
-    try:
-        shared = {n: w for n, w in members.items() if not w.recipe.is_trained}
-        own = {n: w for n, w in members.items() if w.recipe.is_trained}
-        for n, w in shared.items():
-            once = w.recipe.prep(rows)
-            prepared |= {(n, i): once for i in ids}
-        for n, w in own.items():
-            prepared |= {(n, i): p for i, p in w.recipe.prep_resamples(rows, weights).items()}
-
-        by_fold = shared if resamples.fold is not None else {}
-        direct = [(n, i) for n in members for i in ids if n not in by_fold]
-        if by_fold:
-            fits |= _leave_fold_out(by_fold, prepared, rows, assess)
-        if direct:
-            names = {f"{n}|{i}": (n, i) for n, i in direct}
-            found = grams(
-                rows,
-                {k: weights[i] for k, (_, i) in names.items()},
-                {k: outcome_vector(prepared[pair]) for k, pair in names.items()},
-                {k: len(prepared[pair].terms) + 1 for k, pair in names.items()},
-            )
-            fits |= {pair: solve(found[k], prepared[pair].terms) for k, pair in names.items()}
-    finally:
-        rows.unpersist()
-
-    entries = [
-        F.struct(
-            F.lit(n).alias("wflow_id"),
-            F.lit(i).alias("id"),
-            F.col(members[n].recipe.outcome).cast("double").alias("truth"),
-            F.when(assess[i], fits[n, i].score(prepared[n, i].design())).alias("pred"),
-            assess[i].alias("hit"),
-        )
-        for n in members
-        for i in ids
+    weights = {i: r.weight for i, r in resamples.resamples.items()}
+    with cached(_narrow_frame(members, resamples)) as rows:
+        prepared: dict[tuple[str, str], PreparedRecipe] = {}
+        for n, w in members.items():
+            if w.recipe.is_trained:
+                own = w.recipe.prep_resamples(rows, weights)
+            else:
+                own = dict.fromkeys(ids, w.recipe.prep(rows))
+            prepared |= {(n, i): own[i] for i in ids}
+        fits = _linear_fits(rows, members, prepared, resamples, weights)
+
+    predictions = [
+        F.when(F.col("id") == i, prepared[n, i].score(fits[n, i].estimate)) for n in members for i in ids
     ]
-    scored = _narrow_frame(members, resamples).select(
-        resamples.key, F.explode(F.filter(F.array(*entries), lambda e: e["hit"])).alias("e")
-    )
-    predictions = scored.select("e.wflow_id", "e.id", resamples.key, "e.truth", "e.pred")
-    return ResampleResult(resamples.key, predictions, fits, metrics)
-
-
-def _leave_fold_out(members, prepared, rows, assess) -> dict[tuple[str, str], LinearFit]:
-    """Cross-products per fold; an analysis set is the total minus its fold."""
-    ids = list(assess)
-    names = {f"{n}|{i}": (n, i) for n in members for i in ids}
-    vectors = {n: outcome_vector(prepared[n, ids[0]]) for n in members}
-    parts = grams(
-        rows,
-        {k: assess[i].cast("int") for k, (_, i) in names.items()},
-        {k: vectors[n] for k, (n, _) in names.items()},
-        {k: len(prepared[pair].terms) + 1 for k, pair in names.items()},
+    scored = (
+        _narrow_frame(members, resamples)
+        .withColumn("id", F.explode(resamples.assessed_in()))
+        .select(
+            "id",
+            resamples.key,
+            F.explode(
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(n).alias("wflow_id"),
+                            F.col(w.recipe.outcome).cast("double").alias("truth"),
+                            F.coalesce(*predictions[k * len(ids) : (k + 1) * len(ids)]).alias("pred"),
+                        )
+                        for k, (n, w) in enumerate(members.items())
+                    ]
+                )
+            ).alias("e"),
+        )
+        .select("e.wflow_id", "id", resamples.key, "e.truth", "e.pred")
     )
+    return ResampleResult(resamples.key, scored, fits, metrics)
+
+
+def _linear_fits(rows, members, prepared, resamples, weights) -> dict[tuple[str, str], LinearFit]:
+    """All members over all resamples, from one pass over the rows.
+
+    A member whose resamples see linear maps of shared columns contributes one
+    vector: its levels may be pooled differently in every resample. If the
+    assessment sets partition the rows, the pass sums each fold once, and an
+    analysis set is the total minus its fold.
+    """
+    ids = resamples.ids
+    wanted: dict[str, Member] = {}
+    maps: dict[str, list] = {}
+    for n, w in members.items():
+        outcome = F.array(F.col(w.recipe.outcome).cast("double"))
+        bases = [prepared[n, i].base() for i in ids]
+        if all([e[0] for e in b] == [e[0] for e in bases[0]] for b in bases):
+            vector = F.concat(*[e[1] for e in bases[0]], outcome)
+            wanted[n] = Member(vector, sum(e[2] for e in bases[0]) + 1, tuple(ids))
+            maps[n] = [_block_map([e[3] for e in b]) for b in bases]
+        else:
+            for i in ids:
+                vector, width = outcome_vector(prepared[n, i]), len(prepared[n, i].terms) + 1
+                wanted[f"{n}|{i}"] = Member(vector, width, (i,))
+    folds = resamples.fold is not None and len(maps) == len(members)
+    if folds:
+        weights = {i: r.assess.cast("int") for i, r in resamples.resamples.items()}
+    found = grams(rows, weights, wanted)
     fits = {}
     for n in members:
-        own = {i: parts[f"{n}|{i}"] for i in ids}
-        total = reduce(_join, own.values())
-        for i in ids:
-            fits[n, i] = solve(total - own[i], prepared[n, i].terms)
+        if n in maps:
+            sums = {i: found[n, i] for i in ids}
+            if folds:
+                total = reduce(lambda a, b: a + b, sums.values())
+                sums = {i: total - sums[i] for i in ids}
+            for i, table in zip(ids, maps[n]):
+                fits[n, i] = solve(sums[i].map(table), prepared[n, i].terms)
+        else:
+            for i in ids:
+                fits[n, i] = solve(found[f"{n}|{i}", i], prepared[n, i].terms)
     return fits
 
 
-def _join(a: Gram, b: Gram) -> Gram:
-    """Cross-products of two disjoint subsets together."""
-    n = a.n + b.n
-    if not n:
-        return a
-    gap = b.mean - a.mean
-    mean = a.mean + gap * (b.n / n)
-    return Gram(n, mean, a.cross + b.cross + (a.n * b.n / n) * (gap[:, None] * gap[None, :]))
+def _block_map(tables: list) -> np.ndarray:
+    """Block-diagonal map from base columns to design columns, the outcome last."""
+    tables = [*tables, np.eye(1)]
+    whole = np.zeros((sum(t.shape[0] for t in tables), sum(t.shape[1] for t in tables)))
+    r = c = 0
+    for t in tables:
+        whole[r : r + t.shape[0], c : c + t.shape[1]] = t
+        r, c = r + t.shape[0], c + t.shape[1]
+    return whole
 
 
 def _resample_others(members, resamples: ResampleSet, metrics) -> ResampleResult:
