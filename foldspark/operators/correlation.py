@@ -15,7 +15,9 @@ def pair_stats(a: Column, b: Column) -> Column:
     x, y = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
     spread = F.sqrt(F.var_pop(x) * F.var_pop(y))
     r = F.when(spread > 0, F.try_divide(F.covar_pop(x, y), spread))
-    return F.struct(F.count(x).alias("n"), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)).alias("r"))
+    # greatest and least skip missing values, so the bound must not see one
+    bounded = F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+    return F.struct(F.count(x).alias("n"), bounded.alias("r"))
 
 
 def _test(n: Column, r: Column, level: float) -> list[Column]:

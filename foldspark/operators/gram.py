@@ -12,16 +12,18 @@ data-sized meets in one task.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MAX_WIDTH = 2000
 _NARROW = 8
 _NARROW_CELLS = 300
 _SHIFT_ROWS = 64
+_BATCH_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -177,7 +179,9 @@ def _wide_sums(df, weights, members, shifts) -> dict[tuple[str, str], np.ndarray
     partials = df.select(wanted.alias("w"), *columns).mapInArrow(
         _partial_kernel(plan), "pair int, cell int, value double"
     )
-    table = partials.groupBy("pair", "cell").agg(F.sum("value").alias("value")).toArrow()
+    row_bytes = 8 * (len(subsets) + sum(m.width for m in members.values()))
+    with _batch_rows(df.sparkSession, max(64, _BATCH_BYTES // row_bytes)):
+        table = partials.groupBy("pair", "cell").agg(F.sum("value").alias("value")).toArrow()
     pair_of = table.column("pair").to_numpy()
     cell_of = table.column("cell").to_numpy()
     values = table.column("value").to_numpy()
@@ -195,6 +199,18 @@ def _wide_sums(df, weights, members, shifts) -> dict[tuple[str, str], np.ndarray
     return result
 
 
+@contextmanager
+def _batch_rows(spark: SparkSession, rows: int):
+    """Keep Arrow batches of wide rows small while one job runs."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before) if int(before) > 0 else rows, rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _partial_kernel(plan: list[tuple[int, list[int], np.ndarray]]):
     schema = pa.schema([("pair", pa.int32()), ("cell", pa.int32()), ("value", pa.float64())])
 

@@ -206,11 +206,14 @@ def simple_regression_by(df: DataFrame, by: list[str], y: str, x: str) -> DataFr
         F.regr_sxy(yd, xd).alias("sxy"),
         F.avg(yd).alias("y_mean"),
     )
+    # a constant predictor has no slope and takes no degree of freedom
     slope = F.try_divide("sxy", "sxx")
-    solved = sums.withColumn("slope", slope).withColumn(
-        "mse", F.try_divide(F.greatest(F.col("syy") - F.col("slope") * F.col("sxy"), F.lit(0.0)), F.col("n") - 2)
-    )
-    intercept_se = F.sqrt(F.col("mse") * (F.try_divide(F.lit(1.0), "n") + F.try_divide(F.col("x_mean") ** 2, F.col("sxx"))))
+    explained = F.coalesce(F.col("slope") * F.col("sxy"), F.lit(0.0))
+    free = F.col("n") - F.when(F.col("slope").isNull(), 1).otherwise(2)
+    rest = F.greatest(F.col("syy") - explained, F.lit(0.0))
+    solved = sums.withColumn("slope", slope).withColumn("mse", F.when(free > 0, rest / free))
+    reach = F.coalesce(F.try_divide(F.col("x_mean") ** 2, F.col("sxx")), F.lit(0.0))
+    intercept_se = F.sqrt(F.col("mse") * (F.lit(1.0) / F.col("n") + reach))
     rows = F.array(
         _term(INTERCEPT, F.col("y_mean") - F.coalesce("slope", F.lit(0.0)) * F.col("x_mean"), intercept_se),
         _term(x, F.col("slope"), F.sqrt(F.try_divide("mse", "sxx"))),

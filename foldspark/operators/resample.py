@@ -64,21 +64,23 @@ class ResampleSet:
 
     def assessment_membership(self) -> DataFrame:
         """The assessment side of the membership table alone."""
-        return self.df.select(self.key, F.explode(self.assessed_in()).alias("id")).select(
-            self.key, "id", F.lit("assessment").alias("role"), F.lit(1).cast("long").alias("times")
+        sides = self.df.select(F.col(self.key).alias("row"), F.explode(self.assessed_in()).alias("id"))
+        return sides.select(
+            "row", "id", F.lit("assessment").alias("role"), F.lit(1).cast("long").alias("times")
         )
 
     def membership(self) -> DataFrame:
-        """Long table (key, id, role, times), from one narrow pass over the rows."""
+        """Long table (row, id, role, times), from one narrow pass over the rows."""
         entries = []
         for name, sample in self.resamples.items():
             weight = sample.weight.cast("long")
             entries.append(_entry(name, "analysis", weight))
             entries.append(_entry(name, "assessment", sample.assess.cast("long")))
         return (
-            self.df.select(self.key, F.explode(F.array(*entries)).alias("m"))
-            .select(self.key, "m.id", "m.role", "m.times")
-            .where("times > 0")
+            self.df.select(
+                F.col(self.key).alias("row"),
+                F.explode(F.filter(F.array(*entries), lambda e: e["times"] > 0)).alias("m"),
+            ).select("row", "m.id", "m.role", "m.times")
         )
 
     def sizes(self) -> DataFrame:
@@ -93,9 +95,10 @@ def _entry(name: str, role: str, times: Column) -> Column:
 # ---------------------------------------------------------------- strata
 
 def quantile_bin(value: Column, breaks: list[float]) -> Column:
-    """The number of breaks below the value, as text (``1`` is the lowest bin)."""
+    """The quantile bin of a value as text, ``1`` being the lowest."""
     over = [F.when(value > b, 1).otherwise(0) for b in breaks]
-    return (reduce(lambda a, b: a + b, over, F.lit(0)) + 1).cast("string")
+    bin_number = reduce(lambda a, b: a + b, over, F.lit(1))
+    return F.when(value.isNotNull(), bin_number.cast("string"))
 
 
 def strata_column(df: DataFrame, strata: str | None, bins: int = _STRATA_BINS) -> Column | None:

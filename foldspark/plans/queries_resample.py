@@ -114,7 +114,7 @@ _REPEATS = " UNION ALL ".join(
 
 @query(
     "r5_repeated_vfold",
-    f"WITH m AS ({_REPEATS}) SELECT repeat || '_Fold' || lpad(CAST(fold AS VARCHAR), 2, '0') AS id, o_orderkey, 'assessment' AS role, CAST(1 AS BIGINT) AS times FROM m",
+    f"WITH m AS ({_REPEATS}) SELECT repeat || '_Fold' || lpad(CAST(fold AS VARCHAR), 2, '0') AS id, o_orderkey AS \"row\", 'assessment' AS role, CAST(1 AS BIGINT) AS times FROM m",
 )
 def repeated_vfold(spark, folder):
     """Assessment membership of all 50 resamples; the analysis side is its complement."""
@@ -135,13 +135,13 @@ _MONTE_CARLO = " UNION ALL ".join(
 def monte_carlo(spark, folder):
     resamples = mc_cv(read_table(spark, "orders", folder), "o_orderkey", 0.9, times=20, seed=7)
     return resamples.membership().groupBy("id", "role").agg(
-        F.sum("times").alias("n"), F.round(F.avg("o_orderkey"), 4).alias("mean_key")
+        F.sum("times").alias("n"), F.round(F.avg("row"), 4).alias("mean_key")
     )
 
 
 @query(
     "r7_validation_split",
-    f"WITH {split_sql('orders', 'o_orderkey', 0.75, 1002)} SELECT o_orderkey, 'validation' AS id, CASE WHEN in_train THEN 'analysis' ELSE 'assessment' END AS role, CAST(1 AS BIGINT) AS times FROM split",
+    f"WITH {split_sql('orders', 'o_orderkey', 0.75, 1002)} SELECT o_orderkey AS \"row\", 'validation' AS id, CASE WHEN in_train THEN 'analysis' ELSE 'assessment' END AS role, CAST(1 AS BIGINT) AS times FROM split",
 )
 def single_validation(spark, folder):
     return validation_split(read_table(spark, "orders", folder), "o_orderkey", 0.75, seed=1002).membership()
@@ -159,7 +159,7 @@ _DRAWS = " UNION ALL ".join(
     f"draws AS ({_DRAWS}), placed AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS position FROM orders), "
     "times AS (SELECT id, position, count(*) AS times FROM draws GROUP BY 1, 2), "
     "ids AS (SELECT DISTINCT id FROM draws) "
-    "SELECT i.id, p.o_orderkey, CASE WHEN t.times IS NULL THEN 'assessment' ELSE 'analysis' END AS role, CAST(coalesce(t.times, 1) AS BIGINT) AS times "
+    "SELECT i.id, p.o_orderkey AS \"row\", CASE WHEN t.times IS NULL THEN 'assessment' ELSE 'analysis' END AS role, CAST(coalesce(t.times, 1) AS BIGINT) AS times "
     "FROM placed p CROSS JOIN ids i LEFT JOIN times t ON t.id = i.id AND t.position = p.position",
 )
 def bootstrap_sets(spark, folder):

@@ -211,12 +211,12 @@ def summarized_metrics(spark, folder):
 
 @query(
     "k10_collect_predictions",
-    f"{_FOLDS},\n{_area_sql()} SELECT id, sale_key, round(t, 6) + 0.0 AS truth, round(e, 6) + 0.0 AS pred FROM area_p",
+    f"{_FOLDS},\n{_area_sql()} SELECT id, sale_key AS \"row\", round(t, 6) + 0.0 AS truth, round(e, 6) + 0.0 AS pred FROM area_p",
 )
 def out_of_fold(spark, folder):
     folds = sales_folds(spark, folder)
     result = fit_resamples({"area_lm": Workflow(_recipes(folds.df)[0], linear_reg())}, folds)
-    return rounded(result.predictions.select("id", "sale_key", "truth", "pred"))
+    return rounded(result.predictions.select("id", "row", "truth", "pred"))
 
 
 @query(
@@ -292,7 +292,7 @@ def worst_rows(spark, folder):
     """The two largest out-of-fold residuals, with their source rows."""
     folds = sales_folds(spark, folder)
     result = fit_resamples({"area_lm": Workflow(_recipes(folds.df)[0], linear_reg())}, folds)
-    scored = residuals(result.predictions, "truth").select("sale_key", "residual")
+    scored = residuals(result.predictions, "truth").select(F.col("row").alias("sale_key"), "residual")
     # an ordering key at fixed precision keeps near ties in key order
     worst = scored.orderBy(F.abs(F.round("residual", 9)).desc(), "sale_key").limit(2)
     # two rows by construction of the limit

@@ -135,9 +135,11 @@ def fit_set(workflows: dict[str, Workflow], df: DataFrame) -> dict[str, FittedWo
 
 @dataclass(frozen=True)
 class ResampleResult:
-    """Out-of-sample predictions (wflow_id, id, key, truth, pred) and fits."""
+    """Out-of-sample predictions (wflow_id, id, row, truth, pred) and fits.
+
+    ``row`` holds the row key.
+    """
 
-    key: str
     predictions: DataFrame
     fits: dict[tuple[str, str], LinearFit]
     metrics: tuple[str, ...] = REGRESSION
@@ -206,14 +208,14 @@ def _resample_linear(members, resamples: ResampleSet, metrics) -> ResampleResult
         fits = _linear_fits(rows, members, prepared, resamples, weights)
 
     predictions = [
-        F.when(F.col("id") == i, prepared[n, i].score(fits[n, i].estimate)) for n in members for i in ids
+        F.when(F.col("__id") == i, prepared[n, i].score(fits[n, i].estimate)) for n in members for i in ids
     ]
     scored = (
         _narrow_frame(members, resamples)
-        .withColumn("id", F.explode(resamples.assessed_in()))
+        .withColumn("__id", F.explode(resamples.assessed_in()))
         .select(
-            "id",
-            resamples.key,
+            F.col("__id").alias("id"),
+            F.col(resamples.key).alias("row"),
             F.explode(
                 F.array(
                     *[
@@ -227,9 +229,9 @@ def _resample_linear(members, resamples: ResampleSet, metrics) -> ResampleResult
                 )
             ).alias("e"),
         )
-        .select("e.wflow_id", "id", resamples.key, "e.truth", "e.pred")
+        .select("e.wflow_id", "id", "row", "e.truth", "e.pred")
     )
-    return ResampleResult(resamples.key, scored, fits, metrics)
+    return ResampleResult(scored, fits, metrics)
 
 
 def _linear_fits(rows, members, prepared, resamples, weights) -> dict[tuple[str, str], LinearFit]:
@@ -296,14 +298,14 @@ def _resample_others(members, resamples: ResampleSet, metrics) -> ResampleResult
                 scored.select(
                     F.lit(n).alias("wflow_id"),
                     F.lit(i).alias("id"),
-                    resamples.key,
+                    F.col(resamples.key).alias("row"),
                     F.col(w.recipe.outcome).cast("double").alias("truth"),
                     "pred",
                 )
             )
     cached.df.unpersist()
     predictions = reduce(lambda a, b: a.unionByName(b), frames)
-    return ResampleResult(resamples.key, predictions, {}, metrics)
+    return ResampleResult(predictions, {}, metrics)
 
 
 def rank_workflows(metrics: DataFrame, metric: str, higher_is_better: bool) -> DataFrame:
