@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from foldspark.operators.splines import NaturalSpline
+
 MAX_WIDTH = 2000
 _NARROW = 8
 _NARROW_CELLS = 300
@@ -64,11 +66,33 @@ class Gram:
 
 @dataclass(frozen=True)
 class Member:
-    """One design: its vector, the vector's length, and the subsets it is wanted for."""
+    """One design: its vector, the vector's length, and the subsets it is wanted for.
+
+    ``curves`` names, per subset, vector positions to be replaced by a spline basis
+    inside the kernel. The expanded columns follow the plain ones, so only the raw
+    number has to cross to Python, however many bases are evaluated on it.
+    """
 
     vector: Column
     width: int
     subsets: tuple[str, ...]
+    curves: dict[str, tuple[tuple[int, NaturalSpline], ...]] | None = None
+
+    def splines(self, subset: str) -> tuple[tuple[int, NaturalSpline], ...]:
+        return (self.curves or {}).get(subset, ())
+
+    def plain(self, subset: str) -> list[int]:
+        bent = {at for at, _ in self.splines(subset)}
+        return [i for i in range(self.width) if i not in bent]
+
+    def size(self, subset: str) -> int:
+        """Columns of the cross-products of a subset."""
+        return len(self.plain(subset)) + sum(s.size for _, s in self.splines(subset))
+
+    def origin(self, subset: str, shift: np.ndarray) -> np.ndarray:
+        """The reference point of a subset; a spline basis needs none."""
+        plain = shift[self.plain(subset)]
+        return np.concatenate([plain, np.zeros(self.size(subset) - len(plain))])
 
 
 def grams(
@@ -81,19 +105,20 @@ def grams(
     however many subsets it is in. Rows with a NULL in a member's vector are left
     out of that member.
     """
-    widest = max(m.width for m in members.values())
+    widest = max(m.size(s) for m in members.values() for s in m.subsets)
     if widest > MAX_WIDTH:
         raise ValueError(f"a design of {widest} columns exceeds {MAX_WIDTH}")
     shifts = _shifts(df, members)
     cells = sum(len(m.subsets) * (m.width + 1) * (m.width + 2) // 2 for m in members.values())
-    narrow = widest <= _NARROW and cells <= _NARROW_CELLS
+    bent = any(m.curves for m in members.values())
+    narrow = widest <= _NARROW and cells <= _NARROW_CELLS and not bent
     found = (_narrow_sums if narrow else _wide_sums)(df, weights, members, shifts)
     result = {}
     for (name, subset), full in found.items():
         n = full[0, 0]
         offset = full[0, 1:] / n if n else np.zeros(len(full) - 1)
         cross = full[1:, 1:] - n * np.outer(offset, offset)
-        result[name, subset] = Gram(n, shifts[name] + offset, cross)
+        result[name, subset] = Gram(n, members[name].origin(subset, shifts[name]) + offset, cross)
     return result
 
 
@@ -165,7 +190,15 @@ def _wide_sums(df, weights, members, shifts) -> dict[tuple[str, str], np.ndarray
     subsets = list(weights)
     names = list(members)
     plan = [
-        (members[n].width, [subsets.index(s) for s in members[n].subsets], shifts[n]) for n in names
+        (
+            members[n].width,
+            [
+                (subsets.index(s), members[n].plain(s), members[n].splines(s))
+                for s in members[n].subsets
+            ],
+            shifts[n],
+        )
+        for n in names
     ]
     wanted = F.array(*[weights[s].cast("double") for s in subsets])
     columns = []
@@ -187,9 +220,9 @@ def _wide_sums(df, weights, members, shifts) -> dict[tuple[str, str], np.ndarray
     values = table.column("value").to_numpy()
     result = {}
     for i, n in enumerate(names):
-        p = members[n].width
-        a, b = np.triu_indices(p + 1)
         for s in members[n].subsets:
+            p = members[n].size(s)
+            a, b = np.triu_indices(p + 1)
             mine = pair_of == i * len(subsets) + subsets.index(s)
             full = np.zeros((p + 1, p + 1))
             at = cell_of[mine]
@@ -211,7 +244,8 @@ def _batch_rows(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
-def _partial_kernel(plan: list[tuple[int, list[int], np.ndarray]]):
+def _partial_kernel(plan):
+    """``plan`` lists, per member, its width, its subsets with their layout, and its shift."""
     schema = pa.schema([("pair", pa.int32()), ("cell", pa.int32()), ("value", pa.float64())])
 
     def kernel(batches):
@@ -226,19 +260,22 @@ def _partial_kernel(plan: list[tuple[int, list[int], np.ndarray]]):
             for i, (p, wanted, shift) in enumerate(plan):
                 column = batch.column(f"z{i}")
                 present = column.is_valid().to_numpy(zero_copy_only=False)
-                block = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, p) - shift
-                known = np.isfinite(block).all(axis=1)
-                weight = w[present][known]
-                block = np.hstack([np.ones((int(known.sum()), 1)), block[known]])
-                for k in wanted:
+                raw = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+                known = np.isfinite(raw).all(axis=1)
+                raw, weight = raw[known], w[present][known]
+                ones = np.ones((len(raw), 1))
+                shifted = raw - shift
+                for k, plain, splines in wanted:
                     at = np.flatnonzero(weight[:, k] > 0)
                     if not len(at):
                         continue
-                    own = block if len(at) == len(block) else block[at]
+                    parts = [ones[at], shifted[at][:, plain]]
+                    parts += [spline.values(raw[at, c]) for c, spline in splines]
+                    own = np.hstack(parts)
                     product = (own * weight[at, k][:, None]).T @ own
                     totals[i, k] = totals[i, k] + product if (i, k) in totals else product
         for (i, k), total in totals.items():
-            upper = total[np.triu_indices(plan[i][0] + 1)]
+            upper = total[np.triu_indices(len(total))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(upper), i * subsets + k, dtype=np.int32)),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 REGRESSION = ("rmse", "rsq", "mae")
 CLASSIFICATION = ("accuracy", "mcc", "f_meas")
@@ -192,9 +192,9 @@ def sensitivity_by_hand(df: DataFrame, truth: str, estimate: str) -> DataFrame:
 
 
 def share_of_total(counts: DataFrame, column: str, name: str) -> DataFrame:
-    """Each row's share of the column total; ``counts`` is an aggregated table."""
-    everything = Window.partitionBy(F.lit(0))
-    return counts.withColumn(name, F.try_divide(F.col(column).cast("double"), F.sum(column).over(everything)))
+    """Each row's share of the column total, the total being a scalar subquery."""
+    total = counts.agg(F.sum(column).cast("double")).scalar()
+    return counts.withColumn(name, F.try_divide(F.col(column).cast("double"), total))
 
 
 def performance_report(

@@ -11,7 +11,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foldspark.functions.constants import text_constant
-from foldspark.operators.gram import MAX_WIDTH, gram
+from foldspark.operators.gram import MAX_WIDTH, Member, grams
 from foldspark.operators.linear import LinearFit, solve
 from foldspark.operators.logistic import fit_logistic
 from foldspark.operators.recipe import PreparedRecipe, _predictors
@@ -88,9 +88,60 @@ def multinom_reg() -> ModelSpec:
 
 # ---------------------------------------------------------------- fits
 
+@dataclass(frozen=True)
+class Layout:
+    """How one resample sees a shared vector: its splines, and the map to its design."""
+
+    width: int
+    curves: tuple[tuple[int, object], ...]
+    table: np.ndarray
+
+    @classmethod
+    def of(cls, base) -> "Layout":
+        at, curves, plain = 0, [], 0
+        for _, _, width, change in base:
+            if isinstance(change, np.ndarray):
+                plain += width
+            else:
+                curves.append((at, change))
+            at += width
+        # summed columns: plain ones, the outcome, then every spline's terms
+        terms = sum(c.shape[1] if isinstance(c, np.ndarray) else c.size for _, _, _, c in base)
+        table = np.zeros((plain + 1 + sum(s.size for _, s in curves), terms + 1))
+        table[plain, terms] = 1.0
+        row, bent, column = 0, plain + 1, 0
+        for _, _, width, change in base:
+            if isinstance(change, np.ndarray):
+                table[row : row + width, column : column + change.shape[1]] = change
+                row, column = row + width, column + change.shape[1]
+            else:
+                table[bent : bent + change.size, column : column + change.size] = np.eye(change.size)
+                bent, column = bent + change.size, column + change.size
+        return cls(at + 1, tuple(curves), table)
+
+
+def shared_vector(base, outcome: str) -> Column:
+    """The columns a layout refers to, the outcome last."""
+    return F.concat(*[e[1] for e in base], F.array(F.col(outcome).cast("double")))
+
+
 def fit_linear(prepared: PreparedRecipe, df: DataFrame) -> LinearFit:
-    terms = prepared.terms
-    return solve(gram(df, outcome_vector(prepared), len(terms) + 1), terms)
+    return fit_linear_set({"all": prepared}, df)["all"]
+
+
+def fit_linear_set(prepared: dict[str, PreparedRecipe], df: DataFrame) -> dict[str, LinearFit]:
+    """Least squares of several prepared recipes from one pass over the rows."""
+    members, layouts = {}, {}
+    for name, one in prepared.items():
+        base = one.base()
+        layouts[name] = Layout.of(base)
+        curves = {"all": layouts[name].curves} if layouts[name].curves else None
+        vector = shared_vector(base, one.recipe.outcome)
+        members[name] = Member(vector, layouts[name].width, ("all",), curves)
+    found = grams(df, {"all": F.lit(1)}, members)
+    return {
+        n: solve(found[n, "all"].map(layouts[n].table), one.terms) for n, one in prepared.items()
+    }
 
 
 def outcome_vector(prepared: PreparedRecipe) -> Column:

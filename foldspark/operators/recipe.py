@@ -59,6 +59,7 @@ class Feature:
     role: str = "predictor"
     codes: Codes | None = None
     lookup: Lookup | None = None
+    curve: tuple[Column, NaturalSpline] | None = None
 
 
 def _bind(value: Column, body) -> Column:
@@ -377,7 +378,11 @@ class Spline(Step):
                     width = len(str(spline.size))
                     made = tuple(f"{column}_ns_{i:0{width}d}" for i in range(1, spline.size + 1))
                     states[name][column] = Feature(
-                        made, spline.column(feature.expr), "block", feature.role
+                        made,
+                        spline.column(feature.expr),
+                        "block",
+                        feature.role,
+                        curve=(feature.expr, spline),
                     )
                     learned[name][column] = quantiles[name]
         return learned
@@ -465,7 +470,7 @@ def _drop(state: State, column: str) -> None:
             if len(feature.columns) > 1:
                 left = [c for c in feature.columns if c != column]
                 state[key] = replace(
-                    feature, columns=tuple(left), expr=_vector(state, left), lookup=None
+                    feature, columns=tuple(left), expr=_vector(state, left), lookup=None, curve=None
                 )
             else:
                 del state[key]
@@ -658,11 +663,12 @@ class PreparedRecipe:
             total = total + part
         return total
 
-    def base(self) -> list[tuple[tuple, Column, int, np.ndarray]]:
-        """Every feature as a linear map of columns that do not depend on the resample.
+    def base(self) -> list[tuple[tuple, Column, int, np.ndarray | NaturalSpline]]:
+        """Every feature over columns that do not depend on the resample.
 
-        Each entry is (identity, base vector, its width, map). A feature bent by
-        numbers of its own resample, as a spline is, has an identity of its own.
+        Each entry is (identity, base vector, its width, change), the change being a
+        linear map or a spline of a single number. Resamples whose identities are
+        equal can share the base vectors.
         """
         entries = []
         for feature in _predictors(self.state):
@@ -674,6 +680,9 @@ class PreparedRecipe:
                 )
                 identity = ("codes", id(look.code), id(look.factor))
                 entries.append((identity, full.expr, codes, np.nan_to_num(look.table)))
+            elif feature.curve is not None:
+                x, spline = feature.curve
+                entries.append((("curve", id(x)), F.array(x.cast("double")), 1, spline))
             else:
                 width = len(feature.columns)
                 vector = feature.expr if feature.kind == "block" else F.array(feature.expr.cast("double"))

@@ -165,7 +165,7 @@ def initial_split(
 ) -> Split:
     """floor(n * prop) training rows in every stratum."""
     bits = hash_bits(seed, key)
-    with cached(df.select(key, *([strata] if strata else []))) as narrow:
+    with cached(df, [key, *([strata] if strata else [])]) as narrow:
         stratum = strata_column(narrow, strata)
         cuts = hash_cuts(narrow, {"train": bits}, _part(prop), stratum)["train"]
     return Split(df, key, bits <= _cut_literal(cuts, stratum, 0))
@@ -204,7 +204,7 @@ def vfold_cv(
     Fold numbers are attached as columns, so a row's hash is computed once.
     """
     runs = {f"Repeat{r}": hash_bits(seed if r == 1 else f"{seed}.{r}", key) for r in range(1, repeats + 1)}
-    with cached(df.select(key)) as narrow:
+    with cached(df, [key]) as narrow:
         cuts = hash_cuts(narrow, runs, _fold_ranks(v))
     resamples: dict[str, Resample] = {}
     columns = {}
@@ -233,7 +233,7 @@ def mc_cv(
     """Independent random splits."""
     names = _numbered("Resample", times)
     bits = {name: hash_bits(f"{seed}.{i}", key) for i, name in enumerate(names, start=1)}
-    with cached(df.select(key)) as narrow:
+    with cached(df, [key]) as narrow:
         cuts = hash_cuts(narrow, bits, _part(prop))
     columns = {f"__in_{n}": bits[n] <= _cut_literal(cuts[n], None, 0) for n in names}
     resamples = {

@@ -84,7 +84,7 @@ _SALES_TRAIN = f"WITH {SALES_SPLIT_SQL},\ntrain AS (SELECT * FROM split WHERE in
 )
 def least_squares(spark, folder):
     """A number and a two-level factor."""
-    rows = students(spark, folder).select("gpa", "age", "sex")
+    rows = hold(students(spark, folder).select("gpa", "age", "sex"))
     return tidy2(fit_linear(formula(rows, "gpa", ["age", "sex"]).prep(rows), rows).tidy(spark))
 
 
@@ -197,7 +197,7 @@ def logistic(spark, folder):
 )
 def logistic_two_groups(spark, folder):
     """With one factor the fitted probabilities are the observed shares."""
-    rows = students(spark, folder).select("row_key", "retained", "sex")
+    rows = hold(students(spark, folder).select("row_key", "retained", "sex"))
     fitted = Workflow(Recipe.of(rows, "retained", ["sex"]).step_dummy("sex"), logistic_reg()).fit(rows)
     scored = fitted.predict(rows, "prob")
     return scored.groupBy("sex").agg(
@@ -225,7 +225,7 @@ def multinomial(spark, folder):
     + " FROM students GROUP BY sex",
 )
 def multinomial_two_groups(spark, folder):
-    rows = students(spark, folder).select("row_key", "band", "sex")
+    rows = hold(students(spark, folder).select("row_key", "band", "sex"))
     fitted = Workflow(Recipe.of(rows, "band", ["sex"]).step_dummy("sex"), multinom_reg()).fit(rows)
     scored = fitted.predict(rows, "prob")
     names = (("0.00-2.00", "low"), ("2.01-3.50", "middle"), ("3.51-4.00", "high"))
@@ -237,7 +237,7 @@ def multinomial_two_groups(spark, folder):
 @query("m9_mixed_model")
 def mixed_model(spark, folder):
     """Random intercept and size slope per district."""
-    rows = sales(spark, folder).withColumn("size", F.col("area") / 1000)
+    rows = hold(sales(spark, folder)).withColumn("size", F.col("area") / 1000)
     prepared = Recipe.of(rows, "price", ["style"]).step_dummy("style").prep(rows)
     return rounded(fit_mixed(prepared, rows, group="district", slope="size").tidy(spark))
 
@@ -278,7 +278,7 @@ def survival_table(spark, folder):
 
 @query("m10_survival_regression")
 def survival_regression(spark, folder):
-    rows = survival_table(spark, folder)
+    rows = hold(survival_table(spark, folder))
     fitted = fit_survival(rows.withColumn("age", F.col("age") / 1000), "futime", "fustat", ["age"], strata="load")
     return rounded(fitted.tidy(spark), 4)
 
@@ -375,7 +375,7 @@ def missing_predictors(spark, folder):
 )
 def tidy_interactions(spark, folder):
     """All main effects and the two-way interaction: two separate lines in one model."""
-    rows = students(spark, folder).select("gpa", "age", "sex")
+    rows = hold(students(spark, folder).select("gpa", "age", "sex"))
     recipe = formula(rows, "gpa", ["age", "sex"], pairwise=True)
     fit = fit_linear(recipe.prep(rows), rows)
     return fit.tidy(spark).select("term", F.round("estimate", 6).alias("estimate"))
@@ -391,7 +391,7 @@ def tidy_interactions(spark, folder):
     "SELECT a.term AS term_1, b.term AS term_2, round(v * 1000, 6) + 0.0 AS covariance_1000 FROM c JOIN n a ON a.k = i JOIN n b ON b.k = j",
 )
 def coefficient_covariance(spark, folder):
-    train = training(sales_split(spark, folder))
+    train = hold(training(sales_split(spark, folder)))
     recipe = Recipe.of(train, "price", ["longitude", "latitude"])
     table = fit_linear(recipe.prep(train), train).vcov(spark)
     return table.select(
@@ -428,10 +428,9 @@ def confidence_interval(spark, folder):
 )
 def nested_models(spark, folder):
     """Main effects against main effects with interaction, from one pass each."""
-    rows = students(spark, folder).select("gpa", "age", "sex").persist()
+    rows = hold(students(spark, folder).select("gpa", "age", "sex"))
     small = fit_linear(formula(rows, "gpa", ["age", "sex"]).prep(rows), rows)
     big = fit_linear(formula(rows, "gpa", ["age", "sex"], pairwise=True).prep(rows), rows)
-    rows.unpersist()
     table = nested_f_test(spark, small, big)
     return table.agg(
         F.round(F.max(F.when(F.col("model") == "small", F.col("rss"))), 4).alias("rss_small"),

@@ -38,6 +38,7 @@ def registrations(spark: SparkSession, folder: str) -> DataFrame:
     return people.join(hours, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         F.col("o_orderkey").alias("reg_row_key"),
         F.col("o_custkey").alias("reg_person_id"),
+        F.col("o_orderdate").alias("reg_date"),
         term_code(F.col("o_orderdate")).alias("reg_term_code"),
         F.col("o_orderstatus").alias("reg_sex"),
         (F.col("o_totalprice") / 125000).alias("reg_gpa"),
@@ -125,13 +126,16 @@ degrees AS (
 def fall_registrations(spark: SparkSession, folder: str) -> DataFrame:
     raw = registrations(spark, folder)
     kept = raw.where(
-        (F.col("reg_term_code") > FIRST_TERM)
+        # the years of the two terms, as a date range the scan can use to skip row groups
+        (F.col("reg_date") >= f"{FIRST_TERM[:4]}-01-01")
+        & (F.col("reg_date") < f"{int(LAST_TERM[:4]) + 1}-01-01")
+        & (F.col("reg_term_code") > FIRST_TERM)
         & (F.col("reg_term_code") < LAST_TERM)
         & (last_chars(F.col("reg_term_code"), 2) == "20")
         & (F.col("reg_courses") > 0)
         & (F.col("reg_total_hours") > 0)
     )
-    return strip_prefix(kept, "reg_")
+    return strip_prefix(kept.drop("reg_date"), "reg_")
 
 
 FALL_SQL = f"""
@@ -153,8 +157,7 @@ def students(spark: SparkSession, folder: str) -> DataFrame:
     back = fall.select(
         "person_id",
         (F.col("term_code").cast("int") - 100).cast("string").alias("term_code"),
-        F.lit(True).alias("__back"),
-    ).distinct()
+    ).distinct().withColumn("__back", F.lit(True))
     flagged = joined.join(back, ["person_id", "term_code"], "left")
     return flagged.withColumns(
         {

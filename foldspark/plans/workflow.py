@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import reduce
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from foldspark.operators.gram import Member, grams
@@ -20,7 +19,15 @@ from foldspark.operators.metrics import (
     regression_metrics,
     summarize_metrics,
 )
-from foldspark.operators.models import LinearModel, ModelSpec, fit_model, outcome_vector
+from foldspark.operators.models import (
+    Layout,
+    LinearModel,
+    ModelSpec,
+    fit_linear_set,
+    fit_model,
+    outcome_vector,
+    shared_vector,
+)
 from foldspark.operators.recipe import PreparedRecipe, Recipe
 from foldspark.operators.resample import ResampleSet, Split, testing, training
 from foldspark.session import DISK, cached, spread
@@ -52,7 +59,7 @@ class Workflow:
 
     def fit(self, df: DataFrame) -> "FittedWorkflow":
         """Estimate the recipe, then the model, over one cached narrow frame."""
-        with cached(df.select(*self.columns)) as rows:
+        with cached(df, self.columns) as rows:
             prepared = self.recipe.prep(rows)
             return FittedWorkflow(self, prepared, fit_model(self.model, prepared, rows))
 
@@ -114,7 +121,7 @@ def workflow_set(preproc: dict[str, Recipe], models: dict[str, ModelSpec], cross
 def fit_set(workflows: dict[str, Workflow], df: DataFrame) -> dict[str, FittedWorkflow]:
     """Fit every workflow; all least-squares members share one pass over the rows."""
     wanted = list(dict.fromkeys(c for w in workflows.values() for c in w.columns))
-    with cached(df.select(*wanted)) as rows:
+    with cached(df, wanted) as rows:
         prepared = {n: w.recipe.prep(rows) for n, w in workflows.items()}
         linear = [n for n, w in workflows.items() if w.is_linear]
         models = {
@@ -123,11 +130,8 @@ def fit_set(workflows: dict[str, Workflow], df: DataFrame) -> dict[str, FittedWo
             if not w.is_linear
         }
         if linear:
-            members = {
-                n: Member(outcome_vector(prepared[n]), len(prepared[n].terms) + 1, ("all",)) for n in linear
-            }
-            found = grams(rows, {"all": F.lit(1)}, members)
-            models |= {n: LinearModel(solve(found[n, "all"], prepared[n].terms)) for n in linear}
+            found = fit_linear_set({n: prepared[n] for n in linear}, rows)
+            models |= {n: LinearModel(fit) for n, fit in found.items()}
         return {n: FittedWorkflow(workflows[n], prepared[n], models[n]) for n in workflows}
 
 
@@ -237,55 +241,52 @@ def _resample_linear(members, resamples: ResampleSet, metrics) -> ResampleResult
 def _linear_fits(rows, members, prepared, resamples, weights) -> dict[tuple[str, str], LinearFit]:
     """All members over all resamples, from one pass over the rows.
 
-    A member whose resamples see linear maps of shared columns contributes one
-    vector: its levels may be pooled differently in every resample. If the
-    assessment sets partition the rows, the pass sums each fold once, and an
-    analysis set is the total minus its fold.
+    A member contributes one vector of columns its resamples share; pooled levels
+    are linear maps of it and splines are expanded in the kernel. If the assessment
+    sets partition the rows and nothing is bent per resample, the pass sums each
+    fold once, and an analysis set is the total minus its fold.
     """
     ids = resamples.ids
+    sides = {f"analysis|{i}": weights[i] for i in ids}
     wanted: dict[str, Member] = {}
-    maps: dict[str, list] = {}
+    layouts: dict[str, list[Layout]] = {}
+    by_fold = set()
     for n, w in members.items():
-        outcome = F.array(F.col(w.recipe.outcome).cast("double"))
         bases = [prepared[n, i].base() for i in ids]
         if all([e[0] for e in b] == [e[0] for e in bases[0]] for b in bases):
-            vector = F.concat(*[e[1] for e in bases[0]], outcome)
-            wanted[n] = Member(vector, sum(e[2] for e in bases[0]) + 1, tuple(ids))
-            maps[n] = [_block_map([e[3] for e in b]) for b in bases]
+            vector = shared_vector(bases[0], w.recipe.outcome)
+            layouts[n] = [Layout.of(b) for b in bases]
+            bent = bool(layouts[n][0].curves)
+            side = "analysis" if bent or resamples.fold is None else "fold"
+            if side == "fold":
+                by_fold.add(n)
+                sides |= {f"fold|{i}": resamples.resamples[i].assess.cast("int") for i in ids}
+            names = [f"{side}|{i}" for i in ids]
+            curves = {s: lay.curves for s, lay in zip(names, layouts[n])} if bent else None
+            wanted[n] = Member(vector, layouts[n][0].width, tuple(names), curves)
         else:
             for i in ids:
                 vector, width = outcome_vector(prepared[n, i]), len(prepared[n, i].terms) + 1
-                wanted[f"{n}|{i}"] = Member(vector, width, (i,))
-    folds = resamples.fold is not None and len(maps) == len(members)
-    if folds:
-        weights = {i: r.assess.cast("int") for i, r in resamples.resamples.items()}
-    found = grams(rows, weights, wanted)
+                wanted[f"{n}|{i}"] = Member(vector, width, (f"analysis|{i}",))
+    used = {s for m in wanted.values() for s in m.subsets}
+    found = grams(rows, {s: c for s, c in sides.items() if s in used}, wanted)
     fits = {}
     for n in members:
-        if n in maps:
-            sums = {i: found[n, i] for i in ids}
-            if folds:
-                total = reduce(lambda a, b: a + b, sums.values())
-                sums = {i: total - sums[i] for i in ids}
-            for i, table in zip(ids, maps[n]):
-                fits[n, i] = solve(sums[i].map(table), prepared[n, i].terms)
-        else:
+        if n not in layouts:
             for i in ids:
-                fits[n, i] = solve(found[f"{n}|{i}", i], prepared[n, i].terms)
+                fits[n, i] = solve(found[f"{n}|{i}", f"analysis|{i}"], prepared[n, i].terms)
+            continue
+        if n in by_fold:
+            parts = {i: found[n, f"fold|{i}"] for i in ids}
+            total = reduce(lambda a, b: a + b, parts.values())
+            sums = {i: total - parts[i] for i in ids}
+        else:
+            sums = {i: found[n, f"analysis|{i}"] for i in ids}
+        for i, layout in zip(ids, layouts[n]):
+            fits[n, i] = solve(sums[i].map(layout.table), prepared[n, i].terms)
     return fits
 
 
-def _block_map(tables: list) -> np.ndarray:
-    """Block-diagonal map from base columns to design columns, the outcome last."""
-    tables = [*tables, np.eye(1)]
-    whole = np.zeros((sum(t.shape[0] for t in tables), sum(t.shape[1] for t in tables)))
-    r = c = 0
-    for t in tables:
-        whole[r : r + t.shape[0], c : c + t.shape[1]] = t
-        r, c = r + t.shape[0], c + t.shape[1]
-    return whole
-
-
 def _resample_others(members, resamples: ResampleSet, metrics) -> ResampleResult:
     """Iterative learners: one fit per resample over a cached narrow frame."""
     cached = replace(resamples, df=spread(_narrow_frame(members, resamples)).persist(DISK))

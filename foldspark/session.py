@@ -60,9 +60,16 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def cached(df: DataFrame):
-    """Keep a frame while several jobs read it. Lost blocks are recomputed."""
-    rows = spread(df).persist(DISK)
+def cached(df: DataFrame, columns: list[str] | None = None):
+    """Keep some columns while several jobs read them. Lost blocks are recomputed.
+
+    A frame that is already kept is only projected.
+    """
+    rows = df if columns is None else df.select(*columns)
+    if df.is_cached:
+        yield rows
+        return
+    rows = spread(rows).persist(DISK)
     try:
         yield rows
     finally:
