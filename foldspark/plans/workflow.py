@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -30,7 +31,10 @@ from foldspark.operators.models import (
 )
 from foldspark.operators.recipe import PreparedRecipe, Recipe
 from foldspark.operators.resample import ResampleSet, Split, testing, training
-from foldspark.session import DISK, cached, spread
+from foldspark.session import cached
+
+
+_FITS_AT_ONCE = 4
 
 
 @dataclass(frozen=True)
@@ -288,23 +292,34 @@ def _linear_fits(rows, members, prepared, resamples, weights) -> dict[tuple[str,
 
 
 def _resample_others(members, resamples: ResampleSet, metrics) -> ResampleResult:
-    """Iterative learners: one fit per resample over a cached narrow frame."""
-    cached = replace(resamples, df=spread(_narrow_frame(members, resamples)).persist(DISK))
-    frames = []
-    for n, w in members.items():
-        for i in resamples.ids:
-            fitted = w.fit(cached.analysis(i))
-            scored = fitted.predict(resamples.assessment(i))
-            frames.append(
-                scored.select(
-                    F.lit(n).alias("wflow_id"),
-                    F.lit(i).alias("id"),
-                    F.col(resamples.key).alias("row"),
-                    F.col(w.recipe.outcome).cast("double").alias("truth"),
-                    "pred",
-                )
-            )
-    cached.df.unpersist()
+    """Iterative learners: one fit per resample over a cached narrow frame.
+
+    Recipes are estimated for all resamples together; a few fits run at a time, so
+    the small stages of one overlap with the work of another.
+    """
+    weights = {i: r.weight for i, r in resamples.resamples.items()}
+    with cached(_narrow_frame(members, resamples)) as rows:
+        kept = replace(resamples, df=rows)
+        prepared = {n: w.recipe.prep_resamples(rows, weights) for n, w in members.items()}
+        pairs = [(n, i) for n in members for i in resamples.ids]
+
+        def fit_one(pair: tuple[str, str]) -> FittedWorkflow:
+            n, i = pair
+            model = fit_model(members[n].model, prepared[n][i], kept.analysis(i))
+            return FittedWorkflow(members[n], prepared[n][i], model)
+
+        with ThreadPool(min(_FITS_AT_ONCE, len(pairs))) as pool:
+            fitted = dict(zip(pairs, pool.map(fit_one, pairs)))
+    frames = [
+        fitted[n, i].predict(resamples.assessment(i)).select(
+            F.lit(n).alias("wflow_id"),
+            F.lit(i).alias("id"),
+            F.col(resamples.key).alias("row"),
+            F.col(members[n].recipe.outcome).cast("double").alias("truth"),
+            "pred",
+        )
+        for n, i in pairs
+    ]
     predictions = reduce(lambda a, b: a.unionByName(b), frames)
     return ResampleResult(predictions, {}, metrics)
 
