@@ -61,7 +61,7 @@ def op8_block_naming(spark: SparkSession, folder: str) -> DataFrame:
     same AS (SELECT doc_id, count(*) - 1 AS extra FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line),
     lines AS (SELECT doc_id, sum(extra)::BIGINT AS n FROM same GROUP BY doc_id),
     m AS (SELECT w.doc_id, w.source, len(words)::BIGINT AS n_words,
-                 coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+                 length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
                  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
                  coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
           FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
