@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldspark.llm.shared import WHITE, checkpoint, whole
+from foldspark.llm.shared import WHITE, checkpoint, rows_of, whole
 
 BLOCK = 4096
 _ROW = ["doc_id", "text_sha256"]
@@ -123,12 +123,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bl
     found = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")).agg(
         F.count(F.lit(1)).alias("_copies")
     )
-    rows = docs.withColumn("_own", F.sha2(F.encode(normalised(text_col), "UTF-8"), 256))
-    stay = rows.join(found, rows[id_col].eqNullSafe(found["_id"]) & (rows["_own"] == found["_digest"]))
-    single = stay.filter("_copies = 1").select(*[rows[c] for c in docs.columns])
-    # only repeated rows take this way
-    repeated = stay.filter("_copies > 1").select(
-        "_id", "_digest", F.struct(*[rows[c] for c in docs.columns]).alias("_row"), F.char_length(whole(rows[text_col])).alias("_length")
-    )
-    repeated = repeated.groupBy("_id", "_digest").agg(F.max_by("_row", "_length").alias("_row")).select("_row.*")
-    return single.unionByName(repeated)
+    return rows_of(docs, found, id_col, F.sha2(F.encode(normalised(text_col), "UTF-8"), 256))

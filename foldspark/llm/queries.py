@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldspark.llm import blocknames, packing, rules
+from foldspark.llm import blocknames, bpe, forest, packing, rules
 from foldspark.llm.shared import tokenizer_path
 from foldspark.session import configure
 
@@ -94,3 +94,22 @@ def op10_shortest_pack_first(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@_query("op7_lsh_forest")
+def op7_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Near duplicates of all documents: sets of 3-word shingles, similarity 0.85."""
+    found = forest.near_duplicates(_table(spark, folder, "documents"), words=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query("op4_rank_array_bpe")
+def op4_rank_array_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded by merge ranks and decoded again; digests of both."""
+    coded = bpe.encode_and_decode(_table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )

@@ -102,13 +102,16 @@ class PieceEncoder:
 _made: dict[str, PieceEncoder] = {}
 
 
-def _byte_letters() -> dict[int, str]:
-    """How byte-level vocabularies spell the letters of Latin-1: each byte of the UTF-8 form as one character."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    shown = dict.fromkeys(plain)
-    spelled = {b: chr(b) for b in plain}
-    for k, b in enumerate(b for b in range(256) if b not in shown):
-        spelled[b] = chr(256 + k)
+def spelled_bytes() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
+def _spelled_letters() -> dict[int, str]:
+    """How byte-level vocabularies spell the characters of Latin-1."""
+    spelled = spelled_bytes()
     return {c: "".join(spelled[b] for b in chr(c).encode()) for c in range(256)}
 
 
@@ -124,7 +127,7 @@ def library_encoder(path: str) -> PieceEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        merge, letters = tokenizer.model.tokenize, _byte_letters()
+        merge, letters = tokenizer.model.tokenize, _spelled_letters()
         lower = tokenizer.normalizer is not None  # the vocabulary of lower-case words, which drops white space
         space = "" if lower else letters[32]
 
