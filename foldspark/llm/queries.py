@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldspark.llm import blocknames, bpe, forest, packing, rules
-from foldspark.llm.shared import tokenizer_path
+from foldspark.llm import blocknames, bpe, forest, html, packing, repair, rules
+from foldspark.llm.shared import shared_folder, tokenizer_path
 from foldspark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +114,18 @@ def op4_rank_array_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@_query("op5_grammar_files")
+def op5_grammar_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' ids written as grammar-compressed shards and read back."""
+    files = f"{shared_folder(spark)}/grammar-{uuid.uuid4().hex}"
+    vocabulary = tokenizer_path("word_bpe_49k.json")
+    repair.write(_table(spark, folder, "documents"), files, vocabulary, end_id=1)
+    return repair.read(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_query("op6_composite_density")
+def op6_composite_density(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return html.extract(_table(spark, folder, "pages"))
