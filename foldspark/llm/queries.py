@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldspark.llm import blocknames, bpe, forest, html, packing, repair, rules
+from foldspark.llm import blocknames, bpe, forest, html, packing, pii, repair, rules
 from foldspark.llm.shared import shared_folder, tokenizer_path
 from foldspark.session import configure
 
@@ -129,3 +129,13 @@ def op5_grammar_files(spark: SparkSession, folder: str) -> DataFrame:
 def op6_composite_density(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     return html.extract(_table(spark, folder, "pages"))
+
+
+#: Key of the pseudonyms in the registered queries; a real run takes a secret one.
+PII_KEY = "corpus"
+
+
+@_query("op1_feistel_pseudonyms")
+def op1_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with personal values replaced by format-preserving pseudonyms."""
+    return pii.pseudonymise(_table(spark, folder, "documents"), PII_KEY)
