@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldspark.llm import blocknames, bpe, forest, html, packing, pii, repair, rules
-from foldspark.llm.shared import shared_folder, tokenizer_path
-from foldspark.session import configure
+from foldspark.llm.shared import prepare, shared_folder, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +18,7 @@ ORACLES: dict[str, str] = {}
 def _query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(configure(spark), folder)
+            return fn(prepare(spark), folder)
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldspark.session import configure
+
 #: Separators of words in the contracts: space, tab to carriage return.
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -42,7 +44,7 @@ def tokenizer_path(name: str) -> str:
     return os.fspath(public_tokenizers.path(name))
 
 
-def in_groups(batch: pa.RecordBatch, column: str, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def in_groups(batch: pa.RecordBatch, column: str, size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``size`` bytes of text each; a longer text is a slice of its own."""
     lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
     begin = total = 0
@@ -75,3 +77,11 @@ def rows_of(docs: DataFrame, keys: DataFrame, id_col: str, digest: Column) -> Da
     )
     repeated = repeated.groupBy("_id", "_digest").agg(F.max_by("_row", F.coalesce("_length", F.lit(-1))).alias("_row"))
     return single.unionByName(repeated.select("_row.*"))
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings for whole texts: Arrow batches of 1,000 rows, unless the session has its own choice."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, "1000")
+    return configure(spark)

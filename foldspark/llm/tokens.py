@@ -32,35 +32,44 @@ class PieceEncoder:
     word of its own in both vocabularies, so the table holds only the part before.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = 400_000, longest: int = 48):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = 600_000, longest: int = 48):
         self.encode, self.entries, self.longest = encode, entries, longest
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks = dict(zip(",.", encode([",", "."])))
 
     def _look_up(self, pieces: list[str]) -> list[bytes]:
-        if len(self.known) > self.entries:
-            self.known.clear()
-        get, marks = self.known.get, self.marks
-        found = list(map(get, pieces))
-        todo: dict[str, bytes] = {}
+        if len(self.known) > self.entries // 2:
+            # what is met again moves to the new table, the rest is forgotten at the next turn
+            self.known, self.older = {}, self.known
+        known, get, marks = self.known, self.older.get, self.marks
+        found = list(map(known.get, pieces))
         missing = [i for i, x in enumerate(found) if x is None]
-        ends = [b"" for _ in missing]
-        for k, i in enumerate(missing):
+        ends: dict[int, bytes] = {}
+        todo: dict[str, None] = {}
+        for i in missing:
             p = pieces[i]
             if len(p) > 1 and p[-1] in marks and p[-2].isalpha():
-                ends[k] = marks[p[-1]]
+                ends[i] = marks[p[-1]]
                 p = pieces[i] = p[:-1]
-                found[i] = get(p)
-                if found[i] is not None:
+                x = known.get(p)
+                if x is not None:
+                    found[i] = x
                     continue
-            todo[p] = b""
+            x = get(p)
+            if x is not None:
+                found[i] = known[p] = x
+            else:
+                todo[p] = None
         if todo:
             new = [p[1:] if p[:1] in (_FIRST, _ALL) else p if p[:1] == "\n" else " " + p for p in todo]
-            todo = dict(zip(todo, self.encode(new)))
-            self.known.update((p, x) for p, x in todo.items() if len(p) <= self.longest)
-        for end, i in zip(ends, missing):
-            x = found[i]
-            found[i] = (todo[pieces[i]] if x is None else x) + end
+            fresh = dict(zip(todo, self.encode(new)))
+            known.update(fresh if max(map(len, todo)) <= self.longest else ((p, x) for p, x in fresh.items() if len(p) <= self.longest))
+            for i in missing:
+                if found[i] is None:
+                    found[i] = fresh[pieces[i]]
+        for i, end in ends.items():
+            found[i] += end
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -88,12 +97,11 @@ class PieceEncoder:
         coded = lists.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
         table = self._look_up(coded.dictionary.to_pylist())
-        lengths = np.fromiter((len(x) for x in table), np.int64, len(table)) >> 2
-        flat = np.frombuffer(b"".join(table), np.uint32)
-        starts = np.cumsum(lengths) - lengths
-        each = lengths[index]
-        ends = np.cumsum(each)
-        ids = flat[np.repeat(starts[index] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        lengths = np.fromiter(map(len, table), np.int64, len(table)) >> 2
+        flat = pa.array(np.frombuffer(b"".join(table), np.uint32))
+        lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)])), flat)
+        ids = lists.take(coded.indices).flatten().to_numpy()
+        ends = np.cumsum(lengths[index])
         bounds = np.concatenate([[0], np.cumsum(counts)])
         offsets = np.concatenate([[0], ends])[bounds]
         return ids, offsets
@@ -135,8 +143,11 @@ def library_encoder(path: str) -> PieceEncoder:
             out, rest = [], []
             for i, p in enumerate(pieces):
                 before, word = (space, p[1:]) if p[:1] == " " else ("", p)
-                if word.isalpha() and word < "\u0100" and max(word) < "\u0100":
-                    word = (word.lower() if lower else word).translate(letters)
+                if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+                    if lower:
+                        word = word.lower()
+                    if not word.isascii():
+                        word = word.translate(letters)
                     out.append(array("I", [t.id for t in merge(before + word)]).tobytes())
                 else:
                     out.append(b"")
