@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldspark.llm import blocknames, bpe, forest, html, packing, pii, repair, rules
+from foldspark.llm import blocknames, bpe, forest, html, packing, pii, repair, rules, toxicity
 from foldspark.llm.shared import prepare, shared_folder, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,12 @@ PII_KEY = "corpus"
 def op1_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with personal values replaced by format-preserving pseudonyms."""
     return pii.pseudonymise(_table(spark, folder, "documents"), PII_KEY)
+
+
+@_query("op3_counterfactual_toxicity")
+def op3_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored for toxicity; labels are learned from four fifths of the ids."""
+    docs = _table(spark, folder, "documents")
+    model = toxicity.train(docs, _table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
