@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldspark.llm import blocknames, bpe, forest, html, packing, pii, repair, rules, toxicity
+from foldspark.llm import blocknames, bpe, cotrain, forest, html, packing, pii, repair, rules, toxicity
 from foldspark.llm.shared import prepare, shared_folder, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,10 @@ def op3_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.train(docs, _table(spark, folder, "labels"))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@_query("op2_cotrained_quality")
+def op2_cotrained_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored for quality by the co-trained text and metadata views."""
+    docs = _table(spark, folder, "documents")
+    return cotrain.score(docs, cotrain.train(docs, _table(spark, folder, "labels")))
