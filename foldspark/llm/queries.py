@@ -81,7 +81,7 @@ def op8_block_naming(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op9_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Figures of all documents, their base rules, and the verdict with their hosts."""
-    found = rules.host_rules(_table(spark, folder, "documents"), columns=["doc_id"])
+    found = rules.host_rules(_table(spark, folder, "documents"), columns=["doc_id"], write_once=True)
     return found.select(
         "doc_id", *rules.MEASURES, "base_failed", "strict_failed", "bad_host", "kept"
     )

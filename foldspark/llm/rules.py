@@ -125,20 +125,21 @@ def host_rules(
     text_col: str = "text",
     host_col: str = "source",
     columns: list[str] | None = None,
+    write_once: bool = False,
     max_rate: float = 0.3,
 ) -> DataFrame:
     """Rows of ``docs`` with the base figures, base_failed, strict_failed, host_rate, bad_host and kept.
 
-    ``columns`` (all by default) are the input's columns to keep. Without the
-    text among them the figures are written once and read by both passes; with
-    it the texts are measured in both, which is cheaper than writing them.
+    ``columns`` (all by default) are the input's columns to keep. With
+    ``write_once`` they and the figures are written once and read by both passes, which
+    pays if the text is not among them; else the texts are measured in both.
     """
     results = [*MEASURES, "base_failed", "strict_failed", "host_rate", "bad_host", "kept"]
     own = [c for c in (columns or docs.columns) if c not in results]
     rows = docs.select(*own, F.col(host_col).alias("_host"), _measured(whole(text_col)).alias("_figures"))
     rows = rows.select(*own, "_host", "_figures.*")
     rows = rows.withColumn("base_failed", base_failed()).withColumn("strict_failed", strict_failed())
-    if text_col not in own:
+    if write_once:
         rows = checkpoint(rows)
     hosts = rows.groupBy(F.col("_host").alias("host")).agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("strict_failed").cast("long")).alias("n_failed")

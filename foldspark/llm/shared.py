@@ -61,21 +61,17 @@ def in_groups(batch: pa.RecordBatch, column: str, size: int = 2_000_000) -> Iter
 def rows_of(docs: DataFrame, keys: DataFrame, id_col: str, digest: Column) -> DataFrame:
     """Whole rows of ``docs`` named by ``keys`` (_id, _digest, _copies: rows of ``docs`` with that id and digest).
 
-    One row per key: of repeated rows the longest first column of text stays.
+    One row per key: of repeated rows one of those with the longest texts stays.
     ``digest`` is the expression over ``docs`` that ``_digest`` was made with.
     """
-    text = next((c for c, kind in docs.dtypes if kind == "string" and c == "text"), docs.columns[0])
-    rows = docs.withColumn("_own", digest)
-    stay = rows.join(keys, rows[id_col].eqNullSafe(keys["_id"]) & (rows["_own"] == keys["_digest"]))
-    single = stay.filter("_copies = 1").select(*[rows[c] for c in docs.columns])
-    # only repeated rows take this way
-    repeated = stay.filter("_copies > 1").select(
-        "_id",
-        "_digest",
-        F.struct(*[rows[c] for c in docs.columns]).alias("_row"),
-        F.char_length(rows[text].cast("string")).alias("_length"),
+    length = sum((F.char_length(F.coalesce(F.col(c), F.lit(""))) for c, kind in docs.dtypes if kind == "string"), F.lit(0))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_own_id"), digest.alias("_own"), length.alias("_length")
     )
-    repeated = repeated.groupBy("_id", "_digest").agg(F.max_by("_row", F.coalesce("_length", F.lit(-1))).alias("_row"))
+    stay = rows.join(keys, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")))
+    single = stay.filter("_copies = 1").select("_row.*")
+    # only repeated rows take this way
+    repeated = stay.filter("_copies > 1").groupBy("_id", "_digest").agg(F.max_by("_row", "_length").alias("_row"))
     return single.unionByName(repeated.select("_row.*"))
 
 
