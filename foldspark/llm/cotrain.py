@@ -122,6 +122,8 @@ def co_train(
 ) -> Scorer:
     """Fit ``scorer``: labelled rows (``aside``: kept for calibration) and unlabelled ones."""
     both = np.concatenate([text, more_text]) if len(more_text) else text
+    if not len(both):
+        both = np.zeros((1, text.shape[1]))
     scorer.mean, scorer.scale = both.mean(axis=0), np.maximum(both.std(axis=0), 1e-6)
     ridge = 1.0
     learn, own_y = ~aside, y[~aside]
