@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldspark.functions.hashing import hash_index
 
@@ -23,20 +23,24 @@ def bootstrap_draws(
     """(draw, model, posterior): mean metric of resamples drawn with replacement.
 
     All models share the resamples of a draw, so their contrast stays paired. The
-    metric table has one row per workflow and resample.
+    metric table has one row per workflow and resample; the resamples are numbered
+    in the order of their (repeat and) id, so any ids will do.
     """
     spark = per_resample.sparkSession
+    kept = per_resample.where(F.col("metric") == metric)
+    names = ["repeat", "id"] if "repeat" in kept.columns else ["id"]
+    # as many rows as resamples
+    numbered = kept.select(*names).distinct()
+    numbered = numbered.withColumn("pick", F.row_number().over(Window.orderBy(*names)).cast("long") - 1)
+    found = numbered.count()
+    if found != resamples:
+        raise ValueError(f"the metrics have {found} resamples, not {resamples}")
     picks = spark.range(1, draws + 1).select(
         F.col("id").alias("draw"), F.explode(F.sequence(F.lit(1), F.lit(resamples))).alias("slot")
     ).withColumn("pick", hash_index(resamples, seed, "draw", "slot"))
-    kept = per_resample.where(F.col("metric") == metric).select(
-        F.col("wflow_id").alias("model"),
-        # resample ids end in their number
-        (F.regexp_extract("id", "([0-9]+)$", 1).cast("long") - 1).alias("pick"),
-        "estimate",
-    )
+    kept = kept.join(numbered, names).select(F.col("wflow_id").alias("model"), "pick", "estimate")
     return (
-        picks.join(F.broadcast(kept), "pick")
+        picks.join(kept, "pick")
         .groupBy("draw", "model")
         .agg(F.avg("estimate").alias("posterior"))
     )

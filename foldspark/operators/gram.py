@@ -4,10 +4,10 @@ For every subset the result is n, the column means and the centred
 cross-products. Everything least squares needs follows from those p x p numbers,
 so the rows are read once however many resamples or workflows are fitted.
 
-Narrow designs are summed by ordinary aggregates. Wide ones go through an Arrow
-kernel that multiplies one record batch at a time and emits one partial matrix
-per task; partials are summed cell by cell in a normal aggregation, so nothing
-data-sized meets in one task.
+Rows go through an Arrow kernel that multiplies one record batch at a time and
+emits one partial matrix per task; partials are summed cell by cell in a normal
+aggregation, so nothing data-sized meets in one task. A row with a NULL, NaN or
+infinite value in a design is left out of that design, however wide it is.
 """
 
 from __future__ import annotations
@@ -22,9 +22,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from foldspark.operators.splines import NaturalSpline
 
 MAX_WIDTH = 2000
-_NARROW = 8
-_NARROW_CELLS = 300
-_SHIFT_ROWS = 64
 _BATCH_BYTES = 32 << 20
 
 
@@ -101,18 +98,15 @@ def grams(
     """Cross-products of every member over the rows of each of its subsets.
 
     ``weights`` gives the multiplicity of a row in every subset. All members and
-    subsets come from one pass over the rows, and a row crosses to Python once
-    however many subsets it is in. Rows with a NULL in a member's vector are left
-    out of that member.
+    subsets come from one pass over the rows (after one for the reference point),
+    and a row crosses to Python once however many subsets it is in. Rows with a
+    NULL, NaN or infinity in a member's vector are left out of that member.
     """
     widest = max(m.size(s) for m in members.values() for s in m.subsets)
     if widest > MAX_WIDTH:
         raise ValueError(f"a design of {widest} columns exceeds {MAX_WIDTH}")
     shifts = _shifts(df, members)
-    cells = sum(len(m.subsets) * (m.width + 1) * (m.width + 2) // 2 for m in members.values())
-    bent = any(m.curves for m in members.values())
-    narrow = widest <= _NARROW and cells <= _NARROW_CELLS and not bent
-    found = (_narrow_sums if narrow else _wide_sums)(df, weights, members, shifts)
+    found = _sums(df, weights, members, shifts)
     result = {}
     for (name, subset), full in found.items():
         n = full[0, 0]
@@ -129,64 +123,40 @@ def gram(df: DataFrame, vector: Column, width: int) -> Gram:
 
 
 def _shifts(df: DataFrame, members: dict[str, Member]) -> dict[str, np.ndarray]:
-    """A reference point near the data for every member.
+    """The column means of every member over all rows.
 
-    Cross-products about any point give the same centred result; a near one keeps
-    its digits. A handful of rows is enough, since it cancels exactly.
+    Cross-products about any point give the same centred result; a near one keeps its digits.
     """
     names = list(members)
-    probe = df.limit(_SHIFT_ROWS).select(*[members[n].vector.alias(f"v{i}") for i, n in enumerate(names)])
-    seen = probe.collect()
-    result = {}
-    for i, name in enumerate(names):
-        block = np.array(
-            [[np.nan if v is None else v for v in row[i]] for row in seen if row[i] is not None],
-            dtype=float,
-        ).reshape(-1, members[name].width)
-        usable = np.isfinite(block)
-        total = np.where(usable, block, 0.0).sum(axis=0)
-        result[name] = total / np.maximum(usable.sum(axis=0), 1)
-    return result
+    widths = [members[n].width for n in names]
+    schema = pa.schema([("cell", pa.int32()), ("value", pa.float64()), ("n", pa.float64())])
 
+    def kernel(batches):
+        totals, counts = ([np.zeros(w) for w in widths] for _ in range(2))
+        for batch in batches:
+            for i, width in enumerate(widths):
+                column = batch.column(f"z{i}")
+                raw = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                finite = np.isfinite(raw)
+                totals[i] += np.where(finite, raw, 0.0).sum(axis=0)
+                counts[i] += finite.sum(axis=0)
+        both = np.concatenate(totals), np.concatenate(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(both[0]), dtype=np.int32)), *(pa.array(x) for x in both)], schema=schema
+        )
 
-def _narrow_sums(df, weights, members, shifts) -> dict[tuple[str, str], np.ndarray]:
-    """Few columns: ordinary sums in generated code."""
-    subsets = list(weights)
-    columns = [weights[s].cast("double").alias(f"w{k}") for k, s in enumerate(subsets)]
-    sums = []
-    for i, (name, member) in enumerate(members.items()):
-        columns.append(F.when(F.forall(member.vector, lambda v: v.isNotNull()), member.vector).alias(f"v{i}"))
-    vectors = df.select(*columns)
-    scalars = [F.col(f"w{k}") for k in range(len(subsets))]
-    for i, (name, member) in enumerate(members.items()):
-        known = F.col(f"v{i}").isNotNull()
-        scalars.append(F.when(known, 1.0).alias(f"x{i}_0"))
-        scalars += [
-            (F.get(f"v{i}", F.lit(a)).cast("double") - float(shifts[name][a])).alias(f"x{i}_{a + 1}")
-            for a in range(member.width)
-        ]
-        for s in member.subsets:
-            k = subsets.index(s)
-            sums += [
-                F.sum(F.col(f"w{k}") * F.col(f"x{i}_{a}") * F.col(f"x{i}_{b}")).alias(f"c_{i}_{k}_{a}_{b}")
-                for a in range(member.width + 1)
-                for b in range(a, member.width + 1)
-            ]
-    row = vectors.select(*scalars).agg(*sums).first()
-    result = {}
-    for i, (name, member) in enumerate(members.items()):
-        for s in member.subsets:
-            k = subsets.index(s)
-            full = np.zeros((member.width + 1, member.width + 1))
-            for a in range(member.width + 1):
-                for b in range(a, member.width + 1):
-                    full[a, b] = full[b, a] = row[f"c_{i}_{k}_{a}_{b}"] or 0.0
-            result[name, s] = full
-    return result
+    rows = df.select(*[members[n].vector.cast("array<double>").alias(f"z{i}") for i, n in enumerate(names)])
+    with _batch_rows(df.sparkSession, max(64, _BATCH_BYTES // (8 * sum(widths)))):
+        parts = rows.mapInArrow(kernel, "cell int, value double, n double")
+        table = parts.groupBy("cell").agg(F.sum("value").alias("value"), F.sum("n").alias("n")).toArrow()
+    means = np.zeros(sum(widths))
+    counts = table.column("n").to_numpy()
+    means[table.column("cell").to_numpy()] = table.column("value").to_numpy() / np.maximum(counts, 1)
+    return dict(zip(names, np.split(means, np.cumsum(widths)[:-1])))
 
 
-def _wide_sums(df, weights, members, shifts) -> dict[tuple[str, str], np.ndarray]:
-    """Wide designs: one partial matrix per task, then a sum per cell."""
+def _sums(df, weights, members, shifts) -> dict[tuple[str, str], np.ndarray]:
+    """One partial matrix per task, then a sum per cell."""
     subsets = list(weights)
     names = list(members)
     plan = [

@@ -7,6 +7,8 @@ A handful of iterations is enough, where gradient methods need dozens of passes.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -65,14 +67,20 @@ def _sums(rows: DataFrame, beta: np.ndarray, width: int, classes: int):
     return total[0], total[1 : 1 + size], total[1 + size :].reshape(size, size)
 
 
-def fit_logistic(rows: DataFrame, width: int, classes: int) -> np.ndarray:
+class NotConverged(UserWarning):
+    """A fit stopped before its steps became small, as with classes that a plane separates."""
+
+
+def fit_logistic(rows: DataFrame, width: int, classes: int) -> tuple[np.ndarray, int, bool]:
     """Coefficients per class after the first, intercept first; aliased terms are zero.
 
-    ``rows`` holds ``d`` (the design as an array) and ``label`` (0-based class).
+    Also the number of steps, and whether they converged; if not, ``NotConverged``
+    is warned of. ``rows`` holds ``d`` (the design as an array) and ``label`` (0-based class).
     """
     beta = np.zeros((classes - 1, width + 1))
     value, gradient, curvature = _sums(rows, beta, width, classes)
-    for _ in range(_ITERATIONS):
+    converged = False
+    for iterations in range(_ITERATIONS):
         kept = independent_columns(curvature)
         scale = np.sqrt(np.diag(curvature)[kept])
         step = np.zeros(beta.size)
@@ -80,6 +88,8 @@ def fit_logistic(rows: DataFrame, width: int, classes: int) -> np.ndarray:
         step[kept] = np.linalg.solve(inner, gradient[kept] / scale) / scale
         gain = float(gradient @ step)
         if gain < _TOLERANCE * max(1.0, abs(value)):
+            # separable classes end here too, but with a likelihood of one and no finite fit
+            converged = value < -1e-6
             break
         factor = 1.0
         while True:
@@ -89,4 +99,6 @@ def fit_logistic(rows: DataFrame, width: int, classes: int) -> np.ndarray:
                 break
             factor *= 0.5
         beta, (value, gradient, curvature) = tried, found
-    return beta
+    if not converged:
+        warnings.warn(f"no finite fit found in {iterations + 1} steps", NotConverged, stacklevel=2)
+    return beta, iterations + 1, converged

@@ -9,6 +9,7 @@ candidates; the number of rows no longer matters.
 from __future__ import annotations
 
 import itertools
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,6 @@ from foldspark.operators.linear import INTERCEPT
 from foldspark.operators.recipe import PreparedRecipe
 from foldspark.session import cut_lineage
 
-_SMALL_TABLE = 2_000_000  # numbers; a larger group table stays distributed
 _ROUNDS = 60
 _FIRST_STEP = 0.5
 _LAST_STEP = 1e-4
@@ -37,6 +37,8 @@ class MixedFit:
     criterion: float  # restricted deviance
     n: float
     groups: int
+    iterations: int = 0
+    converged: bool = True
 
     def tidy(self, spark: SparkSession) -> DataFrame:
         rows = [
@@ -108,12 +110,9 @@ def _score_kernel(thetas: np.ndarray, size: int):
     return kernel
 
 
-def _summed_parts(table: DataFrame | pd.DataFrame, thetas: np.ndarray, size: int) -> dict[int, np.ndarray]:
+def _summed_parts(table: DataFrame, thetas: np.ndarray, size: int) -> dict[int, np.ndarray]:
     """The likelihood parts of every candidate, summed over the groups."""
     kernel = _score_kernel(thetas, size)
-    if isinstance(table, pd.DataFrame):
-        (local,) = kernel([table])
-        return dict(zip(local["k"], local["parts"]))
     parts = table.mapInPandas(kernel, "k int, parts array<double>")
     width = 1 + (size - 1) ** 2
     summed = parts.groupBy("k").agg(
@@ -122,7 +121,7 @@ def _summed_parts(table: DataFrame | pd.DataFrame, thetas: np.ndarray, size: int
     return {row["k"]: np.array(row["parts"]) for row in summed.collect()}
 
 
-def _deviances(table: DataFrame | pd.DataFrame, thetas: np.ndarray, size: int, n: float):
+def _deviances(table: DataFrame, thetas: np.ndarray, size: int, n: float):
     """Restricted deviance of each candidate, with its fixed-effect solution."""
     p = size - 2
     result = {}
@@ -148,8 +147,6 @@ def fit_mixed(prepared: PreparedRecipe, df: DataFrame, group: str, slope: str) -
         F.sum(F.get("cells", F.lit(_cell(0, size - 2, size)))).alias("s"),
     ).first()
     n = totals["n"]
-    if totals["groups"] * size * size <= _SMALL_TABLE:
-        table = table.toPandas()  # a checked, small number of cross-products
     # search in units where the slope column has unit spread
     spread = float(np.sqrt(max(totals["ss"] / n - (totals["s"] / n) ** 2, 1e-300)))
     unit = np.array([1.0, 1.0 / spread, 1.0 / spread])
@@ -157,7 +154,7 @@ def fit_mixed(prepared: PreparedRecipe, df: DataFrame, group: str, slope: str) -
     stencil = np.array(list(itertools.product((-1.0, 0.0, 1.0), repeat=3)))
     at, step = np.array([0.5, 0.0, 0.5]), _FIRST_STEP
     best = None
-    for _ in range(_ROUNDS):
+    for iterations in range(1, _ROUNDS + 1):
         tried = at + step * stencil
         tried[:, [0, 2]] = np.maximum(tried[:, [0, 2]], 0.0)
         jump = _quadratic_minimum(best[1], best[2]) if best else None
@@ -178,6 +175,9 @@ def fit_mixed(prepared: PreparedRecipe, df: DataFrame, group: str, slope: str) -
             best = (best[0], found[1], found[2], best[3], best[4])
         if step < _LAST_STEP:
             break
+    converged = step < _LAST_STEP
+    if not converged:
+        warnings.warn(f"the variance search has not converged after {iterations} rounds", stacklevel=2)
     theta = best[3] * unit
     deviance, beta, xx, sigma2 = best[4]
     lam = np.array([[theta[0], 0.0], [theta[1], theta[2]]])
@@ -190,6 +190,8 @@ def fit_mixed(prepared: PreparedRecipe, df: DataFrame, group: str, slope: str) -
         float(deviance),
         float(n),
         int(totals["groups"]),
+        iterations,
+        converged,
     )
 
 

@@ -61,7 +61,11 @@ def linear_reg(penalty: float | None = None, mixture: float = 1.0) -> ModelSpec:
     return ModelSpec("linear_reg", "regression", engine, (("penalty", penalty), ("mixture", mixture)))
 
 
-def decision_tree(min_n: int = 2, max_depth: int = 8, min_gain: float = 0.0) -> ModelSpec:
+#: The deepest tree the underlying learner grows; nothing else bounds the depth by default.
+DEEPEST = 30
+
+
+def decision_tree(min_n: int = 2, max_depth: int = DEEPEST, min_gain: float = 0.0) -> ModelSpec:
     """``min_n`` bounds the rows of a leaf here, not of a node about to be split."""
     return ModelSpec(
         "decision_tree",
@@ -72,7 +76,7 @@ def decision_tree(min_n: int = 2, max_depth: int = 8, min_gain: float = 0.0) ->
 
 
 def rand_forest(
-    trees: int = 500, min_n: int = 5, mtry: int | None = None, max_depth: int = 10, seed: int = 1
+    trees: int = 500, min_n: int = 5, mtry: int | None = None, max_depth: int = DEEPEST, seed: int = 1
 ) -> ModelSpec:
     arguments = (("trees", trees), ("min_n", min_n), ("mtry", mtry), ("max_depth", max_depth), ("seed", seed))
     return ModelSpec("rand_forest", "regression", "spark_forest", arguments)
@@ -179,6 +183,8 @@ class ClassModel:
     levels: tuple[str, ...]
     terms: tuple[str, ...]
     coefficients: np.ndarray  # one row per class after the first, intercept first
+    iterations: int = 0
+    converged: bool = True
 
     def predictions(self, prepared: PreparedRecipe, kind: str) -> dict[str, Column]:
         scores = [F.lit(0.0)] + [prepared.score(row) for row in self.coefficients]
@@ -331,23 +337,25 @@ def fit_classes(prepared: PreparedRecipe, df: DataFrame, binary: bool, engine: s
     if engine == "newton":
         rows = df.select(prepared.design().alias("d"), label.cast("int").alias("label"))
         with cached(rows.where("label is not null")) as known:
-            table = fit_logistic(known, len(prepared.terms), len(levels))
+            table, iterations, converged = fit_logistic(known, len(prepared.terms), len(levels))
     else:
-        table = _spark_logistic(_complete_rows(prepared, df, label), binary)
-    return ClassModel(tuple(levels), ("(Intercept)", *prepared.terms), table)
+        table, iterations, converged = _spark_logistic(_complete_rows(prepared, df, label), binary)
+    return ClassModel(tuple(levels), ("(Intercept)", *prepared.terms), table, iterations, converged)
 
 
-def _spark_logistic(rows: DataFrame, binary: bool) -> np.ndarray:
+def _spark_logistic(rows: DataFrame, binary: bool) -> tuple[np.ndarray, int, bool]:
     """The built-in quasi-Newton learner: many cheap passes, for very wide designs."""
     learner = LogisticRegression(
         regParam=0.0, maxIter=200, tol=1e-10, family="binomial" if binary else "multinomial"
     )
     with cached(rows) as known:
         model = learner.fit(known)
+    steps = int(model.summary.totalIterations)
+    done = steps < learner.getMaxIter()
     if binary:
-        return np.concatenate([[model.intercept], model.coefficients.toArray()])[None, :]
+        return np.concatenate([[model.intercept], model.coefficients.toArray()])[None, :], steps, done
     whole = np.hstack([model.interceptVector.toArray()[:, None], model.coefficientMatrix.toArray()])
-    return whole[1:] - whole[0]
+    return whole[1:] - whole[0], steps, done
 
 
 def fit_model(spec: ModelSpec, prepared: PreparedRecipe, df: DataFrame):

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,6 +28,8 @@ class SurvivalFit:
     scale: dict[str, float]
     log_likelihood: float
     n: int
+    iterations: int = 0
+    converged: bool = True
 
     def tidy(self, spark: SparkSession) -> DataFrame:
         rows = [
@@ -113,10 +117,12 @@ def fit_survival(
         at[0] = moments["m"] + 0.5
         at[p:] = np.log(max(moments["s"] or 1.0, 1e-3))
         value, gradient, curvature, n = _newton_terms(unit, at, levels, p)
-        for _ in range(_ITERATIONS):
+        converged = False
+        for iterations in range(_ITERATIONS):
             step = _ascent(gradient, curvature)
             gain = float(gradient @ step)
             if gain < _TOLERANCE:
+                converged = True
                 break
             factor = 1.0
             while True:
@@ -126,6 +132,8 @@ def fit_survival(
                 factor *= 0.5
             at = at + factor * step
             value, gradient, curvature, n = tried
+        if not converged:
+            warnings.warn(f"the survival fit has not converged in {iterations + 1} steps", stacklevel=2)
         cov = np.linalg.inv(-curvature)
     finally:
         rows.unpersist()
@@ -137,7 +145,7 @@ def fit_survival(
     estimate = back @ at[:p]
     error = np.sqrt(np.diag(back @ cov[:p, :p] @ back.T))
     scale = {level: float(np.exp(at[p + i])) for i, level in enumerate(levels)}
-    return SurvivalFit((INTERCEPT, *predictors), estimate, error, scale, float(value), int(n))
+    return SurvivalFit((INTERCEPT, *predictors), estimate, error, scale, float(value), int(n), iterations + 1, converged)
 
 
 def _newton_terms(rows: DataFrame, at: np.ndarray, levels: list[str], p: int):

@@ -76,28 +76,22 @@ def top_rows(df: DataFrame, by: Column, k: int, key: str) -> DataFrame:
 
 
 def lookup_rows(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` named by a few keys, such as a top-k result."""
-    return df.join(F.broadcast(wanted.select(key)), key, "left_semi")
+    """Rows of ``df`` named by keys, such as a top-k result; Spark broadcasts them if they are few."""
+    return df.join(wanted.select(key), key, "left_semi")
 
 
 # ---------------------------------------------------------------- nesting
 
-def group_nest(df: DataFrame, by: list[str], key: str, cell_rows: int = 10_000) -> DataFrame:
+def group_nest(df: DataFrame, by: list[str], key: str, cells: int = 1) -> DataFrame:
     """Rows as an array of structs per group: (by, cell, data).
 
-    A group becomes several cells of about ``cell_rows`` rows, dealt by row hash,
-    so that no row of the result, and no task, ever holds a whole large group.
+    Every group is dealt by row hash into ``cells`` cells (fewer if it has fewer
+    rows), so that with enough of them no row of the result, and no task, holds a
+    whole large group. The number is the caller's and the same for all groups.
     """
     data = [c for c in df.columns if c not in by]
-    sizes = df.groupBy(*by).agg(F.ceil(F.count("*") / F.lit(cell_rows)).alias("__cells"))
-    names = {b: f"__k_{b}" for b in by}
-    sizes = sizes.withColumnsRenamed(names)
-    condition = None
-    for b, k in names.items():
-        same = F.col(b).eqNullSafe(F.col(k))
-        condition = same if condition is None else condition & same
-    cell = F.floor(hash01("nest", key) * F.col("__cells")).cast("long")
-    dealt = df.join(sizes, condition).select(*by, cell.alias("cell"), F.struct(*data).alias("__row"))
+    cell = F.floor(hash01("nest", key) * cells).cast("long")
+    dealt = df.select(*by, cell.alias("cell"), F.struct(*data).alias("__row"))
     return dealt.groupBy(*by, "cell").agg(F.collect_list("__row").alias("data"))
 
 

@@ -140,7 +140,10 @@ def step_normalize(spark, folder):
 def step_pca(spark, folder):
     """Components of the embedding that reach 95 % of the variance."""
     vectors = read_table(spark, "embeddings", folder)
-    width = len(vectors.select("embedding").first()[0])
+    sizes = vectors.agg(F.min(F.size("embedding")).alias("least"), F.max(F.size("embedding")).alias("most")).first()
+    if sizes.least != sizes.most:
+        raise ValueError(f"embeddings have {sizes.least} to {sizes.most} numbers")
+    width = sizes.most
     names = [f"SF_{i:02d}" for i in range(width)]
     rows = vectors.select(
         "vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)]

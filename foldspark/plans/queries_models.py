@@ -149,7 +149,7 @@ def penalized(spark, folder):
 def regression_tree(spark, folder):
     split = sales_split(spark, folder)
     recipe = Recipe.of(split.df, "price", ["longitude", "latitude", "area"])
-    fitted = Workflow(recipe, decision_tree(min_n=2, max_depth=6)).fit(training(split))
+    fitted = Workflow(recipe, decision_tree(min_n=2)).fit(training(split))
     return rounded(fitted.predict(testing(split)).select("sale_key", "price", "pred"))
 
 
@@ -251,7 +251,8 @@ def survival_table(spark, folder):
     fall = fall_registrations(spark, folder)
     people = fall.groupBy("person_id").agg(
         F.min("term_code").alias("term_code"), F.max("term_code").alias("last_term"),
-        F.min_by("age", "term_code").alias("age"), F.min_by("sex", F.struct("term_code", "row_key")).alias("load"),
+        F.min_by("age", F.struct("term_code", "row_key")).alias("age"),
+        F.min_by("load", F.struct("term_code", "row_key")).alias("load"),
     )
     later = degrees(spark, folder).join(people.select("person_id", "term_code"), "person_id")
     first = later.where(F.col("grad_term") > F.col("term_code")).groupBy("person_id").agg(
@@ -299,16 +300,17 @@ def intercept_only(spark, folder):
 @query(
     "m13_survival_table",
     f"""WITH {REG_SQL},{FALL_SQL},{DEGREES_SQL},
-people AS (SELECT person_id, min(term_code) AS term_code, max(term_code) AS last_term FROM fall GROUP BY 1),
+people AS (SELECT person_id, min(term_code) AS term_code, max(term_code) AS last_term,
+  first(age ORDER BY term_code, row_key) AS age, first(load ORDER BY term_code, row_key) AS load FROM fall GROUP BY 1),
 firsts AS (SELECT d.person_id, min(grad_term) AS grad_term FROM degrees d JOIN people p ON d.person_id = p.person_id WHERE grad_term > term_code GROUP BY 1),
-j AS (SELECT p.person_id, CAST(coalesce(grad_term, last_term) AS INTEGER) - CAST(term_code AS INTEGER) AS gap, grad_term FROM people p LEFT JOIN firsts f ON p.person_id = f.person_id),
-t AS (SELECT person_id, round_even(gap / 100.0::DOUBLE, 0) AS years, (gap % 100) AS rest, CASE WHEN grad_term IS NOT NULL THEN 1 ELSE 0 END AS fustat FROM j),
-u AS (SELECT person_id, years, rest / 100.0::DOUBLE AS leftovers,
+j AS (SELECT p.person_id, age, load, CAST(coalesce(grad_term, last_term) AS INTEGER) - CAST(term_code AS INTEGER) AS gap, grad_term FROM people p LEFT JOIN firsts f ON p.person_id = f.person_id),
+t AS (SELECT person_id, age, load, round_even(gap / 100.0::DOUBLE, 0) AS years, (gap % 100) AS rest, CASE WHEN grad_term IS NOT NULL THEN 1 ELSE 0 END AS fustat FROM j),
+u AS (SELECT person_id, age, load, years, rest / 100.0::DOUBLE AS leftovers,
   round(years + CASE WHEN rest = 0 THEN 4/12.0 WHEN rest = 20 THEN 10/12.0 WHEN rest = 90 THEN 11/12.0 WHEN rest < 9 THEN 5/12.0 ELSE 9/12.0 END::DOUBLE, 6) + 0.0 AS futime, fustat FROM t)
 SELECT * FROM u WHERE futime > 0""",
 )
 def survival_preparation(spark, folder):
-    return survival_table(spark, folder).select("person_id", "years", "leftovers", "futime", "fustat")
+    return survival_table(spark, folder).select("person_id", "age", "load", "years", "leftovers", "futime", "fustat")
 
 
 # ---------------------------------------------------------------- prediction and inference

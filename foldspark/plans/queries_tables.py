@@ -30,6 +30,7 @@ from foldspark.plans.tables import (
     DEGREES_SQL,
     FALL_SQL,
     REG_SQL,
+    RETURN_TERM,
     STUDENTS_SQL,
     TESTS_SQL,
     aid_payments,
@@ -100,13 +101,12 @@ def table_shape(spark, folder):
 @query(
     "s7_column_names",
     "WITH c AS (SELECT unnest(['o_orderkey','o_custkey','o_orderstatus','o_totalprice','o_orderdate','o_orderpriority']) AS column_name) "
-    "SELECT column_name, (SELECT CAST(count(*) AS BIGINT) FROM orders) AS n_rows FROM c",
+    "SELECT column_name FROM c",
 )
 def column_names(spark, folder):
     orders = read_table(spark, "orders", folder)
-    return orders.agg(F.count("*").alias("n_rows")).select(
-        F.explode(F.array(*[F.lit(c) for c in orders.columns])).alias("column_name"), "n_rows"
-    )
+    # the names are those of the schema that the files give
+    return spark.createDataFrame([(c,) for c in orders.columns], "column_name string")
 
 
 # ---------------------------------------------------------------- projections and filters
@@ -309,7 +309,8 @@ def membership_flag(spark, folder):
     people = fall.where(F.col("sex").isin("O", "F")).withColumn(
         "next_term", (F.col("term_code").cast("int") + 100).cast("string")
     )
-    flagged = member_flag(people, fall, {"person_id": "person_id", "next_term": "term_code"}, "found")
+    later = fall_registrations(spark, folder, RETURN_TERM)
+    flagged = member_flag(people, later, {"person_id": "person_id", "next_term": "term_code"}, "found")
     return flagged.select("row_key", F.when(F.col("found"), "TRUE").otherwise("FALSE").alias("retained"))
 
 
@@ -391,9 +392,9 @@ def means(spark, folder):
     "SELECT event_type, CAST(count(*) AS BIGINT) AS n, max(event_id) AS last_id, round(sum(value), 4) + 0.0 AS total FROM events GROUP BY 1",
 )
 def nested_groups(spark, folder):
-    """Rows nested per group, in several bounded cells when the group is large."""
+    """Rows nested per group, in as many cells per group as asked for."""
     events = read_table(spark, "events", folder).select("event_id", "event_type", "value")
-    nested = group_nest(events, ["event_type"], "event_id", cell_rows=500)
+    nested = group_nest(events, ["event_type"], "event_id", cells=8)
     return nested.groupBy("event_type").agg(
         F.sum(F.size("data")).cast("long").alias("n"),
         F.max(F.array_max(F.transform("data", lambda r: r["event_id"]))).alias("last_id"),
@@ -404,7 +405,7 @@ def nested_groups(spark, folder):
 @query("a8_unnest", "SELECT event_type, event_id, value FROM events")
 def unnested_groups(spark, folder):
     events = read_table(spark, "events", folder).select("event_id", "event_type", "value")
-    return unnest(group_nest(events, ["event_type"], "event_id", cell_rows=500)).select(
+    return unnest(group_nest(events, ["event_type"], "event_id", cells=8)).select(
         "event_type", "event_id", "value"
     )
 

@@ -246,7 +246,7 @@ def four_models(spark, folder):
         .step_dummy(all_nominal_predictors())
     )
     interact = basic.step_interact("area", starts_with("style_"))
-    splines = interact.step_ns("latitude", "longitude", deg_free=5)
+    splines = interact.step_ns("latitude", "longitude", deg_free=50)
     linear = workflow_set({"basic": basic, "interact": interact, "splines": splines}, {"lm": linear_reg()}, cross=False)
     plain = Recipe.of(folds.df, "price", ["district", "area", "year_built", "style", "latitude", "longitude"])
     forest = {"random_forest": Workflow(plain, rand_forest(trees=10, max_depth=5))}
@@ -305,34 +305,6 @@ def worst_rows(spark, folder):
 _THRESHOLDS = [0.02, 0.039, 0.041]
 
 
-@query(
-    "k13_parameter_grid",
-    "SELECT t.threshold, d.deg_free, (SELECT CAST(count(*) AS BIGINT) FROM orders) AS n_rows FROM (SELECT unnest([0.02, 0.04])::DOUBLE AS threshold) t, (SELECT unnest([2, 5, 8])::INTEGER AS deg_free) d",
-)
-def parameter_grid(spark, folder):
-    """Every combination of the tunable arguments, next to the size of the table they will be tried on."""
-    rows = read_table(spark, "orders", folder).agg(F.count("*").alias("n_rows"))
-    table = grid(spark, {"threshold": [0.02, 0.04], "deg_free": [2, 5, 8]})
-    combinations = table.agg(F.collect_list(F.struct("threshold", "deg_free")).alias("c")).first()["c"]
-    options = F.array(*[F.struct(F.lit(c.threshold).alias("threshold"), F.lit(c.deg_free).alias("deg_free")) for c in combinations])
-    return rows.select("n_rows", F.inline(options))
-
-
-@query(
-    "k14_parameter_set",
-    "SELECT 'mtry' AS id, 'mtry' AS name, 'model' AS source, 1.0::DOUBLE AS low, 7.0::DOUBLE AS high, (SELECT CAST(count(*) AS BIGINT) FROM orders) AS n_rows "
-    "UNION ALL SELECT 'threshold', 'threshold', 'recipe', 0.0, 0.2, (SELECT CAST(count(*) AS BIGINT) FROM orders)",
-)
-def parameter_set(spark, folder):
-    """The tunable arguments of a workflow, with an updated range and a data-dependent bound."""
-    rows = sales(spark, folder)
-    recipe = Recipe.of(rows, "price", ["district", "area"]).step_other("district", threshold=tune())
-    found = tunable(Workflow(recipe, rand_forest(mtry=tune())))
-    found = found.update(threshold=(0.0, 0.2)).finalize(rows, "price")
-    n = read_table(spark, "orders", folder).agg(F.count("*").alias("n_rows")).first()["n_rows"]
-    return found.table(spark).withColumn("n_rows", F.lit(n).cast("long"))
-
-
 _CANDIDATES = ",\n".join(_pooled_sql(t, f"c{i}", f"candidate_{i:02d}") for i, t in enumerate(_THRESHOLDS, start=1))
 _CANDIDATE_P = "cand_p AS (" + " UNION ALL ".join(f"SELECT * FROM c{i}_p" for i in range(1, len(_THRESHOLDS) + 1)) + ")"
 

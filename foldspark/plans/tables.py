@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from foldspark.functions.text import first_chars, last_chars, strip_prefix
 from foldspark.sources.tables import read_table
 
-FIRST_TERM, LAST_TERM = "199400", "200124"
+# the registrations students can return in reach one year beyond the students
+FIRST_TERM, LAST_TERM, RETURN_TERM = "199400", "200024", "200124"
 
 
 def term_code(date: Column) -> Column:
@@ -123,14 +124,16 @@ degrees AS (
 
 # ---------------------------------------------------------------- analysis tables
 
-def fall_registrations(spark: SparkSession, folder: str) -> DataFrame:
+def fall_registrations(spark: SparkSession, folder: str, last: str | None = None) -> DataFrame:
+    """Registrations of fall terms between the first term and ``last`` (by default the last of the students)."""
+    last = last or LAST_TERM
     raw = registrations(spark, folder)
     kept = raw.where(
         # the years of the two terms, as a date range the scan can use to skip row groups
         (F.col("reg_date") >= f"{FIRST_TERM[:4]}-01-01")
-        & (F.col("reg_date") < f"{int(LAST_TERM[:4]) + 1}-01-01")
+        & (F.col("reg_date") < f"{int(last[:4]) + 1}-01-01")
         & (F.col("reg_term_code") > FIRST_TERM)
-        & (F.col("reg_term_code") < LAST_TERM)
+        & (F.col("reg_term_code") < last)
         & (last_chars(F.col("reg_term_code"), 2) == "20")
         & (F.col("reg_courses") > 0)
         & (F.col("reg_total_hours") > 0)
@@ -154,7 +157,7 @@ def students(spark: SparkSession, folder: str) -> DataFrame:
         .fillna({"paid_amt": 0.0, "took_sat": 0.0})
     )
     # one year later the same person is back: a join on distinct keys, not a collected list
-    back = fall.select(
+    back = fall_registrations(spark, folder, RETURN_TERM).select(
         "person_id",
         (F.col("term_code").cast("int") - 100).cast("string").alias("term_code"),
     ).distinct().withColumn("__back", F.lit(True))
@@ -170,7 +173,9 @@ def students(spark: SparkSession, folder: str) -> DataFrame:
 
 
 STUDENTS_SQL = f"""{REG_SQL},{AID_SQL},{TESTS_SQL},{FALL_SQL},
-back AS (SELECT DISTINCT person_id, CAST(CAST(term_code AS INTEGER) - 100 AS VARCHAR) AS term_code FROM fall),
+later AS (SELECT * FROM reg WHERE term_code > '{FIRST_TERM}' AND term_code < '{RETURN_TERM}'
+          AND right(term_code, 2) = '20' AND courses > 0 AND total_hours > 0),
+back AS (SELECT DISTINCT person_id, CAST(CAST(term_code AS INTEGER) - 100 AS VARCHAR) AS term_code FROM later),
 students AS (
   SELECT f.*, coalesce(a.paid_amt, 0) AS paid_amt, coalesce(t.took_sat, 0) AS took_sat,
          CASE WHEN b.person_id IS NOT NULL THEN 'TRUE' ELSE 'FALSE' END AS retained,

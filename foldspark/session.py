@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,15 +30,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; make one only in local mode."""
+    """Use the cluster's shared checkpoint folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="foldspark-checkpoint-")
+        # the warehouse is shared too
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints"
     context.setCheckpointDir(folder)
 
 
@@ -49,14 +47,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Session setting: the number of partitions kept frames are dealt into; unset, they stay as read.
+SPREAD = "foldspark.partitions"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core on a table of few files; larger tables are left as they are.
+    """Deal a frame that is about to be kept into the partitions the session asks for.
 
-    A single small file is one task, however costly the work on its rows.
+    Off by default: splits of the files size the tasks. A session on a few
+    unsplittable files sets it, so that costly work on their rows uses every core.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    return df.repartition(cores) if 0 < len(files) < min(cores, 64) else df
+    partitions = df.sparkSession.conf.get(SPREAD, None)
+    return df if partitions is None else df.repartition(int(partitions))
 
 
 @contextmanager

@@ -19,6 +19,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("foldspark.partitions", "8")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -50,7 +50,7 @@ def test_contract(spark):
 
 def test_nesting_bounds_hot_groups(spark):
     rows = spark.range(3000).withColumn("g", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")))
-    nested = group_nest(rows, ["g"], "id", cell_rows=100)
+    nested = group_nest(rows, ["g"], "id", cells=20)
     assert nested.agg(F.max(F.size("data"))).first()[0] < 200
     assert unnest(nested).select("id").distinct().count() == 3000
 
