@@ -28,12 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldspark.llm.shared import in_groups, whole
-from foldspark.llm.tokens import PieceEncoder, spelled_bytes
+from foldspark.llm.tokens import BYTE_LEVEL_SPLIT, PieceEncoder, spelled_bytes
 
 SCAN = 256
 _NO_RANK = 1 << 60
-# fixed value: how byte-level vocabularies split text before the merges
-_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class RankMerger:
@@ -116,7 +114,7 @@ class Vocabulary:
             self.bytes[i] = bytes(of_letter[c] for c in token)
         for token, i in self.special.items():
             self.bytes[i] = token.encode()
-        self._split = regex.compile(_SPLIT)
+        self._split = regex.compile(BYTE_LEVEL_SPLIT)
         self._parts = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     def encode(self, text: str) -> list[int]:

@@ -30,10 +30,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldspark.llm.shared import in_groups, shared_folder, whole
+from foldspark.llm.shared import checkpoint, in_groups, shared_folder, whole
 from foldspark.llm.tokens import ids_column, library_encoder
 
 
+#: First ranks of up to so many partitions and lengths are broadcast (20 bytes each); more are joined by shuffles.
+BROADCAST_ROWS = 500_000
+
+
 def patterns_of(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
     """Packs for ``histogram`` (length: number of pieces) as (lengths of a pack, number of such packs)."""
     open_packs: dict[int, Counter] = defaultdict(Counter)  # by the length filled so far
@@ -170,6 +174,9 @@ def pack(
             offset[at] = where[k]
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    placed = pieces.join(counts.select("part", "length", "first_rank"), ["part", "length"])
+    counts = checkpoint(counts.select("part", "length", "first_rank"))
+    if counts.count() <= BROADCAST_ROWS:
+        counts = F.broadcast(counts)
+    placed = pieces.join(counts, ["part", "length"])
     placed = placed.withColumn("at", place("length", F.col("local_rank") + F.col("first_rank")))
     return placed.select("doc_id", "start", "length", "doc_tokens", "ids", "at.sequence_id", "at.offset")

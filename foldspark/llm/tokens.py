@@ -9,6 +9,7 @@ Texts with other white space or with a special token's opening are one piece.
 
 from __future__ import annotations
 
+import json
 from array import array
 from collections.abc import Callable
 
@@ -16,12 +17,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Two white space characters in a row, white space at either end, any other kind of white space or control, "<|"
+# Two white space characters in a row, white space at either end, any other kind of white space or control, "<|",
+# and a comma or full stop before white space that is not behind a letter or digit
 _ODD = (
     r"[ \n][ \n]|^[ \n]|[ \n]$|[\x00-\x09\x0b-\x1f\x7f-\xa0]|[\x{1680}\x{180e}\x{2000}-\x{200f}]|[\x{2028}-\x{202f}\x{205f}-"
-    r"\x{206f}\x{3000}\x{feff}]|<\|"
+    r"\x{206f}\x{3000}\x{feff}]|<\||(?:^|[^\p{L}\p{N}])[.,](?:[ \n]|$)"
 )
-_FIRST, _ALL = "\x01", "\x02"  # marks of a text's first piece and of a text that is one piece
+#: fixed value: how byte-level vocabularies split text before the merges
+BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# marks of a text's first piece, of a text that is one piece, and of a comma or full stop that ends a word
+_FIRST, _ALL, _STOP = _MARKS = ("\x01", "\x02", "\x03")
 
 
 class PieceEncoder:
@@ -29,47 +34,35 @@ class PieceEncoder:
 
     ``entries`` bounds the table of pieces met before; pieces over ``longest``
     characters are not kept in it. A comma or full stop behind a letter is a
-    word of its own in both vocabularies, so the table holds only the part before.
+    word of its own in both vocabularies, and so it is a piece of its own.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = 600_000, longest: int = 48):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = 400_000, longest: int = 48):
         self.encode, self.entries, self.longest = encode, entries, longest
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
-        self.marks = dict(zip(",.", encode([",", "."])))
 
     def _look_up(self, pieces: list[str]) -> list[bytes]:
         if len(self.known) > self.entries // 2:
             # what is met again moves to the new table, the rest is forgotten at the next turn
-            self.known, self.older = {}, self.known
-        known, get, marks = self.known, self.older.get, self.marks
+            self.known, self.older = {"": b""}, self.known
+        known, get = self.known, self.older.get
         found = list(map(known.get, pieces))
-        missing = [i for i, x in enumerate(found) if x is None]
-        ends: dict[int, bytes] = {}
-        todo: dict[str, None] = {}
-        for i in missing:
-            p = pieces[i]
-            if len(p) > 1 and p[-1] in marks and p[-2].isalpha():
-                ends[i] = marks[p[-1]]
-                p = pieces[i] = p[:-1]
-                x = known.get(p)
-                if x is not None:
-                    found[i] = x
-                    continue
-            x = get(p)
-            if x is not None:
-                found[i] = known[p] = x
-            else:
-                todo[p] = None
+        todo: list[int] = []
+        for i, x in enumerate(found):
+            if x is None:
+                x = get(pieces[i])
+                if x is None:
+                    todo.append(i)
+                else:
+                    found[i] = known[pieces[i]] = x
         if todo:
-            new = [p[1:] if p[:1] in (_FIRST, _ALL) else p if p[:1] == "\n" else " " + p for p in todo]
-            fresh = dict(zip(todo, self.encode(new)))
-            known.update(fresh if max(map(len, todo)) <= self.longest else ((p, x) for p, x in fresh.items() if len(p) <= self.longest))
-            for i in missing:
-                if found[i] is None:
-                    found[i] = fresh[pieces[i]]
-        for i, end in ends.items():
-            found[i] += end
+            new = [pieces[i] for i in todo]
+            literal = [p[1:] if p[:1] in _MARKS else p if p[:1] == "\n" else " " + p for p in new]
+            for i, p, x in zip(todo, new, self.encode(literal)):
+                found[i] = x
+                if len(p) <= self.longest:
+                    known[p] = x
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -79,9 +72,13 @@ class PieceEncoder:
             return np.empty(0, np.uint32), np.zeros(1, np.int64)
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = pc.match_substring_regex(texts, _ODD)
+        # the blank behind gives an empty piece, which has no ids
         plain = pc.binary_join_element_wise(
-            pa.scalar(_FIRST, pa.large_string()), pc.replace_substring(texts, "\n", " \n"), pa.scalar("", pa.large_string())
-        )
+            pa.scalar(_FIRST, pa.large_string()), pc.replace_substring(texts, "\n", " \n"), pa.scalar(" ", pa.large_string()),
+            pa.scalar("", pa.large_string()),
+        )
+        for stop in ",.":
+            plain = pc.replace_substring(plain, f"{stop} ", f" {_STOP}{stop} ")
         single = pc.binary_join_element_wise(pa.scalar(_ALL, pa.large_string()), texts, pa.scalar("", pa.large_string()))
         marked = pc.if_else(odd, single, plain)
         if pc.any(odd).as_py():
@@ -123,11 +120,31 @@ def _spelled_letters() -> dict[int, str]:
     return {c: "".join(spelled[b] for b in chr(c).encode()) for c in range(256)}
 
 
+def _rank_encoding(path: str):
+    """The vocabulary as a tiktoken encoding, if its ids are in the order of its merges; else None."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    model, spelled = content["model"], spelled_bytes()
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    first = len(spelled)
+    plain = not (model.get("end_of_word_suffix") or model.get("continuing_subword_prefix") or content["normalizer"])
+    pre = content["pre_tokenizer"] or {}
+    plain = plain and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+    if not plain or any(model["vocab"].get(a + b) != first + k for k, (a, b) in enumerate(merges)):
+        return None
+    of_letter = {c: b for b, c in enumerate(spelled)}
+    ranks = {bytes(of_letter[c] for c in token): i for token, i in model["vocab"].items()}
+    return tiktoken.Encoding("vocabulary", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 def library_encoder(path: str) -> PieceEncoder:
-    """Encoder by the tokenizers library, one per worker and vocabulary file.
+    """Encoder with the ids of the tokenizers library, one per worker and vocabulary file.
 
-    A word of Latin-1 letters goes straight to the library's merges; any other
-    piece goes through its whole chain of normaliser, splitter and merges.
+    A byte-level vocabulary whose ids are ranks is merged by tiktoken, which gives the same ids sooner.
+    Otherwise a word of Latin-1 letters goes straight to the library's merges, and
+    any other piece through its whole chain of normaliser, splitter and merges.
     """
     if path not in _made:
         from tokenizers import Tokenizer
@@ -135,11 +152,19 @@ def library_encoder(path: str) -> PieceEncoder:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        ranked = _rank_encoding(path)
         merge, letters = tokenizer.model.tokenize, _spelled_letters()
         lower = tokenizer.normalizer is not None  # the vocabulary of lower-case words, which drops white space
         space = "" if lower else letters[32]
 
-        def encode(pieces: list[str]) -> list[bytes]:
+        def by_rank(pieces: list[str]) -> list[bytes]:
+            plain = ranked.encode_ordinary
+            return [array("I", plain(p) if "<|" not in p else chain([p])[0]).tobytes() for p in pieces]
+
+        def chain(pieces: list[str]) -> list[list[int]]:
+            return [x.ids for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+        def by_library(pieces: list[str]) -> list[bytes]:
             out, rest = [], []
             for i, p in enumerate(pieces):
                 before, word = (space, p[1:]) if p[:1] == " " else ("", p)
@@ -153,12 +178,11 @@ def library_encoder(path: str) -> PieceEncoder:
                     out.append(b"")
                     rest.append(i)
             if rest:
-                chain = tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)
-                for i, x in zip(rest, chain):
-                    out[i] = array("I", x.ids).tobytes()
+                for i, ids in zip(rest, chain([pieces[i] for i in rest])):
+                    out[i] = array("I", ids).tobytes()
             return out
 
-        _made[path] = PieceEncoder(encode)
+        _made[path] = PieceEncoder(by_rank if ranked else by_library)
     return _made[path]
 
 
