@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foldspark.functions.distributions import t_quantile
-from foldspark.operators.correlation import correlation_matrix, correlation_tests
+from foldspark.operators.correlation import correlation_matrix, correlation_tests, with_p_value as correlation_p_value
 from foldspark.operators.linear import (
     fit_columns,
     nested_f_test,
     regression_by,
     simple_regression_by,
+    with_p_value,
 )
 from foldspark.operators.mixed import fit_mixed
 from foldspark.operators.models import (
@@ -92,18 +93,31 @@ _GROUPED = (
     "SELECT {g}, CAST(count(*) AS BIGINT) AS n, avg({x}) AS mx, avg({y}) AS my, regr_sxx({y}, {x}) AS sxx, regr_syy({y}, {x}) AS syy, "
     "regr_sxy({y}, {x}) AS sxy, regr_slope({y}, {x}) AS b FROM {t} GROUP BY {g}"
 )
+def _p_sql(t: str, df: str) -> str:
+    """Two-sided tail of Student's t for many degrees of freedom, close to six digits, shown with three."""
+    z = f"(abs({t})*(1 - 0.25/({df}))/sqrt(1 + ({t})*({t})/(2.0*({df}))))"
+    u = f"(1/(1 + 0.3275911*{z}/sqrt(2.0)))"
+    # the complementary error function by its rational approximation
+    series = f"{u}*(0.254829592 + {u}*(-0.284496736 + {u}*(1.421413741 + {u}*(-1.453152027 + {u}*1.061405429))))"
+    return f"round(({series})*exp(-{z}*{z}/2), 3) + 0.0"
+
+
 _GROUPED_TIDY = (
     "v AS (SELECT *, greatest(syy - b*sxy, 0)/(n - 2) AS mse FROM s) "
     "SELECT {g}, '(Intercept)' AS term, round(my - b*mx, {d}) + 0.0 AS estimate, round(sqrt(mse*(1.0/n + mx*mx/sxx)), {d}) + 0.0 AS std_error, "
-    "round((my - b*mx)/sqrt(mse*(1.0/n + mx*mx/sxx)), 4) + 0.0 AS statistic, n FROM v UNION ALL "
-    "SELECT {g}, '{x}', round(b, {d}) + 0.0, round(sqrt(mse/sxx), {d}) + 0.0, round(b/sqrt(mse/sxx), 4) + 0.0, n FROM v"
+    "round((my - b*mx)/sqrt(mse*(1.0/n + mx*mx/sxx)), 4) + 0.0 AS statistic, "
+    + _p_sql("(my - b*mx)/sqrt(mse*(1.0/n + mx*mx/sxx))", "n - 2")
+    + " AS p_value, n FROM v UNION ALL "
+    "SELECT {g}, '{x}', round(b, {d}) + 0.0, round(sqrt(mse/sxx), {d}) + 0.0, round(b/sqrt(mse/sxx), 4) + 0.0, "
+    + _p_sql("b/sqrt(mse/sxx)", "n - 2")
+    + ", n FROM v"
 )
 
 
 def _tidy_by(df, by):
     return df.select(
         by, "term", F.round("estimate", 6).alias("estimate"), F.round("std_error", 6).alias("std_error"),
-        F.round("statistic", 4).alias("statistic"), "n",
+        F.round("statistic", 4).alias("statistic"), F.round("p_value", 3).alias("p_value"), "n",
     )
 
 
@@ -114,7 +128,7 @@ def _tidy_by(df, by):
 def regression_per_group(spark, folder):
     """The analysis table, then a coefficient table per group: one Catalyst plan."""
     rows = students(spark, folder).select("sex", "age", "gpa")
-    return _tidy_by(simple_regression_by(rows, ["sex"], "gpa", "age"), "sex")
+    return _tidy_by(with_p_value(simple_regression_by(rows, ["sex"], "gpa", "age"), 2), "sex")
 
 
 @query(
@@ -447,6 +461,7 @@ _LINE_X = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 def _corr_sql(y: str, x: str, table: str) -> str:
     return (
         f"SELECT '{x}' AS predictor, n, round(r, 6) + 0.0 AS estimate, round(r*sqrt((n-2)/(1-r*r)), 4) + 0.0 AS statistic, n - 2 AS df, "
+        f"{_p_sql('r*sqrt((n-2)/(1-r*r))', 'n - 2')} AS p_value, "
         "round(tanh(atanh(r) - 1.959963984540054/sqrt(n-3)), 6) + 0.0 AS conf_low, round(tanh(atanh(r) + 1.959963984540054/sqrt(n-3)), 6) + 0.0 AS conf_high "
         f"FROM (SELECT CAST(count(*) AS BIGINT) AS n, corr({y}, {x}) AS r FROM {table})"
     )
@@ -455,21 +470,21 @@ def _corr_sql(y: str, x: str, table: str) -> str:
 def _rounded_tests(df):
     return df.select(
         "predictor", "n", F.round("estimate", 6).alias("estimate"), F.round("statistic", 4).alias("statistic"), "df",
-        F.round("conf_low", 6).alias("conf_low"), F.round("conf_high", 6).alias("conf_high"),
+        F.round("p_value", 3).alias("p_value"), F.round("conf_low", 6).alias("conf_low"), F.round("conf_high", 6).alias("conf_high"),
     )
 
 
 @query("i9_correlation_test", _corr_sql("l_extendedprice", "l_quantity", "lineitem"))
 def one_correlation(spark, folder):
     lines = read_table(spark, "lineitem", folder)
-    return _rounded_tests(correlation_tests(lines, "l_extendedprice", ["l_quantity"]))
+    return _rounded_tests(correlation_p_value(correlation_tests(lines, "l_extendedprice", ["l_quantity"])))
 
 
 @query("i10_many_correlation_tests", " UNION ALL ".join(_corr_sql("l_extendedprice", x, "lineitem") for x in _LINE_X))
 def many_correlations(spark, folder):
     """All predictors against one outcome in a single aggregation."""
     lines = read_table(spark, "lineitem", folder)
-    return _rounded_tests(correlation_tests(lines, "l_extendedprice", _LINE_X))
+    return _rounded_tests(correlation_p_value(correlation_tests(lines, "l_extendedprice", _LINE_X)))
 
 
 @query(

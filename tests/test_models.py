@@ -351,18 +351,38 @@ def test_mixed_model_recovers_simulated_truth(spark):
     assert fit.groups == 150 and fit.fixed[1] == pytest.approx(0.7, abs=0.05)
     assert np.sqrt(fit.sigma2) == pytest.approx(0.6, abs=0.02)
     assert np.sqrt(np.diag(fit.random_cov)) == pytest.approx([0.8, 0.5], abs=0.12)
-    # the distributed scoring gives the same criterion as the small-table one
+    assert fit.converged
+
+
+def test_a_search_cut_short_says_so(spark, plots, monkeypatch):
     from foldspark.operators import mixed
 
-    small, mixed._SMALL_TABLE = mixed._SMALL_TABLE, 0
-    rounds, mixed._ROUNDS = mixed._ROUNDS, 2
-    try:
-        few = fit_mixed(prepared, rows, "g", "w")
-        mixed._SMALL_TABLE = small
-        same = fit_mixed(prepared, rows, "g", "w")
-    finally:
-        mixed._SMALL_TABLE, mixed._ROUNDS = small, rounds
-    assert few.criterion == pytest.approx(same.criterion)
+    monkeypatch.setattr(mixed, "_ROUNDS", 1)
+    prepared = Recipe.of(plots, "y", ["x"]).prep(plots)
+    with pytest.warns(UserWarning, match="not converged"):
+        assert not fit_mixed(prepared, plots, "level", "z").converged
+
+
+def test_separable_classes_are_reported(spark):
+    rows = spark.range(40).select(F.col("id").cast("double").alias("x"), F.when(F.col("id") < 20, "a").otherwise("b").alias("k"))
+    with pytest.warns(UserWarning, match="no finite fit"):
+        fitted = Workflow(Recipe.of(rows, "k", ["x"]), logistic_reg()).fit(rows)
+    assert not fitted.model.converged and fitted.model.iterations > 1
+
+
+@pytest.mark.parametrize("width", [3, 30])
+def test_rows_with_nan_or_null_are_left_out_of_any_width(spark, width):
+    names = [f"x{i}" for i in range(width)]
+    rng = np.random.default_rng(width)
+    block = rng.normal(size=(200, width))
+    y = block[:, 0] - 2 * block[:, 1] + rng.normal(size=200)
+    data = [[*map(float, r), float(v)] for r, v in zip(block, y)]
+    clean = spark.createDataFrame(data, [*names, "y"])
+    odd = [[float("nan"), *[1.0] * (width - 1), 5.0], [*[1.0] * (width - 1), float("inf"), 5.0], [*[1.0] * (width - 1), None, 5.0]]
+    dirty = clean.unionByName(spark.createDataFrame(odd, clean.schema))
+    fits = [fit_linear(formula(df, "y", names).prep(clean), df) for df in (clean, dirty)]
+    assert fits[0].n == fits[1].n == 200
+    assert fits[1].estimate == pytest.approx(fits[0].estimate, rel=1e-9, abs=1e-12)
 
 
 def test_survival_recovers_simulated_truth(spark):

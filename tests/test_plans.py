@@ -187,3 +187,16 @@ def test_stream_scores_equal_batch(spark, table, tmp_path):
     got = dict(spark.table("scored").collect())
     want = dict(fitted.predict(table).select("id", "pred").collect())
     assert got == pytest.approx(want)
+
+
+def test_draws_over_repeated_folds_find_every_resample(spark):
+    from foldspark.operators.compare import bootstrap_draws
+
+    rows = [("lm", "rsq", f"Repeat{r}", f"Fold{k:02d}", r + k / 100) for r in range(1, 6) for k in range(1, 11)]
+    table = spark.createDataFrame(rows, "wflow_id string, metric string, repeat string, id string, estimate double")
+    draws = bootstrap_draws(table, "rsq", 200, 50, seed=3).collect()
+    assert len(draws) == 200
+    # the mean of 50 picks of the 50 values, not of fewer
+    assert abs(sum(d["posterior"] for d in draws) / 200 - sum(r[4] for r in rows) / 50) < 0.05
+    one = table.where("id = 'Fold01' AND repeat = 'Repeat1'").withColumn("id", F.lit("validation")).drop("repeat")
+    assert {round(d["posterior"], 6) for d in bootstrap_draws(one, "rsq", 5, 1).collect()} == {1.01}
