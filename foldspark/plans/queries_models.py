@@ -167,6 +167,18 @@ def regression_tree(spark, folder):
     return rounded(fitted.predict(testing(split)).select("sale_key", "price", "pred"))
 
 
+@query(
+    "m5_level_means",
+    f"WITH {SALES_SPLIT_SQL}, m AS (SELECT district, avg(price) AS pred FROM split WHERE in_train GROUP BY 1) "
+    "SELECT sale_key, round(m.pred, 6) + 0.0 AS pred FROM split JOIN m USING (district) WHERE NOT in_train",
+)
+def tree_of_one_factor(spark, folder):
+    """A tree without a bound separates every level, so it predicts the level's mean."""
+    split = sales_split(spark, folder)
+    fitted = Workflow(Recipe.of(split.df, "price", ["district"]), decision_tree(min_n=1)).fit(training(split))
+    return rounded(fitted.predict(testing(split)).select("sale_key", "pred"))
+
+
 @query("m6_random_forest")
 def random_forest(spark, folder):
     """Nominal columns enter the forest as categories, without dummies."""
@@ -219,6 +231,51 @@ def logistic_two_groups(spark, folder):
     )
 
 
+# predictors and their units
+_SCORE_X = {"age": 1000.0, "gpa": 1.0, "paid_amt": 100_000.0}
+
+
+def _observed_sql(of: str, name: str) -> str:
+    return f"SELECT '{name}' AS class, CAST(count(*) FILTER ({of}) AS DOUBLE) AS total_n, " + ", ".join(
+        f"round(sum({x} / {unit}::DOUBLE) FILTER ({of}), 1) + 0.0 AS total_{x}" for x, unit in _SCORE_X.items()
+    ) + " FROM students"
+
+
+def _score_sums(rows, fitted, classes):
+    """Per class, the fitted probabilities summed, and summed against every predictor."""
+    scored = fitted.predict(rows, "prob")
+    entries = []
+    for name in classes:
+        p = F.col(f"`pred_{name}`")
+        entries.append(
+            F.struct(
+                F.lit(name).alias("class"), F.round(F.sum(p), 1).alias("total_n"),
+                *[F.round(F.sum(p * F.col(x)), 1).alias(f"total_{x}") for x in _SCORE_X],
+            )
+        )
+    return scored.agg(F.array(*entries).alias("e")).select(F.inline("e"))
+
+
+@query("m7_score_equations", f"WITH {STUDENTS_SQL} " + _observed_sql("retained = 'TRUE'", "TRUE"))
+def logistic_scores(spark, folder):
+    """At the fit, probabilities times a predictor sum to what was observed."""
+    rows = hold(students(spark, folder).select("row_key", "retained", *[(F.col(x) / u).alias(x) for x, u in _SCORE_X.items()]))
+    fitted = Workflow(Recipe.of(rows, "retained", list(_SCORE_X)), logistic_reg()).fit(rows)
+    return _score_sums(rows, fitted, ["TRUE"])
+
+
+@query(
+    "m8_score_equations",
+    f"WITH {STUDENTS_SQL} " + " UNION ALL ".join(_observed_sql(f"CAST(zip AS INTEGER) % 3 = {c}", f"z{c}") for c in range(3)),
+)
+def multinomial_scores(spark, folder):
+    """The same for three classes."""
+    third = F.concat(F.lit("z"), (F.col("zip").cast("int") % 3).cast("string"))
+    rows = hold(students(spark, folder).select("row_key", third.alias("third"), *[(F.col(x) / u).alias(x) for x, u in _SCORE_X.items()]))
+    fitted = Workflow(Recipe.of(rows, "third", list(_SCORE_X)), multinom_reg()).fit(rows)
+    return _score_sums(rows, fitted, ["z0", "z1", "z2"])
+
+
 @query("m8_multinomial_regression")
 def multinomial(spark, folder):
     split = student_split(spark, folder)
@@ -298,6 +355,29 @@ def survival_regression(spark, folder):
     return rounded(fitted.tidy(spark), 4)
 
 
+@query(
+    "m10_scaled_hazards",
+    f"""WITH {REG_SQL},{FALL_SQL},{DEGREES_SQL},
+people AS (SELECT person_id, min(term_code) AS term_code, max(term_code) AS last_term, first(load ORDER BY term_code, row_key) AS load FROM fall GROUP BY 1),
+firsts AS (SELECT d.person_id, min(grad_term) AS grad_term FROM degrees d JOIN people p ON d.person_id = p.person_id WHERE grad_term > term_code GROUP BY 1)
+SELECT load, CAST(sum(CASE WHEN grad_term IS NOT NULL THEN 1 ELSE 0 END) AS DOUBLE) AS hazard FROM people p LEFT JOIN firsts f ON p.person_id = f.person_id GROUP BY 1""",
+)
+def survival_hazards(spark, folder):
+    """At the fit with one level as the only term, the cumulative hazards of a stratum sum to its events."""
+    table = hold(survival_table(spark, folder))
+    loads = [r["load"] for r in table.select("load").distinct().orderBy("load").collect()]
+    rows = table
+    for i, load in enumerate(loads[1:], start=1):
+        rows = rows.withColumn(f"load_{i}", (F.col("load") == load).cast("double"))
+    names = [f"load_{i}" for i in range(1, len(loads))]
+    fit = fit_survival(rows, "futime", "fustat", names)
+    linear = F.lit(float(fit.estimate[0]))
+    for name, b in zip(names, fit.estimate[1:]):
+        linear = linear + F.col(name) * float(b)
+    hazard = F.exp((F.log("futime") - linear) / float(fit.scale["all"]))
+    return rows.groupBy("load").agg(F.round(F.sum(hazard), 3).alias("hazard"))
+
+
 @query(
     "m11_intercept_only",
     "SELECT '(Intercept)' AS term, round(avg(o_totalprice), 4) + 0.0 AS estimate, round(stddev_samp(o_totalprice) / sqrt(count(*)), 4) + 0.0 AS std_error FROM orders",
