@@ -12,7 +12,7 @@ document, different values of one format different ones, and nothing is stored.
 | IBAN | country, 2 check digits, 11 to 30 letters and digits | letters and digits within their class; check digits renewed |
 | card number | 13 to 19 digits, blanks or hyphens between | all but the first digit; check digit renewed |
 | social security number | ddd-dd-dddd | area, group and serial within their valid ranges |
-| telephone number | +country and 7 to 14 digits, or 10 digits in the groups of North America | digits behind the country code; North American area and exchange stay valid |
+| telephone number | +country and 7 to 14 digits, or 10 digits in the groups of North America | digits behind the country code; valid North American area and exchange codes stay valid |
 | IPv4 address | four numbers up to 255 | all 32 bits |
 | date | yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy, else mm/dd/yyyy; years 1000 to 9999 | the day within its century |
 
@@ -36,7 +36,7 @@ _EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}
 _IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _DATE = r"(?:[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}|[1-9][0-9]{3}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[1-9][0-9]{3}|[0-9]{2}/[0-9]{2}/[1-9][0-9]{3})"
 _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
-_PHONE = r"\+1[ .-]?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}|\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}|\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}"
+_PHONE = r"\+1[ .-]?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}|\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}|\(?[2-9][0-9]{2}\)?[ .-][0-9]{3}[ .-][0-9]{4}"
 _IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 _CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
 #: One match at a time, in the order of the alternatives; numbers must not continue on either side.
