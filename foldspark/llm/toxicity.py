@@ -44,6 +44,8 @@ IDENTITY = [
 _SWAP = {term: group[(i + 1) % len(group)] for group in IDENTITY for i, term in enumerate(group)}
 _WORD = re.compile(r"\w+")
 SAMPLE, FEATURES = 20_000, 400
+#: Features counted in a task before their counts are handed on.
+COUNTED = 150_000
 RIDGE, TIE = 0.01, 10.0
 
 
@@ -80,20 +82,30 @@ def _contrasts(rows: DataFrame, features: int, least: int = 3) -> list[str]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic: dict[str, int] = {}
         other: dict[str, int] = {}
+
+        def counted() -> pa.RecordBatch:
+            names = list(toxic.keys() | other.keys())
+            out = pa.RecordBatch.from_arrays(
+                [
+                    pa.array(names, pa.string()),
+                    pa.array([toxic.get(f, 0) for f in names], pa.int64()),
+                    pa.array([other.get(f, 0) for f in names], pa.int64()),
+                ],
+                names=["feature", "toxic", "other"],
+            )
+            toxic.clear()
+            other.clear()
+            return out
+
         for batch in batches:
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
                 table = toxic if y else other
                 for f in set(_known(text)):
                     table[f] = table.get(f, 0) + 1
-        names = list(toxic.keys() | other.keys())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(names, pa.string()),
-                pa.array([toxic.get(f, 0) for f in names], pa.int64()),
-                pa.array([other.get(f, 0) for f in names], pa.int64()),
-            ],
-            names=["feature", "toxic", "other"],
-        )
+                # partial counts are added up afterwards
+                if len(toxic) + len(other) > COUNTED:
+                    yield counted()
+        yield counted()
 
     size = rows.agg(F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("n")).first()
     n1, n0 = size.toxic or 0, (size.n or 0) - (size.toxic or 0)
@@ -120,7 +132,7 @@ class Model:
         """Numbers of the features that a piece of text has."""
         found = self._hits.get(piece)
         if found is None:
-            if len(self._hits) > 300_000:
+            if len(self._hits) > 100_000:
                 self._hits.clear()
             found = tuple({self.place[f] for f in _known(piece) if f in self.place})
             if len(piece) <= 64:
