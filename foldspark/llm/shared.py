@@ -6,6 +6,7 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def tokenizer_path(name: str) -> str:
 
 def in_groups(batch: pa.RecordBatch, column: str, size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``size`` bytes of text each; a longer text is a slice of its own."""
-    lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+    lengths = pc.binary_length(batch.column(column)).to_pylist()
     begin = total = 0
     for i, n in enumerate(lengths):
         n = n or 0
@@ -65,12 +66,15 @@ def rows_of(docs: DataFrame, keys: DataFrame, id_col: str, digest: Column) -> Da
     ``digest`` is the expression over ``docs`` that ``_digest`` was made with.
     """
     length = sum((F.char_length(F.coalesce(F.col(c), F.lit(""))) for c, kind in docs.dtypes if kind == "string"), F.lit(0))
+    keys = checkpoint(keys)
     rows = docs.select(
         F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_own_id"), digest.alias("_own"), length.alias("_length")
     )
     stay = rows.join(keys, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")))
     single = stay.filter("_copies = 1").select("_row.*")
-    # only repeated rows take this way
+    # only repeated rows take a second way, and only if there are any
+    if keys.filter("_copies > 1").isEmpty():
+        return single
     repeated = stay.filter("_copies > 1").groupBy("_id", "_digest").agg(F.max_by("_row", "_length").alias("_row"))
     return single.unionByName(repeated.select("_row.*"))
 
