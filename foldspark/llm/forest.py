@@ -12,12 +12,13 @@ are also compared with their pivots, the classes closest to the run's most
 common values, which finds the centre of a star of copies.
 
 A comparison counts equal minhash values and sizes; what may reach the wanted
-similarity (4.5 standard deviations of slack) is a candidate. Of a class's
-candidates in one tree the closest are kept: few among those that are surely
-links, since they connect the same component, more among doubtful ones.
-Candidates are confirmed on the full sets, which travel only for the classes
-that have any. Components of the confirmed links are found by repeated minimum
-labels with shortcuts.
+similarity (4.5 standard deviations of slack) is a candidate. In a first round
+only the closest candidates of a class and tree are confirmed, since links in a dense group
+mostly connect what is connected already. A second round takes the classes that
+had more, and confirms all their candidates between different components, so
+none is dropped. Candidates are confirmed on the full sets, which travel only
+for the classes that have any. Components of the confirmed links are found by
+repeated minimum labels with shortcuts.
 
 No step holds a group of copies in one task: equal sets are combined before the
 shuffle, and sorted runs are cut wherever a partition or batch ends, which the
@@ -48,16 +49,19 @@ from foldspark.llm.shared import checkpoint, in_groups, rows_of, whole
 
 TREES, DEPTH, LEAST = 12, 10, 3
 VALUES = TREES * DEPTH
+EXTRA = 240  # further values, compared in the second round only
 REACH = 64  # neighbours compared on either side
 PIVOTS = 4  # per run longer than the reach
-SURE, SURE_KEPT, DOUBTFUL_KEPT = 0.93, 2, 8  # kept per class and tree, the closest first
-SLACK = 4.5
+SURE = 0.93  # share of equal values from which a candidate is surely a link
+#: candidates confirmed per class and tree in the first round, the closest first: sure ones, doubtful ones
+KEPT = (1, 4)
+SLACK = 4.5  # standard deviations
 
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _NONE = np.uint64(0x5851F42D4C957F2D)  # stands for a missing word
 _rng = np.random.default_rng(7)
-_MULTIPLY = (_rng.integers(0, 2**32, VALUES, np.uint64) | 1).astype(np.uint32)
-_FLIP = _rng.integers(0, 2**32, VALUES, np.uint64).astype(np.uint32)
+_MULTIPLY = (_rng.integers(0, 2**32, VALUES + EXTRA, np.uint64) | 1).astype(np.uint32)
+_FLIP = _rng.integers(0, 2**32, VALUES + EXTRA, np.uint64).astype(np.uint32)
 
 
 def _mixed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -109,13 +113,13 @@ def shingle_sets(texts: pa.Array, words: int = 3) -> list[np.ndarray]:
 
 def _minima(sets: list[np.ndarray]) -> np.ndarray:
     """Low 16 bits of the minhash values, one row per set (zero for empty sets)."""
-    out = np.zeros((len(sets), VALUES), np.uint16)
+    out = np.zeros((len(sets), VALUES + EXTRA), np.uint16)
     full = [i for i, s in enumerate(sets) if len(s)]
     if not full:
         return out
     flat = np.concatenate([(sets[i] >> np.uint64(32)).astype(np.uint32) for i in full])
     starts = np.concatenate([[0], np.cumsum([len(sets[i]) for i in full])])[:-1]
-    for k in range(VALUES):
+    for k in range(VALUES + EXTRA):
         out[full, k] = np.minimum.reduceat((flat ^ _FLIP[k]) * _MULTIPLY[k], starts) & np.uint32(0xFFFF)
     return out
 
@@ -126,63 +130,71 @@ def _fixed(data: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, n * width + 1, width, np.int32)), flat])
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """doc_id, row_digest (of the text), n_shingles, set_digest, order (values by tree, big-endian), low (low bytes)."""
+def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, minima: bool) -> DataFrame:
+    """doc_id, row_digest (of the text), n_shingles, set_digest, and with ``minima`` order (values by tree, big-endian) and
+    low (low bytes of all values).
+    """
+    names = ["doc_id", "row_digest", "n_shingles", "set_digest", *(["order", "low"] if minima else [])]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in in_groups(batch, "text"):
                 sets = shingle_sets(rows.column("text"), words)
-                minima = _minima(sets)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column("doc_id"),
-                        rows.column("row_digest"),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(digests, pa.binary()),
-                        _fixed(minima.astype(">u2").view(np.uint8)),
-                        _fixed((minima & np.uint16(0xFF)).astype(np.uint8)),
-                    ],
-                    names=["doc_id", "row_digest", "n_shingles", "set_digest", "order", "low"],
-                )
+                columns = [
+                    rows.column("doc_id"),
+                    rows.column("row_digest"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(digests, pa.binary()),
+                ]
+                if minima:
+                    values = _minima(sets)
+                    columns.append(_fixed(values[:, :VALUES].astype(">u2").view(np.uint8)))
+                    columns.append(_fixed((values & np.uint16(0xFF)).astype(np.uint8)))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.sha2(whole(text_col), 256).alias("row_digest"), whole(text_col).alias("text")
     )
-    return rows.mapInArrow(
-        sign, "doc_id long, row_digest string, n_shingles long, set_digest binary, order binary, low binary"
-    )
+    kinds = "doc_id long, row_digest string, n_shingles long, set_digest binary"
+    return rows.mapInArrow(sign, kinds + (", order binary, low binary" if minima else ""))
 
 
 def _closest(a: np.ndarray, b: np.ndarray, equal: np.ndarray, sure: int) -> np.ndarray:
     """Which pairs are among the closest of either end; sure and doubtful pairs are counted apart."""
     keep = np.zeros(len(a), bool)
     is_sure = equal >= sure
+    most = np.where(is_sure, *KEPT)
     for end in (a, b):
         order = np.lexsort((-equal, is_sure, end))
         group = end[order] * 2 + is_sure[order]
         first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         rank = np.arange(len(order)) - np.repeat(first, np.diff(np.concatenate([first, [len(order)]])))
-        keep[order] |= rank < np.where(is_sure[order], SURE_KEPT, DOUBTFUL_KEPT)
+        keep[order] |= rank < most[order]
     return keep
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes, a < b, that may have ``percent`` % similarity; a pair may occur once per tree."""
+def candidates(classes: DataFrame, percent: int, limited: bool) -> DataFrame:
+    """Pairs (a, b) of classes, a < b, that may have ``percent`` % similarity; a pair may occur once per tree.
+
+    Pairs with one ``label`` are left out. If ``limited``, only the closest of
+    each class and tree are given, and a row (a, a) for each class that has others;
+    otherwise the extra values are compared as well.
+    """
     share = percent / 100
-    least = int(np.floor(VALUES * (share - SLACK * np.sqrt(share * (1 - share) / VALUES))))
-    sure = int(np.ceil(VALUES * max(SURE, (1 + share) / 2)))
+    values = VALUES if limited else VALUES + EXTRA
+    least = int(np.floor(values * (share - SLACK * np.sqrt(share * (1 - share) / values))))
+    sure = int(np.ceil(values * max(SURE, (1 + share) / 2)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def in_batch(tree, key, low, node, size, fresh):
+        def in_batch(tree, key, low, node, size, label, fresh):
             # rows before ``fresh`` were searched among themselves already
             run = np.concatenate([tree[:, None].astype(np.uint8), key[:, : 2 * LEAST]], axis=1)
-            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            found: list[tuple[np.ndarray, ...]] = []
 
             def compare(i: np.ndarray, j: np.ndarray) -> None:
                 small, large = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-                fit = (100 * small >= percent * large) & (node[i] != node[j])
+                fit = (100 * small >= percent * large) & (label[i] != label[j])
                 i, j = i[fit], j[fit]
                 equal = (low[i] == low[j]).sum(axis=1)
                 near = equal >= least
@@ -200,7 +212,7 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
             for begin, end in zip(begins, np.append(begins[1:], len(node))):
                 if end - begin > REACH:
                     part = low[begin:end]
-                    common = np.array([np.bincount(part[:, k], minlength=256).argmax() for k in range(VALUES)], np.uint8)
+                    common = np.array([np.bincount(part[:, k], minlength=256).argmax() for k in range(values)], np.uint8)
                     likeness = (part == common).sum(axis=1)
                     for pivot in begin + np.argsort(-likeness, kind="stable")[:PIVOTS]:
                         others = np.arange(begin, end)
@@ -209,10 +221,14 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
             a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
             order = np.lexsort((b, a))
             a, b, equal = a[order], b[order], equal[order]
-            once = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.empty(0, bool)
+            once = np.ones(len(a), bool)
+            once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
             a, b, equal = a[once], b[once], equal[once]
-            keep = _closest(a, b, equal, sure) if len(a) else once
-            return pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+            if limited and len(a):
+                keep = _closest(a, b, equal, sure)
+                more = np.unique(np.concatenate([a[~keep], b[~keep]]))
+                a, b = np.concatenate([a[keep], more]), np.concatenate([b[keep], more])
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         held = None
         for batch in batches:
@@ -221,9 +237,10 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
             now = [
                 batch.column("tree").to_numpy(zero_copy_only=False),
                 np.frombuffer(b"".join(batch.column("key").to_pylist()), np.uint8).reshape(-1, 2 * DEPTH),
-                np.frombuffer(b"".join(batch.column("low").to_pylist()), np.uint8).reshape(-1, VALUES),
+                np.frombuffer(b"".join(batch.column("low").to_pylist()), np.uint8).reshape(-1, values),
                 batch.column("node").to_numpy(zero_copy_only=False),
                 batch.column("n_shingles").to_numpy(zero_copy_only=False),
+                batch.column("label").to_numpy(zero_copy_only=False),
             ]
             fresh = 0
             if held is not None:
@@ -233,16 +250,16 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
             held = [x[-REACH:] for x in now]
 
     rows = classes.select(
-        F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "order", "low", "node", "n_shingles"
+        F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "order", F.substring("low", 1, values).alias("low"), "node", "n_shingles", "label"
     ).select(
-        "tree", F.substring("order", F.col("tree") * F.lit(2 * DEPTH) + F.lit(1), F.lit(2 * DEPTH)).alias("key"), "low", "node", "n_shingles"
+        "tree", F.substring("order", F.col("tree") * F.lit(2 * DEPTH) + F.lit(1), F.lit(2 * DEPTH)).alias("key"), "low", "node", "n_shingles", "label"
     )
     ordered = rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
     return ordered.mapInArrow(search, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets have ``percent`` % similarity or more."""
+def full_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """node, set_digest, values (the set) of every class in ``pairs``, written once."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = wanted.join(classes.select("node", "set_digest"), "node")
     texts = docs.select(F.col(id_col).cast("long").alias("node"), whole(text_col).alias("text"))
@@ -260,7 +277,11 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str
     sets = texts.join(wanted.select("node").distinct(), "node", "left_semi").mapInArrow(
         make, "node long, set_digest binary, values binary"
     )
-    sets = checkpoint(sets.join(wanted, ["node", "set_digest"], "left_semi").dropDuplicates(["node", "set_digest"]))
+    return checkpoint(sets.join(wanted, ["node", "set_digest"], "left_semi").dropDuplicates(["node", "set_digest"]))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets have ``percent`` % similarity or more."""
 
     @F.pandas_udf("boolean")
     def linked(first: pd.Series, second: pd.Series) -> pd.Series:
@@ -302,16 +323,31 @@ def near_duplicates(
     Two texts are linked if their sets of ``words``-word shingles have at least
     ``percent`` % of their union in common.
     """
-    signed = checkpoint(signatures(docs, id_col, text_col, words))
+    # minhash values are made and kept once a class; the rows' digests take a pass of their own, which is cheaper than keeping both
+    signed = checkpoint(signatures(docs, id_col, text_col, words, minima=False))
     classes = checkpoint(
-        signed.filter("n_shingles > 0")
+        signatures(docs, id_col, text_col, words, minima=True)
+        .filter("n_shingles > 0")
         .groupBy("set_digest")
         .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), F.max("order").alias("order"), F.max("low").alias("low"))
     )
     named = classes.filter("node is not null")
-    pairs = checkpoint(candidates(named, percent).distinct())
-    links = confirmed(pairs, docs, named, id_col, text_col, words, percent)
+    near = checkpoint(candidates(named.withColumn("label", F.col("node")), percent, limited=True).distinct())
+    pairs = near.filter("a < b")
+    sets = full_sets(docs, pairs, named, id_col, text_col, words)
+    links = checkpoint(confirmed(pairs, sets, percent))
     found = components(links)
+    # candidates beyond the closest matter only if they join two components
+    crowded = near.filter("a = b").select(F.col("a").alias("node"))
+    if not crowded.isEmpty():
+        again = named.join(crowded, "node").join(found, "node", "left")
+        again = again.withColumn("label", F.coalesce("component", "node"))
+        rest = candidates(again, percent, limited=False).distinct()
+        rest = checkpoint(rest.join(pairs, ["a", "b"], "left_anti"))
+        # every class with more candidates had some in the first round, so its set is there
+        more = checkpoint(confirmed(rest, sets, percent))
+        if not more.isEmpty():
+            found = components(links.unionByName(more))
     classes = classes.join(found, "node", "left").select("set_digest", F.coalesce("component", "node").alias("component"))
     rows = signed.select("doc_id", "row_digest", "n_shingles", "set_digest").join(classes, "set_digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
