@@ -33,12 +33,23 @@ def normalised(text: str | Column) -> Column:
     return F.translate(whole(text), WHITE, "")
 
 
-def _named(things: DataFrame, by: list[str]) -> DataFrame:
-    """Distinct rows of ``things`` in sorted order, with their place in it as ``name``."""
-    ordered = things.distinct().repartitionByRange(*by).sortWithinPartitions(*by)
+def _named(things: DataFrame, by: list[Column]) -> DataFrame:
+    """Distinct rows of ``things`` in the order of ``by``, which tells them apart, with their place in it as ``name``."""
+    # the last key only breaks ties within a partition
+    bounds = by[:-1] if len(by) > 2 else by
+    ordered = things.distinct().repartitionByRange(*bounds).sortWithinPartitions(*by)
     return ordered.withColumn("name", F.monotonically_increasing_id())
 
 
+def _block_order() -> list[Column]:
+    """Blocks by their first bytes, then by a hash, then whole.
+
+    The first two bound the partitions, so that the sample that sets the bounds
+    holds a few bytes a block; the sort in a partition goes on to the whole block.
+    """
+    return [F.substring("content", 1, 16), F.xxhash64("content"), F.col("content")]
+
+
 def _same_row(other: DataFrame, rows: DataFrame, keys: list[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -62,12 +73,13 @@ def document_names(docs: DataFrame, id_col: str, text_col: str, block: int = BLO
         "doc_id", "text_sha256", "n", "b.*"
     )
     pieces = pieces.withColumn("digest", F.sha2("content", 256))
-    names = checkpoint(_named(pieces.select("content"), ["content"]).select(F.sha2("content", 256).alias("digest"), "name"))
+    names = _named(pieces.select("content"), _block_order())
+    names = checkpoint(names.select(F.sha2("content", 256).alias("digest"), "name"))
     shared = names.groupBy("digest").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     if shared.isEmpty():
         level = pieces.drop("content").join(names, "digest")
     else:
-        level = pieces.join(_named(pieces.select("content"), ["content"]), "content")
+        level = pieces.join(_named(pieces.select("content"), _block_order()), "content")
     level = checkpoint(level.select("doc_id", "text_sha256", "n", "at", "name").distinct())
     done = level.filter("n = 1").select("doc_id", "text_sha256", F.lit(0).alias("levels"), "name")
     height = 0
@@ -82,7 +94,7 @@ def document_names(docs: DataFrame, id_col: str, text_col: str, block: int = BLO
             F.coalesce(F.max(F.when(half == 1, F.col("name"))), F.lit(-1)).alias("second"),
         )
         pairs = pairs.withColumn("n", F.ceil(F.col("n") / 2).cast("int"))
-        names = _named(pairs.select("first", "second"), ["first", "second"])
+        names = _named(pairs.select("first", "second"), [F.col("first"), F.col("second")])
         level = checkpoint(pairs.join(names, ["first", "second"]).select("doc_id", "text_sha256", "n", "at", "name"))
         done = done.unionByName(level.filter("n = 1").select("doc_id", "text_sha256", F.lit(height).alias("levels"), "name"))
 
