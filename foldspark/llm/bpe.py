@@ -152,7 +152,7 @@ def _of(path: str) -> tuple[Vocabulary, PieceEncoder]:
         vocabulary = Vocabulary(path)
         _made[path] = (
             vocabulary,
-            PieceEncoder(lambda pieces: [array("I", vocabulary.encode(p)).tobytes() for p in pieces]),
+            PieceEncoder(lambda pieces: [array("I", vocabulary.encode(p)).tobytes() for p in pieces], entries=400_000),
         )
     return _made[path]
 
