@@ -38,34 +38,39 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldspark.llm.shared import in_groups, whole
+from foldspark.llm.shared import checkpoint, in_groups, whole
 from foldspark.llm.tokens import ids_column, library_encoder
 
-ROUNDS = 5
+ROUNDS = 4
 LEAST = 24
-SHARD_TOKENS = 1_500_000
-_BINS = 1 << 20
+SHARD_TOKENS = 600_000
+#: The first ids of up to so many parts are broadcast (12 bytes each); more are joined by shuffles.
+BROADCAST_PARTS = 500_000
+_BIN_BITS = 20
+_BINS = 1 << _BIN_BITS
 
 
-def _frequent(codes: np.ndarray, base: int, round_: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _frequent(codes: np.ndarray, apart: np.ndarray, round_: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where pairs met ``least`` times or more occur, the bin that names each occurrence's pair, and counts by bin.
 
     Pairs are counted in hashed bins. A bin names one pair; others that fall
-    into it wait for the next round, which hashes differently. Negative codes
-    are no pairs.
+    into it wait for the next round, which hashes differently. Places in
+    ``apart`` hold no pair.
     """
-    bins = ((codes * (0x9E3779B97F4A7C15 + 2 * round_ - (1 << 64))) >> 40) & (_BINS - 1)
-    there = np.flatnonzero(codes >= 0)
-    sums = np.bincount(bins[there], minlength=_BINS)  # upper bounds of the counts
-    at = there[(sums >= least)[bins[there]]]
-    of_bin = np.full(_BINS, -1, np.int64)
-    own_bins, own = bins[at], codes[at]
-    of_bin[own_bins] = own
-    same = of_bin[own_bins] == own
-    at, own_bins = at[same], own_bins[same]
-    counts = np.bincount(own_bins, minlength=_BINS)
-    often = (counts >= least)[own_bins]
-    return at[often], own_bins[often], counts
+    multiplier = 0x9E3779B1 + 2 * round_ if codes.dtype == np.uint32 else 0x9E3779B97F4A7C15 + 2 * round_
+    bins = ((codes * codes.dtype.type(multiplier)) >> codes.dtype.type(8 * codes.itemsize - _BIN_BITS)).astype(np.int64)
+    bins[apart] = _BINS
+    sums = np.bincount(bins, minlength=_BINS + 1)  # upper bounds of the counts
+    sums[_BINS] = 0
+    at = np.flatnonzero((sums >= least)[bins])
+    bins, codes = bins[at], codes[at]
+    of_bin = np.empty(_BINS, codes.dtype)
+    of_bin[bins] = codes
+    same = of_bin[bins] == codes
+    at, bins = at[same], bins[same]
+    counts = np.bincount(bins, minlength=_BINS)
+    often = (counts >= least)[bins]
+    return at[often], bins[often], counts
 
 
 def compress(
@@ -75,7 +80,7 @@ def compress(
 
     ``offsets`` are where the documents begin in ``ids``, with the end.
     """
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.uint32)
     first = np.asarray(offsets, np.int64)
     rules: list[np.ndarray] = []
     base = terminals
@@ -83,35 +88,38 @@ def compress(
         n = len(symbols)
         if n < 2:
             break
-        codes = symbols[:-1] * base + symbols[1:]
-        inner = first[(first > 0) & (first < n)]
-        codes[inner - 1] = -1
-        at, bins, counts = _frequent(codes, base, round_, least)
+        wide = np.uint32 if base <= 1 << 16 else np.uint64
+        codes = symbols[:-1] * wide(base) + symbols[1:]
+        at, bins, counts = _frequent(codes, first[(first > 0) & (first < n)] - 1, round_, least)
         if not len(at):
             break
-        weight = np.zeros(n + 1, np.int64)
-        weight[at + 1] = counts[bins]  # weight[i + 1]: count of the pair at i
-        best = (weight[at + 1] >= weight[at]) & (weight[at + 1] >= np.append(weight, 0)[at + 2])
+        weight = np.zeros(n + 2, np.int32)  # weight[i + 1]: count of the pair at i
+        own = counts[bins].astype(np.int32)
+        weight[at + 1] = own
+        best = (own >= weight[at]) & (own >= weight[at + 2])
         at, bins = at[best], bins[best]
         # equal neighbours remain in runs of consecutive places: take every second
         starts = np.flatnonzero(np.concatenate([[True], np.diff(at) != 1]))
-        place = np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))
-        at, bins = at[place % 2 == 0], bins[place % 2 == 0]
+        if len(starts) < len(at):
+            place = np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))
+            at, bins = at[place % 2 == 0], bins[place % 2 == 0]
         # overlaps have taken some occurrences; what is left must still pay for its rule
         left = np.bincount(bins, minlength=_BINS) >= least // 2
-        at, bins = at[left[bins]], bins[left[bins]]
+        stays = left[bins]
+        at, bins = at[stays], bins[stays]
         if not len(at):
             break
-        of_bin = np.full(_BINS, -1, np.int64)
+        of_bin = np.zeros(_BINS, codes.dtype)
         of_bin[bins] = codes[at]
-        used = np.flatnonzero(of_bin >= 0)
-        number = np.empty(_BINS, np.int64)
+        used = np.flatnonzero(left)
+        number = np.empty(_BINS, np.uint32)
         number[used] = np.arange(len(used))
-        rules.append(np.stack([of_bin[used] // base, of_bin[used] % base], axis=1))
-        symbols[at] = base + number[bins]
+        pairs = of_bin[used].astype(np.int64)
+        rules.append(np.stack([pairs // base, pairs % base], axis=1))
+        symbols[at] = number[bins] + np.uint32(base)
         stay = np.ones(n, bool)
         stay[at + 1] = False
-        first = np.concatenate([[0], np.cumsum(stay)])[first]
+        first = first - np.searchsorted(at + 1, first)
         symbols = symbols[stay]
         base += len(used)
     return symbols, first, rules
@@ -262,6 +270,7 @@ def write(
             )
             number, begin = number + 1, begin + held
             ids, counts, names, held = [], [], [], 0
+            pa.default_memory_pool().release_unused()
             return out
 
         for batch in batches:
@@ -322,6 +331,9 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     parts = table.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    parts = checkpoint(parts)
+    if parts.count() <= BROADCAST_PARTS:
+        parts = F.broadcast(parts)
     return found.join(parts, "part").select(
         "doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids"
     )

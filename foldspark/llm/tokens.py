@@ -34,11 +34,14 @@ class PieceEncoder:
 
     ``entries`` bounds the table of pieces met before; pieces over ``longest``
     characters are not kept in it. A comma or full stop behind a letter is a
-    word of its own in both vocabularies, and so it is a piece of its own.
+    word of its own in both vocabularies, and so it is a piece of its own. With
+    ``lower`` (a vocabulary of lower-case words) A to Z are lowered before pieces are told apart.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = 400_000, longest: int = 48):
-        self.encode, self.entries, self.longest = encode, entries, longest
+    def __init__(
+        self, encode: Callable[[list[str]], list[bytes]], entries: int = 200_000, longest: int = 48, lower: bool = False
+    ):
+        self.encode, self.entries, self.longest, self.lower = encode, entries, longest, lower
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
@@ -70,11 +73,13 @@ class PieceEncoder:
         n = len(texts)
         if n == 0:
             return np.empty(0, np.uint32), np.zeros(1, np.int64)
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = pc.fill_null(texts, "")
+        small = (pc.ascii_lower(texts) if self.lower else texts).cast(pa.large_string())
+        texts = texts.cast(pa.large_string())
         odd = pc.match_substring_regex(texts, _ODD)
         # the blank behind gives an empty piece, which has no ids
         plain = pc.binary_join_element_wise(
-            pa.scalar(_FIRST, pa.large_string()), pc.replace_substring(texts, "\n", " \n"), pa.scalar(" ", pa.large_string()),
+            pa.scalar(_FIRST, pa.large_string()), pc.replace_substring(small, "\n", " \n"), pa.scalar(" ", pa.large_string()),
             pa.scalar("", pa.large_string()),
         )
         for stop in ",.":
@@ -182,7 +187,10 @@ def library_encoder(path: str) -> PieceEncoder:
                     out[i] = array("I", ids).tobytes()
             return out
 
-        _made[path] = PieceEncoder(by_rank if ranked else by_library)
+        if ranked:
+            _made[path] = PieceEncoder(by_rank, entries=400_000)
+        else:
+            _made[path] = PieceEncoder(by_library, lower=lower)
     return _made[path]
 
 
