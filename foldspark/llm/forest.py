@@ -7,22 +7,29 @@ their ``DEPTH`` values; neighbours in that order have the longest common
 prefixes. Within a run that shares the first ``LEAST`` values, a class is
 compared with its nearest neighbours on either side: where few classes share
 that prefix these are all of them, and in a dense region they are those that
-agree deeper, so the depth adapts to the region. Runs longer than that reach
-are also compared with their pivots, the classes closest to the run's most
-common values, which finds the centre of a star of copies.
+agree deeper, so the depth adapts to the region. Rows in one batch of a run
+longer than that reach are also compared with the batch's pivots, the classes
+closest to its most common values.
 
 A comparison counts equal minhash values and sizes; what may reach the wanted
 similarity (4.5 standard deviations of slack) is a candidate. In a first round
 only the closest candidates of a class and tree are confirmed, since links in a dense group
-mostly connect what is connected already. A second round takes the classes that
-had more, and confirms all their candidates between different components, so
-none is dropped. Candidates are confirmed on the full sets, which travel only
-for the classes that have any. Components of the confirmed links are found by
-repeated minimum labels with shortcuts.
+mostly connect what is connected already. Runs that were not compared whole or
+not confirmed whole (longer than the reach, cut by a partition's end, or with
+candidates beyond the closest) are met again: first every class of a long run
+with the run's hubs, the classes with most links so far, which joins stars of
+copies; then, in every run that still has several components, the classes
+outside its largest one with all classes of other components. So each pair of a
+run ends in one component or is compared, first by minhash values and then, where
+it may reach the similarity, by the full sets in the same cell, whatever the length of the run and
+wherever batches end. Candidates are confirmed on the full sets, which travel
+only for the classes that have any. Components of the confirmed links are found
+by repeated minimum labels with shortcuts.
 
 No step holds a group of copies in one task: equal sets are combined before the
-shuffle, and sorted runs are cut wherever a partition or batch ends, which the
-other trees make up for. A pair at the threshold agrees on the first ``LEAST``
+shuffle, sorted runs are cut wherever a partition or batch ends, and runs met
+again are dealt into cells by a hash. The last comparison grows with the product of a
+run's length and its classes outside the largest component. A pair at the threshold agrees on the first ``LEAST``
 values of at least one tree with probability 1 - (1 - 0.85^3)^12 = 0.99999;
 measured recall is in the README.
 
@@ -36,13 +43,13 @@ numbers.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldspark.llm.shared import checkpoint, in_groups, rows_of, whole
@@ -51,7 +58,9 @@ TREES, DEPTH, LEAST = 12, 10, 3
 VALUES = TREES * DEPTH
 EXTRA = 240  # further values, compared in the second round only
 REACH = 64  # neighbours compared on either side
-PIVOTS = 4  # per run longer than the reach
+PIVOTS = 4  # per batch and run longer than the reach
+HUBS = 16  # per run longer than the reach, over all its classes
+CELL = 1000  # classes of a run met again that go to one task together
 SURE = 0.93  # share of equal values from which a candidate is surely a link
 #: candidates confirmed per class and tree in the first round, the closest first: sure ones, doubtful ones
 KEPT = (1, 4)
@@ -174,27 +183,36 @@ def _closest(a: np.ndarray, b: np.ndarray, equal: np.ndarray, sure: int) -> np.n
     return keep
 
 
-def candidates(classes: DataFrame, percent: int, limited: bool) -> DataFrame:
-    """Pairs (a, b) of classes, a < b, that may have ``percent`` % similarity; a pair may occur once per tree.
+def _least(values: int, percent: int) -> int:
+    """Equal values out of ``values`` that a pair at the threshold has, less the slack."""
+    share = percent / 100
+    return int(np.floor(values * (share - SLACK * np.sqrt(share * (1 - share) / values))))
+
+
+def _run(tree: Column) -> Column:
+    return F.substring("order", tree * F.lit(2 * DEPTH) + F.lit(1), F.lit(2 * LEAST))
+
 
-    Pairs with one ``label`` are left out. If ``limited``, only the closest of
-    each class and tree are given, and a row (a, a) for each class that has others;
-    otherwise the extra values are compared as well.
+def candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes, a < b, that may have ``percent`` % similarity, the closest of each class, once per tree.
+
+    A row (a, a) names a class and tree whose run is not given whole: it is longer than the reach, may go on
+    in another partition, or has candidates beyond the closest.
     """
+    values = VALUES
+    least = _least(values, percent)
     share = percent / 100
-    values = VALUES if limited else VALUES + EXTRA
-    least = int(np.floor(values * (share - SLACK * np.sqrt(share * (1 - share) / values))))
     sure = int(np.ceil(values * max(SURE, (1 + share) / 2)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def in_batch(tree, key, low, node, size, label, fresh):
+        def in_batch(tree, key, low, node, size, fresh, first):
             # rows before ``fresh`` were searched among themselves already
             run = np.concatenate([tree[:, None].astype(np.uint8), key[:, : 2 * LEAST]], axis=1)
             found: list[tuple[np.ndarray, ...]] = []
 
             def compare(i: np.ndarray, j: np.ndarray) -> None:
                 small, large = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-                fit = (100 * small >= percent * large) & (label[i] != label[j])
+                fit = (100 * small >= percent * large) & (node[i] != node[j])
                 i, j = i[fit], j[fit]
                 equal = (low[i] == low[j]).sum(axis=1)
                 near = equal >= least
@@ -208,9 +226,12 @@ def candidates(classes: DataFrame, percent: int, limited: bool) -> DataFrame:
                 if not len(i):
                     break
                 compare(i, i - step)
+            again = np.zeros(len(node) + 1, bool)  # by number of the run
+            again[1] = first
             begins = np.flatnonzero(new_run)
             for begin, end in zip(begins, np.append(begins[1:], len(node))):
                 if end - begin > REACH:
+                    again[number[begin]] = True
                     part = low[begin:end]
                     common = np.array([np.bincount(part[:, k], minlength=256).argmax() for k in range(values)], np.uint8)
                     likeness = (part == common).sum(axis=1)
@@ -219,16 +240,25 @@ def candidates(classes: DataFrame, percent: int, limited: bool) -> DataFrame:
                         compare(others, np.full(len(others), pivot))
             i, j, equal = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
             a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-            order = np.lexsort((b, a))
-            a, b, equal = a[order], b[order], equal[order]
+            # classes of rows that share an id are one node, which may have several places
+            place = number[i]
+            order = np.lexsort((-equal, b, a, tree[i]))
+            a, b, equal, place = a[order], b[order], equal[order], place[order]
             once = np.ones(len(a), bool)
-            once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            a, b, equal = a[once], b[once], equal[once]
-            if limited and len(a):
-                keep = _closest(a, b, equal, sure)
-                more = np.unique(np.concatenate([a[~keep], b[~keep]]))
-                a, b = np.concatenate([a[keep], more]), np.concatenate([b[keep], more])
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (tree[i][order][1:] != tree[i][order][:-1])
+            keep = once.copy()
+            if once.any():
+                keep[once] = _closest(a[once], b[once], equal[once], sure)
+            again[place[once & ~keep]] = True
+            marked = begins[again[number[begins]]]
+            a, b = np.concatenate([a[keep], node[marked]]), np.concatenate([b[keep], node[marked]])
+            trees = np.concatenate([np.full(keep.sum(), -1), tree[marked]])
+            return given(a, b, trees)
+
+        def given(a, b, trees):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(trees, pa.int32())], names=["a", "b", "tree"]
+            )
 
         held = None
         for batch in batches:
@@ -240,22 +270,132 @@ def candidates(classes: DataFrame, percent: int, limited: bool) -> DataFrame:
                 np.frombuffer(b"".join(batch.column("low").to_pylist()), np.uint8).reshape(-1, values),
                 batch.column("node").to_numpy(zero_copy_only=False),
                 batch.column("n_shingles").to_numpy(zero_copy_only=False),
-                batch.column("label").to_numpy(zero_copy_only=False),
             ]
             fresh = 0
             if held is not None:
                 fresh = len(held[0])
                 now = [np.concatenate([x, y]) for x, y in zip(held, now)]
-            yield in_batch(*now, fresh)
+            yield in_batch(*now, fresh, held is None)
             held = [x[-REACH:] for x in now]
+        if held is not None:
+            yield given(held[3][-1:], held[3][-1:], held[0][-1:])
 
     rows = classes.select(
-        F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "order", F.substring("low", 1, values).alias("low"), "node", "n_shingles", "label"
+        F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "order", F.substring("low", 1, values).alias("low"), "node", "n_shingles"
     ).select(
-        "tree", F.substring("order", F.col("tree") * F.lit(2 * DEPTH) + F.lit(1), F.lit(2 * DEPTH)).alias("key"), "low", "node", "n_shingles", "label"
+        "tree", F.substring("order", F.col("tree") * F.lit(2 * DEPTH) + F.lit(1), F.lit(2 * DEPTH)).alias("key"), "low", "node", "n_shingles"
     )
     ordered = rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-    return ordered.mapInArrow(search, "a long, b long")
+    return ordered.mapInArrow(search, "a long, b long, tree int")
+
+
+def run_members(classes: DataFrame, marks: DataFrame) -> DataFrame:
+    """tree, run, node, set_digest of all classes of the runs that ``marks`` (a, tree) names."""
+    runs = marks.select(F.col("a").alias("node"), "tree").join(classes.select("node", "order"), "node")
+    runs = runs.select("tree", _run(F.col("tree")).alias("run")).distinct()
+    rows = classes.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "order", "node", "set_digest")
+    rows = rows.select("tree", _run(F.col("tree")).alias("run"), "node", "set_digest")
+    return rows.join(runs, ["tree", "run"], "left_semi")
+
+
+def met_again(
+    members: DataFrame,
+    classes: DataFrame,
+    found: DataFrame,
+    percent: int,
+    sets: DataFrame,
+    more_sets: Callable[[DataFrame], DataFrame],
+    links: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that join different components within the runs of ``members``, and ``sets`` with those made by ``more_sets``.
+
+    Links that join nothing more in their cell are left out. With ``links``, each
+    long run's classes with most of them are compared with all classes of the run; without, all classes outside the run's largest component are.
+    """
+    values = VALUES + EXTRA
+    least = _least(values, percent)
+    labelled = members.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    by_label = labelled.groupBy("tree", "run", "label").agg(F.count(F.lit(1)).alias("n"))
+    runs = by_label.groupBy("tree", "run").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("most"))
+    runs = runs.filter(F.col("most.n") < F.col("size"))
+    if links is not None:
+        runs = runs.filter(F.col("size") > REACH + 1)
+    cells = F.ceil(F.col("size") / CELL).cast("int")
+    parts = F.lit(1) if links is not None else F.ceil((F.col("size") - F.col("most.n")) / CELL).cast("int")
+    runs = runs.select("tree", "run", cells.alias("cells"), parts.alias("parts"), F.col("most.label").alias("largest"))
+    rows = labelled.join(runs, ["tree", "run"])
+    if links is not None:
+        degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+        first = Window.partitionBy("tree", "run").orderBy(F.desc("degree"), "node", "set_digest")
+        ranked = rows.join(degrees, "node").withColumn("rank", F.row_number().over(first))
+        chosen = ranked.filter(F.col("rank") <= HUBS).drop("rank", "degree")
+    else:
+        chosen = rows.filter("label != largest")
+    spread = F.xxhash64("set_digest", F.lit(7))
+    names = ["tree", "run", "node", "set_digest", "label"]
+    here = rows.select(
+        *names, F.lit(False).alias("chosen"), F.pmod(spread, "cells").cast("int").alias("i"), F.explode(F.expr("sequence(0, parts - 1)")).alias("j")
+    )
+    there = chosen.select(
+        *names, F.lit(True).alias("chosen"), F.explode(F.expr("sequence(0, cells - 1)")).alias("i"), F.pmod(spread, "parts").cast("int").alias("j")
+    )
+    signs = classes.select("node", "set_digest", "n_shingles", "low")
+    rows = here.unionByName(there).join(signs, ["node", "set_digest"])
+
+    kinds = "tree int, run binary, i int, j int, chosen boolean, node long, set_digest binary, label long"
+
+    def fitting(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per chosen row of a cell, the other rows that are candidates with it, and their equal values."""
+        side = table.column("chosen").to_numpy().astype(bool)
+        node, size, label = (table.column(c).to_numpy() for c in ("node", "n_shingles", "label"))
+        low = np.frombuffer(b"".join(table.column("low").to_pylist()), np.uint8).reshape(-1, values)
+        at = np.flatnonzero(~side)
+        at = at[np.argsort(size[at], kind="stable")]
+        sizes = size[at]
+        for c in np.flatnonzero(side):
+            # the sizes that fit lie side by side
+            begin = np.searchsorted(sizes, -(-percent * size[c] // 100))
+            end = np.searchsorted(sizes, 100 * size[c] // percent, "right")
+            others = at[begin:end]
+            others = others[(label[others] != label[c]) & (node[others] != node[c])]
+            equal = np.count_nonzero(low[others] == low[c], axis=1)
+            near = equal >= least
+            if near.any():
+                yield c, others[near], equal[near]
+
+    def with_candidates(table: pa.Table) -> pa.Table:
+        has = np.zeros(table.num_rows, bool)
+        for c, others, _ in fitting(table):
+            has[c] = True
+            has[others] = True
+        return table.select([k.split()[0] for k in kinds.split(", ")]).filter(pa.array(has))
+
+    def joining(table: pa.Table) -> pa.Table:
+        node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("values").to_pylist()]
+        root = np.unique(label, return_inverse=True)[1].copy()  # component of each row within the cell
+        links = []
+        for c, others, equal in fitting(table):
+            for o in others[np.argsort(-equal, kind="stable")]:
+                if root[o] == root[c]:
+                    continue
+                x, y = sets[c], sets[o]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    links.append((min(node[c], node[o]), max(node[c], node[o])))
+                    root[root == root[o]] = root[c]
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    cell = ["tree", "run", "i", "j"]
+    near = checkpoint(rows.groupBy(*cell).applyInArrow(with_candidates, kinds))
+    # the sets of classes that had no candidate before are made now
+    new = near.select(F.col("node").alias("a")).distinct().join(sets.select(F.col("node").alias("a")), "a", "left_anti")
+    new = checkpoint(new.withColumn("b", F.col("a")))
+    if not new.isEmpty():
+        sets = sets.unionByName(more_sets(new))
+    whole_rows = near.join(signs, ["node", "set_digest"]).join(sets, ["node", "set_digest"])
+    return checkpoint(whole_rows.groupBy(*cell).applyInArrow(joining, "a long, b long").distinct()), sets
 
 
 def full_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -332,22 +472,24 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), F.max("order").alias("order"), F.max("low").alias("low"))
     )
     named = classes.filter("node is not null")
-    near = checkpoint(candidates(named.withColumn("label", F.col("node")), percent, limited=True).distinct())
-    pairs = near.filter("a < b")
+    near = checkpoint(candidates(named, percent).distinct())
+    pairs = near.filter("a < b").select("a", "b")
     sets = full_sets(docs, pairs, named, id_col, text_col, words)
     links = checkpoint(confirmed(pairs, sets, percent))
     found = components(links)
-    # candidates beyond the closest matter only if they join two components
-    crowded = near.filter("a = b").select(F.col("a").alias("node"))
-    if not crowded.isEmpty():
-        again = named.join(crowded, "node").join(found, "node", "left")
-        again = again.withColumn("label", F.coalesce("component", "node"))
-        rest = candidates(again, percent, limited=False).distinct()
-        rest = checkpoint(rest.join(pairs, ["a", "b"], "left_anti"))
-        # every class with more candidates had some in the first round, so its set is there
-        more = checkpoint(confirmed(rest, sets, percent))
-        if not more.isEmpty():
-            found = components(links.unionByName(more))
+    # what the first round left of a run matters only if it joins two components
+    marks = near.filter("a = b").select("a", "tree")
+    if not marks.isEmpty():
+        members = checkpoint(run_members(named, marks))
+
+        def more_sets(wanted: DataFrame) -> DataFrame:
+            return full_sets(docs, wanted, named, id_col, text_col, words)
+
+        for by_hubs in (True, False):
+            more, sets = met_again(members, named, found, percent, sets, more_sets, links if by_hubs else None)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                found = components(links)
     classes = classes.join(found, "node", "left").select("set_digest", F.coalesce("component", "node").alias("component"))
     rows = signed.select("doc_id", "row_digest", "n_shingles", "set_digest").join(classes, "set_digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))

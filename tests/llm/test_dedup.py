@@ -137,3 +137,21 @@ def test_forest_on_odd_rows(spark, odd_docs, no_docs):
 def test_candidates_beyond_the_closest_are_confirmed(spark, monkeypatch):
     monkeypatch.setattr(forest, "KEPT", (1, 1))
     _check_near(_copies(spark, 25, 7, 9), 3, 85)
+
+
+def test_star_over_many_batches_and_partitions(spark):
+    # each variant is linked with the original only, which is in one batch of many
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = _copies(spark, 6000, 6, 11).repartition(16)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    first, *others = _sets([texts[i] for i in range(6001)], 3)
+    want = {i for i, s in enumerate(others, 1) if 100 * len(first & s) >= 85 * len(first | s)}
+    assert len(want) > 3000
+    try:
+        spark.conf.set(name, "100")
+        found = forest.near_duplicates(docs, words=3, percent=85).collect()
+    finally:
+        spark.conf.set(name, before)
+    parts = {r.doc_id: r.component_id for r in found}
+    assert not [i for i in want if parts[i] != 0]
