@@ -7,8 +7,8 @@ the composite text density: characters per tag, damped by the share of links.
 The node whose children have the greatest sum of densities is the target; the
 smallest density on its way up to the body is the threshold, and other nodes
 that reach it give their own best subtree too. Where the page marks its article
-(article, main), the target grows to that element. Inside the result, lists of
-links are menus and are left out.
+(article, main), the target grows to that element and is taken with its lists of
+links. On pages without such a mark, lists of links are menus and are left out.
 
 Text is joined by blocks: character references are decoded, white space in a
 block becomes one space, blocks are joined by line feeds in page order.
@@ -257,14 +257,15 @@ def main_text(page: str) -> str:
         # other parts as dense as the way to the target, beside it
         above = set(path)
         for i in range(1, n):
-            if density[i] >= threshold > 0 and sums[i]:
+            if density[i] >= threshold > 0:
                 chosen[i] = chosen[i] or i not in above
-    inside, menu = [False] * n, [False] * n
+    inside, menu, own = [False] * n, [False] * n, [False] * n
     for i in range(n):
         p = tree.parent[i]
         inside[i] = chosen[i] or (p >= 0 and inside[p])
         links = tree.all_link_chars[i] * 2 > tree.all_chars[i] and tree.all_link_tags[i] >= 3
-        menu[i] = (links and tree.name[i] not in ("#page", "body", "article", "main")) or (p >= 0 and menu[p])
+        own[i] = i == marked or (p >= 0 and own[p])
+        menu[i] = not own[i] and ((links and tree.name[i] not in ("#page", "body", "article", "main")) or (p >= 0 and menu[p]))
     return "\n".join(text for i, text in tree.blocks if inside[i] and not menu[i])
 
 

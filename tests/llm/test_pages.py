@@ -60,3 +60,12 @@ def test_odd_pages(spark):
     got = html.extract(pages)
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(["(1, 'u', '', 0)"] * 2 + ["(None, None, 't', 1)"])
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_blocks_beside_a_nested_section_and_linked_sources():
+    lead, inner = "lead " * 130, ["words " * 100] * 3
+    page = f"<body><div><h2>A heading of words</h2><p>{lead}</p><div>" + "".join(f"<p>{t}</p>" for t in inner) + "</div></div>"
+    assert lead.strip() in html.main_text(page).split("\n")
+    sources = "".join(f"<li><a href=x>source {k} of the article</a>" for k in range(4))
+    page = f"<body><article><h1>T</h1><p>{lead}</p><h2>Sources</h2><ul>{sources}</ul></article>"
+    assert html.main_text(page).split("\n")[-4:] == [f"source {k} of the article" for k in range(4)]
