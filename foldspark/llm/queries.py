@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldspark.llm import blocknames, bpe, cotrain, forest, html, packing, pii, repair, rules, toxicity
+from foldspark.llm import (
+    blocknames,
+    bpe,
+    cotrain,
+    forest,
+    html,
+    packing,
+    pii,
+    repair,
+    rules,
+    sharding,
+    toxicity,
+    variants,
+    whitening,
+)
 from foldspark.llm.shared import prepare, shared_folder, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +168,98 @@ def op2_cotrained_quality(spark: SparkSession, folder: str) -> DataFrame:
     """All documents scored for quality by the co-trained text and metadata views."""
     docs = _table(spark, folder, "documents")
     return cotrain.score(docs, cotrain.train(docs, _table(spark, folder, "labels")))
+
+
+def _crc32_table() -> str:
+    """The 256 remainders of CRC-32 as a SQL list, by their rule."""
+    rest = list(range(256))
+    for _ in range(8):
+        rest = [(c >> 1) ^ (0xEDB88320 if c & 1 else 0) for c in rest]
+    return f"[{', '.join(map(str, rest))}]::BIGINT[]"
+
+
+def _crc32_sql(blob: str) -> str:
+    """CRC-32 of a blob: DuckDB has no such function."""
+    octets = f"[('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex({blob}), '..')]"
+    step = f"xor(c >> 8, ({_crc32_table()})[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: {step}), 4294967295)"
+
+
+@_query(
+    "op11_proportional_interleaving",
+    f"""
+    WITH d AS (SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+                      {_crc32_sql("encode(coalesce(text, ''))")} AS text_crc32,
+                      substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 16) AS lot FROM documents),
+         r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY lot, doc_id NULLS FIRST, size, text_crc32) - 1 AS rank,
+                      count(*) OVER (PARTITION BY source) AS n FROM d),
+         p AS (SELECT *, row_number() OVER (ORDER BY (2 * rank + 1)::DOUBLE / (2 * n)::DOUBLE, lot,
+                                                     doc_id NULLS FIRST, size, text_crc32) - 1 AS position,
+                      count(*) OVER () AS total FROM r),
+         s AS (SELECT *, position * 40 // total AS shard FROM p)
+    SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+           (position - (shard * total + 39) // 40)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+    FROM s
+    """,
+)
+def op11_proportional_interleaving(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 40 shards of the mixture of the whole."""
+    found = sharding.interleave(_table(spark, folder, "documents"), shards=40)
+    return found.select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@_query("op12_spectrum_slicing")
+def op12_spectrum_slicing(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings projected on their eight leading components, with unit variances."""
+    vectors = _table(spark, folder, "embeddings")
+    fitted = whitening.fit(vectors, components=8)
+    error = whitening.identity_error(vectors, fitted)
+    return whitening.transform(vectors, fitted).select(
+        "vec_id",
+        "component",
+        F.lit(fitted.n).cast("long").alias("n"),
+        F.expr("try_cast(deviation AS BIGINT)").alias("deviation"),
+        "whitened",
+        "explained",
+        F.lit(error).alias("identity_error"),
+    )
+
+
+@_query(
+    "op13_letter_count_blocks",
+    f"""
+    WITH RECURSIVE runs AS (
+        SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c
+        FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY 1, 2),
+    lots AS (SELECT run, c, {_crc32_sql("encode(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS lot FROM runs),
+    noisy AS (SELECT CASE WHEN lot % 97 = 0 THEN substr(run, 1, lot % length(run)) || substr(run, lot % length(run) + 2)
+                     ELSE run END AS word, c FROM lots),
+    words AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM noisy WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+    cuts AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+             FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    near AS MATERIALIZED (
+        SELECT DISTINCT * FROM (
+            SELECT a.word, b.word AS other FROM cuts a JOIN cuts b USING (rest, i) WHERE a.word <> b.word
+            UNION ALL SELECT cuts.word, w.word FROM cuts JOIN words w ON w.word = cuts.rest
+            UNION ALL SELECT w.word, cuts.word FROM cuts JOIN words w ON w.word = cuts.rest)),
+    best AS (SELECT near.word, count(*) AS n_near, max(o.n) AS top,
+                    min(CASE WHEN o.n = m.top THEN o.word END) AS form
+             FROM near JOIN words o ON o.word = near.other
+             JOIN (SELECT near.word, max(n) AS top FROM near JOIN words x ON x.word = near.other GROUP BY 1) m ON m.word = near.word
+             GROUP BY near.word),
+    forms AS MATERIALIZED (
+        SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top >= 2 * w.n THEN form END AS form,
+               CASE WHEN top >= 2 * w.n THEN top END AS form_n
+        FROM words w LEFT JOIN best ON best.word = w.word),
+    chain AS (SELECT word, word AS at FROM forms
+              UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NOT NULL),
+    roots AS (SELECT chain.word, chain.at AS root FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NULL)
+    SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN roots ON roots.word = forms.word
+    """,
+)
+def op13_letter_count_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """All words of all documents with their near words and roots."""
+    found = variants.variants(_table(spark, folder, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
