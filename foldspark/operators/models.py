@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from foldspark.functions.constants import text_constant
 from foldspark.operators.gram import MAX_WIDTH, Member, grams
 from foldspark.operators.linear import LinearFit, solve
-from foldspark.operators.logistic import fit_logistic
+from foldspark.operators.logistic import ClassMember, fit_logistic, fit_logistic_set
+from foldspark.operators.mixed import MixedFit, fit_mixed_set
 from foldspark.operators.recipe import PreparedRecipe, _predictors
+from foldspark.operators.survival import SurvivalFit, fit_survival
 from foldspark.session import cached
 
 _MAX_CLASSES = 100
@@ -52,6 +54,8 @@ _ENGINES = {
     "rand_forest": ("spark_forest",),
     "logistic_reg": ("newton", "spark_logistic"),
     "multinom_reg": ("newton", "spark_logistic"),
+    "mixed_reg": ("reml",),
+    "survival_reg": ("weibull",),
 }
 
 
@@ -90,6 +94,20 @@ def multinom_reg() -> ModelSpec:
     return ModelSpec("multinom_reg", "classification", "newton")
 
 
+def mixed_reg() -> ModelSpec:
+    """Random effects; a workflow names the ``group`` and, if wanted, the ``slope`` beside its variables."""
+    return ModelSpec("mixed_reg", "regression", "reml")
+
+
+def survival_reg() -> ModelSpec:
+    """Weibull survival times; a workflow names the ``event`` column (1: seen, 0: censored) and, if wanted, ``strata``."""
+    return ModelSpec("survival_reg", "censored regression", "weibull")
+
+
+#: What a model takes beside the design, and which of it must be named.
+MODEL_TERMS = {"mixed_reg": (("group", "slope"), ("group",)), "survival_reg": (("event", "strata"), ("event",))}
+
+
 # ---------------------------------------------------------------- fits
 
 @dataclass(frozen=True)
@@ -176,6 +194,28 @@ class LinearModel:
         return self.fit.tidy(spark)
 
 
+def class_columns(levels, scores: list[Column], kind: str) -> dict[str, Column]:
+    """Probabilities or the most likely class from one linear score per level."""
+    known = scores[-1]
+    top = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    shifted = [F.exp(s - top) for s in scores]
+    total = shifted[0]
+    for s in shifted[1:]:
+        total = total + s
+    present = known.isNotNull()
+    if kind == "prob":
+        return {f"pred_{level}": F.when(present, s / total) for level, s in zip(levels, shifted)}
+    if kind == "class":
+        chain = F.lit(levels[0])
+        for level, score in zip(levels[1:], scores[1:]):
+            chain = F.when(score == top, F.lit(level)).otherwise(chain)
+        # ties go to the earlier level
+        if len(levels) > 1:
+            chain = F.when(scores[0] == top, F.lit(levels[0])).otherwise(chain)
+        return {"pred_class": F.when(present, chain)}
+    raise ValueError(f"a classifier has no predictions of type {kind}")
+
+
 @dataclass(frozen=True)
 class ClassModel:
     """Linear scores per class turned into probabilities."""
@@ -188,38 +228,78 @@ class ClassModel:
 
     def predictions(self, prepared: PreparedRecipe, kind: str) -> dict[str, Column]:
         scores = [F.lit(0.0)] + [prepared.score(row) for row in self.coefficients]
-        known = scores[1]
-        top = F.greatest(*scores) if len(scores) > 1 else scores[0]
-        shifted = [F.exp(s - top) for s in scores]
-        total = shifted[0]
-        for s in shifted[1:]:
-            total = total + s
-        present = known.isNotNull()
-        if kind == "prob":
-            return {
-                f"pred_{level}": F.when(present, s / total)
-                for level, s in zip(self.levels, shifted)
-            }
-        if kind == "class":
-            chain = F.lit(self.levels[0])
-            for level, score in zip(self.levels[1:], scores[1:]):
-                chain = F.when(score == top, F.lit(level)).otherwise(chain)
-            # ties go to the earlier level
-            if len(self.levels) > 1:
-                chain = F.when(scores[0] == top, F.lit(self.levels[0])).otherwise(chain)
-            return {"pred_class": F.when(present, chain)}
-        raise ValueError(f"a classifier has no predictions of type {kind}")
+        return class_columns(self.levels, scores, kind)
 
     def predict(self, prepared, df, kind):
         return df.withColumns(self.predictions(prepared, kind))
 
-    def tidy(self, spark: SparkSession) -> DataFrame:
-        rows = [
+    def tidy_rows(self) -> list[tuple[str, str, float]]:
+        return [
             (level, term, float(v))
             for level, row in zip(self.levels[1:], self.coefficients)
             for term, v in zip(self.terms, row)
         ]
-        return spark.createDataFrame(rows, "y_level string, term string, estimate double")
+
+    def tidy(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.tidy_rows(), "y_level string, term string, estimate double")
+
+
+@dataclass(frozen=True)
+class MixedModel:
+    """Fixed effects as numbers, random effects as a table with one row per group.
+
+    Rows are joined to their group's effects. A group that was not seen, or a null
+    one, has the fixed effects only; a missing predictor, slope included, leaves the prediction missing.
+    """
+
+    fit: MixedFit
+    effects: DataFrame  # g, intercept, slope
+    group: str
+    slope: str | None
+
+    def predict(self, prepared, df, kind):
+        if kind not in ("numeric", "population"):
+            raise ValueError(f"a mixed model has no predictions of type {kind}")
+        fixed = prepared.score(self.fit.fixed)
+        if kind == "population":
+            return df.withColumn("pred", fixed)
+        own = self.effects.select(
+            F.col("g").alias("__g"), F.col("intercept").alias("__b0"), F.col("slope").alias("__b1")
+        )
+        joined = df.join(own, F.col(self.group) == F.col("__g"), "left")
+        effect = F.coalesce("__b0", F.lit(0.0))
+        if self.slope is not None:
+            effect = effect + F.coalesce("__b1", F.lit(0.0)) * F.col(self.slope).cast("double")
+        return joined.withColumn("pred", fixed + effect).drop("__g", "__b0", "__b1")
+
+    def tidy(self, spark: SparkSession) -> DataFrame:
+        return self.fit.tidy(spark)
+
+
+@dataclass(frozen=True)
+class SurvivalModel:
+    """Weibull survival times behind the common prediction interface.
+
+    ``time`` is the fitted time scale exp(x'b), ``median`` the median time; a
+    stratum that was not seen has no median.
+    """
+
+    fit: SurvivalFit
+    strata: str | None
+
+    def predictions(self, prepared: PreparedRecipe, kind: str) -> dict[str, Column]:
+        location = prepared.score(self.fit.estimate)
+        if kind in ("numeric", "time"):
+            return {"pred": F.exp(location)}
+        if kind == "median":
+            return {"pred": F.exp(location + self.fit.scale_of(self.strata) * float(np.log(np.log(2.0))))}
+        raise ValueError(f"a survival model has no predictions of type {kind}")
+
+    def predict(self, prepared, df, kind):
+        return df.withColumns(self.predictions(prepared, kind))
+
+    def tidy(self, spark: SparkSession) -> DataFrame:
+        return self.fit.tidy(spark)
 
 
 @dataclass(frozen=True)
@@ -330,10 +410,10 @@ def fit_penalized(spec: ModelSpec, prepared: PreparedRecipe, df: DataFrame) -> L
 def fit_classes(prepared: PreparedRecipe, df: DataFrame, binary: bool, engine: str) -> ClassModel:
     """Logistic regression, two or more classes, coded against the first level."""
     outcome = F.col(prepared.recipe.outcome).cast("string")
-    levels = _levels_of(df, outcome, _MAX_CLASSES)
+    levels = outcome_levels(df, outcome)
     if binary and len(levels) != 2:
         raise ValueError(f"a logistic regression needs two levels, found {len(levels)}")
-    label = F.array_position(text_constant(levels), outcome).cast("double") - 1.0
+    label = class_label(outcome, levels)
     if engine == "newton":
         rows = df.select(prepared.design().alias("d"), label.cast("int").alias("label"))
         with cached(rows.where("label is not null")) as known:
@@ -343,6 +423,57 @@ def fit_classes(prepared: PreparedRecipe, df: DataFrame, binary: bool, engine: s
     return ClassModel(tuple(levels), ("(Intercept)", *prepared.terms), table, iterations, converged)
 
 
+def outcome_levels(df: DataFrame, outcome: Column) -> list[str]:
+    return _levels_of(df, outcome, _MAX_CLASSES)
+
+
+def class_label(outcome: Column, levels: list[str]) -> Column:
+    """Place of the outcome among its levels, from 0."""
+    return F.array_position(text_constant(levels), outcome).cast("double") - 1.0
+
+
+def fit_class_set(
+    specs: dict[str, ModelSpec],
+    prepared: dict[tuple[str, str], PreparedRecipe],
+    df: DataFrame,
+    label: Column,
+    levels: list[str],
+    weights: dict[str, Column],
+) -> dict[tuple[str, str], ClassModel]:
+    """Classifiers of several specs over several subsets (``weights``) of the rows, in common passes.
+
+    A recipe whose subsets see the same columns through linear maps brings its columns once.
+    """
+    members: dict[str, ClassMember] = {}
+    places: dict[tuple[str, str], tuple[str, str]] = {}
+    for n, spec in specs.items():
+        if spec.kind == "logistic_reg" and len(levels) != 2:
+            raise ValueError(f"a logistic regression needs two levels, found {len(levels)}")
+        if spec.engine != "newton":
+            raise ValueError(f"the engine {spec.engine} is not fitted over resamples")
+        bases = {i: prepared[n, i].base() for i in weights}
+        first = next(iter(bases.values()))
+        plain = all(isinstance(e[3], np.ndarray) for b in bases.values() for e in b)
+        if first and plain and all([e[0] for e in b] == [e[0] for e in first] for b in bases.values()):
+            layouts = {i: Layout.of(b) for i, b in bases.items()}
+            width = layouts[next(iter(layouts))].width - 1
+            maps = {i: lay.table[:width, :-1] for i, lay in layouts.items()}
+            members[n] = ClassMember(F.concat(*[e[1] for e in first]), width, label, len(levels), weights, maps)
+            places |= {(n, i): (n, i) for i in weights}
+        else:
+            for i, w in weights.items():
+                one = prepared[n, i]
+                members[f"{n}|{i}"] = ClassMember(one.design(), len(one.terms), label, len(levels), {i: w})
+                places[n, i] = (f"{n}|{i}", i)
+    found = fit_logistic_set(df, members)
+    return {
+        key: ClassModel(
+            tuple(levels), ("(Intercept)", *prepared[key].terms), found[at].beta, found[at].iterations, found[at].converged
+        )
+        for key, at in places.items()
+    }
+
+
 def _spark_logistic(rows: DataFrame, binary: bool) -> tuple[np.ndarray, int, bool]:
     """The built-in quasi-Newton learner: many cheap passes, for very wide designs."""
     learner = LogisticRegression(
@@ -358,7 +489,35 @@ def _spark_logistic(rows: DataFrame, binary: bool) -> tuple[np.ndarray, int, boo
     return whole[1:] - whole[0], steps, done
 
 
-def fit_model(spec: ModelSpec, prepared: PreparedRecipe, df: DataFrame):
+def fit_mixed_models(
+    prepared: PreparedRecipe, df: DataFrame, terms: dict[str, str], weights: dict[str, Column]
+) -> dict[str, MixedModel]:
+    """Mixed models of several subsets of the rows, searched together."""
+    slope = terms.get("slope")
+    fits, effects = fit_mixed_set(prepared, df, terms["group"], slope, weights)
+    return {i: MixedModel(fit, effects.where(F.col("id") == i).drop("id"), terms["group"], slope) for i, fit in fits.items()}
+
+
+def fit_survival_model(prepared: PreparedRecipe, df: DataFrame, terms: dict[str, str]) -> SurvivalModel:
+    names = [f"x{i}" for i in range(len(prepared.terms))]
+    strata = terms.get("strata")
+    rows = df.select(
+        F.col(prepared.recipe.outcome).alias("time"),
+        F.col(terms["event"]).alias("event"),
+        *([] if strata is None else [F.col(strata).alias("strata")]),
+        prepared.design().alias("d"),
+    ).where("time > 0")
+    rows = rows.select("*", *[F.get("d", F.lit(i)).alias(n) for i, n in enumerate(names)]).drop("d")
+    fit = fit_survival(rows, "time", "event", names, None if strata is None else "strata")
+    return SurvivalModel(replace(fit, terms=("(Intercept)", *prepared.terms)), strata)
+
+
+def fit_model(spec: ModelSpec, prepared: PreparedRecipe, df: DataFrame, terms: dict[str, str] | None = None):
+    """``terms`` names the columns that the model takes beside its design (``MODEL_TERMS``)."""
+    if spec.kind == "mixed_reg":
+        return fit_mixed_models(prepared, df, terms, {"all": F.lit(1)})["all"]
+    if spec.kind == "survival_reg":
+        return fit_survival_model(prepared, df, terms)
     if spec.engine == "gram":
         return LinearModel(fit_linear(prepared, df))
     if spec.engine == "penalized":

@@ -127,24 +127,25 @@ def roc_auc_weighted(df: DataFrame, truth: str, scores: dict[str, str]) -> DataF
     return areas.agg(F.try_divide(F.sum(area * F.col("P")), F.sum("P")).alias("estimate"))
 
 
-def roc_auc_pairwise(df: DataFrame, truth: str, scores: dict[str, str]) -> DataFrame:
+def roc_auc_pairwise(df: DataFrame, truth: str, scores: dict[str, str], by: list[str] | None = None) -> DataFrame:
     """Mean over all pairs of classes of the two areas that separate them.
 
     For the score of class j, every distinct value carries one count per true
     class. One set of running totals then gives the area of j against each other
     class, so no pair of rows is ever formed.
     """
+    by = by or []
     levels = list(scores)
-    long = per_class_scores(df, truth, scores).where(F.col("score").isNotNull())
+    long = per_class_scores(df, truth, scores, by).where(F.col("score").isNotNull())
     columns = [f"n{i}" for i in range(len(levels))]
-    counts = long.groupBy("level", "score").agg(
+    counts = long.groupBy(*by, "level", "score").agg(
         *[F.sum((F.col("truth") == v).cast("long")).alias(c) for v, c in zip(levels, columns)]
     )
-    ranked = running_totals(counts, "score", columns, ["level"])
+    ranked = running_totals(counts, "score", columns, [*by, "level"])
     own = F.coalesce(
         *[F.when(F.col("level") == v, F.col(c)) for v, c in zip(levels, columns)]
     ).cast("double")
-    sums = ranked.groupBy("level").agg(
+    sums = ranked.groupBy(*by, "level").agg(
         *[F.sum(own * (F.col(f"cum_{c}") - F.col(c) / 2.0)).alias(f"wins_{c}") for c in columns],
         *[F.sum(c).cast("double").alias(f"size_{c}") for c in columns],
     )
@@ -160,4 +161,4 @@ def roc_auc_pairwise(df: DataFrame, truth: str, scores: dict[str, str]) -> DataF
             for v, c in zip(levels, columns)
         ]
     )
-    return sums.select(F.explode(others).alias("a")).agg(F.avg("a").alias("estimate"))
+    return sums.select(*by, F.explode(others).alias("a")).groupBy(*by).agg(F.avg("a").alias("estimate"))

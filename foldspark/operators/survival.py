@@ -31,14 +31,16 @@ class SurvivalFit:
     iterations: int = 0
     converged: bool = True
 
-    def tidy(self, spark: SparkSession) -> DataFrame:
+    def tidy_rows(self) -> list[tuple]:
         rows = [
             ("location", t, float(b), float(s))
             for t, b, s in zip(self.terms, self.estimate, self.std_error)
         ]
-        rows += [("scale", level, float(v), None) for level, v in self.scale.items()]
+        return rows + [("scale", level, float(v), None) for level, v in self.scale.items()]
+
+    def tidy(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
-            rows, "part string, term string, estimate double, std_error double"
+            self.tidy_rows(), "part string, term string, estimate double, std_error double"
         )
 
     def predict_median(self, predictors: list[str], stratum: str | None = None) -> Column:
@@ -46,12 +48,16 @@ class SurvivalFit:
         location = F.lit(float(self.estimate[0]))
         for name, b in zip(predictors, self.estimate[1:]):
             location = location + F.col(name) * float(b)
+        return F.exp(location + self.scale_of(stratum) * float(np.log(np.log(2.0))))
+
+    def scale_of(self, stratum: str | None = None) -> Column:
+        """Scale of a row's stratum; missing for one that was not seen."""
         scale = F.lit(None).cast("double")
         for level, value in self.scale.items():
             scale = F.when(
-                F.lit(True) if stratum is None else F.col(stratum) == level, F.lit(value)
+                F.lit(True) if stratum is None else F.col(stratum).cast("string") == level, F.lit(value)
             ).otherwise(scale)
-        return F.exp(location + scale * float(np.log(np.log(2.0))))
+        return scale
 
 
 def _sums(rows: DataFrame, beta: np.ndarray, log_scale: dict[str, float], p: int):

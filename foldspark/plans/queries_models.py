@@ -391,18 +391,20 @@ def intercept_only(spark, folder):
     )
 
 
-@query(
-    "m13_survival_table",
-    f"""WITH {REG_SQL},{FALL_SQL},{DEGREES_SQL},
+def survival_sql() -> str:
+    """The survival table as ``u``."""
+    return f"""WITH {REG_SQL},{FALL_SQL},{DEGREES_SQL},
 people AS (SELECT person_id, min(term_code) AS term_code, max(term_code) AS last_term,
   first(age ORDER BY term_code, row_key) AS age, first(load ORDER BY term_code, row_key) AS load FROM fall GROUP BY 1),
 firsts AS (SELECT d.person_id, min(grad_term) AS grad_term FROM degrees d JOIN people p ON d.person_id = p.person_id WHERE grad_term > term_code GROUP BY 1),
 j AS (SELECT p.person_id, age, load, CAST(coalesce(grad_term, last_term) AS INTEGER) - CAST(term_code AS INTEGER) AS gap, grad_term FROM people p LEFT JOIN firsts f ON p.person_id = f.person_id),
 t AS (SELECT person_id, age, load, round_even(gap / 100.0::DOUBLE, 0) AS years, (gap % 100) AS rest, CASE WHEN grad_term IS NOT NULL THEN 1 ELSE 0 END AS fustat FROM j),
-u AS (SELECT person_id, age, load, years, rest / 100.0::DOUBLE AS leftovers,
-  round(years + CASE WHEN rest = 0 THEN 4/12.0 WHEN rest = 20 THEN 10/12.0 WHEN rest = 90 THEN 11/12.0 WHEN rest < 9 THEN 5/12.0 ELSE 9/12.0 END::DOUBLE, 6) + 0.0 AS futime, fustat FROM t)
-SELECT * FROM u WHERE futime > 0""",
-)
+all_times AS (SELECT person_id, age, load, years, rest / 100.0::DOUBLE AS leftovers,
+  round(years + CASE WHEN rest = 0 THEN 4/12.0 WHEN rest = 20 THEN 10/12.0 WHEN rest = 90 THEN 11/12.0 WHEN rest < 9 THEN 5/12.0 ELSE 9/12.0 END::DOUBLE, 6) + 0.0 AS futime, fustat FROM t),
+u AS (SELECT * FROM all_times WHERE futime > 0)"""
+
+
+@query("m13_survival_table", f"{survival_sql()} SELECT * FROM u")
 def survival_preparation(spark, folder):
     return survival_table(spark, folder).select("person_id", "age", "load", "years", "leftovers", "futime", "fustat")
 

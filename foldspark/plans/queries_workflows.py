@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Window, functions as F
 
 from foldspark.functions.distributions import t_quantile
@@ -17,7 +19,7 @@ from foldspark.operators.correlation import (
     correlation_tests,
     paired_t_test,
 )
-from foldspark.operators.models import linear_reg, rand_forest
+from foldspark.operators.models import linear_reg, logistic_reg, mixed_reg, multinom_reg, rand_forest, survival_reg
 from foldspark.operators.plotdata import (
     binned_scatter,
     group_lines,
@@ -28,12 +30,12 @@ from foldspark.operators.plotdata import (
     smoother,
 )
 from foldspark.operators.recipe import Recipe, all_nominal_predictors, formula, starts_with
-from foldspark.operators.resample import testing, training, vfold_cv
+from foldspark.operators.resample import Resample, ResampleSet, testing, training, vfold_cv
 from foldspark.plans.queries_features import rounded
-from foldspark.plans.queries_models import _LINE_X, _corr_sql, ols2_sql
+from foldspark.plans.queries_models import _LINE_X, _corr_sql, ols2_sql, survival_sql, survival_table
 from foldspark.plans.queries_resample import FOLD_SEED, SALES_SPLIT_SQL, folds_sql, hash_sql, sales_split
 from foldspark.plans.registry import query
-from foldspark.plans.tables import STUDENTS_SQL, sales, students
+from foldspark.plans.tables import SALES_SQL, STUDENTS_SQL, sales, students
 from foldspark.plans.tuning import grid, tunable, tune, tune_grid
 from foldspark.plans.workflow import (
     Workflow,
@@ -198,6 +200,260 @@ def resampled_full_recipe(spark, folder):
     return rounded(fit_resamples(Workflow(recipe, linear_reg()), folds).collect_metrics(summarize=False))
 
 
+# ---------------------------------------------------------------- classifiers over resamples
+
+_TIER = "CASE WHEN price >= 5.5 THEN 'dear' ELSE 'cheap' END"
+_RANGE = "CASE WHEN price >= 5.6 THEN 'c_top' WHEN price >= 5.4 THEN 'b_mid' ELSE 'a_low' END"
+_SIZE = "CASE WHEN area < 3500 THEN 'small' WHEN area < 8000 THEN 'middle' ELSE 'large' END"
+_TIERED = f"{_FOLDS},\nf AS (SELECT *, {_TIER} AS tier, {_RANGE} AS span, {_SIZE} AS size, {_ID.format(k='fold')} AS id FROM folds)"
+
+
+def tiered_folds(spark, folder):
+    folds = sales_folds(spark, folder)
+    return replace(folds, df=folds.df.withColumns({"tier": F.expr(_TIER), "span": F.expr(_RANGE), "size": F.expr(_SIZE)}))
+
+
+def _class_metrics_sql(source: str, by: str = "id, ", levels=("cheap", "dear")) -> str:
+    """Metrics of (truth, pred, score), the score being the first level's probability."""
+    first, second = levels
+    over = f"PARTITION BY {by.rstrip(', ')}" if by else ""
+    group = f"GROUP BY {by.rstrip(', ')}" if by else ""
+    return f"""
+cells AS (SELECT {by}count(*)::DOUBLE AS n, count(*) FILTER (truth = pred)::DOUBLE AS hits,
+  count(*) FILTER (truth = '{first}' AND pred = '{first}')::DOUBLE AS tp, count(*) FILTER (truth = '{second}' AND pred = '{first}')::DOUBLE AS fp,
+  count(*) FILTER (truth = '{first}' AND pred = '{second}')::DOUBLE AS fn, count(*) FILTER (truth = '{second}' AND pred = '{second}')::DOUBLE AS tn FROM {source} {group}),
+steps AS (SELECT {by}score, count(*) FILTER (truth = '{first}')::DOUBLE AS pos, count(*) FILTER (truth = '{second}')::DOUBLE AS neg FROM {source} GROUP BY {by}score),
+wins AS (SELECT *, sum(neg) OVER ({over} ORDER BY score) - neg / 2 AS beaten FROM steps),
+cm AS (SELECT {by}'accuracy' AS metric, hits / n AS estimate FROM cells
+  UNION ALL SELECT {by}'mcc', (tp * tn - fp * fn) / nullif(sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)), 0) FROM cells
+  UNION ALL SELECT {by}'roc_auc', sum(pos * beaten) / (sum(pos) * sum(neg)) FROM wins {group})"""
+
+
+_ONE_FACTOR = f"""{_TIERED},
+rate AS (SELECT k, size, avg((tier = 'dear')::INTEGER) AS dear FROM f JOIN ks ON fold <> k GROUP BY 1, 2),
+oof AS (SELECT id, sale_key, tier AS truth, CASE WHEN dear > 0.5 THEN 'dear' ELSE 'cheap' END AS pred, 1 - dear AS score
+  FROM f JOIN rate ON k = fold AND rate.size = f.size)"""
+
+
+def _one_factor(spark, folder):
+    """With one factor the fit of every fold is known: the shares of its analysis set."""
+    folds = tiered_folds(spark, folder)
+    recipe = Recipe.of(folds.df, "tier", ["size"]).step_dummy("size")
+    return fit_resamples({"size_glm": Workflow(recipe, logistic_reg())}, folds)
+
+
+@query(
+    "k7_classification",
+    f"{_ONE_FACTOR},{_class_metrics_sql('oof')} SELECT 'size_glm' AS wflow_id, id, metric, round(estimate, 6) + 0.0 AS estimate FROM cm",
+)
+def resampled_classes(spark, folder):
+    """Accuracy, Matthews correlation and area of every fold's logistic regression."""
+    found = _one_factor(spark, folder).collect_metrics(summarize=False)
+    return rounded(found.select("wflow_id", "id", "metric", "estimate"))
+
+
+@query(
+    "k10_class_predictions",
+    f"{_ONE_FACTOR} SELECT id, sale_key AS \"row\", truth, pred AS pred_class, round(score, 5) + 0.0 AS pred_cheap, round(1 - score, 5) + 0.0 AS pred_dear FROM oof",
+)
+def out_of_fold_classes(spark, folder):
+    """Out-of-fold classes and probabilities."""
+    found = _one_factor(spark, folder).predictions
+    return rounded(found.select("id", "row", "truth", "pred_class", "pred_cheap", "pred_dear"), 5)
+
+
+@query(
+    "k8_class_coefficients",
+    f"{_ONE_FACTOR}, logit AS (SELECT {_ID.format(k='k')} AS id, size, ln(dear / (1 - dear)) AS v FROM rate), base AS (SELECT id, v FROM logit WHERE size = 'large') "
+    "SELECT id, 'dear' AS y_level, '(Intercept)' AS term, round(v, 4) + 0.0 AS estimate FROM base "
+    "UNION ALL SELECT logit.id, 'dear', 'size_' || size, round(logit.v - base.v, 4) + 0.0 FROM logit JOIN base ON base.id = logit.id WHERE size <> 'large'",
+)
+def fold_class_coefficients(spark, folder):
+    """The saved fits of all folds: log odds and their differences."""
+    return rounded(_one_factor(spark, folder).coefficients(spark).drop("wflow_id"), 4)
+
+
+@query(
+    "k7_multinomial",
+    f"""{_TIERED},
+share AS (SELECT k, size, avg((span = 'a_low')::INTEGER) AS a, avg((span = 'b_mid')::INTEGER) AS b, avg((span = 'c_top')::INTEGER) AS c
+  FROM f JOIN ks ON fold <> k GROUP BY 1, 2)
+SELECT id, sale_key AS "row", span AS truth, CASE WHEN a >= b AND a >= c THEN 'a_low' WHEN b >= c THEN 'b_mid' ELSE 'c_top' END AS pred_class,
+  round(a, 5) + 0.0 AS pred_a_low, round(b, 5) + 0.0 AS pred_b_mid, round(c, 5) + 0.0 AS pred_c_top
+FROM f JOIN share ON k = fold AND share.size = f.size""",
+)
+def resampled_multinomial(spark, folder):
+    """Three classes: out-of-fold probabilities of a multinomial regression on one factor."""
+    folds = tiered_folds(spark, folder)
+    recipe = Recipe.of(folds.df, "span", ["size"]).step_dummy("size")
+    found = fit_resamples(Workflow(recipe, multinom_reg()), folds).predictions
+    return rounded(found.select("id", "row", "truth", "pred_class", "pred_a_low", "pred_b_mid", "pred_c_top"), 5)
+
+
+# predictors and their units
+_GENERAL_X = {"area": 1000.0, "latitude": 1.0, "longitude": 1.0}
+
+
+@query(
+    "k7_class_score_equations",
+    f"{_TIERED} SELECT w.wflow_id, {_ID.format(k='k')} AS id, CAST(count(*) FILTER (tier = 'dear') AS DOUBLE) AS total_n, "
+    + ", ".join(f"round(sum({x} / {u}::DOUBLE) FILTER (tier = 'dear'), 1) + 0.0 AS total_{x}" for x, u in _GENERAL_X.items())
+    + " FROM f JOIN ks ON fold <> k CROSS JOIN (VALUES ('plain_glm'), ('pooled_glm')) AS w(wflow_id) GROUP BY 1, 2",
+)
+def resampled_score_equations(spark, folder):
+    """Two workflows over ten folds in common passes: at every fit, probabilities times a predictor sum to what was observed."""
+    folds = tiered_folds(spark, folder)
+    folds = replace(folds, df=folds.df.withColumns({x: F.col(x) / u for x, u in _GENERAL_X.items()}))
+    plain = Recipe.of(folds.df, "tier", list(_GENERAL_X))
+    # districts are pooled again in every fold
+    pooled = Recipe.of(folds.df, "tier", [*_GENERAL_X, "district"]).step_other("district", threshold=POOL).step_dummy("district")
+    members = workflow_set({"plain": plain, "pooled": pooled}, {"glm": logistic_reg()})
+    found = fit_resamples(members, folds)
+    weights = {i: r.weight for i, r in folds.resamples.items()}
+    prepared = {n: w.recipe.prep_resamples(folds.df, weights) for n, w in members.items()}
+    sums = []
+    for (n, i), model in found.fits.items():
+        p = weights[i] / (1 + F.exp(-prepared[n][i].score(model.coefficients[0])))
+        sums.append(
+            F.struct(
+                F.lit(n).alias("wflow_id"), F.lit(i).alias("id"), F.round(F.sum(p), 1).alias("total_n"),
+                *[F.round(F.sum(p * F.col(x)), 1).alias(f"total_{x}") for x in _GENERAL_X],
+            )
+        )
+    return folds.df.agg(F.array(*sums).alias("e")).select(F.inline("e"))
+
+
+@query(
+    "k6_last_fit_classes",
+    f"WITH {SALES_SPLIT_SQL}, f AS (SELECT *, {_TIER} AS tier, {_SIZE} AS size FROM split), "
+    "rate AS (SELECT size, avg((tier = 'dear')::INTEGER) AS dear FROM f WHERE in_train GROUP BY 1), "
+    "oof AS (SELECT tier AS truth, CASE WHEN dear > 0.5 THEN 'dear' ELSE 'cheap' END AS pred, 1 - dear AS score FROM f JOIN rate USING (size) WHERE NOT in_train),"
+    f"{_class_metrics_sql('oof', '')} SELECT metric, round(estimate, 6) + 0.0 AS estimate FROM cm",
+)
+def final_class_fit(spark, folder):
+    """A classifier fitted on the training side, its metrics on the test side."""
+    split = sales_split(spark, folder)
+    split = replace(split, df=split.df.withColumns({"tier": F.expr(_TIER), "size": F.expr(_SIZE)}))
+    recipe = Recipe.of(split.df, "tier", ["size"]).step_dummy("size")
+    return rounded(last_fit(Workflow(recipe, logistic_reg()), split).metrics.select("metric", "estimate"))
+
+
+# ---------------------------------------------------------------- mixed and survival models as workflow models
+
+_YEARS = range(1992, 1999)
+_BIN = "CAST(least(floor(area / 1000), 10) AS INTEGER)"
+#: Mean prices by size and year: every size has every year, so the fit has a closed form.
+_CELL = f"WITH {SALES_SQL}, cell AS (SELECT {_BIN} AS bin, CAST(year_built AS INTEGER) AS year, avg(price) AS y FROM sales GROUP BY 1, 2)"
+#: Per resample k (the year left out): variances of a balanced one-way layout, a negative one at its bound.
+_ONE_WAY = """
+side AS (SELECT k, cell.* FROM cell JOIN ks ON year <> k),
+per_bin AS (SELECT k, bin, avg(y) AS mean, count(*)::DOUBLE AS m, sum(y * y) - count(*) * avg(y) * avg(y) AS within FROM side GROUP BY 1, 2),
+whole AS (SELECT k, avg(mean) AS mu, max(m) AS m, count(*)::DOUBLE AS a, var_samp(mean) AS v, sum(within) AS ssw FROM per_bin GROUP BY 1),
+squares AS (SELECT *, a * m AS n, m * v AS msb, ssw / (a * m - a) AS msw FROM whole),
+fit AS (SELECT k, mu, m, n, greatest((msb - msw) / m, 0) AS sb2, CASE WHEN msb > msw THEN msw ELSE (ssw + (a - 1) * msb) / (n - 1) END AS s2 FROM squares),
+effect AS (SELECT per_bin.k, bin, m.mu, m.m * sb2 / (m.m * sb2 + s2) * (mean - m.mu) AS b FROM per_bin JOIN fit m ON m.k = per_bin.k)"""
+
+
+def _cells(spark, folder):
+    rows = sales(spark, folder).groupBy(F.expr(_BIN).alias("bin"), F.col("year_built").cast("int").alias("year"))
+    return hold(rows.agg(F.avg("price").alias("y"))).withColumn("cell_key", F.col("bin") * 10000 + F.col("year"))
+
+
+def _size_workflow(df):
+    return Workflow().with_model(mixed_reg(), group="bin").with_variables(df, "y", ["bin"])
+
+
+@query(
+    "k3_mixed_workflow",
+    f"{_CELL}, ks AS (SELECT 0 AS k), {_ONE_WAY} SELECT 'fixed' AS effect, '(Intercept)' AS term, round(mu, 5) + 0.0 AS estimate, "
+    "round(sqrt((s2 + m * sb2) / n), 5) + 0.0 AS std_error FROM fit "
+    "UNION ALL SELECT 'random', 'sd_intercept', round(sqrt(sb2), 5) + 0.0, NULL FROM fit UNION ALL SELECT 'random', 'sd_residual', round(sqrt(s2), 5) + 0.0, NULL FROM fit",
+)
+def mixed_workflow(spark, folder):
+    """A random intercept per size class, the group named beside the variables."""
+    rows = _cells(spark, folder)
+    return rounded(_size_workflow(rows).fit(rows).tidy(spark), 5)
+
+
+@query(
+    "k3_mixed_predictions",
+    f"{_CELL}, ks AS (SELECT 0 AS k), {_ONE_WAY} SELECT c.bin + 2 AS bin, year, round(coalesce(e.mu + e.b, f.mu), 5) + 0.0 AS pred "
+    "FROM cell c CROSS JOIN fit f LEFT JOIN effect e ON e.bin = c.bin + 2",
+)
+def mixed_predictions(spark, folder):
+    """Group effects are joined to new rows; a group that was not seen has the fixed effects only."""
+    rows = _cells(spark, folder)
+    new = rows.select((F.col("bin") + 2).alias("bin"), "year")
+    return rounded(_size_workflow(rows).fit(rows).predict(new).select("bin", "year", "pred"), 5)
+
+
+def _years_left_out(spark, folder):
+    rows = _cells(spark, folder).withColumn("__year", F.col("year"))
+    sets = {f"Year{y}": Resample((F.col("__year") != y).cast("int"), F.col("__year") == y) for y in _YEARS}
+    return ResampleSet(rows, "cell_key", sets)
+
+
+_LEFT_OUT = f"{_CELL}, ks AS (SELECT unnest(range({_YEARS.start}, {_YEARS.stop})) AS k), {_ONE_WAY}"
+
+
+@query(
+    "k3_mixed_resamples",
+    f"{_LEFT_OUT} SELECT 'Year' || year AS id, cell.bin * 10000 + year AS \"row\", round(y, 5) + 0.0 AS truth, round(mu + b, 5) + 0.0 AS pred "
+    "FROM cell JOIN effect ON effect.k = year AND effect.bin = cell.bin",
+)
+def mixed_resamples(spark, folder):
+    """One year left out at a time: all fits are searched together, and one join scores them."""
+    folds = _years_left_out(spark, folder)
+    return rounded(fit_resamples(_size_workflow(folds.df), folds).predictions.select("id", "row", "truth", "pred"), 5)
+
+
+@query(
+    "k3_mixed_parameters",
+    f"{_LEFT_OUT} SELECT 'Year' || k AS id, 'fixed' AS part, '(Intercept)' AS term, round(mu, 5) + 0.0 AS estimate FROM fit "
+    "UNION ALL SELECT 'Year' || k, 'random', 'sd_intercept', round(sqrt(sb2), 5) + 0.0 FROM fit UNION ALL SELECT 'Year' || k, 'random', 'sd_residual', round(sqrt(s2), 5) + 0.0 FROM fit",
+)
+def mixed_parameters(spark, folder):
+    """The fits of all resamples as a table."""
+    folds = _years_left_out(spark, folder)
+    found = fit_resamples(_size_workflow(folds.df), folds).parameters(spark)
+    return rounded(found.select("id", "part", "term", "estimate"), 5)
+
+
+def _survival_workflow(df):
+    spec = Workflow().with_model(survival_reg(), event="fustat", strata="load")
+    return spec.with_variables(df, "futime", ["age", "load"])
+
+
+@query(
+    "k3_survival_workflow",
+    f"{survival_sql()} SELECT load, CAST(sum(fustat) AS DOUBLE) AS events FROM u GROUP BY 1",
+)
+def survival_workflow(spark, folder):
+    """One scale per load: at the fit, the sum of (hazard - event) times the standardised log time of a stratum is its events."""
+    rows = hold(survival_table(spark, folder).withColumn("age", F.col("age") / 1000))
+    fitted = _survival_workflow(rows).fit(rows)
+    scored = fitted.predict(rows, "time").withColumn("scale", fitted.model.fit.scale_of("load"))
+    z = (F.log("futime") - F.log("pred")) / F.col("scale")
+    return scored.groupBy("load").agg(F.round(F.sum((F.exp(z) - F.col("fustat")) * z), 3).alias("events"))
+
+
+@query(
+    "k3_survival_resamples",
+    f"{survival_sql()}, {folds_sql('u', 'person_id', 5)}, ks AS (SELECT unnest(range(1, 6)) AS k) "
+    f"SELECT {_ID.format(k='k')} AS id, load, CAST(sum(fustat) AS DOUBLE) AS events FROM folds JOIN ks ON fold <> k GROUP BY 1, 2",
+)
+def survival_resamples(spark, folder):
+    """The same identity at the fit of every fold's analysis set."""
+    folds = vfold_cv(hold(survival_table(spark, folder).withColumn("age", F.col("age") / 1000)), "person_id", 5, seed=FOLD_SEED)
+    result = fit_resamples(_survival_workflow(folds.df), folds)
+    sums = []
+    for (_, i), fit in result.fits.items():
+        z = (F.log("futime") - (float(fit.estimate[0]) + F.col("age") * float(fit.estimate[1]))) / fit.scale_of("load")
+        own = folds.resamples[i].weight * (F.exp(z) - F.col("fustat")) * z
+        sums.append(F.struct(F.lit(i).alias("id"), F.round(F.sum(own), 2).alias("events")))
+    return folds.df.groupBy("load").agg(F.array(*sums).alias("e")).select("load", F.inline("e"))
+
+
 @query(
     "k9_collect_metrics",
     f"{_FOLDS},\n{_area_sql()},\n{_fold_metrics_sql('area_p')} SELECT metric, round(avg(estimate), 6) + 0.0 AS mean, CAST(count(*) AS BIGINT) AS n, "

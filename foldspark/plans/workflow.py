@@ -11,26 +11,38 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from foldspark.operators.gram import Member, grams
-from foldspark.operators.linear import LinearFit, solve
+from foldspark.operators.linear import TIDY_SCHEMA, LinearFit, solve
 from foldspark.operators.metrics import (
+    CLASSIFICATION,
     REGRESSION,
+    classification_metrics,
     regression_metrics,
     summarize_metrics,
 )
 from foldspark.operators.models import (
+    ClassModel,
     Layout,
     LinearModel,
     ModelSpec,
+    class_columns,
+    class_label,
+    MODEL_TERMS,
+    fit_class_set,
     fit_linear_set,
+    fit_mixed_models,
     fit_model,
+    outcome_levels,
     outcome_vector,
     shared_vector,
 )
+from foldspark.operators.mixed import MixedFit
 from foldspark.operators.recipe import PreparedRecipe, Recipe
 from foldspark.operators.resample import ResampleSet, Split, testing, training
+from foldspark.operators.roc import roc_auc, roc_auc_pairwise
+from foldspark.operators.survival import SurvivalFit
 from foldspark.session import cached
 
 
@@ -39,19 +51,34 @@ _FITS_AT_ONCE = 4
 
 @dataclass(frozen=True)
 class Workflow:
-    """A preprocessor (a recipe, or a formula's recipe) with a model."""
+    """A preprocessor (a recipe, or a formula's recipe) with a model.
+
+    ``terms`` are columns that a model takes beside its design: the group and slope
+    of a mixed model, the event and strata of a survival model.
+    """
 
     recipe: Recipe | None = None
     model: ModelSpec | None = None
+    terms: tuple[tuple[str, str], ...] = ()
 
     def with_recipe(self, recipe: Recipe | None) -> "Workflow":
         return replace(self, recipe=recipe)
 
-    def with_model(self, model: ModelSpec) -> "Workflow":
-        return replace(self, model=model)
-
-    def with_variables(self, df: DataFrame, outcome: str, predictors: list[str]) -> "Workflow":
-        """Variables as they are; nominal ones become dummies for linear models."""
+    def with_model(self, model: ModelSpec, **terms: str) -> "Workflow":
+        """The model, with its special terms by name; they come before the variables are chosen."""
+        known, needed = MODEL_TERMS.get(model.kind, ((), ()))
+        odd = [t for t in terms if t not in known] + [t for t in needed if t not in terms]
+        if odd:
+            raise ValueError(f"{model.kind} takes the terms {known}, of which {needed} must be named: {', '.join(odd)}")
+        return replace(self, model=model, terms=tuple(terms.items()))
+
+    def with_variables(self, df: DataFrame, outcome: str, predictors: list[str], fixed: list[str] | None = None) -> "Workflow":
+        """Variables as they are; nominal ones become dummies for linear models.
+
+        The model's own terms are no predictors; ``fixed`` names those of the variables that are, by default all others.
+        """
+        special = {c for _, c in self.terms}
+        predictors = [c for c in predictors if c not in special] if fixed is None else fixed
         recipe = Recipe.of(df, outcome, predictors)
         nominal = [c for c, k, _ in recipe.features if k == "nominal"]
         trees = self.model is not None and self.model.engine.startswith(("spark_tree", "spark_forest"))
@@ -61,16 +88,20 @@ class Workflow:
     def is_linear(self) -> bool:
         return self.model.engine == "gram"
 
+    @property
+    def mode(self) -> str:
+        return self.model.mode
+
     def fit(self, df: DataFrame) -> "FittedWorkflow":
         """Estimate the recipe, then the model, over one cached narrow frame."""
         with cached(df, self.columns) as rows:
             prepared = self.recipe.prep(rows)
-            return FittedWorkflow(self, prepared, fit_model(self.model, prepared, rows))
+            return FittedWorkflow(self, prepared, fit_model(self.model, prepared, rows, dict(self.terms)))
 
     @property
     def columns(self) -> list[str]:
         """The raw columns the workflow reads."""
-        return list(dict.fromkeys([*self.recipe.raw_columns, self.recipe.outcome]))
+        return list(dict.fromkeys([*self.recipe.raw_columns, self.recipe.outcome, *[c for _, c in self.terms]]))
 
 
 @dataclass(frozen=True)
@@ -96,12 +127,54 @@ class LastFit:
     metrics: DataFrame
 
 
-def last_fit(workflow: Workflow, split: Split, metrics=REGRESSION) -> LastFit:
-    """Fit on the training side, score the test side once."""
+#: Metrics of a classification by default.
+CLASSES = ("accuracy", "mcc", "roc_auc")
+
+
+def class_metrics(
+    scored: DataFrame, truth: str, levels: tuple[str, ...], metrics=CLASSES, by: list[str] | None = None, prefix: str = "pred_"
+) -> DataFrame:
+    """Long table of a scored classification: metrics of the classes, and areas from the probabilities.
+
+    The event is the first level; more than two levels have the mean of the pairwise areas.
+    """
+    by = by or []
+    unknown = set(metrics) - {*CLASSIFICATION, "roc_auc"}
+    if unknown:
+        raise ValueError(f"unknown classification metrics: {', '.join(sorted(unknown))}")
+    tables = []
+    hard = tuple(m for m in metrics if m != "roc_auc")
+    if hard:
+        tables.append(classification_metrics(scored, truth, f"{prefix}class", list(levels), hard, by))
+    if "roc_auc" in metrics:
+        # plain names: a level may hold any character
+        plain = scored.select(
+            *by, F.col(truth).alias("truth"), *[F.col(f"`{prefix}{v}`").alias(f"p{k}") for k, v in enumerate(levels)]
+        )
+        if len(levels) == 2:
+            areas, estimator = roc_auc(plain, F.col("truth") == levels[0], F.col("p0"), by), "binary"
+        else:
+            areas, estimator = roc_auc_pairwise(plain, "truth", {v: f"p{k}" for k, v in enumerate(levels)}, by), "hand_till"
+        tables.append(
+            areas.select(*by, F.lit("roc_auc").alias("metric"), F.lit(estimator).alias("estimator"), F.col("estimate").cast("double"))
+        )
+    return reduce(lambda a, b: a.unionByName(b), tables)
+
+
+def last_fit(workflow: Workflow, split: Split, metrics: tuple[str, ...] | None = None) -> LastFit:
+    """Fit on the training side, score the test side once; the metrics follow the model's mode."""
     fitted = workflow.fit(training(split))
     outcome = workflow.recipe.outcome
+    if workflow.mode == "classification":
+        scored = testing(split).withColumns(
+            fitted.model.predictions(fitted.recipe, "class") | fitted.model.predictions(fitted.recipe, "prob")
+        )
+        levels = fitted.model.levels
+        kept = ["pred_class", *[f"`pred_{v}`" for v in levels]]
+        scored = scored.select(split.key, F.col(outcome).cast("string").alias(outcome), *kept)
+        return LastFit(fitted, scored, class_metrics(scored, outcome, levels, metrics or CLASSES))
     scored = fitted.predict(testing(split)).select(split.key, outcome, "pred")
-    return LastFit(fitted, scored, regression_metrics(scored, outcome, "pred", metrics))
+    return LastFit(fitted, scored, regression_metrics(scored, outcome, "pred", metrics or REGRESSION))
 
 
 # ---------------------------------------------------------------- sets
@@ -129,7 +202,7 @@ def fit_set(workflows: dict[str, Workflow], df: DataFrame) -> dict[str, FittedWo
         prepared = {n: w.recipe.prep(rows) for n, w in workflows.items()}
         linear = [n for n, w in workflows.items() if w.is_linear]
         models = {
-            n: fit_model(w.model, prepared[n], rows)
+            n: fit_model(w.model, prepared[n], rows, dict(w.terms))
             for n, w in workflows.items()
             if not w.is_linear
         }
@@ -145,30 +218,58 @@ def fit_set(workflows: dict[str, Workflow], df: DataFrame) -> dict[str, FittedWo
 class ResampleResult:
     """Out-of-sample predictions (wflow_id, id, row, truth, pred) and fits.
 
-    ``row`` holds the row key.
+    ``row`` holds the row key. A classification has the outcome's ``levels``, a text
+    truth, and the columns pred_class and pred_<level> instead of pred.
     """
 
     predictions: DataFrame
-    fits: dict[tuple[str, str], LinearFit]
+    fits: dict[tuple[str, str], LinearFit | ClassModel | MixedFit | SurvivalFit]
     metrics: tuple[str, ...] = REGRESSION
+    levels: tuple[str, ...] | None = None
 
     def collect_metrics(self, summarize: bool = True) -> DataFrame:
-        table = regression_metrics(self.predictions, "truth", "pred", self.metrics, ["wflow_id", "id"])
+        by = ["wflow_id", "id"]
+        if self.levels is not None:
+            table = class_metrics(self.predictions, "truth", self.levels, self.metrics, by)
+        else:
+            table = regression_metrics(self.predictions, "truth", "pred", self.metrics, by)
         return summarize_metrics(table, ["wflow_id"]) if summarize else table
 
     def coefficients(self, spark: SparkSession) -> DataFrame:
         """Coefficient tables of all resamples, stacked."""
+        if self.levels is not None:
+            rows = [(wflow, sample, *row) for (wflow, sample), fit in self.fits.items() for row in fit.tidy_rows()]
+            return spark.createDataFrame(rows, "wflow_id string, id string, y_level string, term string, estimate double")
         rows = [
             (wflow, sample, *row.values())
             for (wflow, sample), fit in self.fits.items()
+            if isinstance(fit, LinearFit)
             for row in fit.tidy_rows()
         ]
-        from foldspark.operators.linear import TIDY_SCHEMA
-
         return spark.createDataFrame(rows, f"wflow_id string, id string, {TIDY_SCHEMA}")
 
+    def parameters(self, spark: SparkSession) -> DataFrame:
+        """Every number of every fit as a row, whatever the learner: wflow_id, id, part, term, estimate, std_error.
+
+        ``part`` tells the outcome level of a classifier, fixed from random effects, or locations from scales.
+        """
+        rows = []
+        for (wflow, sample), fit in self.fits.items():
+            if isinstance(fit, ClassModel):
+                own = [(level, term, value, None) for level, term, value in fit.tidy_rows()]
+            elif isinstance(fit, LinearFit):
+                own = [("fixed", r["term"], r["estimate"], r["std_error"]) for r in fit.tidy_rows()]
+            else:
+                own = fit.tidy_rows()
+            rows += [(wflow, sample, *r) for r in own]
+        return spark.createDataFrame(
+            rows, "wflow_id string, id string, part string, term string, estimate double, std_error double"
+        )
+
     def bind(self, *others: "ResampleResult") -> "ResampleResult":
-        """Append the results of other workflows."""
+        """Append the results of other workflows of the same mode."""
+        if any(o.levels != self.levels for o in others):
+            raise ValueError("only results over the same outcome levels are bound")
         frames = [self.predictions, *[o.predictions for o in others]]
         fits = {k: v for r in (self, *others) for k, v in r.fits.items()}
         return replace(
@@ -181,15 +282,27 @@ class ResampleResult:
 def fit_resamples(
     workflows: dict[str, Workflow] | Workflow,
     resamples: ResampleSet,
-    metrics: tuple[str, ...] = REGRESSION,
+    metrics: tuple[str, ...] | None = None,
 ) -> ResampleResult:
-    """Fit each workflow on each analysis set and predict each assessment set."""
+    """Fit each workflow on each analysis set and predict each assessment set.
+
+    All workflows have one mode, which the metrics follow by default.
+    """
     members = workflows if isinstance(workflows, dict) else {"workflow": workflows}
+    modes = {w.mode for w in members.values()}
+    if len(modes) > 1:
+        raise ValueError(f"the workflows have several modes: {', '.join(sorted(modes))}")
+    if modes == {"classification"}:
+        return _resample_classes(members, resamples, metrics or CLASSES)
+    metrics = metrics or REGRESSION
     linear = {n: w for n, w in members.items() if w.is_linear}
-    others = {n: w for n, w in members.items() if not w.is_linear}
+    mixed = {n: w for n, w in members.items() if w.model.kind == "mixed_reg"}
+    others = {n: w for n, w in members.items() if n not in linear and n not in mixed}
     results = []
     if linear:
         results.append(_resample_linear(linear, resamples, metrics))
+    if mixed:
+        results.append(_resample_mixed(mixed, resamples, metrics))
     if others:
         results.append(_resample_others(others, resamples, metrics))
     return results[0] if len(results) == 1 else results[0].bind(*results[1:])
@@ -291,6 +404,86 @@ def _linear_fits(rows, members, prepared, resamples, weights) -> dict[tuple[str,
     return fits
 
 
+def _resample_classes(members, resamples: ResampleSet, metrics) -> ResampleResult:
+    """Classifiers: one Newton pass serves all workflows and resamples, and one scan scores them."""
+    weights = {i: r.weight for i, r in resamples.resamples.items()}
+    outcomes = {w.recipe.outcome for w in members.values()}
+    if len(outcomes) > 1:
+        raise ValueError("the workflows have several outcomes")
+    outcome = F.col(outcomes.pop()).cast("string")
+    with cached(_narrow_frame(members, resamples)) as rows:
+        levels = outcome_levels(rows, outcome)
+        prepared = {}
+        for n, w in members.items():
+            own = w.recipe.prep_resamples(rows, weights) if w.recipe.is_trained else dict.fromkeys(weights, w.recipe.prep(rows))
+            prepared |= {(n, i): own[i] for i in weights}
+        models = fit_class_set(
+            {n: w.model for n, w in members.items()}, prepared, rows, class_label(outcome, levels), levels, weights
+        )
+    frame = _narrow_frame(members, resamples).withColumn("__id", F.explode(resamples.assessed_in()))
+    entries = []
+    for n in members:
+        scores = [F.lit(0.0)] + [
+            F.coalesce(*[F.when(F.col("__id") == i, prepared[n, i].score(models[n, i].coefficients[k])) for i in weights])
+            for k in range(len(levels) - 1)
+        ]
+        entries.append(F.struct(F.lit(n).alias("wflow_id"), outcome.alias("truth"), F.array(*scores).alias("scores")))
+    scored = frame.select(
+        F.col("__id").alias("id"), F.col(resamples.key).alias("row"), F.explode(F.array(*entries)).alias("e")
+    ).select("e.wflow_id", "id", "row", "e.truth", "e.scores")
+    own_scores = [F.get("scores", F.lit(k)) for k in range(len(levels))]
+    columns = class_columns(levels, own_scores, "class") | class_columns(levels, own_scores, "prob")
+    return ResampleResult(scored.withColumns(columns).drop("scores"), models, metrics, tuple(levels))
+
+
+def _resample_mixed(members, resamples: ResampleSet, metrics) -> ResampleResult:
+    """Mixed models: the rows of all resamples become one group table, searched in common rounds.
+
+    Recipes without learned steps are needed for that; others are fitted one resample at a time.
+    """
+    weights = {i: r.weight for i, r in resamples.resamples.items()}
+    found, prepared = {}, {}
+    with cached(_narrow_frame(members, resamples)) as rows:
+        for n, w in members.items():
+            if w.recipe.is_trained:
+                own = w.recipe.prep_resamples(rows, weights)
+                models = {i: fit_mixed_models(own[i], rows, dict(w.terms), {i: weights[i]})[i] for i in weights}
+            else:
+                own = dict.fromkeys(weights, w.recipe.prep(rows))
+                models = fit_mixed_models(own[next(iter(weights))], rows, dict(w.terms), weights)
+            found |= {(n, i): m for i, m in models.items()}
+            prepared |= {(n, i): own[i] for i in weights}
+    frame = _narrow_frame(members, resamples).withColumn("__id", F.explode(resamples.assessed_in()))
+    scored = []
+    for n, w in members.items():
+        # one join on (resample, group) serves all resamples
+        models = {i: found[n, i] for i in weights}
+        effects = reduce(
+            lambda a, b: a.unionByName(b), [m.effects.withColumn("__own", F.lit(i)) for i, m in models.items()]
+        ).select("__own", F.col("g").alias("__g"), F.col("intercept").alias("__b0"), F.col("slope").alias("__b1"))
+        terms = dict(w.terms)
+        joined = frame.join(effects, (F.col("__id") == F.col("__own")) & (F.col(terms["group"]) == F.col("__g")), "left")
+        pred = F.coalesce(*[F.when(F.col("__id") == i, prepared[n, i].score(m.fit.fixed)) for i, m in models.items()])
+        pred = pred + F.coalesce("__b0", F.lit(0.0))
+        if "slope" in terms:
+            pred = pred + F.coalesce("__b1", F.lit(0.0)) * F.col(terms["slope"]).cast("double")
+        scored.append(
+            joined.select(
+                F.lit(n).alias("wflow_id"), F.col("__id").alias("id"), F.col(resamples.key).alias("row"),
+                F.col(w.recipe.outcome).cast("double").alias("truth"), pred.alias("pred"),
+            )
+        )
+    fits = {key: model.fit for key, model in found.items()}
+    return ResampleResult(reduce(lambda a, b: a.unionByName(b), scored), fits, metrics)
+
+
+def _truth(workflow: Workflow) -> Column:
+    """The outcome as a number; a censored time is no truth."""
+    outcome = F.col(workflow.recipe.outcome).cast("double")
+    event = dict(workflow.terms).get("event")
+    return outcome if event is None else F.when(F.col(event).cast("double") > 0, outcome)
+
+
 def _resample_others(members, resamples: ResampleSet, metrics) -> ResampleResult:
     """Iterative learners: one fit per resample over a cached narrow frame.
 
@@ -305,7 +498,7 @@ def _resample_others(members, resamples: ResampleSet, metrics) -> ResampleResult
 
         def fit_one(pair: tuple[str, str]) -> FittedWorkflow:
             n, i = pair
-            model = fit_model(members[n].model, prepared[n][i], kept.analysis(i))
+            model = fit_model(members[n].model, prepared[n][i], kept.analysis(i), dict(members[n].terms))
             return FittedWorkflow(members[n], prepared[n][i], model)
 
         with ThreadPool(min(_FITS_AT_ONCE, len(pairs))) as pool:
@@ -315,13 +508,15 @@ def _resample_others(members, resamples: ResampleSet, metrics) -> ResampleResult
             F.lit(n).alias("wflow_id"),
             F.lit(i).alias("id"),
             F.col(resamples.key).alias("row"),
-            F.col(members[n].recipe.outcome).cast("double").alias("truth"),
+            _truth(members[n]).alias("truth"),
             "pred",
         )
         for n, i in pairs
     ]
     predictions = reduce(lambda a, b: a.unionByName(b), frames)
-    return ResampleResult(predictions, {}, metrics)
+    # trees have no table of coefficients
+    fits = {key: f.model.fit for key, f in fitted.items() if hasattr(f.model, "fit")}
+    return ResampleResult(predictions, fits, metrics)
 
 
 def rank_workflows(metrics: DataFrame, metric: str, higher_is_better: bool) -> DataFrame:
