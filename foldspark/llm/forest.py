@@ -12,24 +12,28 @@ longer than that reach are also compared with the batch's pivots, the classes
 closest to its most common values.
 
 A comparison counts equal minhash values and sizes; what may reach the wanted
-similarity (4.5 standard deviations of slack) is a candidate. In a first round
-only the closest candidates of a class and tree are confirmed, since links in a dense group
-mostly connect what is connected already. Runs that were not compared whole or
+similarity (4.5 standard deviations of slack) is a candidate. Only the closest
+candidates of a class and tree are confirmed, first the very closest of a few trees,
+then those of all trees that would join two components, since links in a dense group
+mostly connect what is connected already; of its links a task gives a spanning forest. Runs that were not compared whole or
 not confirmed whole (longer than the reach, cut by a partition's end, or with
 candidates beyond the closest) are met again: first every class of a long run
 with the run's hubs, the classes with most links so far, which joins stars of
-copies; then, in every run that still has several components, the classes
-outside its largest one with all classes of other components. So each pair of a
-run ends in one component or is compared, first by minhash values and then, where
-it may reach the similarity, by the full sets in the same cell, whatever the length of the run and
-wherever batches end. Candidates are confirmed on the full sets, which travel
-only for the classes that have any. Components of the confirmed links are found
+copies; then the classes of every run that still has several components, grouped by
+their rarest shingles: two sets that reach the similarity share one of the rarest
+(100 - similarity) % of either. In such a group the classes outside the largest
+component are compared with those of other components, first by minhash values and
+then, where they may reach the similarity, by the full sets in the same cell. So each pair of a
+run ends in one component or is compared or cannot link, whatever the length of the run and
+wherever batches end; pages that share a template but do not link share no rare
+shingle and are not compared. Full sets travel only for the classes that have
+candidates or are left in such runs. Components of the confirmed links are found
 by repeated minimum labels with shortcuts.
 
 No step holds a group of copies in one task: equal sets are combined before the
-shuffle, sorted runs are cut wherever a partition or batch ends, and runs met
-again are dealt into cells by a hash. The last comparison grows with the product of a
-run's length and its classes outside the largest component. A pair at the threshold agrees on the first ``LEAST``
+shuffle, sorted runs are cut wherever a partition or batch ends, and groups met
+again are dealt into cells of bounded number and bytes by a hash. The last comparison grows with the product of the
+number of classes that share a rare shingle and those of them outside the largest component. A pair at the threshold agrees on the first ``LEAST``
 values of at least one tree with probability 1 - (1 - 0.85^3)^12 = 0.99999;
 measured recall is in the README.
 
@@ -52,7 +56,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldspark.llm.shared import checkpoint, in_groups, rows_of, whole
+from foldspark.llm.shared import checkpoint, give_back, in_groups, rows_of, whole
 
 TREES, DEPTH, LEAST = 12, 10, 3
 VALUES = TREES * DEPTH
@@ -60,7 +64,9 @@ EXTRA = 240  # further values, compared in the second round only
 REACH = 64  # neighbours compared on either side
 PIVOTS = 4  # per batch and run longer than the reach
 HUBS = 16  # per run longer than the reach, over all its classes
-CELL = 1000  # classes of a run met again that go to one task together
+CELL = 1000  # classes of a run met again that go to one task together, and bytes of their sets
+CELL_BYTES = 16 << 20
+FIRST_TREES = 4  # trees whose closest candidates are confirmed, and whose crowded runs are met, before the others
 SURE = 0.93  # share of equal values from which a candidate is surely a link
 #: candidates confirmed per class and tree in the first round, the closest first: sure ones, doubtful ones
 KEPT = (1, 4)
@@ -161,6 +167,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, minima:
                     columns.append(_fixed(values[:, :VALUES].astype(">u2").view(np.uint8)))
                     columns.append(_fixed((values & np.uint16(0xFF)).astype(np.uint8)))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        give_back()
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.sha2(whole(text_col), 256).alias("row_digest"), whole(text_col).alias("text")
@@ -169,9 +176,9 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, minima:
     return rows.mapInArrow(sign, kinds + (", order binary, low binary" if minima else ""))
 
 
-def _closest(a: np.ndarray, b: np.ndarray, equal: np.ndarray, sure: int) -> np.ndarray:
-    """Which pairs are among the closest of either end; sure and doubtful pairs are counted apart."""
-    keep = np.zeros(len(a), bool)
+def _closest(a: np.ndarray, b: np.ndarray, equal: np.ndarray, sure: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs are among the closest of either end, and which are the very closest; sure and doubtful pairs are counted apart."""
+    keep, closest = np.zeros((2, len(a)), bool)
     is_sure = equal >= sure
     most = np.where(is_sure, *KEPT)
     for end in (a, b):
@@ -180,7 +187,8 @@ def _closest(a: np.ndarray, b: np.ndarray, equal: np.ndarray, sure: int) -> np.n
         first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         rank = np.arange(len(order)) - np.repeat(first, np.diff(np.concatenate([first, [len(order)]])))
         keep[order] |= rank < most[order]
-    return keep
+        closest[order] |= rank == 0
+    return keep, closest
 
 
 def _least(values: int, percent: int) -> int:
@@ -196,6 +204,7 @@ def _run(tree: Column) -> Column:
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes, a < b, that may have ``percent`` % similarity, the closest of each class, once per tree.
 
+    Their ``tree`` tells the round that confirms them, -2 or -1: the very closest of the first ``FIRST_TREES`` trees come first.
     A row (a, a) names a class and tree whose run is not given whole: it is longer than the reach, may go on
     in another partition, or has candidates beyond the closest.
     """
@@ -246,13 +255,14 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
             a, b, equal, place = a[order], b[order], equal[order], place[order]
             once = np.ones(len(a), bool)
             once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (tree[i][order][1:] != tree[i][order][:-1])
-            keep = once.copy()
+            keep, early = once.copy(), np.zeros(len(a), bool)
             if once.any():
-                keep[once] = _closest(a[once], b[once], equal[once], sure)
+                keep[once], early[once] = _closest(a[once], b[once], equal[once], sure)
+            early &= tree[i][order] < FIRST_TREES
             again[place[once & ~keep]] = True
             marked = begins[again[number[begins]]]
             a, b = np.concatenate([a[keep], node[marked]]), np.concatenate([b[keep], node[marked]])
-            trees = np.concatenate([np.full(keep.sum(), -1), tree[marked]])
+            trees = np.concatenate([np.where(early[keep], -2, -1), tree[marked]])
             return given(a, b, trees)
 
         def given(a, b, trees):
@@ -279,6 +289,7 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
             held = [x[-REACH:] for x in now]
         if held is not None:
             yield given(held[3][-1:], held[3][-1:], held[0][-1:])
+        give_back()
 
     rows = classes.select(
         F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "order", F.substring("low", 1, values).alias("low"), "node", "n_shingles"
@@ -290,14 +301,53 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def run_members(classes: DataFrame, marks: DataFrame) -> DataFrame:
-    """tree, run, node, set_digest of all classes of the runs that ``marks`` (a, tree) names."""
+    """tree, run, node, set_digest, n_shingles of all classes of the runs that ``marks`` (a, tree) names."""
     runs = marks.select(F.col("a").alias("node"), "tree").join(classes.select("node", "order"), "node")
     runs = runs.select("tree", _run(F.col("tree")).alias("run")).distinct()
-    rows = classes.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "order", "node", "set_digest")
-    rows = rows.select("tree", _run(F.col("tree")).alias("run"), "node", "set_digest")
+    own = ["node", "set_digest", "n_shingles"]
+    rows = classes.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "order", *own)
+    rows = rows.select("tree", _run(F.col("tree")).alias("run"), *own)
     return rows.join(runs, ["tree", "run"], "left_semi")
 
 
+def open_runs(members: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members with their component as ``label``, and per run of several components: tree, run, size, bytes, most (n, bytes, label of the largest)."""
+    labelled = members.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    by_label = labelled.groupBy("tree", "run", "label").agg(F.count(F.lit(1)).alias("n"), (F.sum("n_shingles") * 8).alias("bytes"))
+    runs = by_label.groupBy("tree", "run").agg(
+        F.sum("n").alias("size"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "bytes", "label")).alias("most")
+    )
+    return labelled.drop("n_shingles"), checkpoint(runs.filter(F.col("most.n") < F.col("size")))
+
+
+def prefix_members(sets: DataFrame, percent: int) -> DataFrame:
+    """The classes of ``sets`` grouped by rare shingles: tree (-1), run (a shingle), node, set_digest, n_shingles.
+
+    In the order of their frequency, two sets that reach the similarity share one of the first (100 - ``percent``) % of
+    either, and one more. So only classes that share one of those are met, and no pair is lost.
+    """
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in in_groups(batch, "values"):
+                sizes = pc.binary_length(rows.column("values")).to_numpy(zero_copy_only=False) // 8
+                at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                flat = np.frombuffer(b"".join(rows.column("values").to_pylist()), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("node").take(at), rows.column("set_digest").take(at), pa.array(flat)], names=["node", "set_digest", "shingle"]
+                )
+        give_back()
+
+    rows = sets.select("node", "set_digest", "values").mapInArrow(single, "node long, set_digest binary, shingle long")
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    own = rows.join(often, "shingle").groupBy("node", "set_digest").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("by"))
+    n = F.size("by")
+    least = F.ceil(n * percent / F.lit(100)).cast("int")
+    first = own.select("node", "set_digest", n.cast("long").alias("n_shingles"), F.explode(F.slice("by", F.lit(1), n - least + 1)).alias("s"))
+    run = F.unhex(F.lpad(F.hex("s.shingle"), 16, "0"))
+    return first.filter("s.often > 1").select(F.lit(-1).alias("tree"), run.alias("run"), "node", "set_digest", "n_shingles")
+
+
 def met_again(
     members: DataFrame,
     classes: DataFrame,
@@ -314,14 +364,18 @@ def met_again(
     """
     values = VALUES + EXTRA
     least = _least(values, percent)
-    labelled = members.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-    by_label = labelled.groupBy("tree", "run", "label").agg(F.count(F.lit(1)).alias("n"))
-    runs = by_label.groupBy("tree", "run").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("most"))
-    runs = runs.filter(F.col("most.n") < F.col("size"))
+    labelled, runs = open_runs(members, found)
     if links is not None:
         runs = runs.filter(F.col("size") > REACH + 1)
-    cells = F.ceil(F.col("size") / CELL).cast("int")
-    parts = F.lit(1) if links is not None else F.ceil((F.col("size") - F.col("most.n")) / CELL).cast("int")
+    nothing = members.sparkSession.createDataFrame([], "a long, b long")
+    if runs.isEmpty():
+        return nothing, sets
+
+    def dealt(n: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(n / CELL), F.ceil(size / CELL_BYTES), F.lit(1)).cast("int")
+
+    cells = dealt(F.col("size"), F.col("bytes"))
+    parts = F.lit(1) if links is not None else dealt(F.col("size") - F.col("most.n"), F.col("bytes") - F.col("most.bytes"))
     runs = runs.select("tree", "run", cells.alias("cells"), parts.alias("parts"), F.col("most.label").alias("largest"))
     rows = labelled.join(runs, ["tree", "run"])
     if links is not None:
@@ -413,6 +467,7 @@ def full_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str
                     [rows.column("node"), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())],
                     names=["node", "set_digest", "values"],
                 )
+        give_back()
 
     sets = texts.join(wanted.select("node").distinct(), "node", "left_semi").mapInArrow(
         make, "node long, set_digest binary, values binary"
@@ -434,7 +489,37 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     first = sets.select(F.col("node").alias("a"), F.col("values").alias("x"))
     second = sets.select(F.col("node").alias("b"), F.col("values").alias("y"))
-    return pairs.join(first, "a").join(second, "b").filter(linked("x", "y")).select("a", "b").distinct()
+    links = pairs.join(first, "a").join(second, "b").filter(linked("x", "y")).select("a", "b")
+    return links.mapInArrow(spanning, "a long, b long")
+
+
+def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the links of a task, those that join something more."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    for batch in batches:
+        keep = []
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            a, b = root(a), root(b)
+            keep.append(a != b)
+            parent[max(a, b)] = min(a, b)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def between(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    if found is None:
+        return pairs
+    for end in ("a", "b"):
+        own = found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = pairs.join(own, end, "left")
+    return pairs.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -473,11 +558,17 @@ def near_duplicates(
     )
     named = classes.filter("node is not null")
     near = checkpoint(candidates(named, percent).distinct())
-    pairs = near.filter("a < b").select("a", "b")
+    turns = near.filter("a < b").groupBy("a", "b").agg(F.min("tree").alias("turn"))
+    pairs = checkpoint(turns)
     sets = full_sets(docs, pairs, named, id_col, text_col, words)
-    links = checkpoint(confirmed(pairs, sets, percent))
-    found = components(links)
-    # what the first round left of a run matters only if it joins two components
+    links = found = None
+    for turn in (-2, -1):
+        # in a dense group the first links connect most classes; later ones matter only between components
+        more = checkpoint(confirmed(between(pairs.filter(F.col("turn") == turn).select("a", "b"), found), sets, percent))
+        links = more if links is None else links.unionByName(more)
+        if found is None or not more.isEmpty():
+            found = components(links)
+    # what these rounds left of a run matters only if it joins two components
     marks = near.filter("a = b").select("a", "tree")
     if not marks.isEmpty():
         members = checkpoint(run_members(named, marks))
@@ -485,11 +576,23 @@ def near_duplicates(
         def more_sets(wanted: DataFrame) -> DataFrame:
             return full_sets(docs, wanted, named, id_col, text_col, words)
 
-        for by_hubs in (True, False):
-            more, sets = met_again(members, named, found, percent, sets, more_sets, links if by_hubs else None)
+        for trees in (F.col("tree") < FIRST_TREES, F.col("tree") >= FIRST_TREES):
+            more, sets = met_again(members.filter(trees), named, found, percent, sets, more_sets, links)
             if not more.isEmpty():
                 links = links.unionByName(more)
                 found = components(links)
+        # the classes of runs that still have several components are met by their rare shingles
+        rows, runs = open_runs(members, found)
+        left = checkpoint(rows.join(runs.select("tree", "run"), ["tree", "run"], "left_semi").select("node").distinct())
+        if not left.isEmpty():
+            new = left.join(sets.select("node"), "node", "left_anti").select(F.col("node").alias("a"), F.col("node").alias("b"))
+            new = checkpoint(new)
+            if not new.isEmpty():
+                sets = sets.unionByName(more_sets(new))
+            rare = checkpoint(prefix_members(sets.join(left, "node", "left_semi"), percent))
+            more, sets = met_again(rare, named, found, percent, sets, more_sets)
+            if not more.isEmpty():
+                found = components(links.unionByName(more))
     classes = classes.join(found, "node", "left").select("set_digest", F.coalesce("component", "node").alias("component"))
     rows = signed.select("doc_id", "row_digest", "n_shingles", "set_digest").join(classes, "set_digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))

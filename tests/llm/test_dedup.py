@@ -139,6 +139,26 @@ def test_candidates_beyond_the_closest_are_confirmed(spark, monkeypatch):
     _check_near(_copies(spark, 25, 7, 9), 3, 85)
 
 
+def test_pages_of_one_template(spark, monkeypatch):
+    """Pages that share most words but do not link, a few copies among them, and chains between groups."""
+    rng = random.Random(21)
+    template = [f"t{k}" for k in range(150)]
+    pages = [template + [f"p{rng.randrange(10**6)}" for _ in range(60)] for _ in range(220)]
+    for k in range(0, 200, 9):
+        copy = list(pages[k])
+        copy[170] = "changed"
+        pages.append(copy)
+    rows = [(i, " ".join(p)) for i, p in enumerate(pages)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _check_near(docs, 3, 85)
+    # the same with cells of a few rows, and without any help of the first rounds
+    monkeypatch.setattr(forest, "CELL", 40)
+    monkeypatch.setattr(forest, "CELL_BYTES", 20_000)
+    monkeypatch.setattr(forest, "KEPT", (0, 0))
+    _check_near(docs, 3, 85)
+
+
 def test_star_over_many_batches_and_partitions(spark):
     # each variant is linked with the original only, which is in one batch of many
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
