@@ -3,9 +3,9 @@
 A window with no partition key pulls every row into one task, and the exact
 ``percentile`` aggregate keeps every distinct value in one task's memory. Here
 rows are first counted per distinct value, so a value that fills a third of the
-table is one row. The distinct values are then cut into buckets of similar size,
-bucket totals are summed in order, and only positions inside a bucket need a
-sort, one bucket per task.
+table is one row. The distinct values are then range partitioned, or cut into buckets of similar size,
+the totals of earlier parts are summed in order, and only places inside a part need a
+sort, one part per task.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldspark.functions.hashing import HASH_BITS
+from foldspark.session import cut_lineage
 
 _BUCKET = "__bucket"
 _BOUNDARY_ACCURACY = 20_000
@@ -28,16 +29,6 @@ def _bucket_count(df: DataFrame) -> int:
     return max(32, min(4096, 4 * partitions))
 
 
-def _add_buckets(df: DataFrame, order: str) -> DataFrame:
-    """Attach a bucket number that never decreases as ``order`` grows.
-
-    The cut points come from one bounded sketch. They only balance the work: any
-    cut points give the same final answer.
-    """
-    n = _bucket_count(df)
-    return _with_bucket(df, order, df.agg(_boundaries(F.col(order), n).alias("q")).first()["q"])
-
-
 def _boundaries(value: Column, buckets: int) -> Column:
     grid = [i / buckets for i in range(1, buckets)]
     return F.percentile_approx(value.cast("double"), grid, _BOUNDARY_ACCURACY)
@@ -51,53 +42,84 @@ def _with_bucket(df: DataFrame, order: str, cuts: list[float] | None) -> DataFra
     return stage.transform(df.withColumn("__order", F.col(order).cast("double"))).drop("__order")
 
 
+def in_order(df: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` sorted by ``by`` over all partitions and written down, with ``__part`` and ``__place`` (from 0 in its part).
+
+    Keys are of any type that sorts. Partitions are cut by sampled bounds of the whole key, so a hot first
+    key is spread over many of them.
+    """
+    at = F.monotonically_increasing_id()
+    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    numbered = ordered.withColumns({"__part": F.shiftright(at, 33).cast("int"), "__place": at.bitwiseAND(F.lit((1 << 33) - 1))})
+    return cut_lineage(numbered)
+
+
 def running_totals(
     counts: DataFrame,
     order: str,
     totals: list[str],
     by: list[str] | None = None,
 ) -> DataFrame:
-    """Add ``cum_<t>``: the sum of ``t`` over rows up to and including this one.
+    """Add ``cum_<t>``: the sum of ``t`` over rows up to and including this one, within each group of ``by``.
 
-    ``counts`` holds one row per (``by``, ``order``).
+    ``counts`` holds one row per (``by``, ``order``). Neither many groups nor one huge group is special: rows
+    are range partitioned by group and order, and earlier partitions enter by their sums per group.
     """
     by = by or []
-    bucketed = _add_buckets(counts, order)
-    sums = bucketed.groupBy(*by, _BUCKET).agg(*[F.sum(t).alias(f"__sum_{t}") for t in totals])
-    # at most one row per bucket and group
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy(_BUCKET).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    ordered = in_order(counts, [*by, order])
+    sums = ordered.groupBy("__part", *by).agg(*[F.sum(t).alias(f"__sum_{t}") for t in totals])
+    # at most one row per partition and group
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        *by,
-        _BUCKET,
-        *[
-            F.coalesce(F.sum(f"__sum_{t}").over(before), F.lit(0)).alias(f"__before_{t}")
-            for t in totals
-        ],
+        *[F.col(b).alias(f"__o_{b}") for b in by],
+        F.col("__part").alias("__o_part"),
+        *[F.coalesce(F.sum(f"__sum_{t}").over(before), F.lit(0)).alias(f"__before_{t}") for t in totals],
     )
-    offsets = offsets.select(*[F.col(c).alias(f"__o_{c}") for c in offsets.columns])
     condition = reduce(
-        lambda a, b: a & b,
-        [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in [*by, _BUCKET]],
-    )
-    joined = bucketed.join(offsets, condition)
-    inside = Window.partitionBy(*by, _BUCKET).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, 0
+        lambda a, b: a & b, [F.col("__part") == F.col("__o_part"), *[F.col(b).eqNullSafe(F.col(f"__o_{b}")) for b in by]]
     )
+    joined = ordered.join(offsets, condition)
+    inside = Window.partitionBy("__part", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
-        *counts.columns,
-        *[
-            (F.sum(t).over(inside) + F.col(f"__o___before_{t}")).alias(f"cum_{t}")
-            for t in totals
-        ],
+        *counts.columns, *[(F.sum(t).over(inside) + F.col(f"__before_{t}")).alias(f"cum_{t}") for t in totals]
     )
 
 
-def positions(df: DataFrame, key: str, name: str = "position") -> DataFrame:
-    """Add the 1-based position of each row in ``key`` order; ``key`` is unique."""
-    ranked = running_totals(df.withColumn("__one", F.lit(1).cast("long")), key, ["__one"])
-    return ranked.withColumnRenamed("cum___one", name).drop("__one")
+def positions(df: DataFrame, key: str | list[str], name: str = "position") -> DataFrame:
+    """Add the 1-based position of each row in the order of ``key``, one or several columns that tell rows apart.
+
+    Only the number of rows of each partition is seen by the driver.
+    """
+    ordered = in_order(df, [key] if isinstance(key, str) else key)
+    counts = {r["__part"]: r["count"] for r in ordered.groupBy("__part").count().collect()}
+    starts = [0]
+    for part in range(max(counts, default=0)):
+        starts.append(starts[-1] + counts.get(part, 0))
+    before = F.get(F.array(*[F.lit(n).cast("long") for n in starts]), "__part")
+    return ordered.select(*df.columns, (before + F.col("__place") + 1).alias(name))
+
+
+def grouped_quantiles(df: DataFrame, by: list[str], value: str, probabilities: list[float]) -> DataFrame:
+    """Exact interpolated quantiles of every group, as an array in the order of ``probabilities``: by, quantiles.
+
+    Groups are never collected: values are counted per group, and the ranks wanted are
+    picked from running totals. A group without values has missing quantiles.
+    """
+    counts = df.groupBy(*by, F.col(value).cast("double").alias("__value")).agg(F.count(value).alias("__n"))
+    ranked = running_totals(counts, "__value", ["__n"], by)
+    sizes = counts.groupBy(*[F.col(b).alias(f"__s_{b}") for b in by]).agg(F.sum("__n").alias("__size"))
+    same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"__s_{b}")) for b in by])
+    first, last = F.col("cum___n") - F.col("__n"), F.col("cum___n")
+    picked, out = [], []
+    for k, p in enumerate(probabilities):
+        at = (F.col("__size") - 1) * F.lit(float(p))
+        low = F.floor(at)
+        for end, rank in (("low", low), ("high", F.least(low + 1, F.col("__size") - 1))):
+            picked.append(F.max(F.when((rank >= first) & (rank < last), F.col("__value"))).alias(f"__{end}{k}"))
+        picked.append(F.max(at - low).alias(f"__rest{k}"))
+        out.append(F.col(f"__low{k}") + (F.col(f"__high{k}") - F.col(f"__low{k}")) * F.col(f"__rest{k}"))
+    found = ranked.join(sizes, same).groupBy(*by).agg(*picked)
+    return found.select(*by, F.array(*out).alias("quantiles"))
 
 
 def block_number(position: Column, n_rows: Column, blocks: int) -> Column:

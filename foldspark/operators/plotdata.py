@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from foldspark.functions.distributions import normal_quantile_udf
 from foldspark.operators.gram import Member, grams
 from foldspark.operators.linear import INTERCEPT, simple_regression_by, solve
-from foldspark.operators.ordered import exact_quantiles, running_totals
+from foldspark.operators.ordered import exact_quantiles, grouped_quantiles, positions, running_totals
 from foldspark.operators.splines import NaturalSpline, knot_probabilities
 
 
@@ -109,8 +109,12 @@ def normal_quantiles(df: DataFrame, column: str) -> DataFrame:
     return ranked.select("value", "n", normal_quantile_udf(middle).alias("normal_quantile"))
 
 
-def ordered_levels(df: DataFrame, level: str, statistic: Column) -> DataFrame:
-    """Levels with the order their statistic gives them; ties in level order."""
-    stats = df.groupBy(level).agg(statistic.alias("statistic"))
-    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("statistic", level))
-    return stats.withColumn("order", rank)
+def ordered_levels(df: DataFrame, level: str, statistic: Column | None = None, median_of: str | None = None) -> DataFrame:
+    """Levels with the order their statistic, or the median of a column, gives them; ties in level order."""
+    if (statistic is None) == (median_of is None):
+        raise ValueError("give a statistic or the column whose median orders the levels")
+    if median_of is None:
+        stats = df.groupBy(level).agg(statistic.alias("statistic"))
+    else:
+        stats = grouped_quantiles(df, [level], median_of, [0.5]).select(level, F.get("quantiles", F.lit(0)).alias("statistic"))
+    return positions(stats, ["statistic", level], "order").withColumn("order", F.col("order").cast("int"))

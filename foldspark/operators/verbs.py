@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from foldspark.functions.hashing import hash01
+from foldspark.operators.ordered import positions
 
 
 # ---------------------------------------------------------------- column selection
@@ -106,7 +107,7 @@ def unnest(nested: DataFrame, column: str = "data") -> DataFrame:
 def levels_table(df: DataFrame, column: str) -> DataFrame:
     """Sorted levels of a text column with their 1-based codes.
 
-    The window runs over the distinct levels only.
+    Levels are numbered by their place in a range partition and the levels of earlier ones, so they may be many.
     """
     levels = df.where(F.col(column).isNotNull()).select(F.col(column).alias("level")).distinct()
-    return levels.withColumn("code", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("level")))
+    return positions(levels, "level", "code").withColumn("code", F.col("code").cast("int"))

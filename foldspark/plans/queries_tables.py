@@ -477,6 +477,26 @@ def reorder_levels(spark, folder):
     return by_mean.join(by_first, "level")
 
 
+@query(
+    "w5_reorder_by_median",
+    "SELECT p_type AS level, CAST(row_number() OVER (ORDER BY median(p_retailprice), p_type) AS INTEGER) AS by_median FROM part GROUP BY p_type",
+)
+def reorder_by_median(spark, folder):
+    """Levels by the median of a column, the usual order of a plot."""
+    part = read_table(spark, "part", folder).withColumnRenamed("p_type", "level")
+    return ordered_levels(part, "level", median_of="p_retailprice").select("level", F.col("order").alias("by_median"))
+
+
+@query(
+    "w4_positions_of_text_keys",
+    "SELECT c_custkey, row_number() OVER (ORDER BY c_mktsegment, c_name, c_custkey) AS position FROM customer",
+)
+def positions_of_text_keys(spark, folder):
+    """Positions in the order of several columns of text and numbers."""
+    customer = read_table(spark, "customer", folder).select("c_mktsegment", "c_name", "c_custkey")
+    return positions(customer, ["c_mktsegment", "c_name", "c_custkey"]).select("c_custkey", "position")
+
+
 @query(
     "w7_random_rows",
     f"SELECT o_orderkey, o_totalprice FROM orders ORDER BY {hash_sql(42, 'o_orderkey')}, o_orderkey LIMIT 500",

@@ -20,6 +20,7 @@ from foldspark.operators.correlation import (
     paired_t_test,
 )
 from foldspark.operators.models import linear_reg, logistic_reg, mixed_reg, multinom_reg, rand_forest, survival_reg
+from foldspark.operators.ordered import grouped_quantiles
 from foldspark.operators.plotdata import (
     binned_scatter,
     group_lines,
@@ -787,15 +788,9 @@ def faceted_histogram(spark, folder):
     "SELECT event_type, round(median(value), 6) + 0.0 AS middle, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1",
 )
 def function_per_group(spark, folder):
-    """A function of every group's rows, here its median: one pass over all groups."""
-    from foldspark.operators.ordered import exact_quantiles
-
+    """A function of every group's rows, here its median: one pass over all groups, however many there are."""
     events = hold(read_table(spark, "events", folder).select("event_type", "value"))
+    middle = grouped_quantiles(events, ["event_type"], "value", [0.5])
     counts = events.groupBy("event_type").agg(F.count("*").alias("n"))
-    levels = [row["event_type"] for row in counts.select("event_type").collect()]
-    weights = {k: F.when(F.col("event_type") == k, 1).otherwise(0) for k in levels}
-    found = exact_quantiles(events, "value", [0.5], weights)
-    chain = F.lit(None).cast("double")
-    for k in levels:
-        chain = F.when(F.col("event_type") == k, F.lit(found[k][0])).otherwise(chain)
-    return counts.select("event_type", F.round(chain, 6).alias("middle"), "n")
+    same = middle["event_type"].eqNullSafe(counts["event_type"])
+    return counts.join(middle, same).select(counts["event_type"], F.round(F.get("quantiles", F.lit(0)), 6).alias("middle"), "n")

@@ -8,6 +8,7 @@ from foldspark.functions.hashing import hash_bits
 from foldspark.operators.ordered import (
     block_number,
     exact_quantiles,
+    grouped_quantiles,
     hash_cuts,
     positions,
     running_totals,
@@ -66,3 +67,31 @@ def test_hash_cuts_hit_exact_ranks(spark):
     cuts = hash_cuts(df, {"a": hash_bits(5, "id")}, lambda n: [F.floor(n * 0.8), F.lit(0), n])["a"]["all"]
     bits = sorted(r[0] for r in df.select(hash_bits(5, "id")).collect())
     assert cuts == [bits[799], -1, bits[-1]]
+
+
+def test_positions_of_text_and_compound_keys(spark):
+    rng = np.random.default_rng(11)
+    rows = [(str(rng.choice(["aa", "b", "ä", None])), None if i % 50 == 0 else f"k{i % 7}", i) for i in range(900)]
+    df = spark.createDataFrame([(None if a == "None" else a, b, i) for a, b, i in rows], "a string, b string, i long").repartition(9)
+    got = {r["i"]: r["position"] for r in positions(df, ["a", "b", "i"]).collect()}
+    key = lambda v: (v is not None, (v or "").encode())
+    order = sorted(df.collect(), key=lambda r: (key(r["a"]), key(r["b"]), r["i"]))
+    assert got == {r["i"]: k for k, r in enumerate(order, 1)}
+    assert positions(df.limit(0), ["a", "i"]).count() == 0
+
+
+def test_quantiles_of_many_and_of_huge_groups(spark):
+    # one group holds half of the rows; the others are 20,000 small ones
+    rows = spark.range(120_000).select(
+        F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") % 20_000).alias("g"),
+        F.when(F.col("id") % 11 != 0, F.pmod(F.col("id") * 7919, F.lit(1013)).cast("double")).alias("v"),
+    )
+    rows = rows.union(spark.createDataFrame([(-2, None)], "g long, v double"))
+    found = {r["g"]: r["quantiles"] for r in grouped_quantiles(rows, ["g"], "v", [0.0, 0.5, 0.9]).collect()}
+    values = {}
+    for r in rows.collect():
+        values.setdefault(r["g"], []).append(r["v"])
+    assert set(found) == set(values) and len(found) > 10_000
+    for g, own in values.items():
+        own = [v for v in own if v is not None]
+        assert found[g] == (pytest.approx(np.quantile(own, [0.0, 0.5, 0.9])) if own else [None] * 3)
