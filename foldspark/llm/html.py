@@ -1,12 +1,15 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of its block elements. Elements that cannot be the
-article by their kind or by what their class, id or role calls them are left out. For every other
+article by their kind or by what their class, id or role calls them are left out (a name counts if all of
+its words speak of such a part; body and main always stay, and where nothing would be left, so do forms and named
+parts that hold the headline). For every other
 node, characters, tags, and the characters and tags of links in its subtree give
 the composite text density: characters per tag, damped by the share of links.
 The node whose children have the greatest sum of densities is the target; the
 smallest density on its way up to the body is the threshold, and other nodes
-that reach it give their own best subtree too. Where the page marks its article
+that reach it give their own best subtree too, and so do headings and paragraphs that stand in the target's
+own containers. Where the page marks its article
 (article, main), the target grows to that element and is taken with its lists of
 links. On pages without such a mark, lists of links are menus and are left out.
 
@@ -56,7 +59,7 @@ _CLOSES = {
 _SCOPE = frozenset("ul ol dl table body html article section div".split())
 _MARKS_ARTICLE = frozenset(["article", "main"])
 _BAD_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
-# names of parts that are not the article, as whole words of a class or id
+# what names of parts that are not the article are made of: at least one of these words
 _BAD_WORDS = frozenset(
     """ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot banner banners billboard breadcrumb
     breadcrumbs comment comments commentlist consent cookie cookies disclaimer discussion disqus footer gdpr header login masthead
@@ -64,6 +67,18 @@ _BAD_WORDS = frozenset(
     promotion recommended related replies respond share sharing sidebar sidebars signup skyscraper social sponsor sponsored
     sponsors subscribe subscription tagcloud teaser teasers toolbar widget widgets""".split()
 )
+# and otherwise only words for a part's form and place; any other word makes it a name of its own ("notice-board", "social-science",
+# "layout-sidebar-right", "comments-open")
+_PART_WORDS = frozenset(
+    """a all and area article articles aside author bar block blocks body bottom box btn button buttons cards col column container
+    content count counts desktop div entry fb feed fixed float footer form frame global google group head heading holder icon icons
+    image images img in inline inner item items js left link links list lists main message messages meta mid middle mobile module nav
+    of outer page pages panel post posts primary print rail right roll row section secondary site slot small square stories story strip
+    tab table tag text thread title tools top twitter ul unit user users wp wrap wrapper zone""".split()
+)
+_HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
+_TEXT_BLOCKS = _HEADINGS | {"p", "blockquote", "pre"}
+_OWN_HEADLINE = re.compile(r"<(?:article|main|h1)\b", re.IGNORECASE)
 _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*')|[^<>=]|=)*+)>|[!?/][^>]*>)",
     re.DOTALL,
@@ -71,13 +86,24 @@ _TAG = re.compile(
 _CUT_OFF = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# the attribute itself, outside of quoted values
+_HIDDEN = re.compile(r"""^(?:[^"']|"[^"]*"|'[^']*')*?\shidden(?:\s|=|/|$)""", re.IGNORECASE)
+
+
+def _names_other_part(value: str) -> bool:
+    """Whether a class or id has a name that is made of words for parts beside the article."""
+    for token in value.split():
+        words = [w.lower() for w in _WORDS.findall(token)]
+        if any(w in _BAD_WORDS for w in words) and all(w in _BAD_WORDS or w in _PART_WORDS or len(w) == 1 for w in words):
+            return True
+    return False
 
 
 def _unwanted(name: str, rest: str, in_article: bool) -> bool:
     """Whether an element is no part of an article by its kind or its names."""
     if name in _NEVER or (name == "header" and not in_article):
         return True
-    if name in ("body", "html", "article", "main") and "comment" not in rest.lower():
+    if name in ("body", "html", "main"):
         return False
     if "=" in rest:
         for kind, *values in _ATTRIBUTE.findall(rest):
@@ -85,17 +111,20 @@ def _unwanted(name: str, rest: str, in_article: bool) -> bool:
             if kind.lower() == "role":
                 if value.strip().lower() in _BAD_ROLES:
                     return True
-            elif any(w.lower() in _BAD_WORDS for w in _WORDS.findall(value)):
+            elif name == "article":
+                if any("comment" in t.lower() and _names_other_part(t) for t in value.split()):
+                    return True
+            elif not (in_article and name in _HEADINGS) and _names_other_part(value):
                 return not (name == "header" or (in_article and "header" in value.lower() and "comment" not in value.lower()))
-        if re.search(r"(?:^|\s)hidden(?:\s|=|$)", rest) or "display:none" in rest.replace(" ", ""):
-            return True
-    return False
+    lower = rest.lower()
+    return ("hidden" in lower and bool(_HIDDEN.search(rest))) or "display:none" in lower.replace(" ", "")
 
 
 class _Tree:
     """Block elements of a page, in page order: a node's parent comes before it."""
 
-    def __init__(self, page: str):
+    def __init__(self, page: str, lenient: bool = False):
+        self.lenient = lenient  # a form, or a part by its names, is kept if the page's headline or article is behind it
         self.parent, self.name = [-1], ["#page"]
         self.chars, self.tags, self.link_chars, self.link_tags = [0], [0], [0], [0]
         self.blocks: list[tuple[int, str]] = []  # node, text
@@ -175,8 +204,11 @@ class _Tree:
                 if name not in _VOID:
                     skipped.append(name)
                 continue
-            if name not in _VOID and _unwanted(name, rest, articles > 0):
-                if name in _BLOCKS or name in ("video", "audio", "object", "svg"):
+            unwanted = name not in _VOID and _unwanted(name, rest, articles > 0)
+            if unwanted and self.lenient and (name == "form" or name not in _NEVER) and _OWN_HEADLINE.search(page, at):
+                unwanted = False
+            if unwanted:
+                if name in _BLOCKS:
                     flush()
                 if not rest.endswith("/"):
                     skipped.append(name)
@@ -237,7 +269,11 @@ class _Tree:
 
 def main_text(page: str) -> str:
     """The article's text of one page."""
-    tree = _Tree(page)
+    # a wrapper around the whole page may be a form, or carry a misleading name
+    return _best_text(_Tree(page)) or _best_text(_Tree(page, lenient=True))
+
+
+def _best_text(tree: _Tree) -> str:
     if not tree.blocks:
         return ""
     density, sums = tree.densities()
@@ -259,6 +295,11 @@ def main_text(page: str) -> str:
         for i in range(1, n):
             if density[i] >= threshold > 0:
                 chosen[i] = chosen[i] or i not in above
+        # headings and paragraphs that stand directly beside the chosen part, in its containers below the body
+        containers = {tree.parent[i] for i in path if tree.parent[i] > 0 and tree.name[tree.parent[i]] not in ("body", "html")}
+        for i in range(1, n):
+            if tree.name[i] in _TEXT_BLOCKS and (tree.parent[i] in containers or tree.parent[i] == target):
+                chosen[i] = True
     inside, menu, own = [False] * n, [False] * n, [False] * n
     for i in range(n):
         p = tree.parent[i]

@@ -14,7 +14,7 @@ document, different values of one format different ones, and nothing is stored.
 | social security number | ddd-dd-dddd | area, group and serial within their valid ranges |
 | telephone number | +country and 7 to 14 digits, or 10 digits in the groups of North America | digits behind the country code; valid North American area and exchange codes stay valid |
 | IPv4 address | four numbers up to 255 | all 32 bits |
-| date | yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy, else mm/dd/yyyy; years 1000 to 9999 | the day within its century |
+| date | yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy, else mm/dd/yyyy; years 1000 to 9999 | the day within its century; a date that only reads as mm/dd among such dates |
 
 All of it is SQL functions: a text is split at the matches of one pattern, each
 match is mapped, and the parts are joined again. Texts without a match are not
@@ -60,6 +60,15 @@ def _bind(value: Column, then) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
+#: Steps of a walk; each leaves the set with a probability below 0.65, so all fail once in 10^37 values.
+WALK = 200
+
+
+def _walk(value: Column, step, inside) -> Column:
+    """``step`` repeated until ``inside`` holds again (cycle walking): a permutation of a set becomes one of its part."""
+    return F.aggregate(F.sequence(F.lit(2), F.lit(WALK)), step(value), lambda x, _: F.when(inside(x), x).otherwise(step(x)))
+
+
 def _feistel(key: str, kind: str, left: Column, right: Column, a: Column, b: Column) -> Column:
     """Struct (l, r): the permuted halves of a number, left in [0, a), right in [0, b)."""
 
@@ -262,8 +271,15 @@ def _phone(key: str, match: Column) -> Column:
     n = F.length(digits)
 
     def new(rest: Column) -> Column:
-        american = (F.length(rest) == 10) & rest.rlike("^[2-9][0-9]{2}[2-9]") & ((code == 0) | ((code == 1) & match.startswith("+1")))
-        changed = F.when(american, _north_american(key, rest)).otherwise(_permuted_digits(key, "phone", rest))
+        national = (F.length(rest) == 10) & ((code == 0) | ((code == 1) & match.startswith("+1")))
+        valid = lambda d: d.rlike("^[2-9][0-9]{2}[2-9]")
+        free = lambda d: _permuted_digits(key, "phone", d)
+        # other numbers of ten digits stay outside the valid ones
+        changed = (
+            F.when(national & valid(rest), _north_american(key, rest))
+            .when(national, _walk(rest, free, lambda d: ~valid(d)))
+            .otherwise(free(rest))
+        )
         return _with_format(match, F.concat(F.substr(digits, F.lit(1), code), changed))
 
     valid = F.when(foreign, (n >= 8) & (n <= 15)).otherwise(n == 10)
@@ -299,19 +315,23 @@ def _date(key: str, match: Column) -> Column:
         leap = F.pmod(F.floor(F.year(d) / 100), F.lit(4)) == 0  # 36,525 days instead of 36,524
         b = F.when(leap, 487).otherwise(397).cast("long")
         a = F.when(leap, 75).otherwise(92).cast("long")
-        days = F.datediff(d, begin).cast("long")
 
-        def shown(p: Column) -> Column:
-            moved = F.date_add(begin, (p["l"] * b + p["r"]).cast("int"))
+        def moved(x: Column) -> Column:
+            days = F.datediff(x, begin).cast("long")
+            pair = _feistel(key, "date", F.floor(days / b), F.pmod(days, b), a, b)
+            return _bind(pair, lambda p: F.date_add(begin, (p["l"] * b + p["r"]).cast("int")))
+
+        def shown(x: Column) -> Column:
             return (
-                F.when(match.contains("-"), F.date_format(moved, "yyyy-MM-dd"))
-                .when(match.contains("."), F.date_format(moved, "dd.MM.yyyy"))
-                .when(first, F.date_format(moved, "yyyy/MM/dd"))
-                .when(swapped, F.date_format(moved, "MM/dd/yyyy"))
-                .otherwise(F.date_format(moved, "dd/MM/yyyy"))
+                F.when(match.contains("-"), F.date_format(x, "yyyy-MM-dd"))
+                .when(match.contains("."), F.date_format(x, "dd.MM.yyyy"))
+                .when(first, F.date_format(x, "yyyy/MM/dd"))
+                .when(swapped, F.date_format(x, "MM/dd/yyyy"))
+                .otherwise(F.date_format(x, "dd/MM/yyyy"))
             )
 
-        return _bind(_feistel(key, "date", F.floor(days / b), F.pmod(days, b), a, b), shown)
+        # a date that only reads as mm/dd stays one, so that it never meets the image of a dd/mm date
+        return _bind(F.when(swapped, _walk(d, moved, lambda x: F.dayofmonth(x) > 12)).otherwise(moved(d)), shown)
 
     value = F.when(swapped, other).otherwise(day)
     return F.when(value.isNotNull(), _bind(value, new)).otherwise(match)
@@ -335,9 +355,12 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     text = F.col(text_col).cast("string")
     matches = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     # most texts have neither a digit nor an at sign, which is far quicker to see
-    rows = docs.drop("n_pii").withColumn("_found", F.when(text.rlike("[0-9@]") & text.rlike(PATTERN), matches))
-    rows = rows.withColumn("_new", F.transform("_found", lambda m: pseudonym(key, m)))
-    joined = F.array_join(F.zip_with(F.split(text, PATTERN, -1), F.col("_new"), lambda gap, m: F.concat(gap, F.coalesce(m, F.lit("")))), "")
-    n = F.aggregate(F.zip_with("_found", "_new", lambda a, b: (a != b).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-    own = [F.when(F.col("_found").isNull(), F.col(c)).otherwise(joined).alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "n_pii"]
+    found, new = "_found", "_new"
+    while {found, new} & {c.lower() for c in docs.columns}:
+        found, new = f"_{found}", f"_{new}"
+    rows = docs.drop("n_pii").withColumn(found, F.when(text.rlike("[0-9@]") & text.rlike(PATTERN), matches))
+    rows = rows.withColumn(new, F.transform(found, lambda m: pseudonym(key, m)))
+    joined = F.array_join(F.zip_with(F.split(text, PATTERN, -1), F.col(new), lambda gap, m: F.concat(gap, F.coalesce(m, F.lit("")))), "")
+    n = F.aggregate(F.zip_with(found, new, lambda a, b: (a != b).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+    own = [F.when(F.col(found).isNull(), F.col(c)).otherwise(joined).alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "n_pii"]
     return rows.select(*own, F.coalesce(n, F.lit(0).cast("long")).alias("n_pii"))

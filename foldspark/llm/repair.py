@@ -2,7 +2,7 @@
 
 Documents are laid out in ascending id order and cut into shards of about
 ``shard_tokens`` ids. In a shard, frequent pairs of adjacent symbols are
-replaced by nonterminals, round after round: a round counts all pairs, takes
+replaced by nonterminals, round after round until no pair pays for its rule: a round counts all pairs, takes
 those that occur at least ``least`` times, and replaces their occurrences
 (where occurrences overlap, those of the more frequent pair, then every second
 one). Pairs never cross documents. The shard stores the rules round by round
@@ -28,6 +28,7 @@ not read. The table's folder must not exist.
 
 from __future__ import annotations
 
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -38,11 +39,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldspark.llm.shared import checkpoint, in_groups, whole
+from foldspark.llm.shared import checkpoint, give_back, in_groups, whole
 from foldspark.llm.tokens import ids_column, library_encoder
 
-ROUNDS = 4
-LEAST = 24
+#: Occurrences from which a pair pays for its rule: 12 bytes, for 2 bytes saved each.
+LEAST = 8
 SHARD_TOKENS = 600_000
 #: The first ids of up to so many parts are broadcast (12 bytes each); more are joined by shuffles.
 BROADCAST_PARTS = 500_000
@@ -73,24 +74,45 @@ def _frequent(codes: np.ndarray, apart: np.ndarray, round_: int, least: int) ->
     return at[often], bins[often], counts
 
 
+def _frequent_exactly(codes: np.ndarray, apart: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same by sorting: the most frequent pairs, as many as there are bins."""
+    there = np.ones(len(codes), bool)
+    there[apart] = False
+    places = np.flatnonzero(there)
+    _, inverse, sums = np.unique(codes[places], return_inverse=True, return_counts=True)
+    chosen = np.argsort(-sums, kind="stable")[:_BINS]
+    chosen = chosen[sums[chosen] >= least]
+    bin_of = np.full(len(sums), -1)
+    bin_of[chosen] = np.arange(len(chosen))
+    bins = bin_of[inverse]
+    counts = np.zeros(_BINS, np.int64)
+    counts[: len(chosen)] = sums[chosen]
+    return places[bins >= 0], bins[bins >= 0], counts
+
+
 def compress(
-    ids: np.ndarray, offsets: np.ndarray, terminals: int, rounds: int = ROUNDS, least: int = LEAST
+    ids: np.ndarray, offsets: np.ndarray, terminals: int, rounds: int | None = None, least: int = LEAST
 ) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Symbols, the first symbol of each document (and the end), and per round the replaced pairs (n x 2).
 
-    ``offsets`` are where the documents begin in ``ids``, with the end.
+    ``offsets`` are where the documents begin in ``ids``, with the end. Rounds go
+    on until no pair occurs ``least`` times, or to ``rounds``.
     """
     symbols = ids.astype(np.uint32)
     first = np.asarray(offsets, np.int64)
     rules: list[np.ndarray] = []
     base = terminals
-    for round_ in range(rounds):
+    for round_ in itertools.count() if rounds is None else range(rounds):
         n = len(symbols)
         if n < 2:
             break
         wide = np.uint32 if base <= 1 << 16 else np.uint64
         codes = symbols[:-1] * wide(base) + symbols[1:]
-        at, bins, counts = _frequent(codes, first[(first > 0) & (first < n)] - 1, round_, least)
+        apart = first[(first > 0) & (first < n)] - 1
+        at, bins, counts = _frequent(codes, apart, round_, least)
+        if not len(at):
+            # a pair may be hidden behind others of its bin in every round
+            at, bins, counts = _frequent_exactly(codes, apart, least)
         if not len(at):
             break
         weight = np.zeros(n + 2, np.int32)  # weight[i + 1]: count of the pair at i
@@ -106,9 +128,12 @@ def compress(
         # overlaps have taken some occurrences; what is left must still pay for its rule
         left = np.bincount(bins, minlength=_BINS) >= least // 2
         stays = left[bins]
+        if not stays.any():
+            # all lost to overlaps: the most frequent pair goes alone
+            left = np.zeros(_BINS, bool)
+            left[bins[counts[bins].argmax()]] = True
+            stays = left[bins]
         at, bins = at[stays], bins[stays]
-        if not len(at):
-            break
         of_bin = np.zeros(_BINS, codes.dtype)
         of_bin[bins] = codes[at]
         used = np.flatnonzero(left)
@@ -152,7 +177,7 @@ def expand(symbols: np.ndarray, terminals: int, flat: np.ndarray, bounds: np.nda
     return ids, lengths
 
 
-def to_bytes(ids: np.ndarray, offsets: np.ndarray, rounds: int = ROUNDS, least: int = LEAST) -> bytes:
+def to_bytes(ids: np.ndarray, offsets: np.ndarray, rounds: int | None = None, least: int = LEAST) -> bytes:
     """A shard of the documents ``ids[offsets[i]:offsets[i + 1]]``."""
     there = np.bincount(ids) > 0 if len(ids) else np.empty(0, bool)
     used = np.flatnonzero(there)
@@ -270,7 +295,7 @@ def write(
             )
             number, begin = number + 1, begin + held
             ids, counts, names, held = [], [], [], 0
-            pa.default_memory_pool().release_unused()
+            give_back()
             return out
 
         for batch in batches:
@@ -325,6 +350,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     ],
                     names=schema.names,
                 )
+                give_back()
 
     found = table.select("part", "begin", "doc_ids", "shard_bytes").mapInArrow(documents, schema)
     # one row per part, not per document

@@ -10,19 +10,40 @@ Texts with other white space or with a special token's opening are one piece.
 from __future__ import annotations
 
 import json
+import os
+import unicodedata
 from array import array
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Two white space characters in a row, white space at either end, any other kind of white space or control, "<|",
-# and a comma or full stop before white space that is not behind a letter or digit
-_ODD = (
-    r"[ \n][ \n]|^[ \n]|[ \n]$|[\x00-\x09\x0b-\x1f\x7f-\xa0]|[\x{1680}\x{180e}\x{2000}-\x{200f}]|[\x{2028}-\x{202f}\x{205f}-"
-    r"\x{206f}\x{3000}\x{feff}]|<\||(?:^|[^\p{L}\p{N}])[.,](?:[ \n]|$)"
-)
+
+
+def _end_in_a_mark() -> str:
+    """Letters and digits whose normal form in lower case ends in something else, such as the capital I with dot."""
+    out = []
+    for c in map(chr, range(0x80, 0x30000)):
+        if unicodedata.category(c)[0] in "LN":
+            last = unicodedata.normalize("NFC", c).lower()[-1]
+            if unicodedata.category(last)[0] not in "LN":
+                out.append(c)
+    return "".join(rf"\x{{{ord(c):x}}}" for c in out)
+
+
+@cache
+def _odd() -> str:
+    """Two white space characters in a row, white space at either end, any other kind of white space or control, "<|",
+    and a comma or full stop before white space that is not behind a letter or digit that stays one.
+    """
+    return (
+        r"[ \n][ \n]|^[ \n]|[ \n]$|[\x00-\x09\x0b-\x1f\x7f-\xa0]|[\x{1680}\x{180e}\x{2000}-\x{200f}]|[\x{2028}-\x{202f}\x{205f}-"
+        r"\x{206f}\x{3000}\x{feff}]|<\||(?:^|[^\p{L}\p{N}]|[" + _end_in_a_mark() + r"])[.,](?:[ \n]|$)"
+    )
+
+
 #: fixed value: how byte-level vocabularies split text before the merges
 BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # marks of a text's first piece, of a text that is one piece, and of a comma or full stop that ends a word
@@ -76,7 +97,7 @@ class PieceEncoder:
         texts = pc.fill_null(texts, "")
         small = (pc.ascii_lower(texts) if self.lower else texts).cast(pa.large_string())
         texts = texts.cast(pa.large_string())
-        odd = pc.match_substring_regex(texts, _ODD)
+        odd = pc.match_substring_regex(texts, _odd())
         # the blank behind gives an empty piece, which has no ids
         plain = pc.binary_join_element_wise(
             pa.scalar(_FIRST, pa.large_string()), pc.replace_substring(small, "\n", " \n"), pa.scalar(" ", pa.large_string()),
@@ -152,6 +173,8 @@ def library_encoder(path: str) -> PieceEncoder:
     any other piece through its whole chain of normaliser, splitter and merges.
     """
     if path not in _made:
+        # Spark's tasks are the threads; those of the library would keep memory of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)

@@ -38,6 +38,42 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+_TEXT = "<h1>T</h1><p>One two three four five.</p><p>Six seven eight nine ten.</p>"
+_WANT = "T\nOne two three four five.\nSix seven eight nine ten."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><article class='post comments-open'>{_TEXT}</article></body>",
+        f"<body class='single comments-open'><div>{_TEXT}</div></body>",
+        f"<body class='has-sidebar'><article>{_TEXT}</article></body>",
+        f"<body><div class='layout-sidebar-right'>{_TEXT}</div></body>",
+        f"<body><div class='sidebar'><article>{_TEXT}</article></div></body>",
+        f"<body><form action=x><div>{_TEXT}</div><input></form></body>",
+        f"<body><article>{_TEXT}</article><div hidden><p>secret words here</p></div></body>",
+        f"<body><article>{_TEXT}</article><div class='share-buttons'>a b</div><div id='cookieNotice'>c</div></body>",
+        f"<main>{_TEXT}<article class='comment depth'><p>kept, as its name is its own</p></article></main>".replace(" depth", ""),
+        f"<body><div id=wrap><div class=ad-slot>buy</div><div id=content>{_TEXT}</div></div></body>",
+    ],
+)
+def test_wrappers_and_names(page):
+    assert html.main_text(page) == _WANT
+
+
+def test_names_that_only_look_like_other_parts():
+    parts = "<p id='related-work'>a b</p><p class='social-science'>c d</p><p class='notice-board'>e f</p><h2 id='sharing'>g</h2>"
+    assert html.main_text(f"<article>{parts}<p class='newsletter-signup'>x</p></article>") == "a b\nc d\ne f\ng"
+    assert html.main_text("<article><p>one <svg><path d=x></svg>two</p></article>") == "one two"
+
+
+def test_short_blocks_beside_a_nested_section_without_a_mark():
+    inner = "".join(f"<p>{'words ' * 80}</p>" for _ in range(3))
+    page = f"<body><div id=wrap><nav>menu</nav><div id=content><h2>Title</h2><p>Short lead.</p><div>{inner}</div><p>The end.</p></div></div></body>"
+    found = html.main_text(page).split("\n")
+    assert found[:2] == ["Title", "Short lead."] and found[-1] == "The end." and len(found) == 6
+
+
 @pytest.mark.parametrize("page", ["<" * 50_000, "<a " * 20_000, "<div>" * 20_000 + "deep", "<p class='" * 5_000, "&" * 50_000])
 def test_hostile_pages_end(page):
     html.main_text(page)

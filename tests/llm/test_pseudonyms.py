@@ -3,6 +3,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from foldspark.llm import pii
 
@@ -124,3 +125,24 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert sorted(str((r.doc_id, r.text)) for r in found.collect()) == sorted(str((r.doc_id, r.text)) for r in rows.collect())
     assert {r.n_pii for r in found.collect()} == {0}
     assert pii.pseudonymise(no_docs, KEY).count() == 0
+
+
+def test_no_two_dates_or_numbers_share_a_pseudonym(spark):
+    """All dates of a century in both slashed notations, and telephone numbers inside and outside the North American rule."""
+    days = spark.range(36_525).selectExpr("date_add(date'2000-01-01', cast(id as int)) AS d")
+    dates = days.selectExpr("date_format(d, 'dd/MM/yyyy') AS text").union(days.filter("day(d) > 12").selectExpr("date_format(d, 'MM/dd/yyyy')"))
+    numbers = spark.range(30_000).selectExpr(
+        "concat(200 + id % 7 * 111, '-', lpad(id * 37 % 1000, 3, '0'), '-', lpad(id * 7919 % 10000, 4, '0')) AS text"
+    ).distinct()
+    for values in (dates, numbers):
+        found = pii.pseudonymise(values.withColumn("old", F.col("text")), KEY)
+        assert found.filter("n_pii != 1").count() == found.filter("text = old").count()
+        assert found.select("text").distinct().count() == values.count()
+        # a value keeps its kind
+        assert found.filter(F.regexp_replace("text", "[0-9]", "0") != F.regexp_replace("old", "[0-9]", "0")).isEmpty()
+
+
+def test_own_columns_are_kept(spark):
+    docs = spark.createDataFrame([("a@b.com 2020-01-14", 1, "n")], "text string, _found int, _new string")
+    row = pii.pseudonymise(docs, KEY).first()
+    assert (row["_found"], row["_new"], row["n_pii"]) == (1, "n", 2)

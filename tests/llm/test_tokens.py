@@ -29,6 +29,29 @@ def test_pieces_give_the_ids_of_whole_texts(name, documents):
             assert ids[offsets[k] : offsets[k + 1]].tolist() == want
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_stops_behind_every_kind_of_character(name):
+    path = tokenizer_path(name)
+    library, encode = Tokenizer.from_file(path), library_encoder(path)
+    # all of the first blocks, where letters, marks and digits change their case in odd ways, and a part of the rest
+    points = [*range(0x20, 0x600), *range(0x1E00, 0x2200), *range(0x600, 0x1E00, 13), *range(0x2200, 0xD800, 97), *range(0xFB00, 0xFB10)]
+    texts = [f"one tw{chr(c)}. So{chr(c)}, {chr(c)}. {chr(c)}.\nx" for c in points] + ["KADIKÖYİ. Son", "İ. İ, aİ.\nb"]
+    ids, offsets = encode(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert ids[offsets[k] : offsets[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_rounds_go_on_until_no_pair_pays():
+    rng = np.random.default_rng(6)
+    passage = rng.integers(0, 5000, 700).tolist()
+    ids, offsets = _shard([[*rng.integers(0, 5000, 50).tolist(), *passage] for _ in range(40)])
+    symbols, _, rules = repair.compress(ids, offsets, 5000)
+    # the passage of every document is a few symbols in the end
+    assert len(symbols) < 40 * 60 and len(rules) > 6
+    left = Counter(zip(symbols[:-1].tolist(), symbols[1:].tolist()))
+    assert max(left.values()) < 2 * repair.LEAST  # runs of one pair may overlap
+
+
 def test_rank_arrays_against_the_library(documents, odd_docs, no_docs):
     path = tokenizer_path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
