@@ -19,21 +19,21 @@ mostly connect what is connected already; of its links a task gives a spanning f
 not confirmed whole (longer than the reach, cut by a partition's end, or with
 candidates beyond the closest) are met again: first every class of a long run
 with the run's hubs, the classes with most links so far, which joins stars of
-copies; then the classes of every run that still has several components, grouped by
-their rarest shingles: two sets that reach the similarity share one of the rarest
-(100 - similarity) % of either. In such a group the classes outside the largest
-component are compared with those of other components, first by minhash values and
-then, where they may reach the similarity, by the full sets in the same cell. So each pair of a
+copies; then, in every run that still has several components, the classes outside the largest
+component with those of other components, first by minhash values and
+then, where they may reach the similarity, by the full sets in the same cell. The classes of runs longer than ``CROWD``
+are grouped for that by their rarest shingles instead: two sets that reach the similarity share one of the rarest
+(100 - similarity) % of either. So each pair of a
 run ends in one component or is compared or cannot link, whatever the length of the run and
-wherever batches end; pages that share a template but do not link share no rare
-shingle and are not compared. Full sets travel only for the classes that have
+wherever batches end; of a crowd of pages that share a template but do not link only those that share a rare
+shingle are compared. Full sets travel only for the classes that have
 candidates or are left in such runs. Components of the confirmed links are found
 by repeated minimum labels with shortcuts.
 
 No step holds a group of copies in one task: equal sets are combined before the
 shuffle, sorted runs are cut wherever a partition or batch ends, and groups met
 again are dealt into cells of bounded number and bytes by a hash. The last comparison grows with the product of the
-number of classes that share a rare shingle and those of them outside the largest component. A pair at the threshold agrees on the first ``LEAST``
+number of classes of a run of up to ``CROWD``, or of those that share a rare shingle, and those of them outside the largest component. A pair at the threshold agrees on the first ``LEAST``
 values of at least one tree with probability 1 - (1 - 0.85^3)^12 = 0.99999;
 measured recall is in the README.
 
@@ -66,6 +66,7 @@ PIVOTS = 4  # per batch and run longer than the reach
 HUBS = 16  # per run longer than the reach, over all its classes
 CELL = 1000  # classes of a run met again that go to one task together, and bytes of their sets
 CELL_BYTES = 16 << 20
+CROWD = 4000  # a run longer than this is not compared class by class: its classes are grouped by rare shingles instead
 FIRST_TREES = 4  # trees whose closest candidates are confirmed, and whose crowded runs are met, before the others
 SURE = 0.93  # share of equal values from which a candidate is surely a link
 #: candidates confirmed per class and tree in the first round, the closest first: sure ones, doubtful ones
@@ -581,10 +582,17 @@ def near_duplicates(
             if not more.isEmpty():
                 links = links.unionByName(more)
                 found = components(links)
-        # the classes of runs that still have several components are met by their rare shingles
-        rows, runs = open_runs(members, found)
-        left = checkpoint(rows.join(runs.select("tree", "run"), ["tree", "run"], "left_semi").select("node").distinct())
-        if not left.isEmpty():
+        # runs that still have several components: all outside the largest one with the others, in a crowd by rare shingles
+        crowds = checkpoint(open_runs(members, found)[1].filter(F.col("size") > CROWD).select("tree", "run"))
+        crowded = not crowds.isEmpty()
+        rest = members.join(crowds, ["tree", "run"], "left_anti") if crowded else members
+        for trees in (F.col("tree") < FIRST_TREES, F.col("tree") >= FIRST_TREES):
+            more, sets = met_again(rest.filter(trees), named, found, percent, sets, more_sets)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                found = components(links)
+        if crowded:
+            left = checkpoint(members.join(crowds, ["tree", "run"], "left_semi").select("node").distinct())
             new = left.join(sets.select("node"), "node", "left_anti").select(F.col("node").alias("a"), F.col("node").alias("b"))
             new = checkpoint(new)
             if not new.isEmpty():

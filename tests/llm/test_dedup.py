@@ -156,6 +156,7 @@ def test_pages_of_one_template(spark, monkeypatch):
     monkeypatch.setattr(forest, "CELL", 40)
     monkeypatch.setattr(forest, "CELL_BYTES", 20_000)
     monkeypatch.setattr(forest, "KEPT", (0, 0))
+    monkeypatch.setattr(forest, "CROWD", 100)
     _check_near(docs, 3, 85)
 
 
