@@ -7,12 +7,12 @@ from dataclasses import dataclass, replace
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foldspark.functions.constants import text_constant
-from foldspark.operators.gram import MAX_WIDTH, Member, grams
-from foldspark.operators.linear import LinearFit, solve
+from foldspark.operators.gram import MAX_WIDTH, Gram, Member, grams
+from foldspark.operators.linear import LinearFit, elastic_net, solve
 from foldspark.operators.logistic import ClassMember, fit_logistic, fit_logistic_set
 from foldspark.operators.mixed import MixedFit, fit_mixed_set
 from foldspark.operators.recipe import PreparedRecipe, _predictors
@@ -59,6 +59,10 @@ _ENGINES = {
 }
 
 
+#: Engines that need only the cross-products.
+LINEAR_ENGINES = ("gram", "penalized")
+
+
 def linear_reg(penalty: float | None = None, mixture: float = 1.0) -> ModelSpec:
     """Least squares; with a penalty, elastic net (mixture 1 is the lasso)."""
     engine = "gram" if penalty is None else "penalized"
@@ -151,19 +155,33 @@ def fit_linear(prepared: PreparedRecipe, df: DataFrame) -> LinearFit:
     return fit_linear_set({"all": prepared}, df)["all"]
 
 
-def fit_linear_set(prepared: dict[str, PreparedRecipe], df: DataFrame) -> dict[str, LinearFit]:
-    """Least squares of several prepared recipes from one pass over the rows."""
-    members, layouts = {}, {}
+def solve_spec(spec: ModelSpec | None, sums: Gram, terms: list[str]) -> LinearFit:
+    """The linear model that ``spec`` asks for, from the cross-products."""
+    if spec is not None and spec.engine == "penalized":
+        return elastic_net(sums, terms, spec.get("penalty"), spec.get("mixture"))
+    return solve(sums, terms)
+
+
+def fit_linear_set(
+    prepared: dict[str, PreparedRecipe], df: DataFrame, specs: dict[str, ModelSpec] | None = None
+) -> dict[str, LinearFit]:
+    """Least squares, or its penalised form, of several prepared recipes from one pass over the rows."""
+    specs = specs or {}
+    # models of one recipe share its cross-products
+    first: dict[int, str] = {}
     for name, one in prepared.items():
+        first.setdefault(id(one), name)
+    members, layouts = {}, {}
+    for name in first.values():
+        one = prepared[name]
         base = one.base()
         layouts[name] = Layout.of(base)
         curves = {"all": layouts[name].curves} if layouts[name].curves else None
         vector = shared_vector(base, one.recipe.outcome)
         members[name] = Member(vector, layouts[name].width, ("all",), curves)
     found = grams(df, {"all": F.lit(1)}, members)
-    return {
-        n: solve(found[n, "all"].map(layouts[n].table), one.terms) for n, one in prepared.items()
-    }
+    sums = {n: found[n, "all"].map(layouts[n].table) for n in first.values()}
+    return {n: solve_spec(specs.get(n), sums[first[id(one)]], one.terms) for n, one in prepared.items()}
 
 
 def outcome_vector(prepared: PreparedRecipe) -> Column:
@@ -392,21 +410,6 @@ def _complete_rows(prepared: PreparedRecipe, df: DataFrame, outcome: Column) ->
     return rows.select(array_to_vector("d").alias("features"), "label")
 
 
-def fit_penalized(spec: ModelSpec, prepared: PreparedRecipe, df: DataFrame) -> LinearModel:
-    """Elastic net; coefficients only, so the fit carries no inference."""
-    learner = LinearRegression(regParam=spec.get("penalty"), elasticNetParam=spec.get("mixture"))
-    outcome = F.col(prepared.recipe.outcome).cast("double")
-    with cached(_complete_rows(prepared, df, outcome)) as rows:
-        model = learner.fit(rows)
-        n = float(rows.count())
-    terms = prepared.terms
-    estimate = np.concatenate([[model.intercept], model.coefficients.toArray()])
-    size = len(estimate)
-    unknown = np.full((size, size), np.nan)
-    fit = LinearFit(("(Intercept)", *terms), estimate, unknown, n, size, float("nan"), float("nan"))
-    return LinearModel(fit)
-
-
 def fit_classes(prepared: PreparedRecipe, df: DataFrame, binary: bool, engine: str) -> ClassModel:
     """Logistic regression, two or more classes, coded against the first level."""
     outcome = F.col(prepared.recipe.outcome).cast("string")
@@ -518,10 +521,8 @@ def fit_model(spec: ModelSpec, prepared: PreparedRecipe, df: DataFrame, terms: d
         return fit_mixed_models(prepared, df, terms, {"all": F.lit(1)})["all"]
     if spec.kind == "survival_reg":
         return fit_survival_model(prepared, df, terms)
-    if spec.engine == "gram":
-        return LinearModel(fit_linear(prepared, df))
-    if spec.engine == "penalized":
-        return fit_penalized(spec, prepared, df)
+    if spec.engine in LINEAR_ENGINES:
+        return LinearModel(fit_linear_set({"all": prepared}, df, {"all": spec})["all"])
     if spec.mode == "classification":
         return fit_classes(prepared, df, spec.kind == "logistic_reg", spec.engine)
     return fit_tree(spec, prepared, df)

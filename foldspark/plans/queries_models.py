@@ -29,6 +29,7 @@ from foldspark.plans.queries_features import rounded
 from foldspark.plans.queries_resample import SALES_SPLIT_SQL, STRATA_SEED, sales_split
 from foldspark.plans.registry import query
 from foldspark.plans.tables import (
+    SALES_SQL,
     DEGREES_SQL,
     FALL_SQL,
     REG_SQL,
@@ -38,7 +39,7 @@ from foldspark.plans.tables import (
     sales,
     students,
 )
-from foldspark.plans.workflow import Workflow
+from foldspark.plans.workflow import Workflow, fit_set
 from foldspark.session import hold
 from foldspark.sources.tables import read_table
 
@@ -159,6 +160,49 @@ def penalized(spark, folder):
     return rounded(fitted.tidy(spark).select("term", "estimate"))
 
 
+_PENALTIES = (0.2, 0.1, 0.05, 0.01, 0.001)
+_MIXTURE = 0.7
+
+
+@query(
+    "m4_elastic_net_path",
+    f"WITH {SALES_SQL}, s AS (SELECT avg(price) AS my, avg(area) AS mx, stddev_pop(area) AS sx, covar_pop(price, area) / stddev_pop(area) AS c FROM sales), "
+    f"p AS (SELECT unnest([{', '.join(map(str, _PENALTIES))}]::DOUBLE[]) AS penalty), "
+    f"b AS (SELECT penalty, my, mx, sign(c) * greatest(abs(c) - {_MIXTURE} * penalty, 0) / (1 + {round(1 - _MIXTURE, 3)} * penalty) / sx AS slope FROM s, p) "
+    "SELECT penalty, '(Intercept)' AS term, round(my - slope * mx, 6) + 0.0 AS estimate FROM b "
+    "UNION ALL SELECT penalty, 'area', round(slope * 1000, 6) + 0.0 FROM b",
+)
+def elastic_net_path(spark, folder):
+    """One predictor: the shrunk slope (times 1000) of every penalty, all from one pass over the rows."""
+    rows = hold(sales(spark, folder))
+    recipe = Recipe.of(rows, "price", ["area"])
+    fitted = fit_set({str(p): Workflow(recipe, linear_reg(penalty=p, mixture=_MIXTURE)) for p in _PENALTIES}, rows)
+    table = [
+        (float(p), term, float(v) * (1000 if term == "area" else 1))
+        for p, one in fitted.items() for term, v in zip(one.model.fit.terms, one.model.fit.estimate)
+    ]
+    return rounded(spark.createDataFrame(table, "penalty double, term string, estimate double"))
+
+
+_LASSO = 1e-5
+_LASSO_X = ["area", "latitude", "longitude"]
+
+
+@query(
+    "m4_optimality",
+    f"WITH {SALES_SQL} " + " UNION ALL ".join(f"SELECT '{x}' AS term, round({_LASSO} * sign(corr(price, {x}){'' if x == 'area' else f' - corr(area, {x}) * corr(price, area)'}), 9) + 0.0 AS pull FROM sales" for x in _LASSO_X),
+)
+def lasso_optimality(spark, folder):
+    """At a lasso fit with a small penalty, what is left of the outcome pulls at every column with just the penalty."""
+    rows = hold(sales(spark, folder))
+    fitted = Workflow(Recipe.of(rows, "price", _LASSO_X), linear_reg(penalty=_LASSO)).fit(rows)
+    rest = fitted.predict(rows).withColumn("rest", F.col("price") - F.col("pred"))
+    pulls = [
+        F.struct(F.lit(x).alias("term"), F.round(F.covar_pop("rest", x) / F.stddev_pop(x), 9).alias("pull")) for x in _LASSO_X
+    ]
+    return rest.agg(F.array(*pulls).alias("e")).select(F.inline("e"))
+
+
 @query("m5_regression_tree")
 def regression_tree(spark, folder):
     split = sales_split(spark, folder)

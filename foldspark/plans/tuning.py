@@ -138,11 +138,13 @@ def finalize_workflow(workflow: Workflow, values: dict[str, object]) -> Workflow
                 if isinstance(getattr(step, f.name), Tune)
             }
             steps.append(replace(step, **changes) if changes else step)
-        recipe = replace(recipe, steps=tuple(steps))
+        # an unchanged recipe stays the same object, so that its candidates share its estimation
+        if any(a is not b for a, b in zip(steps, recipe.steps)):
+            recipe = replace(recipe, steps=tuple(steps))
     if model is not None:
         changes = {n: values[m.id or n] for _, n, m in _marked(model)}
         model = model.with_arguments(**changes) if changes else model
-    return Workflow(recipe, model)
+    return replace(workflow, recipe=recipe, model=model)
 
 
 @dataclass(frozen=True)
@@ -165,11 +167,17 @@ class TuneResult:
         return kept.orderBy(order, "wflow_id").limit(1)
 
 
+#: Most candidates of a grid: each is a model whose numbers the driver holds.
+MAX_CANDIDATES = 10_000
+
+
 def tune_grid(
-    workflow: Workflow, table: DataFrame, resamples: ResampleSet, metrics=REGRESSION
+    workflow: Workflow, table: DataFrame, resamples: ResampleSet, metrics: tuple[str, ...] | None = None
 ) -> TuneResult:
     """Score every grid row on the shared resamples, as one workflow set."""
-    rows = [row.asDict() for row in table.collect()]  # the grid is a small argument table
+    rows = [row.asDict() for row in table.limit(MAX_CANDIDATES + 1).collect()]
+    if len(rows) > MAX_CANDIDATES:
+        raise ValueError(f"more than {MAX_CANDIDATES} candidates")
     width = max(2, len(str(len(rows))))
     candidates = {f"candidate_{i:0{width}d}": row for i, row in enumerate(rows, start=1)}
     members = {n: finalize_workflow(workflow, values) for n, values in candidates.items()}

@@ -13,8 +13,8 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from foldspark.operators.gram import Member, grams
-from foldspark.operators.linear import TIDY_SCHEMA, LinearFit, solve
+from foldspark.operators.gram import Gram, Member, grams
+from foldspark.operators.linear import TIDY_SCHEMA, LinearFit
 from foldspark.operators.metrics import (
     CLASSIFICATION,
     REGRESSION,
@@ -29,6 +29,7 @@ from foldspark.operators.models import (
     ModelSpec,
     class_columns,
     class_label,
+    LINEAR_ENGINES,
     MODEL_TERMS,
     fit_class_set,
     fit_linear_set,
@@ -37,6 +38,7 @@ from foldspark.operators.models import (
     outcome_levels,
     outcome_vector,
     shared_vector,
+    solve_spec,
 )
 from foldspark.operators.mixed import MixedFit
 from foldspark.operators.recipe import PreparedRecipe, Recipe
@@ -86,7 +88,7 @@ class Workflow:
 
     @property
     def is_linear(self) -> bool:
-        return self.model.engine == "gram"
+        return self.model.engine in LINEAR_ENGINES
 
     @property
     def mode(self) -> str:
@@ -199,7 +201,9 @@ def fit_set(workflows: dict[str, Workflow], df: DataFrame) -> dict[str, FittedWo
     """Fit every workflow; all least-squares members share one pass over the rows."""
     wanted = list(dict.fromkeys(c for w in workflows.values() for c in w.columns))
     with cached(df, wanted) as rows:
-        prepared = {n: w.recipe.prep(rows) for n, w in workflows.items()}
+        by_recipe = {id(w.recipe): w.recipe for w in workflows.values()}
+        by_recipe = {k: recipe.prep(rows) for k, recipe in by_recipe.items()}
+        prepared = {n: by_recipe[id(w.recipe)] for n, w in workflows.items()}
         linear = [n for n, w in workflows.items() if w.is_linear]
         models = {
             n: fit_model(w.model, prepared[n], rows, dict(w.terms))
@@ -207,7 +211,7 @@ def fit_set(workflows: dict[str, Workflow], df: DataFrame) -> dict[str, FittedWo
             if not w.is_linear
         }
         if linear:
-            found = fit_linear_set({n: prepared[n] for n in linear}, rows)
+            found = fit_linear_set({n: prepared[n] for n in linear}, rows, {n: workflows[n].model for n in linear})
             models |= {n: LinearModel(fit) for n, fit in found.items()}
         return {n: FittedWorkflow(workflows[n], prepared[n], models[n]) for n in workflows}
 
@@ -320,12 +324,15 @@ def _resample_linear(members, resamples: ResampleSet, metrics) -> ResampleResult
     weights = {i: r.weight for i, r in resamples.resamples.items()}
     with cached(_narrow_frame(members, resamples)) as rows:
         prepared: dict[tuple[str, str], PreparedRecipe] = {}
+        # workflows that differ in their model only share a recipe, its estimation and its cross-products
+        by_recipe: dict[int, dict[str, PreparedRecipe]] = {}
         for n, w in members.items():
-            if w.recipe.is_trained:
-                own = w.recipe.prep_resamples(rows, weights)
-            else:
-                own = dict.fromkeys(ids, w.recipe.prep(rows))
-            prepared |= {(n, i): own[i] for i in ids}
+            if id(w.recipe) not in by_recipe:
+                if w.recipe.is_trained:
+                    by_recipe[id(w.recipe)] = w.recipe.prep_resamples(rows, weights)
+                else:
+                    by_recipe[id(w.recipe)] = dict.fromkeys(ids, w.recipe.prep(rows))
+            prepared |= {(n, i): by_recipe[id(w.recipe)][i] for i in ids}
         fits = _linear_fits(rows, members, prepared, resamples, weights)
 
     predictions = [
@@ -368,7 +375,11 @@ def _linear_fits(rows, members, prepared, resamples, weights) -> dict[tuple[str,
     wanted: dict[str, Member] = {}
     layouts: dict[str, list[Layout]] = {}
     by_fold = set()
+    first = {}
     for n, w in members.items():
+        first.setdefault(id(w.recipe), n)
+    for n in first.values():
+        w = members[n]
         bases = [prepared[n, i].base() for i in ids]
         if all([e[0] for e in b] == [e[0] for e in bases[0]] for b in bases):
             vector = shared_vector(bases[0], w.recipe.outcome)
@@ -387,21 +398,21 @@ def _linear_fits(rows, members, prepared, resamples, weights) -> dict[tuple[str,
                 wanted[f"{n}|{i}"] = Member(vector, width, (f"analysis|{i}",))
     used = {s for m in wanted.values() for s in m.subsets}
     found = grams(rows, {s: c for s, c in sides.items() if s in used}, wanted)
-    fits = {}
-    for n in members:
+    sums: dict[str, dict[str, Gram]] = {}
+    for n in first.values():
         if n not in layouts:
-            for i in ids:
-                fits[n, i] = solve(found[f"{n}|{i}", f"analysis|{i}"], prepared[n, i].terms)
+            sums[n] = {i: found[f"{n}|{i}", f"analysis|{i}"] for i in ids}
             continue
         if n in by_fold:
             parts = {i: found[n, f"fold|{i}"] for i in ids}
             total = reduce(lambda a, b: a + b, parts.values())
-            sums = {i: total - parts[i] for i in ids}
+            own = {i: total - parts[i] for i in ids}
         else:
-            sums = {i: found[n, f"analysis|{i}"] for i in ids}
-        for i, layout in zip(ids, layouts[n]):
-            fits[n, i] = solve(sums[i].map(layout.table), prepared[n, i].terms)
-    return fits
+            own = {i: found[n, f"analysis|{i}"] for i in ids}
+        sums[n] = {i: own[i].map(layout.table) for i, layout in zip(ids, layouts[n])}
+    return {
+        (n, i): solve_spec(w.model, sums[first[id(w.recipe)]][i], prepared[n, i].terms) for n, w in members.items() for i in ids
+    }
 
 
 def _resample_classes(members, resamples: ResampleSet, metrics) -> ResampleResult:

@@ -332,6 +332,42 @@ def test_penalty_shrinks(plots):
     assert np.abs(lasso[1:]).sum() < np.abs(plain[1:]).sum()
 
 
+@pytest.mark.parametrize("penalty, mixture", [(0.3, 1.0), (0.05, 1.0), (0.1, 0.4), (0.2, 0.0), (0.0, 1.0)])
+def test_elastic_net_meets_its_optimality_conditions(plots, penalty, mixture):
+    rows = plots.withColumns({"twin": F.col("x") + 0.1 * F.col("z"), "same": F.lit(3.0)})
+    names = ["x", "z", "twin", "same"]
+    fit = Workflow(Recipe.of(rows, "y", names), linear_reg(penalty=penalty, mixture=mixture)).fit(rows).model.fit
+    data = rows.select(*names, "y").toPandas().dropna()
+    x, y = data[names].to_numpy(float), data["y"].to_numpy(float)
+    spread = x.std(axis=0)
+    rest = y - fit.estimate[0] - x @ fit.estimate[1:]
+    assert abs(rest.mean()) < 1e-9 and fit.estimate[4] == 0
+    for j in range(3):
+        b = fit.estimate[j + 1] * spread[j]
+        pull = (x[:, j] - x[:, j].mean()) @ rest / len(y) / spread[j] - penalty * (1 - mixture) * b
+        if b == 0:
+            assert abs(pull) <= penalty * mixture + 1e-9
+        else:
+            assert pull == pytest.approx(penalty * mixture * np.sign(b), abs=1e-8)
+
+
+def test_penalties_of_one_recipe_over_folds_share_their_cross_products(plots, monkeypatch):
+    from foldspark.operators import gram as gram_module
+    from foldspark.plans import workflow as module
+
+    folds = vfold_cv(plots, "id", 3)
+    recipe = Recipe.of(folds.df, "y", ["x", "z"])
+    widths = []
+    real = module.grams
+    monkeypatch.setattr(module, "grams", lambda df, sides, members: widths.append(len(members)) or real(df, sides, members))
+    penalties = [0.5, 0.1, 0.01]
+    found = fit_resamples({str(p): Workflow(recipe, linear_reg(penalty=p)) for p in penalties}, folds)
+    assert widths == [1] and gram_module.grams is real
+    one = Workflow(recipe, linear_reg(penalty=0.1)).fit(folds.analysis("Fold02"))
+    assert found.fits["0.1", "Fold02"].estimate == pytest.approx(one.model.fit.estimate, rel=1e-8)
+    assert found.collect_metrics().count() == 9
+
+
 def test_engine_names():
     with pytest.raises(ValueError):
         linear_reg().set_engine("unknown")
