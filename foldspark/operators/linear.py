@@ -104,9 +104,7 @@ class LinearFit:
 
     def interval(self, fit: Column, vector: Column, level: float = 0.95) -> tuple[Column, Column]:
         """Bounds for one new observation with this prediction and design vector."""
-        inverse = np.nan_to_num(self.unscaled)
-        full = F.concat(F.array(F.lit(1.0)), vector)
-        quadratic = dot_columns(full, F.transform(array_constant(inverse.tolist(), "array<array<double>>"), lambda row: dot_columns(row, full)))
+        quadratic = leverage(self.unscaled)(vector)
         half = t_quantile(0.5 + level / 2.0, self.df_residual) * F.sqrt(
             F.lit(self.sigma2) * (F.lit(1.0) + quadratic)
         )
@@ -123,6 +121,35 @@ def _plain(value: float) -> float | None:
     return float(value) if np.isfinite(value) else None
 
 
+def leverage(unscaled: np.ndarray):
+    """x' M x per row of a design (an array without the intercept), M being the inverse cross-products.
+
+    M is factorised once, so that a batch of rows is one product with a triangle; aliased terms, NaN in M, add nothing.
+    """
+    kept = np.flatnonzero(~np.isnan(np.diag(unscaled)))
+    inverse = unscaled[np.ix_(kept, kept)]
+    scale = np.sqrt(np.diag(inverse))
+    factor = np.linalg.cholesky(inverse / np.outer(scale, scale)) * scale[:, None]
+    step = max(1, _SLICE // max(len(unscaled), 1))
+
+    @F.pandas_udf("double")
+    def of(vectors: pd.Series) -> pd.Series:
+        out = np.full(len(vectors), np.nan)
+        known = np.flatnonzero(vectors.notna())
+        for begin in range(0, len(known), step):
+            at = known[begin : begin + step]
+            x = np.ones((len(at), len(unscaled)))
+            x[:, 1:] = np.stack([np.asarray(v, float) for v in vectors.iloc[at]]).reshape(len(at), -1)
+            out[at] = ((x[:, kept] @ factor) ** 2).sum(axis=1)
+        return pd.Series(out, index=vectors.index)
+
+    return of
+
+
+#: Doubles of a slice of rows.
+_SLICE = 1 << 22
+
+
 def dot_columns(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x * y)
     return F.aggregate(products, F.lit(0.0), lambda total, v: total + v)

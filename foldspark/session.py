@@ -29,16 +29,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, or one beside the warehouse where it is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    beside = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.sparkContext.master
+    on_one_machine = master == "local" or master.startswith("local[")
+    if not on_one_machine and beside.split(":", 1)[0] in ("file", beside):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share: the warehouse is a local folder")
+    return f"{beside}-checkpoints"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's shared checkpoint folder."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        # the warehouse is shared too
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints"
-    context.setCheckpointDir(folder)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

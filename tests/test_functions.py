@@ -71,3 +71,21 @@ def test_text(spark):
     df = spark.createDataFrame([(1, None)], "pre_a int, pre_b string")
     assert strip_prefix(df, "pre_").columns == ["a", "b"]
     assert df.select(paste(F.col("pre_a"), F.col("pre_b"), sep=",")).first()[0] == "1,NA"
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from foldspark.session import checkpoint_folder
+
+    def session(master, warehouse, folder=None):
+        conf = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": folder}
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, *_: conf[name]), sparkContext=context)
+
+    assert checkpoint_folder(session("local[8]", "file:/w")) == "file:/w-checkpoints"
+    assert checkpoint_folder(session("yarn", "hdfs://n/w/")) == "hdfs://n/w-checkpoints"
+    assert checkpoint_folder(session("yarn", "file:/w", "s3a://b/c/")) == "s3a://b/c"
+    for warehouse in ("file:/w", "/w"):
+        with pytest.raises(ValueError, match="share"):
+            checkpoint_folder(session("yarn", warehouse))

@@ -442,3 +442,25 @@ def test_survival_recovers_simulated_truth(spark):
     built_in = AFTSurvivalRegression(featuresCol="f", labelCol="t", censorCol="d", tol=1e-9, maxIter=300).fit(table)
     assert one.estimate == pytest.approx([built_in.intercept, built_in.coefficients[0]], rel=1e-3)
     assert one.scale["all"] == pytest.approx(built_in.scale, rel=1e-3)
+
+
+def test_prediction_intervals_of_a_wide_design(spark):
+    """200 columns, one of them aliased, against the plain formula; a missing value leaves the bounds missing."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(600, 200))
+    x[:, 199] = x[:, 0] + x[:, 1]
+    y = x[:, 0] + rng.normal(size=600)
+    names = [f"c{i}" for i in range(200)]
+    rows = spark.createDataFrame([[*map(float, r), float(v)] for r, v in zip(x, y)], [*names, "y"])
+    fit = fit_linear(formula(rows, "y", names).prep(rows), rows)
+    full = np.hstack([np.ones((600, 1)), x[:, :199]])
+    inverse = np.linalg.inv(full.T @ full)
+    new = spark.createDataFrame([([*map(float, r)],) for r in x[:50]] + [([None] + [1.0] * 199,), (None,)], "d array<double>")
+    low, high = fit.interval(F.lit(0.0), F.col("d"))
+    got = [(r["low"], r["high"]) for r in new.coalesce(1).select(low.alias("low"), high.alias("high")).collect()]
+    from foldspark.functions.distributions import t_quantile
+
+    for r, (a, b) in zip(full[:50], got):
+        half = t_quantile(0.975, 400) * np.sqrt(fit.sigma2 * (1 + r @ inverse @ r))
+        assert (a, b) == (pytest.approx(-half, rel=1e-8), pytest.approx(half, rel=1e-8))
+    assert got[50:] == [(None, None)] * 2
