@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldspark.session import configure
+from foldspark.session import checkpoint_folder, configure
 
 #: Separators of words in the contracts: space, tab to carriage return.
 WHITE = " \t\n\x0b\x0c\r"
@@ -19,10 +19,7 @@ WHITE = " \t\n\x0b\x0c\r"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or one beside the warehouse if unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints"
-    return folder.rstrip("/")
+    return checkpoint_folder(spark)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
