@@ -21,7 +21,7 @@ candidates beyond the closest) are met again: first every class of a long run
 with the run's hubs, the classes with most links so far, which joins stars of
 copies; then, in every run that still has several components, the classes outside the largest
 component with those of other components, first by minhash values and
-then, where they may reach the similarity, by the full sets in the same cell. The classes of runs longer than ``CROWD``
+then, where they may reach the similarity, by the full sets in the same cell. The classes of runs that need more than ``CROWD`` comparisons
 are grouped for that by their rarest shingles instead: two sets that reach the similarity share one of the rarest
 (100 - similarity) % of either. So each pair of a
 run ends in one component or is compared or cannot link, whatever the length of the run and
@@ -33,7 +33,7 @@ by repeated minimum labels with shortcuts.
 No step holds a group of copies in one task: equal sets are combined before the
 shuffle, sorted runs are cut wherever a partition or batch ends, and groups met
 again are dealt into cells of bounded number and bytes by a hash. The last comparison grows with the product of the
-number of classes of a run of up to ``CROWD``, or of those that share a rare shingle, and those of them outside the largest component. A pair at the threshold agrees on the first ``LEAST``
+number of classes of a run, up to ``CROWD``, or of those that share a rare shingle, and those of them outside the largest component. A pair at the threshold agrees on the first ``LEAST``
 values of at least one tree with probability 1 - (1 - 0.85^3)^12 = 0.99999;
 measured recall is in the README.
 
@@ -66,7 +66,7 @@ PIVOTS = 4  # per batch and run longer than the reach
 HUBS = 16  # per run longer than the reach, over all its classes
 CELL = 1000  # classes of a run met again that go to one task together, and bytes of their sets
 CELL_BYTES = 16 << 20
-CROWD = 4000  # a run longer than this is not compared class by class: its classes are grouped by rare shingles instead
+CROWD = 50_000_000  # comparisons of a run beyond which its classes are grouped by rare shingles first
 FIRST_TREES = 4  # trees whose closest candidates are confirmed, and whose crowded runs are met, before the others
 SURE = 0.93  # share of equal values from which a candidate is surely a link
 #: candidates confirmed per class and tree in the first round, the closest first: sure ones, doubtful ones
@@ -380,7 +380,8 @@ def met_again(
     runs = runs.select("tree", "run", cells.alias("cells"), parts.alias("parts"), F.col("most.label").alias("largest"))
     rows = labelled.join(runs, ["tree", "run"])
     if links is not None:
-        degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+        ends = [links.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("degree")) for end in ("a", "b")]
+        degrees = ends[0].unionByName(ends[1]).groupBy("node").agg(F.sum("degree").alias("degree"))
         first = Window.partitionBy("tree", "run").orderBy(F.desc("degree"), "node", "set_digest")
         ranked = rows.join(degrees, "node").withColumn("rank", F.row_number().over(first))
         chosen = ranked.filter(F.col("rank") <= HUBS).drop("rank", "degree")
@@ -541,6 +542,14 @@ def components(links: DataFrame) -> DataFrame:
         labels = step.select("node", F.col("new").alias("label"))
 
 
+def joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components once ``links`` are added to those ``found``, of which a star per component is enough."""
+    if found is None:
+        return components(links)
+    stars = found.filter("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return components(stars.unionByName(links))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -568,7 +577,7 @@ def near_duplicates(
         more = checkpoint(confirmed(between(pairs.filter(F.col("turn") == turn).select("a", "b"), found), sets, percent))
         links = more if links is None else links.unionByName(more)
         if found is None or not more.isEmpty():
-            found = components(links)
+            found = joined(found, more)
     # what these rounds left of a run matters only if it joins two components
     marks = near.filter("a = b").select("a", "tree")
     if not marks.isEmpty():
@@ -580,17 +589,16 @@ def near_duplicates(
         for trees in (F.col("tree") < FIRST_TREES, F.col("tree") >= FIRST_TREES):
             more, sets = met_again(members.filter(trees), named, found, percent, sets, more_sets, links)
             if not more.isEmpty():
-                links = links.unionByName(more)
-                found = components(links)
+                found = joined(found, more)
         # runs that still have several components: all outside the largest one with the others, in a crowd by rare shingles
-        crowds = checkpoint(open_runs(members, found)[1].filter(F.col("size") > CROWD).select("tree", "run"))
+        comparisons = F.col("size") * (F.col("size") - F.col("most.n"))
+        crowds = checkpoint(open_runs(members, found)[1].filter(comparisons > CROWD).select("tree", "run"))
         crowded = not crowds.isEmpty()
         rest = members.join(crowds, ["tree", "run"], "left_anti") if crowded else members
         for trees in (F.col("tree") < FIRST_TREES, F.col("tree") >= FIRST_TREES):
             more, sets = met_again(rest.filter(trees), named, found, percent, sets, more_sets)
             if not more.isEmpty():
-                links = links.unionByName(more)
-                found = components(links)
+                found = joined(found, more)
         if crowded:
             left = checkpoint(members.join(crowds, ["tree", "run"], "left_semi").select("node").distinct())
             new = left.join(sets.select("node"), "node", "left_anti").select(F.col("node").alias("a"), F.col("node").alias("b"))
@@ -600,7 +608,7 @@ def near_duplicates(
             rare = checkpoint(prefix_members(sets.join(left, "node", "left_semi"), percent))
             more, sets = met_again(rare, named, found, percent, sets, more_sets)
             if not more.isEmpty():
-                found = components(links.unionByName(more))
+                found = joined(found, more)
     classes = classes.join(found, "node", "left").select("set_digest", F.coalesce("component", "node").alias("component"))
     rows = signed.select("doc_id", "row_digest", "n_shingles", "set_digest").join(classes, "set_digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
