@@ -90,7 +90,10 @@ def mean_inference(df: DataFrame, value: Column, t_quantile_of, level: float = 0
         F.avg(value).alias("estimate"),
         F.try_divide(F.stddev_samp(value), F.sqrt(F.count(value))).alias("std_error"),
     )
-    n = sums.first()["n"]
+    # one row, aggregated once
+    found = sums.first()
+    n = found["n"]
+    sums = df.sparkSession.createDataFrame([tuple(found)], "n long, estimate double, std_error double")
     half = t_quantile_of(0.5 + level / 2.0, n - 1) * F.col("std_error") if n > 1 else F.lit(None)
     tidy = sums.select(
         "n",

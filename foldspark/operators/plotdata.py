@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foldspark.functions.distributions import normal_quantile_udf
+from foldspark.functions.distributions import normal_quantile_column
 from foldspark.operators.gram import Member, grams
 from foldspark.operators.linear import INTERCEPT, simple_regression_by, solve
 from foldspark.operators.ordered import exact_quantiles, grouped_quantiles, positions, running_totals
@@ -106,7 +106,7 @@ def normal_quantiles(df: DataFrame, column: str) -> DataFrame:
     total = df.agg(F.count(column).alias("n")).first()["n"]
     ranked = running_totals(counts, "value", ["n"])
     middle = (F.col("cum_n") - F.col("n") / 2.0) / F.lit(float(total))
-    return ranked.select("value", "n", normal_quantile_udf(middle).alias("normal_quantile"))
+    return ranked.select("value", "n", normal_quantile_column(middle).alias("normal_quantile"))
 
 
 def ordered_levels(df: DataFrame, level: str, statistic: Column | None = None, median_of: str | None = None) -> DataFrame:

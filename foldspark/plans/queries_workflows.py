@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import Window, functions as F
 
-from foldspark.functions.distributions import t_quantile
+from foldspark.functions.distributions import normal_quantile_of, t_quantile
 from foldspark.operators.compare import (
     bootstrap_draws,
     contrast_models,
@@ -726,7 +726,35 @@ def fitted_residuals(spark, folder):
     return rounded(residuals(fitted.predict(train), "price").select("sale_key", "pred", "residual"))
 
 
-@query("v4_normal_quantiles")
+class _Sql(str):
+    """Just enough arithmetic on SQL text to write a formula once for both engines."""
+
+    def _with(self, sign, other, swapped=False):
+        a, b = (other, self) if swapped else (self, other)
+        return _Sql(f"({a!s} {sign} {b!s})")
+
+    def __neg__(self):
+        return _Sql(f"(-{self!s})")
+
+
+for _name, _sign in {"add": "+", "sub": "-", "mul": "*", "truediv": "/"}.items():
+    setattr(_Sql, f"__{_name}__", lambda a, b, sign=_sign: a._with(sign, b))
+    setattr(_Sql, f"__r{_name}__", lambda a, b, sign=_sign: a._with(sign, b, True))
+for _name, _sign in {"le": "<=", "ge": ">=", "lt": "<", "and": "AND"}.items():
+    setattr(_Sql, f"__{_name}__", lambda a, b, sign=_sign: a._with(sign, b))
+
+_QUANTILE_SQL = normal_quantile_of(
+    _Sql("p"), lambda x: _Sql(f"sqrt({x})"), lambda x: _Sql(f"ln({x})"), lambda c, a, b: _Sql(f"(CASE WHEN {c} THEN {a} ELSE {b} END)")
+)
+
+
+@query(
+    "v4_normal_quantiles",
+    f"{_TRAIN},\n{ols2_sql('train', 'price', 'longitude', 'latitude')}, "
+    "x AS (SELECT price - (b0 + b1*longitude + b2*latitude) AS e FROM train, fit), c AS (SELECT e, count(*) AS n FROM x GROUP BY 1), "
+    "r AS (SELECT e, n, (sum(n) OVER (ORDER BY e) - n / 2) / (SELECT count(*) FROM x)::DOUBLE AS p FROM c) "
+    f"SELECT round(e, 6) + 0.0 AS value, n, round({_QUANTILE_SQL}, 6) + 0.0 AS normal_quantile FROM r",
+)
 def residual_quantiles(spark, folder):
     """Residuals against normal quantiles, ranked without a global sort."""
     train = training(sales_split(spark, folder))

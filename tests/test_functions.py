@@ -89,3 +89,15 @@ def test_a_cluster_needs_a_shared_checkpoint_folder():
     for warehouse in ("file:/w", "/w"):
         with pytest.raises(ValueError, match="share"):
             checkpoint_folder(session("yarn", warehouse))
+
+
+def test_normal_quantiles_of_a_column(spark):
+    from statistics import NormalDist
+
+    from foldspark.functions.distributions import normal_quantile_column
+
+    grid = [1e-300, 1e-20, 1e-9, 0.001, 0.0749, 0.0751, 0.3, 0.5, 0.7, 0.9249, 0.9251, 0.999, 1 - 1e-12]
+    rows = spark.createDataFrame([(p,) for p in [*grid, 0.0, 1.0, None]], "p double")
+    got = [r[0] for r in rows.coalesce(1).select(normal_quantile_column(F.col("p"))).collect()]
+    assert got[: len(grid)] == pytest.approx([NormalDist().inv_cdf(p) for p in grid], rel=1e-12, abs=1e-15)
+    assert got[len(grid) :] == [None] * 3
