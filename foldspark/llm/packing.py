@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldspark.llm.shared import checkpoint, in_groups, shared_folder, whole
+from foldspark.llm.shared import checkpoint, give_back, in_groups, shared_folder, whole
 from foldspark.llm.tokens import ids_column, library_encoder
 
 
@@ -138,6 +138,7 @@ def encoded_pieces(docs: DataFrame, vocabulary: str, end_id: int, size: int, id_
                     ],
                     names=schema.names,
                 )
+        give_back()
 
     return docs.select(F.col(id_col).alias("doc_id"), whole(text_col).alias("text")).mapInArrow(cut, schema)
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldspark.llm.shared import checkpoint, whole
+from foldspark.llm.shared import checkpoint, give_back, whole
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -70,6 +70,7 @@ _FIGURES = T.StructType([T.StructField(name, T.LongType()) for name in MEASURES]
 def _measured(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
         yield pd.DataFrame([measure(t) for t in batch], columns=MEASURES, dtype="int64")
+    give_back()
 
 
 def base_failed(min_words: int = 10, max_repeat: int = 20) -> Column:
