@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -22,12 +23,31 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_folder(spark)
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Frames made in this block remove their shuffle files when an action on them ends."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder, so that a lost executor cannot undo it."""
+    """``df`` written to the shared folder, so that a lost executor cannot undo it.
+
+    The shuffle files it was made from are removed then; else they stay until the driver's next garbage collection.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    with _shuffles_removed(spark):
+        return df.select("*").checkpoint(eager=True)
 
 
 def whole(text: str | Column) -> Column:

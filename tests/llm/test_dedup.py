@@ -176,3 +176,25 @@ def test_star_over_many_batches_and_partitions(spark):
         spark.conf.set(name, before)
     parts = {r.doc_id: r.component_id for r in found}
     assert not [i for i in want if parts[i] != 0]
+
+
+def test_checkpoints_leave_no_shuffle_files(spark):
+    import glob
+    import time
+
+    from foldspark.llm.shared import checkpoint
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    chosen = spark.conf.get(name, None)
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+    before = files()
+    rows = spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
+    kept = checkpoint(rows.join(rows.withColumnRenamed("count", "n"), "k"))
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert kept.count() == 7 and kept.agg({"n": "sum"}).first()[0] == 1000
+    assert spark.conf.get(name, None) == chosen
