@@ -165,11 +165,62 @@ def _rank_encoding(path: str):
     return tiktoken.Encoding("vocabulary", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
+def _word_encoder(path: str, tokenizer) -> Callable[[list[str]], list[bytes]] | None:
+    """Ids of lower-case words by tiktoken, for a vocabulary whose words end in a mark of their own; None if it cannot.
+
+    A zero byte stands for that mark, and is joined to its letter before any other merge. tiktoken merges by the result,
+    the library by the pair; both give the same ids if every token alone is encoded as itself, which is checked here.
+    """
+    import tiktoken
+    from tokenizers import models
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    mark, vocabulary, spelled = model.get("end_of_word_suffix"), model["vocab"], spelled_bytes()
+    if not mark or model.get("continuing_subword_prefix") or model.get("dropout"):
+        return None
+    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    tokens = [*spelled, *(c + mark for c in spelled), *(a + b for a, b in merges)]
+    first = 2 * len(spelled)
+    if {vocabulary.get(t, -1) for t in tokens[:first]} != set(range(first)):
+        return None
+    if any(vocabulary.get(t) != first + k for k, t in enumerate(tokens[first:])):
+        return None
+    of_letter = {c: b for b, c in enumerate(spelled)}
+    inner = models.BPE(vocab=vocabulary, merges=merges)
+    ranks, is_end = {}, np.zeros(len(tokens), bool)
+    for t in tokens:
+        i, ends = vocabulary[t], t.endswith(mark)
+        body = t[: -len(mark)] if ends else t
+        if [x.id for x in (tokenizer.model if ends else inner).tokenize(body)] != [i]:
+            return None
+        is_end[i] = ends
+        if i < len(spelled) or spelled[0] not in body:
+            ranks[bytes(of_letter[c] for c in body) + (b"\0" if ends else b"")] = i
+        elif i >= first:
+            return None  # a merge of the byte that is to be the mark
+    # the zero byte with the mark is no word's end: its id is taken by a piece that no word holds
+    ranks[b"\0\0"] = vocabulary[spelled[0] + mark]
+    if sorted(ranks.values()) != list(range(len(tokens))) or sum(i < len(spelled) for i in map(vocabulary.get, spelled)) != len(spelled):
+        return None
+    encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(words: list[str]) -> list[bytes]:
+        if not words:
+            return []
+        ids = np.array(encoding.encode_ordinary("\0".join(words) + "\0"), np.uint32)
+        ends = ((np.flatnonzero(is_end[ids]) + 1) * 4).tolist()
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    return encode
+
+
 def library_encoder(path: str) -> PieceEncoder:
     """Encoder with the ids of the tokenizers library, one per worker and vocabulary file.
 
     A byte-level vocabulary whose ids are ranks is merged by tiktoken, which gives the same ids sooner.
-    Otherwise a word of Latin-1 letters goes straight to the library's merges, and
+    Otherwise a word of Latin-1 letters goes straight to the merges (those of tiktoken where they are the same), and
     any other piece through its whole chain of normaliser, splitter and merges.
     """
     if path not in _made:
@@ -192,19 +243,29 @@ def library_encoder(path: str) -> PieceEncoder:
         def chain(pieces: list[str]) -> list[list[int]]:
             return [x.ids for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
+        by_word = _word_encoder(path, tokenizer) if lower and not ranked else None
+
         def by_library(pieces: list[str]) -> list[bytes]:
-            out, rest = [], []
+            out, rest, words, places = [], [], [], []
             for i, p in enumerate(pieces):
                 before, word = (space, p[1:]) if p[:1] == " " else ("", p)
                 if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
                     if lower:
                         word = word.lower()
+                    if by_word:
+                        words.append(word)
+                        places.append(i)
+                        out.append(b"")
+                        continue
                     if not word.isascii():
                         word = word.translate(letters)
                     out.append(array("I", [t.id for t in merge(before + word)]).tobytes())
                 else:
                     out.append(b"")
                     rest.append(i)
+            if words:
+                for i, ids in zip(places, by_word(words), strict=True):
+                    out[i] = ids
             if rest:
                 for i, ids in zip(rest, chain([pieces[i] for i in rest])):
                     out[i] = array("I", ids).tobytes()

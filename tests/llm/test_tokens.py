@@ -141,3 +141,24 @@ def test_an_empty_table_writes_no_document(spark, no_docs):
     files = f"{folder_of(spark)}/test-grammar-{uuid.uuid4().hex}"
     repair.write(no_docs, files, tokenizer_path("word_bpe_49k.json"), 1)
     assert repair.read(spark, files).count() == 0
+
+
+def test_words_by_rank_have_the_ids_of_the_library():
+    import random
+
+    from tokenizers import Tokenizer
+
+    from foldspark.llm.shared import tokenizer_path
+    from foldspark.llm.tokens import _spelled_letters, _word_encoder
+
+    path = tokenizer_path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    encode, letters, pick = _word_encoder(path, tokenizer), _spelled_letters(), random.Random(3)
+    words = ["".join(pick.choices("etaoinshrßéøµ", k=pick.randint(1, 12))) for _ in range(5000)]
+    words += ["a" * n for n in range(1, 200)] + ["the", "ÿ"]
+    ids = [[x.id for x in tokenizer.model.tokenize(w.translate(letters))] for w in words]
+    assert [memoryview(x).cast("I").tolist() for x in encode(words)] == ids
+    assert encode([]) == []
+    # a vocabulary without a mark of its own at words' ends is left to the other ways
+    path = tokenizer_path("byte_bpe_50k.json")
+    assert _word_encoder(path, Tokenizer.from_file(path)) is None
