@@ -47,47 +47,41 @@ LEAST = 8
 SHARD_TOKENS = 600_000
 #: The first ids of up to so many parts are broadcast (12 bytes each); more are joined by shuffles.
 BROADCAST_PARTS = 500_000
-_BIN_BITS = 20
+_LEAST_BITS, _BIN_BITS = 10, 20
 _BINS = 1 << _BIN_BITS
 
 
-def _frequent(codes: np.ndarray, apart: np.ndarray, round_: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where pairs met ``least`` times or more occur, the bin that names each occurrence's pair, and counts by bin.
+def _frequent(codes: np.ndarray, round_: int, least: int) -> tuple[np.ndarray, ...]:
+    """Where pairs met ``least`` times or more occur, the bin that names each occurrence's pair, pairs and counts by bin,
+    and where the pairs are that wait.
 
     Pairs are counted in hashed bins. A bin names one pair; others that fall
-    into it wait for the next round, which hashes differently. Places in
-    ``apart`` hold no pair.
+    into it wait for the next round, which hashes differently.
     """
+    bits = min(_BIN_BITS, max(_LEAST_BITS, len(codes).bit_length()))
     multiplier = 0x9E3779B1 + 2 * round_ if codes.dtype == np.uint32 else 0x9E3779B97F4A7C15 + 2 * round_
-    bins = ((codes * codes.dtype.type(multiplier)) >> codes.dtype.type(8 * codes.itemsize - _BIN_BITS)).astype(np.int64)
-    bins[apart] = _BINS
-    sums = np.bincount(bins, minlength=_BINS + 1)  # upper bounds of the counts
-    sums[_BINS] = 0
+    bins = ((codes * codes.dtype.type(multiplier)) >> codes.dtype.type(8 * codes.itemsize - bits)).astype(np.int64)
+    sums = np.bincount(bins, minlength=1 << bits)  # upper bounds of the counts
     at = np.flatnonzero((sums >= least)[bins])
     bins, codes = bins[at], codes[at]
-    of_bin = np.empty(_BINS, codes.dtype)
+    of_bin = np.empty(1 << bits, codes.dtype)
     of_bin[bins] = codes
     same = of_bin[bins] == codes
-    at, bins = at[same], bins[same]
-    counts = np.bincount(bins, minlength=_BINS)
-    often = (counts >= least)[bins]
-    return at[often], bins[often], counts
-
-
-def _frequent_exactly(codes: np.ndarray, apart: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same by sorting: the most frequent pairs, as many as there are bins."""
-    there = np.ones(len(codes), bool)
-    there[apart] = False
-    places = np.flatnonzero(there)
-    _, inverse, sums = np.unique(codes[places], return_inverse=True, return_counts=True)
+    counts = np.bincount(bins[same], minlength=1 << bits)
+    often = np.flatnonzero(same & (counts >= least)[bins])
+    return at[often], bins[often], of_bin, counts, at[~same]
+
+
+def _frequent_exactly(codes: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """The same by sorting: the most frequent pairs, as many as there are bins; the others wait."""
+    pairs, inverse, sums = np.unique(codes, return_inverse=True, return_counts=True)
     chosen = np.argsort(-sums, kind="stable")[:_BINS]
     chosen = chosen[sums[chosen] >= least]
     bin_of = np.full(len(sums), -1)
     bin_of[chosen] = np.arange(len(chosen))
     bins = bin_of[inverse]
-    counts = np.zeros(_BINS, np.int64)
-    counts[: len(chosen)] = sums[chosen]
-    return places[bins >= 0], bins[bins >= 0], counts
+    there = bins >= 0
+    return np.flatnonzero(there), bins[there], pairs[chosen], sums[chosen], np.flatnonzero(~there)
 
 
 def compress(
@@ -97,57 +91,76 @@ def compress(
 
     ``offsets`` are where the documents begin in ``ids``, with the end. Rounds go
     on until no pair occurs ``least`` times, or to ``rounds``.
+
+    A pair gets no new occurrences after the round that made the newer of its
+    symbols, so one that was counted and is rare stays rare: a round looks only
+    at the places of pairs that were frequent or waited, and of new pairs.
+    Symbols keep their places and are linked to their neighbours.
     """
-    symbols = ids.astype(np.uint32)
-    first = np.asarray(offsets, np.int64)
+    n = len(ids)
+    symbols = np.append(ids.astype(np.uint32), np.uint32(0))  # place n is no symbol
+    offsets = np.asarray(offsets, np.int64)
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    before[0] = n
+    last = np.zeros(n + 1, bool)  # of its document
+    last[offsets[offsets > 0] - 1] = last[n] = True
+    gone, near = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    weight = np.zeros(n + 1, np.int32)  # count of the pair at a place
     rules: list[np.ndarray] = []
     base = terminals
+    live = np.flatnonzero(~last)
     for round_ in itertools.count() if rounds is None else range(rounds):
-        n = len(symbols)
-        if n < 2:
+        if not len(live):
             break
         wide = np.uint32 if base <= 1 << 16 else np.uint64
-        codes = symbols[:-1] * wide(base) + symbols[1:]
-        apart = first[(first > 0) & (first < n)] - 1
-        at, bins, counts = _frequent(codes, apart, round_, least)
-        if not len(at):
+        codes = symbols[live] * wide(base) + symbols[after[live]]
+        found, bins, of_bin, counts, waiting = _frequent(codes, round_, least)
+        if not len(found):
             # a pair may be hidden behind others of its bin in every round
-            at, bins, counts = _frequent_exactly(codes, apart, least)
-        if not len(at):
+            found, bins, of_bin, counts, waiting = _frequent_exactly(codes, least)
+        if not len(found):
             break
-        weight = np.zeros(n + 2, np.int32)  # weight[i + 1]: count of the pair at i
+        at = live[found]
+        near[live[waiting]] = near[at] = True
         own = counts[bins].astype(np.int32)
-        weight[at + 1] = own
-        best = (own >= weight[at]) & (own >= weight[at + 2])
+        weight[at] = own
+        best = np.flatnonzero((own >= weight[before[at]]) & (own >= weight[after[at]]))
+        weight[at] = 0
         at, bins = at[best], bins[best]
         # equal neighbours remain in runs of consecutive places: take every second
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(at) != 1]))
+        starts = np.flatnonzero(np.concatenate([[True], before[at[1:]] != at[:-1]]))
         if len(starts) < len(at):
             place = np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))
-            at, bins = at[place % 2 == 0], bins[place % 2 == 0]
+            even = np.flatnonzero(place & 1 == 0)
+            at, bins = at[even], bins[even]
         # overlaps have taken some occurrences; what is left must still pay for its rule
-        left = np.bincount(bins, minlength=_BINS) >= least // 2
+        left = np.bincount(bins, minlength=len(counts)) >= max(1, least // 2)
         stays = left[bins]
         if not stays.any():
             # all lost to overlaps: the most frequent pair goes alone
-            left = np.zeros(_BINS, bool)
+            left = np.zeros(len(counts), bool)
             left[bins[counts[bins].argmax()]] = True
             stays = left[bins]
         at, bins = at[stays], bins[stays]
-        of_bin = np.zeros(_BINS, codes.dtype)
-        of_bin[bins] = codes[at]
         used = np.flatnonzero(left)
-        number = np.empty(_BINS, np.uint32)
+        number = np.empty(len(counts), np.uint32)
         number[used] = np.arange(len(used))
         pairs = of_bin[used].astype(np.int64)
         rules.append(np.stack([pairs // base, pairs % base], axis=1))
+        taken = after[at]
         symbols[at] = number[bins] + np.uint32(base)
-        stay = np.ones(n, bool)
-        stay[at + 1] = False
-        first = first - np.searchsorted(at + 1, first)
-        symbols = symbols[stay]
+        gone[taken] = True
+        last[at] = last[taken]
+        after[at] = following = after[taken]
+        before[following] = at
         base += len(used)
-    return symbols, first, rules
+        near[before[at]] = True
+        live = np.flatnonzero(near)
+        near[live] = False
+        live = live[~(gone[live] | last[live])]
+    stay = ~gone[:n]
+    first = np.concatenate([[0], np.cumsum(stay)])[offsets]
+    return symbols[:n][stay], first, rules
 
 
 def expansions(terminals: int, rules: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

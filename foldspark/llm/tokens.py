@@ -48,6 +48,23 @@ def _odd() -> str:
 BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # marks of a text's first piece, of a text that is one piece, and of a comma or full stop that ends a word
 _FIRST, _ALL, _STOP = _MARKS = ("\x01", "\x02", "\x03")
+# pieces of ASCII without apostrophes and letters of Latin-1: lower case is one letter for one, no letter joins another
+_SIMPLE = r"^[\x01\x03\n]?[!-&(-~\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]{1,200}$"
+# in the bytes of such pieces: 0 none, 1 letters (of Latin-1 ones, both bytes), 2 digits, 3 all else
+_KIND = np.full(256, 3, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]], _KIND[48:58], _KIND[0] = 1, 2, 0
+#: fixed value: how the vocabulary of lower-case words splits text
+WORD_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+
+
+def _joined(table: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of many pieces in a row, and how many each has."""
+    return np.frombuffer(b"".join(table), np.uint32), np.fromiter(map(len, table), np.int64, len(table)) >> 2
+
+
+def _lists(ids: np.ndarray, lengths: np.ndarray) -> pa.LargeListArray:
+    """One list of ids per piece."""
+    return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)])), pa.array(ids))
 
 
 class PieceEncoder:
@@ -56,15 +73,22 @@ class PieceEncoder:
     ``entries`` bounds the table of pieces met before; pieces over ``longest``
     characters are not kept in it. A comma or full stop behind a letter is a
     word of its own in both vocabularies, and so it is a piece of its own. With
-    ``lower`` (a vocabulary of lower-case words) A to Z are lowered before pieces are told apart.
+    ``lower`` (a vocabulary of lower-case words) A to Z are lowered before pieces are told apart. ``words`` gives the ids
+    of many lower-case words and where each ends; distinct simple pieces go there all at once, and are kept for one more call.
     """
 
     def __init__(
-        self, encode: Callable[[list[str]], list[bytes]], entries: int = 200_000, longest: int = 48, lower: bool = False
+        self,
+        encode: Callable[[list[str]], list[bytes]],
+        entries: int = 200_000,
+        longest: int = 48,
+        lower: bool = False,
+        words: Callable[[str], tuple[np.ndarray, np.ndarray]] | None = None,
     ):
-        self.encode, self.entries, self.longest, self.lower = encode, entries, longest, lower
+        self.encode, self.entries, self.longest, self.lower, self.words = encode, entries, longest, lower, words
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self.last, self.last_ids = pa.array([], pa.large_string()), _lists(*_joined([]))
 
     def _look_up(self, pieces: list[str]) -> list[bytes]:
         if len(self.known) > self.entries // 2:
@@ -89,12 +113,45 @@ class PieceEncoder:
                     known[p] = x
         return found
 
+    def _simple(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of simple pieces in a row, and how many each has."""
+        pieces = pc.ascii_ltrim(pc.utf8_lower(pieces), characters="".join(_MARKS) + "\n")
+        lists = pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)
+        data = np.frombuffer(pc.binary_join(lists, pa.scalar("\0", pieces.type))[0].as_buffer(), np.uint8)
+        data = np.append(data, np.uint8(0))
+        # words begin where the kind of character changes, and at every digit
+        kind = _KIND[data]
+        begins = ((kind[1:] != kind[:-1]) | (kind[1:] == 2)) & (kind[1:] > 0) & (kind[:-1] > 0)
+        begins = np.flatnonzero(begins) + 1
+        ids, ends = self.words(np.insert(data, begins, np.uint8(0)).tobytes().decode())
+        last = np.flatnonzero(data == 0)
+        last = np.arange(len(last)) + np.searchsorted(begins, last)
+        return ids, np.diff(np.concatenate([[0], ends[last]]))
+
+    def _ids(self, pieces: pa.Array) -> pa.LargeListArray:
+        """Ids of distinct pieces."""
+        if self.words is None:
+            return _lists(*_joined(self._look_up(pieces.to_pylist())))
+        # pieces of the texts before are known
+        place = pc.index_in(pieces, value_set=self.last)
+        new = place.is_null().to_numpy(zero_copy_only=False)
+        place = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+        simple = pc.match_substring_regex(pieces, _SIMPLE).to_numpy(zero_copy_only=False)
+        parts = [self.last_ids]
+        for which, ids_of in ((new & simple, self._simple), (new & ~simple, lambda x: _joined(self._look_up(x.to_pylist())))):
+            if which.any():
+                place[which] = sum(map(len, parts)) + np.arange(int(which.sum()))
+                parts.append(_lists(*ids_of(pieces.filter(pa.array(which)))))
+        ids = pa.concat_arrays(parts).take(pa.array(place))
+        self.last, self.last_ids = pieces, ids
+        return ids
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (uint32), and where each text begins (with the total at the end)."""
         n = len(texts)
         if n == 0:
             return np.empty(0, np.uint32), np.zeros(1, np.int64)
-        texts = pc.fill_null(texts, "")
+        texts = pc.fill_null(texts, "") if texts.null_count else texts
         small = (pc.ascii_lower(texts) if self.lower else texts).cast(pa.large_string())
         texts = texts.cast(pa.large_string())
         odd = pc.match_substring_regex(texts, _odd())
@@ -118,13 +175,8 @@ class PieceEncoder:
             lists = pc.split_pattern(marked, " ")
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        table = self._look_up(coded.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, table), np.int64, len(table)) >> 2
-        flat = pa.array(np.frombuffer(b"".join(table), np.uint32))
-        lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)])), flat)
-        ids = lists.take(coded.indices).flatten().to_numpy()
-        ends = np.cumsum(lengths[index])
+        found = self._ids(coded.dictionary).take(coded.indices)
+        ids, ends = found.flatten().to_numpy(), np.cumsum(pc.list_value_length(found).to_numpy())
         bounds = np.concatenate([[0], np.cumsum(counts)])
         offsets = np.concatenate([[0], ends])[bounds]
         return ids, offsets
@@ -168,6 +220,8 @@ def _rank_encoding(path: str):
 def _word_encoder(path: str, tokenizer) -> Callable[[list[str]], list[bytes]] | None:
     """Ids of lower-case words by tiktoken, for a vocabulary whose words end in a mark of their own; None if it cannot.
 
+    Its attribute ``joined`` takes words with a zero byte behind each, and gives all ids and where each word ends.
+
     A zero byte stands for that mark, and is joined to its letter before any other merge. tiktoken merges by the result,
     the library by the pair; both give the same ids if every token alone is encoded as itself, which is checked here.
     """
@@ -205,14 +259,19 @@ def _word_encoder(path: str, tokenizer) -> Callable[[list[str]], list[bytes]] |
         return None
     encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
 
+    def joined(words: str) -> tuple[np.ndarray, np.ndarray]:
+        ids = encoding.encode_to_numpy(words, disallowed_special=())
+        return ids, np.flatnonzero(is_end[ids]) + 1
+
     def encode(words: list[str]) -> list[bytes]:
         if not words:
             return []
-        ids = np.array(encoding.encode_ordinary("\0".join(words) + "\0"), np.uint32)
-        ends = ((np.flatnonzero(is_end[ids]) + 1) * 4).tolist()
+        ids, ends = joined("\0".join(words) + "\0")
+        ends = (ends * 4).tolist()
         data = ids.tobytes()
         return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
+    encode.joined = joined
     return encode
 
 
@@ -274,7 +333,9 @@ def library_encoder(path: str) -> PieceEncoder:
         if ranked:
             _made[path] = PieceEncoder(by_rank, entries=400_000)
         else:
-            _made[path] = PieceEncoder(by_library, lower=lower)
+            splits = next((x["pattern"] for x in json.loads(tokenizer.to_str())["pre_tokenizer"]["pretokenizers"] if "pattern" in x), None)
+            simple = by_word.joined if by_word and splits == {"Regex": WORD_SPLIT} else None
+            _made[path] = PieceEncoder(by_library, lower=lower, words=simple)
     return _made[path]
 
 

@@ -162,3 +162,46 @@ def test_words_by_rank_have_the_ids_of_the_library():
     # a vocabulary without a mark of its own at words' ends is left to the other ways
     path = tokenizer_path("byte_bpe_50k.json")
     assert _word_encoder(path, Tokenizer.from_file(path)) is None
+
+
+def test_new_words_take_no_step_of_their_own():
+    from foldspark.llm.tokens import PieceEncoder
+
+    path = tokenizer_path("word_bpe_49k.json")
+    library, made = Tokenizer.from_file(path), library_encoder(path)
+    alone = []
+    encoder = PieceEncoder(lambda pieces: alone.append(pieces) or made.encode(pieces), lower=True, words=made.words)
+    rng = np.random.default_rng(8)
+    letters = list("etaoinshrdluETAßéÉÄøµªº")
+    others = list("etaéÉ0123456789.,;:!?#$%&()*+-/=@[]^_`{|}~\"<>")
+    texts = []
+    for k in range(300):
+        words = ["".join(rng.choice(letters if rng.random() < 0.7 else others, rng.integers(1, 14))) for _ in range(40)]
+        texts.append(("\n" if k % 3 else " ").join(words).replace("<|", "<"))
+    # an apostrophe, another alphabet, two blanks in a row, and a text met before
+    texts += ["it's l'été 'tis d'd rock'n'roll's''s", "слово Wort λόγος.", "two  blanks", "", texts[0]]
+    for batch in (pa.array(texts), pa.array(texts[::-1]), pa.array(texts[:3])):
+        ids, offsets = encoder(batch)
+        for k, text in enumerate(batch.to_pylist()):
+            assert ids[offsets[k] : offsets[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+    plain = [p for pieces in alone for p in pieces if p.strip(" \n").isalnum() and p.isascii()]
+    assert plain == [] and sum(map(len, alone)) < 400
+
+
+def test_rounds_look_at_rare_pairs_once(monkeypatch):
+    rng = np.random.default_rng(7)
+    passages = [rng.integers(0, 20_000, 200).tolist() for _ in range(30)]
+    ids, offsets = _shard([[*rng.integers(0, 20_000, 2000).tolist(), *passages[k % 30]] for k in range(300)])
+    looked, frequent = [], repair._frequent
+    monkeypatch.setattr(repair, "_frequent", lambda codes, *rest: looked.append(len(codes)) or frequent(codes, *rest))
+    shard = repair.Shard(repair.to_bytes(ids, offsets))
+    assert shard.documents_at(0, 300)[0].tolist() == ids.tolist()
+    assert len(looked) > 6 and sum(looked) < 1.5 * len(ids)
+
+
+def test_hidden_pairs_are_found_by_sorting(monkeypatch):
+    ids, offsets = _shard([[7, 8, 9, 7, 8, 9, 1], [7, 8, 5, 1]])
+    nothing = np.empty(0, np.int64)
+    monkeypatch.setattr(repair, "_frequent", lambda codes, *rest: (nothing, nothing, nothing, nothing, nothing))
+    shard = repair.Shard(repair.to_bytes(ids, offsets, least=2))
+    assert len(shard.symbols) < len(ids) - 2 and [shard.document(i).tolist() for i in (0, 1)] == [[7, 8, 9, 7, 8, 9, 1], [7, 8, 5, 1]]
