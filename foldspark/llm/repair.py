@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldspark.llm.shared import checkpoint, give_back, in_groups, whole
+from foldspark.llm.shared import checkpoint, give_back, hold, in_groups, whole
 from foldspark.llm.tokens import ids_column, library_encoder
 
 #: Occurrences from which a pair pays for its rule: 12 bytes, for 2 bytes saved each.
@@ -47,35 +47,40 @@ LEAST = 8
 SHARD_TOKENS = 600_000
 #: The first ids of up to so many parts are broadcast (12 bytes each); more are joined by shuffles.
 BROADCAST_PARTS = 500_000
-_LEAST_BITS, _BIN_BITS = 10, 20
-_BINS = 1 << _BIN_BITS
+#: Pairs of a round where codes and places do not fit one key.
+_MOST_PAIRS = 1 << 20
 
 
-def _frequent(codes: np.ndarray, round_: int, least: int) -> tuple[np.ndarray, ...]:
-    """Where pairs met ``least`` times or more occur, the bin that names each occurrence's pair, pairs and counts by bin,
-    and where the pairs are that wait.
+def _frequent(codes: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Where pairs met ``least`` times or more occur, the number of each occurrence's pair, pairs and counts by number,
+    and where the pairs are that wait (none).
 
-    Pairs are counted in hashed bins. A bin names one pair; others that fall
-    into it wait for the next round, which hashes differently.
+    Codes are sorted with their places in one key of 64 bits; nothing is found where these do not fit.
     """
-    bits = min(_BIN_BITS, max(_LEAST_BITS, len(codes).bit_length()))
-    multiplier = 0x9E3779B1 + 2 * round_ if codes.dtype == np.uint32 else 0x9E3779B97F4A7C15 + 2 * round_
-    bins = ((codes * codes.dtype.type(multiplier)) >> codes.dtype.type(8 * codes.itemsize - bits)).astype(np.int64)
-    sums = np.bincount(bins, minlength=1 << bits)  # upper bounds of the counts
-    at = np.flatnonzero((sums >= least)[bins])
-    bins, codes = bins[at], codes[at]
-    of_bin = np.empty(1 << bits, codes.dtype)
-    of_bin[bins] = codes
-    same = of_bin[bins] == codes
-    counts = np.bincount(bins[same], minlength=1 << bits)
-    often = np.flatnonzero(same & (counts >= least)[bins])
-    return at[often], bins[often], of_bin, counts, at[~same]
+    n = len(codes)
+    bits = n.bit_length()
+    if int(codes.max()).bit_length() + bits > 64:
+        return (np.empty(0, np.int64),) * 5
+    keys = codes.astype(np.uint64)
+    keys <<= np.uint64(bits)
+    keys |= np.arange(n, dtype=np.uint64)
+    keys.sort()
+    pairs = keys >> np.uint64(bits)
+    starts = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+    sums = np.diff(np.append(starts, n))
+    often = sums >= least
+    counts = sums[often]
+    keys &= np.uint64((1 << bits) - 1)
+    number = np.full(n, -1, np.int32)
+    number[keys[np.repeat(often, sums)].view(np.int64)] = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    found = np.flatnonzero(number >= 0)
+    return found, number.take(found).astype(np.int64), pairs[starts[often]], counts, np.empty(0, np.int64)
 
 
 def _frequent_exactly(codes: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """The same by sorting: the most frequent pairs, as many as there are bins; the others wait."""
+    """The same for codes of any width: the ``_MOST_PAIRS`` most frequent pairs; the others wait."""
     pairs, inverse, sums = np.unique(codes, return_inverse=True, return_counts=True)
-    chosen = np.argsort(-sums, kind="stable")[:_BINS]
+    chosen = np.argsort(-sums, kind="stable")[:_MOST_PAIRS]
     chosen = chosen[sums[chosen] >= least]
     bin_of = np.full(len(sums), -1)
     bin_of[chosen] = np.arange(len(chosen))
@@ -102,7 +107,7 @@ def compress(
     offsets = np.asarray(offsets, np.int64)
     after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
     before[0] = n
-    last = np.zeros(n + 1, bool)  # of its document
+    last = np.zeros(n + 1, bool)  # of its document, or gone
     last[offsets[offsets > 0] - 1] = last[n] = True
     gone, near = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
     weight = np.zeros(n + 1, np.int32)  # count of the pair at a place
@@ -113,26 +118,26 @@ def compress(
         if not len(live):
             break
         wide = np.uint32 if base <= 1 << 16 else np.uint64
-        codes = symbols[live] * wide(base) + symbols[after[live]]
-        found, bins, of_bin, counts, waiting = _frequent(codes, round_, least)
+        codes = symbols.take(live) * wide(base) + symbols.take(after.take(live))
+        found, bins, of_bin, counts, waiting = _frequent(codes, least)
         if not len(found):
-            # a pair may be hidden behind others of its bin in every round
+            # codes may be too wide for keys with their places
             found, bins, of_bin, counts, waiting = _frequent_exactly(codes, least)
         if not len(found):
             break
-        at = live[found]
+        at = live.take(found)
         near[live[waiting]] = near[at] = True
-        own = counts[bins].astype(np.int32)
+        own = counts.astype(np.int32).take(bins)
         weight[at] = own
-        best = np.flatnonzero((own >= weight[before[at]]) & (own >= weight[after[at]]))
+        best = np.flatnonzero((own >= weight.take(before.take(at))) & (own >= weight.take(after.take(at))))
         weight[at] = 0
-        at, bins = at[best], bins[best]
+        at, bins = at.take(best), bins.take(best)
         # equal neighbours remain in runs of consecutive places: take every second
         starts = np.flatnonzero(np.concatenate([[True], before[at[1:]] != at[:-1]]))
         if len(starts) < len(at):
             place = np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))
             even = np.flatnonzero(place & 1 == 0)
-            at, bins = at[even], bins[even]
+            at, bins = at.take(even), bins.take(even)
         # overlaps have taken some occurrences; what is left must still pay for its rule
         left = np.bincount(bins, minlength=len(counts)) >= max(1, least // 2)
         stays = left[bins]
@@ -147,17 +152,17 @@ def compress(
         number[used] = np.arange(len(used))
         pairs = of_bin[used].astype(np.int64)
         rules.append(np.stack([pairs // base, pairs % base], axis=1))
-        taken = after[at]
+        taken = after.take(at)
         symbols[at] = number[bins] + np.uint32(base)
-        gone[taken] = True
-        last[at] = last[taken]
-        after[at] = following = after[taken]
+        last[at] = last.take(taken)
+        gone[taken] = last[taken] = True
+        after[at] = following = after.take(taken)
         before[following] = at
         base += len(used)
-        near[before[at]] = True
+        near[before.take(at)] = True
+        near &= ~last
         live = np.flatnonzero(near)
         near[live] = False
-        live = live[~(gone[live] | last[live])]
     stay = ~gone[:n]
     first = np.concatenate([[0], np.cumsum(stay)])[offsets]
     return symbols[:n][stay], first, rules
@@ -242,14 +247,18 @@ class Shard:
         self.flat, self.bounds = expansions(self.terminals, np.split(pairs, cuts) if rounds else [])
         if not np.array_equal(np.diff(self.bounds), self.lengths):
             raise ValueError("the rules do not give the stored lengths")
+        # one list of ids per symbol
+        bounds = np.concatenate([np.arange(self.terminals), self.terminals + self.bounds])
+        self.lists = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([self.ids, self.ids[self.flat]])))
 
     def documents_at(self, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a run of documents, and where each begins (with the end)."""
-        ids, _ = expand(self.symbols[self.first[begin] : self.first[end]], self.terminals, self.flat, self.bounds)
+        symbols = self.symbols[self.first[begin] : self.first[end]].astype(np.uint32)
+        ids = self.lists.take(pa.array(symbols)).flatten().to_numpy()
         offsets = np.concatenate([[0], np.cumsum(self.n_tokens[begin:end])])
         if len(ids) != offsets[-1]:
             raise ValueError("the symbols do not give the stored number of ids")
-        return self.ids[ids], offsets
+        return ids, offsets
 
     def document(self, i: int) -> np.ndarray:
         """Ids of one document, from its own symbols only."""
@@ -308,9 +317,9 @@ def write(
             )
             number, begin = number + 1, begin + held
             ids, counts, names, held = [], [], [], 0
-            give_back()
             return out
 
+        hold()
         for batch in batches:
             for rows in in_groups(batch, "text"):
                 found, offsets = encode(rows.column("text"))
@@ -323,6 +332,7 @@ def write(
                     yield close()
         if names:
             yield close()
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), whole(text_col).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
@@ -347,6 +357,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     )
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold()
         for batch in batches:
             for k in range(batch.num_rows):
                 shard = Shard(batch.column("shard_bytes")[k].as_py())
@@ -363,7 +374,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     ],
                     names=schema.names,
                 )
-                give_back()
+        give_back()
 
     found = table.select("part", "begin", "doc_ids", "shard_bytes").mapInArrow(documents, schema)
     # one row per part, not per document

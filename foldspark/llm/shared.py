@@ -77,6 +77,16 @@ def in_groups(batch: pa.RecordBatch, column: str, size: int = 2_000_000) -> Iter
         yield batch.slice(begin)
 
 
+def hold() -> None:
+    """Let a worker keep the memory it frees until ``give_back``: pages taken anew for each array cost as much as the work on it."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD, at its largest
+        libc.mallopt(-1, 128 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def give_back() -> None:
     """Return a worker's free memory to the machine: workers stay alive between stages."""
     pa.default_memory_pool().release_unused()

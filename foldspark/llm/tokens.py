@@ -49,7 +49,7 @@ BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 # marks of a text's first piece, of a text that is one piece, and of a comma or full stop that ends a word
 _FIRST, _ALL, _STOP = _MARKS = ("\x01", "\x02", "\x03")
 # pieces of ASCII without apostrophes and letters of Latin-1: lower case is one letter for one, no letter joins another
-_SIMPLE = r"^[\x01\x03\n]?[!-&(-~\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]{1,200}$"
+_SIMPLE = r"^[!-&(-~\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]{1,200}$"
 # in the bytes of such pieces: 0 none, 1 letters (of Latin-1 ones, both bytes), 2 digits, 3 all else
 _KIND = np.full(256, 3, np.uint8)
 _KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]], _KIND[48:58], _KIND[0] = 1, 2, 0
@@ -73,8 +73,9 @@ class PieceEncoder:
     ``entries`` bounds the table of pieces met before; pieces over ``longest``
     characters are not kept in it. A comma or full stop behind a letter is a
     word of its own in both vocabularies, and so it is a piece of its own. With
-    ``lower`` (a vocabulary of lower-case words) A to Z are lowered before pieces are told apart. ``words`` gives the ids
-    of many lower-case words and where each ends; distinct simple pieces go there all at once, and are kept for one more call.
+    ``lower`` (a vocabulary of lower-case words, which drops white space) A to Z are lowered before pieces are told apart,
+    and a piece is the same wherever it stands. ``words`` gives the ids of many lower-case words and where each ends; new
+    simple pieces of a call go there all at once, and are kept for one more call.
     """
 
     def __init__(
@@ -115,7 +116,7 @@ class PieceEncoder:
 
     def _simple(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of simple pieces in a row, and how many each has."""
-        pieces = pc.ascii_ltrim(pc.utf8_lower(pieces), characters="".join(_MARKS) + "\n")
+        pieces = pc.utf8_lower(pieces)
         lists = pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces)
         data = np.frombuffer(pc.binary_join(lists, pa.scalar("\0", pieces.type))[0].as_buffer(), np.uint8)
         data = np.append(data, np.uint8(0))
@@ -134,14 +135,15 @@ class PieceEncoder:
             return _lists(*_joined(self._look_up(pieces.to_pylist())))
         # pieces of the texts before are known
         place = pc.index_in(pieces, value_set=self.last)
-        new = place.is_null().to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(place.is_null())
         place = pc.fill_null(place, 0).to_numpy().astype(np.int64)
-        simple = pc.match_substring_regex(pieces, _SIMPLE).to_numpy(zero_copy_only=False)
+        fresh = pieces.take(pa.array(new))
+        simple = pc.match_substring_regex(fresh, _SIMPLE).to_numpy(zero_copy_only=False)
         parts = [self.last_ids]
-        for which, ids_of in ((new & simple, self._simple), (new & ~simple, lambda x: _joined(self._look_up(x.to_pylist())))):
+        for which, ids_of in ((simple, self._simple), (~simple, lambda x: _joined(self._look_up(x.to_pylist())))):
             if which.any():
-                place[which] = sum(map(len, parts)) + np.arange(int(which.sum()))
-                parts.append(_lists(*ids_of(pieces.filter(pa.array(which)))))
+                place[new[which]] = sum(map(len, parts)) + np.arange(int(which.sum()))
+                parts.append(_lists(*ids_of(fresh.filter(pa.array(which)))))
         ids = pa.concat_arrays(parts).take(pa.array(place))
         self.last, self.last_ids = pieces, ids
         return ids
@@ -156,13 +158,15 @@ class PieceEncoder:
         texts = texts.cast(pa.large_string())
         odd = pc.match_substring_regex(texts, _odd())
         # the blank behind gives an empty piece, which has no ids
-        plain = pc.binary_join_element_wise(
-            pa.scalar(_FIRST, pa.large_string()), pc.replace_substring(small, "\n", " \n"), pa.scalar(" ", pa.large_string()),
-            pa.scalar("", pa.large_string()),
-        )
-        for stop in ",.":
-            plain = pc.replace_substring(plain, f"{stop} ", f" {_STOP}{stop} ")
-        single = pc.binary_join_element_wise(pa.scalar(_ALL, pa.large_string()), texts, pa.scalar("", pa.large_string()))
+        blank, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+        if self.lower:
+            plain, stop = pc.binary_join_element_wise(pc.replace_substring(small, "\n", " "), nothing, blank), ""
+        else:
+            first = pa.scalar(_FIRST, pa.large_string())
+            plain, stop = pc.binary_join_element_wise(first, pc.replace_substring(small, "\n", " \n"), blank, nothing), _STOP
+        for sign in ",.":
+            plain = pc.replace_substring(plain, f"{sign} ", f" {stop}{sign} ")
+        single = pc.binary_join_element_wise(pa.scalar(_ALL, pa.large_string()), texts, nothing)
         marked = pc.if_else(odd, single, plain)
         if pc.any(odd).as_py():
             # a piece of its own: no separator may be found in it

@@ -205,3 +205,31 @@ def test_hidden_pairs_are_found_by_sorting(monkeypatch):
     monkeypatch.setattr(repair, "_frequent", lambda codes, *rest: (nothing, nothing, nothing, nothing, nothing))
     shard = repair.Shard(repair.to_bytes(ids, offsets, least=2))
     assert len(shard.symbols) < len(ids) - 2 and [shard.document(i).tolist() for i in (0, 1)] == [[7, 8, 9, 7, 8, 9, 1], [7, 8, 5, 1]]
+
+
+def test_a_round_counts_every_pair():
+    rng = np.random.default_rng(9)
+    codes = (rng.zipf(1.3, 50_000) % 60_000).astype(np.uint32) * np.uint32(60_001)
+    counts = Counter(codes.tolist())
+    for least in (2, 8):
+        found, number, pairs, sums, waiting = repair._frequent(codes, least)
+        assert dict(zip(pairs.tolist(), sums.tolist())) == {c: k for c, k in counts.items() if k >= least}
+        assert found.tolist() == [i for i, c in enumerate(codes.tolist()) if counts[c] >= least]
+        assert pairs[number].tolist() == codes[found].tolist() and len(waiting) == 0
+    # a code and its place that do not fit 64 bits are left to the other way
+    wide = np.array([1 << 62, 1 << 62, 5], np.uint64)
+    assert all(len(x) == 0 for x in repair._frequent(wide, 2))
+    assert repair._frequent_exactly(wide, 2)[0].tolist() == [0, 1]
+
+
+def test_a_word_is_one_piece_wherever_it_stands():
+    from foldspark.llm.tokens import PieceEncoder
+
+    path = tokenizer_path("word_bpe_49k.json")
+    library, made, sent = Tokenizer.from_file(path), library_encoder(path), []
+    encoder = PieceEncoder(made.encode, lower=True, words=lambda words: sent.append(words) or made.words(words))
+    texts = ["Alpha beta\nalpha, beta. alpha", "alpha\nbeta.", "beta,\nAlpha.", "", None]
+    ids, offsets = encoder(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert ids[offsets[k] : offsets[k + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert sorted("".join(sent).split("\0")) == ["", ",", ".", "alpha", "beta"]
