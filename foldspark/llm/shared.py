@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import ctypes
 import os
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from types import ModuleType
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -77,6 +80,17 @@ def in_groups(batch: pa.RecordBatch, column: str, size: int = 2_000_000) -> Iter
         yield batch.slice(begin)
 
 
+def kept(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a process.
+
+    Workers get this package by value, anew with each task, so its own globals last no longer than a task.
+    """
+    store = vars(sys.modules.setdefault("_kept_by_foldspark", ModuleType("_kept_by_foldspark")))
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def hold() -> None:
     """Let a worker keep the memory it frees until ``give_back``: pages taken anew for each array cost as much as the work on it."""
     try:

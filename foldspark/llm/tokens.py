@@ -14,12 +14,12 @@ import os
 import unicodedata
 from array import array
 from collections.abc import Callable
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from foldspark.llm.shared import kept
 
 
 def _end_in_a_mark() -> str:
@@ -33,7 +33,6 @@ def _end_in_a_mark() -> str:
     return "".join(rf"\x{{{ord(c):x}}}" for c in out)
 
 
-@cache
 def _odd() -> str:
     """Two white space characters in a row, white space at either end, any other kind of white space or control, "<|",
     and a comma or full stop before white space that is not behind a letter or digit that stays one.
@@ -156,7 +155,7 @@ class PieceEncoder:
         texts = pc.fill_null(texts, "") if texts.null_count else texts
         small = (pc.ascii_lower(texts) if self.lower else texts).cast(pa.large_string())
         texts = texts.cast(pa.large_string())
-        odd = pc.match_substring_regex(texts, _odd())
+        odd = pc.match_substring_regex(texts, kept("odd texts", _odd))
         # the blank behind gives an empty piece, which has no ids
         blank, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
         if self.lower:
@@ -186,9 +185,6 @@ class PieceEncoder:
         return ids, offsets
 
 
-_made: dict[str, PieceEncoder] = {}
-
-
 def spelled_bytes() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -279,68 +275,71 @@ def _word_encoder(path: str, tokenizer) -> Callable[[list[str]], list[bytes]] |
     return encode
 
 
+def _library(path: str) -> tuple[Callable[[list[str]], list[bytes]], bool, Callable[[str], tuple[np.ndarray, np.ndarray]] | None, bool]:
+    """Ids of pieces, whether words are lowered, ids of many words if they can go to tiktoken, whether ids are ranks."""
+    # Spark's tasks are the threads; those of the library would keep memory of their own
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    ranked = _rank_encoding(path)
+    merge, letters = tokenizer.model.tokenize, _spelled_letters()
+    lower = tokenizer.normalizer is not None  # the vocabulary of lower-case words, which drops white space
+    space = "" if lower else letters[32]
+
+    def by_rank(pieces: list[str]) -> list[bytes]:
+        plain = ranked.encode_ordinary
+        return [array("I", plain(p) if "<|" not in p else chain([p])[0]).tobytes() for p in pieces]
+
+    def chain(pieces: list[str]) -> list[list[int]]:
+        return [x.ids for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    by_word = _word_encoder(path, tokenizer) if lower and not ranked else None
+
+    def by_library(pieces: list[str]) -> list[bytes]:
+        out, rest, words, places = [], [], [], []
+        for i, p in enumerate(pieces):
+            before, word = (space, p[1:]) if p[:1] == " " else ("", p)
+            if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+                if lower:
+                    word = word.lower()
+                if by_word:
+                    words.append(word)
+                    places.append(i)
+                    out.append(b"")
+                    continue
+                if not word.isascii():
+                    word = word.translate(letters)
+                out.append(array("I", [t.id for t in merge(before + word)]).tobytes())
+            else:
+                out.append(b"")
+                rest.append(i)
+        if words:
+            for i, ids in zip(places, by_word(words), strict=True):
+                out[i] = ids
+        if rest:
+            for i, ids in zip(rest, chain([pieces[i] for i in rest])):
+                out[i] = array("I", ids).tobytes()
+        return out
+
+    if ranked:
+        return by_rank, False, None, True
+    splits = next((x["pattern"] for x in json.loads(tokenizer.to_str())["pre_tokenizer"]["pretokenizers"] if "pattern" in x), None)
+    simple = by_word.joined if by_word and splits == {"Regex": WORD_SPLIT} else None
+    return by_library, lower, simple, False
+
+
 def library_encoder(path: str) -> PieceEncoder:
-    """Encoder with the ids of the tokenizers library, one per worker and vocabulary file.
+    """Encoder with the ids of the tokenizers library; the vocabulary is read and checked once per worker.
 
     A byte-level vocabulary whose ids are ranks is merged by tiktoken, which gives the same ids sooner.
     Otherwise a word of Latin-1 letters goes straight to the merges (those of tiktoken where they are the same), and
     any other piece through its whole chain of normaliser, splitter and merges.
     """
-    if path not in _made:
-        # Spark's tasks are the threads; those of the library would keep memory of their own
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        ranked = _rank_encoding(path)
-        merge, letters = tokenizer.model.tokenize, _spelled_letters()
-        lower = tokenizer.normalizer is not None  # the vocabulary of lower-case words, which drops white space
-        space = "" if lower else letters[32]
-
-        def by_rank(pieces: list[str]) -> list[bytes]:
-            plain = ranked.encode_ordinary
-            return [array("I", plain(p) if "<|" not in p else chain([p])[0]).tobytes() for p in pieces]
-
-        def chain(pieces: list[str]) -> list[list[int]]:
-            return [x.ids for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-        by_word = _word_encoder(path, tokenizer) if lower and not ranked else None
-
-        def by_library(pieces: list[str]) -> list[bytes]:
-            out, rest, words, places = [], [], [], []
-            for i, p in enumerate(pieces):
-                before, word = (space, p[1:]) if p[:1] == " " else ("", p)
-                if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
-                    if lower:
-                        word = word.lower()
-                    if by_word:
-                        words.append(word)
-                        places.append(i)
-                        out.append(b"")
-                        continue
-                    if not word.isascii():
-                        word = word.translate(letters)
-                    out.append(array("I", [t.id for t in merge(before + word)]).tobytes())
-                else:
-                    out.append(b"")
-                    rest.append(i)
-            if words:
-                for i, ids in zip(places, by_word(words), strict=True):
-                    out[i] = ids
-            if rest:
-                for i, ids in zip(rest, chain([pieces[i] for i in rest])):
-                    out[i] = array("I", ids).tobytes()
-            return out
-
-        if ranked:
-            _made[path] = PieceEncoder(by_rank, entries=400_000)
-        else:
-            splits = next((x["pattern"] for x in json.loads(tokenizer.to_str())["pre_tokenizer"]["pretokenizers"] if "pattern" in x), None)
-            simple = by_word.joined if by_word and splits == {"Regex": WORD_SPLIT} else None
-            _made[path] = PieceEncoder(by_library, lower=lower, words=simple)
-    return _made[path]
+    encode, lower, words, ranked = kept(f"vocabulary {path}", lambda: _library(path))
+    return PieceEncoder(encode, entries=400_000) if ranked else PieceEncoder(encode, lower=lower, words=words)
 
 
 def ids_column(ids: np.ndarray, offsets: np.ndarray, end_id: int | None = None) -> pa.Array:

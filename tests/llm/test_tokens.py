@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -233,3 +234,24 @@ def test_a_word_is_one_piece_wherever_it_stands():
     for k, text in enumerate(texts):
         assert ids[offsets[k] : offsets[k + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
     assert sorted("".join(sent).split("\0")) == ["", ",", ".", "alpha", "beta"]
+
+
+def test_a_worker_reads_a_vocabulary_once(spark):
+    path = tokenizer_path("word_bpe_49k.json")
+
+    def encode(batches):
+        import os
+
+        for _ in batches:
+            encoder = library_encoder(path)
+            yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "made": [id(encoder.words)], "n": [len(encoder(pa.array(["one two"]))[0])]})
+
+    made = {}
+    for _ in range(2):
+        for r in spark.range(0, 4, 1, 1).mapInArrow(encode, "pid long, made long, n long").collect():
+            assert r.n == 2
+            made.setdefault(r.pid, []).append(r.made)
+    # tasks that met the same worker, if any, met the same merges
+    assert all(len(set(x)) == 1 for x in made.values())
+    copies = [cloudpickle.loads(cloudpickle.dumps(library_encoder)) for _ in range(2)]
+    assert copies[0](path).words is copies[1](path).words
