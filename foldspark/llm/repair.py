@@ -292,7 +292,7 @@ def write(
     )
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = library_encoder(vocabulary)
+        encode = library_encoder(vocabulary, keep=True)
         part, number, begin = TaskContext.get().partitionId(), 0, 0
         ids: list[np.ndarray] = []
         counts: list[np.ndarray] = []

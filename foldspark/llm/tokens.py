@@ -331,14 +331,15 @@ def _library(path: str) -> tuple[Callable[[list[str]], list[bytes]], bool, Calla
     return by_library, lower, simple, False
 
 
-def library_encoder(path: str) -> PieceEncoder:
-    """Encoder with the ids of the tokenizers library; the vocabulary is read and checked once per worker.
+def library_encoder(path: str, keep: bool = False) -> PieceEncoder:
+    """Encoder with the ids of the tokenizers library.
 
+    With ``keep`` the vocabulary is read and checked once per worker, which holds it (some 30 MB) as long as it lives.
     A byte-level vocabulary whose ids are ranks is merged by tiktoken, which gives the same ids sooner.
     Otherwise a word of Latin-1 letters goes straight to the merges (those of tiktoken where they are the same), and
     any other piece through its whole chain of normaliser, splitter and merges.
     """
-    encode, lower, words, ranked = kept(f"vocabulary {path}", lambda: _library(path))
+    encode, lower, words, ranked = kept(f"vocabulary {path}", lambda: _library(path)) if keep else _library(path)
     return PieceEncoder(encode, entries=400_000) if ranked else PieceEncoder(encode, lower=lower, words=words)
 
 

@@ -243,7 +243,7 @@ def test_a_worker_reads_a_vocabulary_once(spark):
         import os
 
         for _ in batches:
-            encoder = library_encoder(path)
+            encoder = library_encoder(path, keep=True)
             yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "made": [id(encoder.words)], "n": [len(encoder(pa.array(["one two"]))[0])]})
 
     made = {}
@@ -254,4 +254,5 @@ def test_a_worker_reads_a_vocabulary_once(spark):
     # tasks that met the same worker, if any, met the same merges
     assert all(len(set(x)) == 1 for x in made.values())
     copies = [cloudpickle.loads(cloudpickle.dumps(library_encoder)) for _ in range(2)]
-    assert copies[0](path).words is copies[1](path).words
+    assert copies[0](path, keep=True).words is copies[1](path, keep=True).words
+    assert copies[0](path).words is not copies[0](path).words
