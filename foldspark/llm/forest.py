@@ -48,6 +48,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -66,6 +67,8 @@ PIVOTS = 4  # per batch and run longer than the reach
 HUBS = 16  # per run longer than the reach, over all its classes
 CELL = 1000  # classes of a run met again that go to one task together, and bytes of their sets
 CELL_BYTES = 16 << 20
+ROWS = 5000  # documents a partition of the frames of classes, pairs and links, whose rows are short
+SET_BYTES = 16 << 20  # a partition of the frames of sets
 CROWD = 50_000_000  # comparisons of a run beyond which its classes are grouped by rare shingles first
 FIRST_TREES = 4  # trees whose closest candidates are confirmed, and whose crowded runs are met, before the others
 SURE = 0.93  # share of equal values from which a candidate is surely a link
@@ -140,6 +143,23 @@ def _minima(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+class Parts(NamedTuple):
+    """Partitions of the frames between two searches: as many as there are cores, more where the rows ask for it.
+
+    Without it each of their many joins leaves as many as the session shuffles into, however few rows they
+    have, and a task on a handful of rows costs as much as its start and its file.
+    """
+
+    rows: int
+    sets: int
+
+    @classmethod
+    def of(cls, signed: DataFrame) -> Parts:
+        total = signed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("shingles")).first()
+        rows = max(signed.sparkSession.sparkContext.defaultParallelism, -(-total["n"] // ROWS))
+        return cls(rows, max(rows, -(-8 * total["shingles"] // SET_BYTES)))
+
+
 def _fixed(data: np.ndarray) -> pa.Array:
     n, width = data.shape
     flat = pa.py_buffer(np.ascontiguousarray(data))
@@ -301,24 +321,25 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(search, "a long, b long, tree int")
 
 
-def run_members(classes: DataFrame, marks: DataFrame) -> DataFrame:
+def run_members(classes: DataFrame, marks: DataFrame, parts: Parts) -> DataFrame:
     """tree, run, node, set_digest, n_shingles of all classes of the runs that ``marks`` (a, tree) names."""
     runs = marks.select(F.col("a").alias("node"), "tree").join(classes.select("node", "order"), "node")
-    runs = runs.select("tree", _run(F.col("tree")).alias("run")).distinct()
+    runs = runs.select("tree", _run(F.col("tree")).alias("run")).coalesce(parts.rows).distinct()
     own = ["node", "set_digest", "n_shingles"]
     rows = classes.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "order", *own)
     rows = rows.select("tree", _run(F.col("tree")).alias("run"), *own)
-    return rows.join(runs, ["tree", "run"], "left_semi")
+    return checkpoint(rows.join(runs, ["tree", "run"], "left_semi").coalesce(parts.rows))
 
 
-def open_runs(members: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+def open_runs(members: DataFrame, found: DataFrame, parts: Parts) -> tuple[DataFrame, DataFrame]:
     """The members with their component as ``label``, and per run of several components: tree, run, size, bytes, most (n, bytes, label of the largest)."""
     labelled = members.join(found, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    labelled = labelled.coalesce(parts.rows)
     by_label = labelled.groupBy("tree", "run", "label").agg(F.count(F.lit(1)).alias("n"), (F.sum("n_shingles") * 8).alias("bytes"))
     runs = by_label.groupBy("tree", "run").agg(
         F.sum("n").alias("size"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "bytes", "label")).alias("most")
     )
-    return labelled.drop("n_shingles"), checkpoint(runs.filter(F.col("most.n") < F.col("size")))
+    return labelled.drop("n_shingles"), checkpoint(runs.filter(F.col("most.n") < F.col("size")).coalesce(parts.rows))
 
 
 def prefix_members(sets: DataFrame, percent: int) -> DataFrame:
@@ -356,6 +377,7 @@ def met_again(
     percent: int,
     sets: DataFrame,
     more_sets: Callable[[DataFrame], DataFrame],
+    parts: Parts,
     links: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) that join different components within the runs of ``members``, and ``sets`` with those made by ``more_sets``.
@@ -365,7 +387,7 @@ def met_again(
     """
     values = VALUES + EXTRA
     least = _least(values, percent)
-    labelled, runs = open_runs(members, found)
+    labelled, runs = open_runs(members, found, parts)
     if links is not None:
         runs = runs.filter(F.col("size") > REACH + 1)
     nothing = members.sparkSession.createDataFrame([], "a long, b long")
@@ -376,27 +398,27 @@ def met_again(
         return F.greatest(F.ceil(n / CELL), F.ceil(size / CELL_BYTES), F.lit(1)).cast("int")
 
     cells = dealt(F.col("size"), F.col("bytes"))
-    parts = F.lit(1) if links is not None else dealt(F.col("size") - F.col("most.n"), F.col("bytes") - F.col("most.bytes"))
-    runs = runs.select("tree", "run", cells.alias("cells"), parts.alias("parts"), F.col("most.label").alias("largest"))
-    rows = labelled.join(runs, ["tree", "run"])
+    shares = F.lit(1) if links is not None else dealt(F.col("size") - F.col("most.n"), F.col("bytes") - F.col("most.bytes"))
+    runs = runs.select("tree", "run", cells.alias("cells"), shares.alias("shares"), F.col("most.label").alias("largest"))
+    rows = labelled.join(runs, ["tree", "run"]).coalesce(parts.rows)
     if links is not None:
         ends = [links.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("degree")) for end in ("a", "b")]
         degrees = ends[0].unionByName(ends[1]).groupBy("node").agg(F.sum("degree").alias("degree"))
         first = Window.partitionBy("tree", "run").orderBy(F.desc("degree"), "node", "set_digest")
         ranked = rows.join(degrees, "node").withColumn("rank", F.row_number().over(first))
-        chosen = ranked.filter(F.col("rank") <= HUBS).drop("rank", "degree")
+        chosen = ranked.filter(F.col("rank") <= HUBS).drop("rank", "degree").coalesce(parts.rows)
     else:
         chosen = rows.filter("label != largest")
     spread = F.xxhash64("set_digest", F.lit(7))
     names = ["tree", "run", "node", "set_digest", "label"]
     here = rows.select(
-        *names, F.lit(False).alias("chosen"), F.pmod(spread, "cells").cast("int").alias("i"), F.explode(F.expr("sequence(0, parts - 1)")).alias("j")
+        *names, F.lit(False).alias("chosen"), F.pmod(spread, "cells").cast("int").alias("i"), F.explode(F.expr("sequence(0, shares - 1)")).alias("j")
     )
     there = chosen.select(
-        *names, F.lit(True).alias("chosen"), F.explode(F.expr("sequence(0, cells - 1)")).alias("i"), F.pmod(spread, "parts").cast("int").alias("j")
+        *names, F.lit(True).alias("chosen"), F.explode(F.expr("sequence(0, cells - 1)")).alias("i"), F.pmod(spread, "shares").cast("int").alias("j")
     )
     signs = classes.select("node", "set_digest", "n_shingles", "low")
-    rows = here.unionByName(there).join(signs, ["node", "set_digest"])
+    rows = here.unionByName(there).join(signs, ["node", "set_digest"]).coalesce(parts.rows)
 
     kinds = "tree int, run binary, i int, j int, chosen boolean, node long, set_digest binary, label long"
 
@@ -444,20 +466,21 @@ def met_again(
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     cell = ["tree", "run", "i", "j"]
-    near = checkpoint(rows.groupBy(*cell).applyInArrow(with_candidates, kinds))
+    near = checkpoint(rows.groupBy(*cell).applyInArrow(with_candidates, kinds)).coalesce(parts.rows)
     # the sets of classes that had no candidate before are made now
     new = near.select(F.col("node").alias("a")).distinct().join(sets.select(F.col("node").alias("a")), "a", "left_anti")
-    new = checkpoint(new.withColumn("b", F.col("a")))
+    new = checkpoint(new.withColumn("b", F.col("a")).coalesce(parts.rows))
     if not new.isEmpty():
         sets = sets.unionByName(more_sets(new))
-    whole_rows = near.join(signs, ["node", "set_digest"]).join(sets, ["node", "set_digest"])
-    return checkpoint(whole_rows.groupBy(*cell).applyInArrow(joining, "a long, b long").distinct()), sets
+    whole_rows = near.join(signs, ["node", "set_digest"]).join(sets, ["node", "set_digest"]).coalesce(parts.sets)
+    more = whole_rows.groupBy(*cell).applyInArrow(joining, "a long, b long").distinct()
+    return checkpoint(more.coalesce(parts.rows)), sets
 
 
-def full_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+def full_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str, words: int, parts: Parts) -> DataFrame:
     """node, set_digest, values (the set) of every class in ``pairs``, written once."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = wanted.join(classes.select("node", "set_digest"), "node")
+    wanted = wanted.join(classes.select("node", "set_digest"), "node").coalesce(parts.rows)
     texts = docs.select(F.col(id_col).cast("long").alias("node"), whole(text_col).alias("text"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -474,80 +497,79 @@ def full_sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str
     sets = texts.join(wanted.select("node").distinct(), "node", "left_semi").mapInArrow(
         make, "node long, set_digest binary, values binary"
     )
-    return checkpoint(sets.join(wanted, ["node", "set_digest"], "left_semi").dropDuplicates(["node", "set_digest"]))
+    sets = sets.join(wanted, ["node", "set_digest"], "left_semi").dropDuplicates(["node", "set_digest"])
+    return checkpoint(sets.coalesce(parts.sets))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets have ``percent`` % similarity or more."""
-
-    @F.pandas_udf("boolean")
-    def linked(first: pd.Series, second: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(first, second):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * both >= percent * (len(x) + len(y) - both))
-        return pd.Series(out, dtype=bool)
+    """Of the pairs whose full sets have ``percent`` % similarity or more, those that join something more in their task."""
 
-    first = sets.select(F.col("node").alias("a"), F.col("values").alias("x"))
-    second = sets.select(F.col("node").alias("b"), F.col("values").alias("y"))
-    links = pairs.join(first, "a").join(second, "b").filter(linked("x", "y")).select("a", "b")
-    return links.mapInArrow(spanning, "a long, b long")
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
 
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = parent[up]
+                x = up
+            return x
 
-def spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the links of a task, those that join something more."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.setdefault(x, x)) != x:
-            parent[x] = parent[up]
-            x = up
-        return x
+        for batch in batches:
+            keep = []
+            for a, b, x, y in zip(*(batch.column(c) for c in ("a", "b", "x", "y"))):
+                a, b = root(a.as_py()), root(b.as_py())
+                keep.append(False)
+                if a == b:
+                    continue
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    keep[-1] = True
+                    parent[max(a, b)] = min(a, b)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
-    for batch in batches:
-        keep = []
-        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-            a, b = root(a), root(b)
-            keep.append(a != b)
-            parent[max(a, b)] = min(a, b)
-        yield batch.filter(pa.array(keep, pa.bool_()))
+    first = sets.select(F.col("node").alias("a"), F.col("values").alias("x"))
+    second = sets.select(F.col("node").alias("b"), F.col("values").alias("y"))
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(linked, "a long, b long")
 
 
-def between(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
+def between(pairs: DataFrame, found: DataFrame | None, parts: Parts) -> DataFrame:
     """The pairs whose ends are in different components."""
     if found is None:
         return pairs
     for end in ("a", "b"):
         own = found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-        pairs = pairs.join(own, end, "left")
+        pairs = pairs.join(own, end, "left").coalesce(parts.rows)
     return pairs.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, parts: Parts) -> DataFrame:
     """Per node of ``links`` (a, b): component, the smallest node it is connected with."""
-    edges = checkpoint(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = checkpoint(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")))
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = checkpoint(links.select(F.inline(ways)).distinct().coalesce(parts.rows))
+    labels = edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label"))
+    labels = checkpoint(labels.coalesce(parts.rows))
     while True:
         # the smallest label among a node and its neighbours, then the label of that label
-        heard = edges.join(labels, edges["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        heard = edges.join(labels, edges["b"] == labels["node"]).select(F.col("a").alias("node"), "label").coalesce(parts.rows)
+        heard = heard.groupBy("node").agg(F.min("label").alias("near"))
         better = labels.join(heard, "node").select("node", "label", F.least("label", "near").alias("new"))
         roots = better.select(F.col("node").alias("new"), F.col("new").alias("root"))
-        step = better.join(roots, "new", "left").select(
+        step = better.coalesce(parts.rows).join(roots, "new", "left").select(
             "node", "label", F.least("new", F.coalesce("root", "new")).alias("new")
         )
-        step = checkpoint(step)
+        step = checkpoint(step.coalesce(parts.rows))
         if step.filter("new < label").isEmpty():
             return labels.withColumnRenamed("label", "component")
         labels = step.select("node", F.col("new").alias("label"))
 
 
-def joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
+def joined(found: DataFrame | None, links: DataFrame, parts: Parts) -> DataFrame:
     """Components once ``links`` are added to those ``found``, of which a star per component is enough."""
     if found is None:
-        return components(links)
+        return components(links, parts)
     stars = found.filter("node != component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-    return components(stars.unionByName(links))
+    return components(stars.unionByName(links), parts)
 
 
 def near_duplicates(
@@ -566,50 +588,55 @@ def near_duplicates(
         .groupBy("set_digest")
         .agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), F.max("order").alias("order"), F.max("low").alias("low"))
     )
+    parts = Parts.of(signed)
+    signed, classes = signed.coalesce(parts.rows), classes.coalesce(parts.rows)
     named = classes.filter("node is not null")
-    near = checkpoint(candidates(named, percent).distinct())
+    near = checkpoint(candidates(named, percent).distinct().coalesce(parts.rows))
     turns = near.filter("a < b").groupBy("a", "b").agg(F.min("tree").alias("turn"))
-    pairs = checkpoint(turns)
-    sets = full_sets(docs, pairs, named, id_col, text_col, words)
+    pairs = checkpoint(turns.coalesce(parts.rows))
+    sets = full_sets(docs, pairs, named, id_col, text_col, words, parts)
     links = found = None
     for turn in (-2, -1):
         # in a dense group the first links connect most classes; later ones matter only between components
-        more = checkpoint(confirmed(between(pairs.filter(F.col("turn") == turn).select("a", "b"), found), sets, percent))
+        some = between(pairs.filter(F.col("turn") == turn).select("a", "b"), found, parts)
+        more = checkpoint(confirmed(some, sets, percent)).coalesce(parts.rows)
         links = more if links is None else links.unionByName(more)
         if found is None or not more.isEmpty():
-            found = joined(found, more)
+            found = joined(found, more, parts)
     # what these rounds left of a run matters only if it joins two components
     marks = near.filter("a = b").select("a", "tree")
     if not marks.isEmpty():
-        members = checkpoint(run_members(named, marks))
+        members = run_members(named, marks, parts)
 
         def more_sets(wanted: DataFrame) -> DataFrame:
-            return full_sets(docs, wanted, named, id_col, text_col, words)
+            return full_sets(docs, wanted, named, id_col, text_col, words, parts)
 
         for trees in (F.col("tree") < FIRST_TREES, F.col("tree") >= FIRST_TREES):
-            more, sets = met_again(members.filter(trees), named, found, percent, sets, more_sets, links)
+            more, sets = met_again(members.filter(trees), named, found, percent, sets, more_sets, parts, links)
             if not more.isEmpty():
-                found = joined(found, more)
+                found = joined(found, more, parts)
         # runs that still have several components: all outside the largest one with the others, in a crowd by rare shingles
         comparisons = F.col("size") * (F.col("size") - F.col("most.n"))
-        crowds = checkpoint(open_runs(members, found)[1].filter(comparisons > CROWD).select("tree", "run"))
+        crowds = checkpoint(open_runs(members, found, parts)[1].filter(comparisons > CROWD).select("tree", "run"))
         crowded = not crowds.isEmpty()
         rest = members.join(crowds, ["tree", "run"], "left_anti") if crowded else members
         for trees in (F.col("tree") < FIRST_TREES, F.col("tree") >= FIRST_TREES):
-            more, sets = met_again(rest.filter(trees), named, found, percent, sets, more_sets)
+            more, sets = met_again(rest.filter(trees), named, found, percent, sets, more_sets, parts)
             if not more.isEmpty():
-                found = joined(found, more)
+                found = joined(found, more, parts)
         if crowded:
-            left = checkpoint(members.join(crowds, ["tree", "run"], "left_semi").select("node").distinct())
+            left = members.join(crowds, ["tree", "run"], "left_semi").select("node").distinct()
+            left = checkpoint(left.coalesce(parts.rows))
             new = left.join(sets.select("node"), "node", "left_anti").select(F.col("node").alias("a"), F.col("node").alias("b"))
-            new = checkpoint(new)
+            new = checkpoint(new.coalesce(parts.rows))
             if not new.isEmpty():
                 sets = sets.unionByName(more_sets(new))
             rare = checkpoint(prefix_members(sets.join(left, "node", "left_semi"), percent))
-            more, sets = met_again(rare, named, found, percent, sets, more_sets)
+            more, sets = met_again(rare, named, found, percent, sets, more_sets, parts)
             if not more.isEmpty():
-                found = joined(found, more)
+                found = joined(found, more, parts)
     classes = classes.join(found, "node", "left").select("set_digest", F.coalesce("component", "node").alias("component"))
+    classes = classes.coalesce(parts.rows)
     rows = signed.select("doc_id", "row_digest", "n_shingles", "set_digest").join(classes, "set_digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), "row_digest").withColumn(

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 from foldspark.llm import blocknames, forest
 
@@ -118,6 +119,21 @@ def test_dense_group_beyond_the_reach(spark):
     _check_near(_copies(spark, forest.REACH + 60, 7, 5), 3, 85)
 
 
+def test_few_rows_take_few_tasks(spark, shared_folder):
+    # where the session shuffles into many partitions, frames of a few hundred rows are not written in as many files
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    there = set(Path(shared_folder).rglob("part-*"))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        _check_near(_copies(spark, forest.REACH + 60, 4, 2), 3, 85)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(set(Path(shared_folder).rglob("part-*")) - there) < 500
+
+
 def test_forest_on_odd_rows(spark, odd_docs, no_docs):
     found = forest.near_duplicates(odd_docs, words=3, percent=85).collect()
     by_id = {}
