@@ -3,6 +3,8 @@ import random
 import re
 from pathlib import Path
 
+import numpy as np
+
 from foldspark.llm import blocknames, forest
 
 _WHITE = re.compile(r"[\x20\x09-\x0D]")
@@ -119,6 +121,18 @@ def test_dense_group_beyond_the_reach(spark):
     _check_near(_copies(spark, forest.REACH + 60, 7, 5), 3, 85)
 
 
+def test_confirmation_takes_one_worker_a_task(spark, capsys):
+    values = [bytes(np.arange(n, dtype=np.uint64)) for n in (20, 19, 18, 10)]
+    sets = spark.createDataFrame([(i, bytes([i]), v) for i, v in enumerate(values)], "node long, set_digest binary, values binary")
+    pairs = spark.createDataFrame([(0, 1), (1, 2), (0, 2), (0, 3)], "a long, b long").coalesce(1)
+    found = forest.confirmed(pairs, sets, 85)
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    links = {tuple(r) for r in found.collect()}
+    assert links < {(0, 1), (1, 2), (0, 2)} and {x for link in links for x in link} == {0, 1, 2}
+
+
 def test_few_rows_take_few_tasks(spark, shared_folder):
     # where the session shuffles into many partitions, frames of a few hundred rows are not written in as many files
     settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
